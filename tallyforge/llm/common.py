@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,3 +49,13 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     have = df.columns
     plain = df.toDF(*[f"c{i}" for i in range(len(have))])
     return plain.select(*[F.col(f"c{have.index(n)}").alias(n) for n in names])
+
+
+def mapped(rows: DataFrame, run: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
+    """rows.mapInPandas(run) that hands on the first column, a key, as text and gives it back as it was.
+
+    pandas would turn whole numbers beside nulls into floats.
+    """
+    key, kind = rows.dtypes[0]
+    out = rows.withColumn(key, F.col(key).cast("string")).mapInPandas(run, f"{key} string, {schema}")
+    return out.withColumn(key, F.col(key).cast(kind))

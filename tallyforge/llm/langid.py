@@ -18,6 +18,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,9 +163,9 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     have = docs.columns
     at = have.index("text")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            texts = f[f"c{at}"].tolist()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
             lang: list[str] = []
             score: list[float] = []
             for part in hashing.chunks(texts) if model else ():
@@ -172,15 +173,15 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                 lang += a
                 score += b.tolist()
             if not model:
-                lang, score = [UNKNOWN] * len(f), [0.0] * len(f)
+                lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
             for i, t in enumerate(texts):
                 if not t or not any(map(str.isalpha, t)):
                     lang[i], score[i] = UNKNOWN, 0.0
-            yield f.assign(lang_pred=lang, score=score)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*batch.schema.names, "lang_pred", "score"])
 
     plain = docs.toDF(*[f"c{i}" for i in range(len(have))])
     kinds = ", ".join(f"{n} {k}" for n, k in plain.dtypes)
-    return plain.mapInPandas(run, f"{kinds}, lang_pred string, score double").toDF(*have, "lang_pred", "score")
+    return plain.mapInArrow(run, f"{kinds}, lang_pred string, score double").toDF(*have, "lang_pred", "score")
 
 
 def fitted(docs: DataFrame, each: int = EACH) -> Model | None:

@@ -173,10 +173,7 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, limits: Limit
         if held:
             yield packed()
 
-    rows = common.pick(docs, "doc_id", "text")
-    rows = rows.withColumn("doc_id", rows["doc_id"].cast("string"))
-    out = rows.mapInPandas(run, "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
-    return out.withColumn("doc_id", out["doc_id"].cast(common.pick(docs, "doc_id").dtypes[0][1]))
+    return common.mapped(common.pick(docs, "doc_id", "text"), run, "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def pack_examples(examples: DataFrame, tokens: str, loss: str, limits: Limits = Limits()) -> DataFrame:

@@ -5,14 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash, packing, radix
+from . import chat, fitting, langid, minhash, packing, radix, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return chat.read_back(chat.windows(rows.union(extra)))
+
+
 def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -25,10 +33,36 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s.kind.isin("assign", "access", "hex"))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = toxicity.score(docs, toxicity.fitted(docs, table(spark, sf_dir, "labels")))
+    held_out = (fitting.remainder(F.col("doc_id"), 5) == 0).alias("held_out")
+    return scores.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "sentence_start", "sentence_end", "sentence_score")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs.select("doc_id", "text"), langid.fitted(docs))
+    held_out = (fitting.remainder(F.col("doc_id"), 3) == 1).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_windows": op1_chat_windows,
     "op4_vector_packing": op4_vector_packing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_toxicity": op9_toxicity,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {

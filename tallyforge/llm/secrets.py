@@ -124,5 +124,4 @@ def scan(docs: DataFrame) -> DataFrame:
             got = [[{"kind": k, "start": s, "end": e} for s, e, k in spans(t or "")] for t in f["text"]]
             yield pd.DataFrame({"doc_id": f["doc_id"], "spans": got})
 
-    rows = common.pick(docs, "doc_id", "text")
-    return rows.mapInPandas(run, f"doc_id {rows.dtypes[0][1]}, spans array<struct<kind:string,start:long,end:long>>")
+    return common.mapped(common.pick(docs, "doc_id", "text"), run, "spans array<struct<kind:string,start:long,end:long>>")

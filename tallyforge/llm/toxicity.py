@@ -150,9 +150,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float] | None) -> DataFrame:
                 {"doc_id": f["doc_id"], "score": np.concatenate(total) if total else [], "sentence_start": pd.array(start, "Int64"), "sentence_end": pd.array(end, "Int64"), "sentence_score": pd.array(top, "Float64")}
             )
 
-    rows = common.pick(docs, "doc_id", "text")
-    kind = rows.dtypes[0][1]
-    return rows.mapInPandas(run, f"doc_id {kind}, score double, sentence_start long, sentence_end long, sentence_score double")
+    schema = "score double, sentence_start long, sentence_end long, sentence_score double"
+    return common.mapped(common.pick(docs, "doc_id", "text"), run, schema)
 
 
 def fitted(docs: DataFrame, labels: DataFrame, each: int = EACH) -> tuple[np.ndarray, float] | None:
