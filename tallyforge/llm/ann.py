@@ -219,14 +219,15 @@ def search(rows: DataFrame, every: int = 20, k: int = 20, recall: float = RECALL
     all_ = lambda n: F.explode(F.sequence(F.lit(0), n[F.col("part")] - 1))
     vectors = usable.select("id", "vector")
     base = placed.join(vectors, "id").withColumn("b", own(blocks)).withColumn("q", all_(asking))
-    ask = routed.join(vectors.dropDuplicates(["id"]), "id").withColumn("q", own(asking)).withColumn("b", all_(blocks))
+    ask = routed.join(asked.select("id", "vector"), "id").withColumn("q", own(asking)).withColumn("b", all_(blocks))
+    ask = ask.select(*[F.col(c).alias(f"ask_{c}") for c in ("id", "vector", "part", "b", "q")])
 
     def score(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(q):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return nearest(q["id"].to_numpy(), np.stack(q["vector"]), x["id"].to_numpy(), np.stack(x["vector"]), k)
+        return nearest(q["ask_id"].to_numpy(), np.stack(q["ask_vector"]), x["id"].to_numpy(), np.stack(x["vector"]), k)
 
-    found = base.groupBy("part", "b", "q").cogroup(ask.groupBy("part", "b", "q")).applyInPandas(score, "query_id long, vec_id long, score double")
+    found = base.groupBy("part", "b", "q").cogroup(ask.groupBy("ask_part", "ask_b", "ask_q")).applyInPandas(score, "query_id long, vec_id long, score double")
     # Each block leaves k rows of a query; the best of them stay.
     best = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("top"))
     out = best.select("query_id", F.posexplode("top").alias("i", "t"))

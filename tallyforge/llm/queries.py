@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fitting, langid, minhash, packing, radix, secrets, toxicity
+from . import ann, attribution, chat, fitting, langid, minhash, packing, radix, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,14 @@ def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.windows(rows.union(extra)))
 
 
+def op2_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.attribute(table(spark, sf_dir, "documents"), "doc_id", ["source", "lang", "text"], by_line=("text",))
+
+
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op4_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -57,6 +65,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_windows": op1_chat_windows,
+    "op2_token_attribution": op2_token_attribution,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_vector_packing": op4_vector_packing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,

@@ -35,7 +35,51 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Encoder:
+class Pieces:
+    """A growing table of whole numbers for each distinct piece of text, held up to ``CACHE`` pieces."""
+
+    def __init__(self) -> None:
+        self._clear()
+
+    def _clear(self) -> None:
+        self.code: dict[str, int] = {}
+        self.values = np.zeros(1 << 20, np.uint32)
+        self.begin = np.zeros(1 << 16, np.int64)  # of each code; one more at the end
+
+    def of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All numbers of the pieces one after another, and how many each has."""
+        raise NotImplementedError
+
+    def _add(self, pieces: list[str]) -> None:
+        flat, length = self.of(pieces)
+        n, used = len(self.code), int(self.begin[len(self.code)])
+        while used + len(flat) > len(self.values):
+            self.values = np.concatenate((self.values, np.zeros_like(self.values)))
+        while n + len(pieces) + 1 > len(self.begin):
+            self.begin = np.concatenate((self.begin, np.zeros_like(self.begin)))
+        self.values[used : used + len(flat)] = flat
+        self.begin[n + 1 : n + len(pieces) + 1] = used + np.cumsum(length)
+        self.code.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+
+    def gathered(self, pieces: list[str], upto: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of consecutive texts made of pieces; upto: each text's first piece, and the end.
+
+        Returns all numbers, and where each text's begin (one more at the end).
+        """
+        new = set(pieces).difference(self.code)
+        if len(new) + len(self.code) > CACHE and self.code:
+            self._clear()
+            new = set(pieces)
+        if new:
+            self._add(list(new))
+        code = np.fromiter(map(self.code.__getitem__, pieces), np.int64, len(pieces))
+        start, length = self.begin[code], self.begin[code + 1] - self.begin[code]
+        to = np.concatenate(([0], np.cumsum(length)))
+        index = np.repeat(start - to[:-1], length) + np.arange(to[-1])
+        return self.values[index], to[upto]
+
+
+class Encoder(Pieces):
     """Ids of whole texts, as encode(text, add_special_tokens=False) of the vocabulary gives them."""
 
     def __init__(self, path: str) -> None:
@@ -55,14 +99,9 @@ class Encoder:
         self.ends = np.zeros(max(ranks.values()) + 1, bool)
         self.ends[[i for b, i in ranks.items() if b != b"\n" and b.endswith(b"\n")]] = True
         self.split = regex.compile(SPLIT).findall
-        self._clear()
+        super().__init__()
 
-    def _clear(self) -> None:
-        self.code: dict[str, int] = {}
-        self.ids = np.zeros(1 << 20, np.uint32)
-        self.begin = np.zeros(1 << 16, np.int64)  # of each code; one more at the end
-
-    def _add(self, words: list[str]) -> None:
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts, count, odd = [], [], []
         for w in words:
             if not w.isascii():
@@ -87,14 +126,7 @@ class Encoder:
             cut = np.split(flat, np.cumsum(length)[:-1])
             cut = [np.array(got[k], np.uint32) if k in got else x for k, x in enumerate(cut)]
             flat, length = np.concatenate(cut), np.array([len(x) for x in cut])
-        n, used = len(self.code), int(self.begin[len(self.code)])
-        while used + len(flat) > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        while n + len(words) + 1 > len(self.begin):
-            self.begin = np.concatenate((self.begin, np.zeros_like(self.begin)))
-        self.ids[used : used + len(flat)] = flat
-        self.begin[n + 1 : n + len(words) + 1] = used + np.cumsum(length)
-        self.code.update(zip(words, range(n, n + len(words)), strict=True))
+        return flat, length
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and where each text's begin (one more at the end)."""
@@ -106,17 +138,7 @@ class Encoder:
                     t = t.replace(c, " ")
             words += t.split(" ")
             upto.append(len(words))
-        new = set(words).difference(self.code)
-        if len(new) + len(self.code) > CACHE and self.code:
-            self._clear()
-            new = set(words)
-        if new:
-            self._add(list(new))
-        code = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
-        start, length = self.begin[code], self.begin[code + 1] - self.begin[code]
-        to = np.concatenate(([0], np.cumsum(length)))
-        index = np.repeat(start - to[:-1], length) + np.arange(to[-1])
-        return self.ids[index], to[upto]
+        return self.gathered(words, upto)
 
 
 @functools.lru_cache(2)
