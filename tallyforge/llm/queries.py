@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, attribution, chat, fitting, langid, minhash, packing, radix, secrets, toxicity
+from . import ann, attribution, chat, fitting, langid, minhash, mixing, packing, radix, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_vector_packing": op4_vector_packing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_temperature_mixing": op6_temperature_mixing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_toxicity": op9_toxicity,
@@ -76,6 +81,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_temperature_mixing": r"""
+        WITH RECURSIVE sized AS (
+            SELECT doc_id, coalesce(source, '') AS source, (octet_length(encode(coalesce(text, ''))) + 3) // 4 AS tokens FROM documents),
+        sources AS (SELECT source, sum(tokens)::BIGINT AS n FROM sized GROUP BY source HAVING sum(tokens) > 0),
+        total AS (SELECT sum(n)::BIGINT AS t FROM sources),
+        shares AS (SELECT source, n, n / t::DOUBLE AS p FROM sources, total),
+        l AS (SELECT list(p) AS ps, 0.95 * ln(count(*)) AS target FROM shares),
+        bisect(i, lo, hi) AS (
+            SELECT 0, 0::BIGINT, 1073741824::BIGINT
+            UNION ALL
+            SELECT i + 1, CASE WHEN fine THEN mid ELSE lo END, CASE WHEN fine THEN hi ELSE mid END
+            FROM (SELECT i, lo, hi, (lo + hi) // 2 AS mid,
+                    ln(list_sum(list_transform(ps, lambda p: pow(p, ((lo + hi) // 2) / 1073741824.0))))
+                    - ((lo + hi) // 2) / 1073741824.0
+                    * list_sum(list_transform(ps, lambda p: pow(p, ((lo + hi) // 2) / 1073741824.0) * ln(p)))
+                    / list_sum(list_transform(ps, lambda p: pow(p, ((lo + hi) // 2) / 1073741824.0))) >= target AS fine
+                  FROM bisect, l WHERE i < 30)),
+        alpha AS (SELECT CASE WHEN -list_sum(list_transform(ps, lambda p: p * ln(p))) >= target THEN 1.0::DOUBLE
+                    ELSE (SELECT lo / 1073741824.0 FROM bisect WHERE i = 30) END AS a FROM l),
+        weighed AS (SELECT source, n, pow(p, a) / (SELECT sum(pow(p, a)) FROM shares, alpha) AS w FROM shares, alpha),
+        plan AS (SELECT source, n, quota, quota // n AS epochs, quota % n AS rest, ceil(n / 262144.0)::BIGINT AS blocks
+            FROM (SELECT source, n, floor(w * t + 0.5)::BIGINT AS quota FROM weighed, total)),
+        uses AS (
+            SELECT doc_id, source, tokens, epoch, n, quota, epochs, rest, blocks, u, floor(u * coalesce(blocks, 1))::BIGINT AS block
+            FROM (SELECT *, ('0x' || substr(md5('mix|' || epoch || '|' || doc_id), 1, 12))::BIGINT / 281474976710656.0 AS u
+                FROM (SELECT *, unnest(range(0, CASE WHEN n IS NULL THEN 1 ELSE epochs + (rest > 0)::INT END)) AS epoch
+                    FROM sized LEFT JOIN plan USING (source)))),
+        held AS (SELECT source, block, rest, sum(tokens) AS held FROM uses WHERE epoch = epochs GROUP BY ALL),
+        room AS (SELECT source, block, held, rest - coalesce(sum(held) OVER (PARTITION BY source ORDER BY block
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room FROM held),
+        got AS (
+            SELECT * FROM uses WHERE epoch <> epochs OR n IS NULL
+            UNION ALL
+            SELECT * EXCLUDE (room, held, used) FROM (
+                SELECT uses.*, room, held, sum(tokens) OVER (PARTITION BY source, block ORDER BY u, doc_id, tokens
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS used
+                FROM uses JOIN room USING (source, block) WHERE epoch = epochs)
+            WHERE room > 0 AND (held <= room OR used <= room)),
+        jittered AS (SELECT *, ('0x' || substr(md5('mix|' || source || '|' || epoch || '|' || block), 1, 12))::BIGINT / 281474976710656.0 AS j FROM got)
+        SELECT doc_id, source, tokens, epoch, block,
+            round(coalesce((epoch + (block + j) / blocks) * n / quota, j), 9) AS mix_key FROM jittered
+    """,
     "op7_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents),
         k AS (SELECT *, min(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size FROM t)
