@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -59,3 +60,15 @@ def mapped(rows: DataFrame, run: Callable[[Iterator], Iterator], schema: str) ->
     key, kind = rows.dtypes[0]
     out = rows.withColumn(key, F.col(key).cast("string")).mapInPandas(run, f"{key} string, {schema}")
     return out.withColumn(key, F.col(key).cast(kind))
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """For what is written inside: at most so many rows at once in a Python worker's memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -9,7 +9,7 @@ import numpy as np
 
 _U = np.uint64
 #: Texts are hashed in chunks of about this many bytes.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:

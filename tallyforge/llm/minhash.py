@@ -4,9 +4,11 @@
    128-bit digest of that set, 8-bit lanes of its MinHash signature and its band keys.
 2. Documents with equal sets form one node; all later work is on nodes.
 3. Bands propose candidates. First every member of a bucket meets only the bucket's smallest
-   node (linear in the bucket). Buckets that still hold more than one component are then
-   compared in blocks of signatures, so no group is gathered in one task and no list of all
-   pairs is made.
+   node (linear in the bucket). In buckets that then still hold more than one component, pairs
+   across components are compared in blocks: a first pass over the blocks finds the members with
+   a surviving pair, a second gets their sets, decides exactly, and leaves the links of a
+   spanning forest of each block. No group is gathered in one task, no list of pairs is made, and a
+   pair is compared only in the first band that it shares.
 4. A candidate's signatures are compared batch by batch; it is dropped as soon as the posterior
    probability of similarity >= threshold falls under ``miss``. Survivors are decided exactly
    on their full sets.
@@ -29,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, hashing
 
 WORDS = 5
 THRESHOLD_PERCENT = 75
@@ -38,63 +40,21 @@ LANES = BANDS * ROWS
 BATCH = 25
 MISS = 1e-6
 BLOCK = 128
+#: Rows with texts or sets held at once by a Python worker.
+BATCH_ROWS = 1000
 _U = np.uint64
-_CHUNK = 1 << 21
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """Bijective finaliser of 64-bit values."""
-    with np.errstate(over="ignore"):
-        x = x ^ (x >> _U(32))
-        x = x * _U(0xD6E8FEB86659FD93)
-        x = x ^ (x >> _U(32))
-        x = x * _U(0xD6E8FEB86659FD93)
-        return x ^ (x >> _U(32))
-
-
-def _random(seed: int, n: int) -> np.ndarray:
-    return np.random.default_rng(seed).integers(0, 1 << 64, n, dtype=np.uint64)
-
-
-_BYTE = _random(11, 256)
-_WHITE = np.zeros(256, bool)
-_WHITE[[9, 10, 11, 12, 13, 32]] = True
-_PLACE = _random(12, 8) | _U(1)
-_COUNT = _random(13, 8)
-_BASE = int(_random(14, 1)[0]) & ~7 | 5
-_LANE = _random(15, LANES) | _U(1)
-_BAND = _random(16, BANDS)
-_FOLD = _random(17, ROWS) | _U(1)
-
-
-@functools.lru_cache(1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    out = []
-    for b in (_BASE, pow(_BASE, -1, 1 << 64)):
-        p = np.full(n, b, np.uint64)
-        p[0] = 1
-        with np.errstate(over="ignore"):
-            out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+_PLACE = hashing.random(12, 8) | _U(1)
+_COUNT = hashing.random(13, 8)
+_LANE = hashing.random(15, LANES) | _U(1)
 
 
 def _chunk_shingles(texts: list[bytes], words: int) -> list[np.ndarray]:
-    size = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
-    a = np.frombuffer(b"\n".join(texts).lower() + b"\n", np.uint8)
-    power, inverse = _powers(max(_CHUNK * 2, 1 << int(len(a)).bit_length()))
-    white = _WHITE[a]
-    edge = np.diff(np.concatenate(([True], white)).astype(np.int8))
-    start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    _, word, _, bound = hashing.words(texts, hashing.WHITE)
+    grams = np.zeros(max(0, len(word) - words + 1), np.uint64)
     with np.errstate(over="ignore"):
-        total = np.concatenate(([_U(0)], np.cumsum(_BYTE[a] * power[: len(a)], dtype=np.uint64)))
-        word = _mix((total[end] - total[start]) * inverse[start])
-        n = len(word)
-        grams = np.zeros(max(0, n - words + 1), np.uint64)
         for k in range(words):
             grams += word[k : k + len(grams)] * _PLACE[k]
-        grams = _mix(grams + _COUNT[words])
-    bound = np.searchsorted(start, np.concatenate(([0], np.cumsum(size))))
+        grams = hashing.mix(grams + _COUNT[words])
     out = []
     for lo, hi in zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True):
         if hi - lo >= words:
@@ -102,7 +62,7 @@ def _chunk_shingles(texts: list[bytes], words: int) -> list[np.ndarray]:
             out.append(s[np.concatenate(([True], s[1:] != s[:-1]))])
         elif hi > lo:
             with np.errstate(over="ignore"):
-                out.append(_mix((word[lo:hi] * _PLACE[: hi - lo]).sum(dtype=np.uint64, keepdims=True) + _COUNT[hi - lo]))
+                out.append(hashing.mix((word[lo:hi] * _PLACE[: hi - lo]).sum(dtype=np.uint64, keepdims=True) + _COUNT[hi - lo]))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
@@ -110,27 +70,21 @@ def _chunk_shingles(texts: list[bytes], words: int) -> list[np.ndarray]:
 
 def shingle_sets(texts: list[str | None], words: int = WORDS) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text; fewer words than ``words`` make one shingle."""
-    part: list[bytes] = []
-    size = 0
-    for t in texts:
-        part.append((t or "").encode("utf-8", "surrogatepass"))
-        size += len(part[-1])
-        if size >= _CHUNK:
-            yield from _chunk_shingles(part, words)
-            part, size = [], 0
-    if part:
+    for part in hashing.chunks(texts):
         yield from _chunk_shingles(part, words)
 
 
 def signature(grams: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """8-bit lanes of the MinHash signature, and the band keys as signed longs."""
+    """8-bit lanes of the MinHash signature, and the band keys (of the lanes) as signed longs."""
     low = np.full(LANES, _U(0xFFFFFFFFFFFFFFFF))
     with np.errstate(over="ignore"):
-        for i in range(0, len(grams), 4096):
-            np.minimum(low, (_LANE[:, None] * grams[None, i : i + 4096]).min(1), out=low)
-        low = _mix(low)
-        keys = _mix((low.reshape(BANDS, ROWS) * _FOLD).sum(1, dtype=np.uint64) + _BAND)
-    return (low >> _U(56)).astype(np.uint8).tobytes(), keys.view(np.int64)
+        for i in range(0, len(grams), 1024):
+            np.minimum(low, (_LANE[:, None] * grams[None, i : i + 1024]).min(1), out=low)
+    lanes = (hashing.mix(low) >> _U(56)).astype(np.uint8)
+    keys = np.arange(BANDS, dtype=np.int64)
+    for lane in lanes.reshape(BANDS, ROWS).T:
+        keys = keys << 8 | lane
+    return lanes.tobytes(), keys
 
 
 @functools.lru_cache(8)
@@ -185,8 +139,7 @@ def features(docs: DataFrame, words: int = WORDS) -> DataFrame:
                     bands.append(None)
             yield pd.DataFrame({"doc_id": f["doc_id"], "n": n, "digest": digest, "lanes": lanes, "bands": bands})
 
-    kind = common.pick(docs, "doc_id").dtypes[0][1]
-    return common.pick(docs, "doc_id", "text").mapInPandas(run, f"doc_id {kind}, n long, digest binary, lanes binary, bands array<bigint>")
+    return common.mapped(common.pick(docs, "doc_id", "text"), run, "n long, digest binary, lanes binary, bands array<bigint>")
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
@@ -204,7 +157,7 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
     return rows.select("node", "digest", "text").mapInPandas(run, "node long, grams binary")
 
 
-def _confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, miss: float, label: str) -> DataFrame:
+def _confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataFrame:
     """The links among stored candidate pairs (a, b): batches of signatures, then full sets."""
 
     def prune(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -215,21 +168,16 @@ def _confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int,
 
     def exact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            keep = []
-            for x, y in zip(f["ga"], f["gb"], strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate((x, y))
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(f["ga"], f["gb"], strict=True)]
             yield f.loc[keep, ["a", "b"]]
 
     one = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("lanes").alias("la"))
     two = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("lanes").alias("lb"))
     near = pairs.join(one, "a").join(two, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    near = common.stored(near.select("a", "b", "la", "lb").mapInPandas(prune, "a long, b long"), f"{label}-near")
+    near = common.stored(near.select("a", "b", "la", "lb").mapInPandas(prune, "a long, b long"), "near")
     full = near.join(sets.toDF("a", "ga"), "a").join(sets.toDF("b", "gb"), "b")
-    return common.stored(full.select("a", "b", "ga", "gb").mapInPandas(exact, "a long, b long"), f"{label}-links")
+    with common.small_batches(pairs.sparkSession, BATCH_ROWS):
+        return common.stored(full.select("a", "b", "ga", "gb").mapInPandas(exact, "a long, b long"), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -255,12 +203,11 @@ def components(edges: DataFrame) -> DataFrame:
         now = common.stored(small.union(low.select("hi", F.col("m").alias("lo"))).distinct(), "stars")
 
 
-def _blocks(members: DataFrame, nodes: DataFrame, best: bool, percent: int, miss: float) -> DataFrame:
-    """Candidate pairs (a, b) between different components of a bucket, compared in blocks.
+def _blocks(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of buckets with several components, dealt out to pairs of blocks (x, y).
 
     members: (key, node, component). A bucket's largest component is only compared with the
-    other members. best: of each member and other component in a block, only the pair with
-    most matching lanes; else every survivor.
+    other members.
     """
     sizes = members.groupBy("key", "component").agg(F.count("*").alias("n"))
     open_ = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
@@ -280,51 +227,92 @@ def _blocks(members: DataFrame, nodes: DataFrame, best: bool, percent: int, miss
     ).otherwise(over("no", lambda j: pair(-1 - F.col("at"), j)))
     rows = rows.select("key", "node", "component", "out", F.explode(cells).alias("cell"))
     rows = rows.select("key", "node", "component", "out", "cell.x", "cell.y").join(nodes.select("node", "n", "lanes"), "node")
-    rows = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "node")
-
-    def compare(x: int, node: np.ndarray, comp: np.ndarray, n: np.ndarray, out: np.ndarray, lanes: np.ndarray) -> tuple | None:
-        if x < 0:
-            i, j = (v.ravel() for v in np.meshgrid(np.flatnonzero(out), np.flatnonzero(~out)))
-        else:
-            i, j = np.triu_indices(len(node), 1)
-        ok = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
-        i, j = i[ok], j[ok]
-        if not len(i):
-            return None
-        keep, hits = survives(lanes[i], lanes[j], percent, miss)
-        i, j = i[keep], j[keep]
-        if best and len(i) > 1:
-            order = np.argsort(-hits, kind="stable")
-            seen: set[tuple[int, int]] = set()
-            some = []
-            for k in order.tolist():
-                ends = {(node[i[k]], comp[j[k]]), (node[j[k]], comp[i[k]])}
-                if not ends <= seen:
-                    seen |= ends
-                    some.append(k)
-            i, j = i[some], j[some]
-        return (np.minimum(node[i], node[j]), np.maximum(node[i], node[j])) if len(i) else None
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def groups(f: pd.DataFrame, cut: np.ndarray) -> Iterator[pd.DataFrame]:
-            x, *cols = (f[c].to_numpy() for c in ("x", "node", "component", "n", "out"))
-            lanes = _lanes(f["lanes"])
-            found = [got for s, e in zip(cut[:-1], cut[1:], strict=True) if e - s > 1 and (got := compare(x[s], *(c[s:e] for c in cols), lanes[s:e]))]
-            if found:
-                yield pd.DataFrame({"a": np.concatenate([g[0] for g in found]), "b": np.concatenate([g[1] for g in found])})
-
-        rest = None
-        for f in frames:
-            f = f if rest is None else pd.concat([rest, f], ignore_index=True)
-            if len(f):
-                k = f[["key", "x", "y"]].to_numpy()
-                cut = np.concatenate(([0], np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1))
-                yield from groups(f, cut)
-                rest = f.iloc[cut[-1] :]
-        if rest is not None:
-            yield from groups(rest, np.array([0, len(rest)]))
-
-    return rows.mapInPandas(run, "a long, b long").distinct()
+    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "node")
+
+
+def _candidates(g: dict[str, np.ndarray], percent: int, miss: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of a block's members that survive, most matching lanes first."""
+    if g["x"][0] < 0:
+        i, j = (v.ravel() for v in np.meshgrid(np.flatnonzero(g["out"]), np.flatnonzero(~g["out"])))
+    else:
+        i, j = np.triu_indices(len(g["node"]), 1)
+    n, comp, lanes = g["n"], g["component"], g["lanes"]
+    ok = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+    i, j = i[ok], j[ok]
+    keep, hits = survives(lanes[i], lanes[j], percent, miss)
+    i, j = i[keep], j[keep]
+    band = int(g["key"][0]) >> 8 * ROWS
+    if band and len(i):
+        same = (lanes[i, : band * ROWS] == lanes[j, : band * ROWS]).reshape(len(i), band, ROWS).all(2).any(1)
+        i, j, hits = i[~same], j[~same], hits[~same]
+    order = np.argsort(-hits, kind="stable")
+    return i[order], j[order]
+
+
+def _by_block(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[dict[str, np.ndarray], pd.DataFrame]]:
+    """The blocks of sorted rows, whole ones, with at least two members."""
+    rest = None
+
+    def groups(f: pd.DataFrame, cut: np.ndarray) -> Iterator[tuple[dict[str, np.ndarray], pd.DataFrame]]:
+        cols = {c: f[c].to_numpy() for c in ("key", "x", "y", "node", "component", "n", "out")} | {"lanes": _lanes(f["lanes"])}
+        for s, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            if e - s > 1:
+                yield {k: v[s:e] for k, v in cols.items()}, f.iloc[s:e] if "grams" in f else f
+
+    for f in frames:
+        f = f if rest is None else pd.concat([rest, f], ignore_index=True)
+        if len(f):
+            k = f[["key", "x", "y"]].to_numpy()
+            cut = np.concatenate(([0], np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1))
+            yield from groups(f, cut)
+            rest = f.iloc[cut[-1] :]
+    if rest is not None:
+        yield from groups(rest, np.array([0, len(rest)]))
+
+
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have 100 * intersection >= percent * union."""
+    both = np.concatenate((x, y))
+    both.sort(kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
+def _across(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Links (a, b) that join different components of a bucket; members: (key, node, component)."""
+
+    def survivors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g, _ in _by_block(frames):
+            i, j = _candidates(g, percent, miss)
+            if len(i):
+                some = np.unique(np.concatenate((i, j)))
+                yield pd.DataFrame({c: g[c][some] for c in ("key", "x", "y", "node", "component", "n", "out")} | {"lanes": [v.tobytes() for v in g["lanes"][some]]})
+
+    def forest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g, f in _by_block(frames):
+            root = {c: c for c in g["component"].tolist()}
+
+            def find(c: int, root: dict[int, int] = root) -> int:
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            grams = [np.frombuffer(v, np.uint64) for v in f["grams"]]
+            links = []
+            for i, j in zip(*(v.tolist() for v in _candidates(g, percent, miss)), strict=True):
+                a, b = find(int(g["component"][i])), find(int(g["component"][j]))
+                if a != b and linked(grams[i], grams[j], percent):
+                    root[a] = b
+                    links.append((int(g["node"][i]), int(g["node"][j])))
+            if links:
+                yield pd.DataFrame(links, columns=["a", "b"])
+
+    kinds = "key long, x int, y int, node long, component long, n long, out boolean, lanes binary"
+    blocks = _blocks(members, nodes).select("key", "x", "y", "node", "component", "n", "out", "lanes").mapInPandas(survivors, kinds)
+    blocks = common.stored(blocks, "survivors").join(sets, "node")
+    blocks = blocks.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "node")
+    with common.small_batches(sets.sparkSession, BATCH_ROWS):
+        return common.stored(blocks.mapInPandas(forest, "a long, b long").distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = THRESHOLD_PERCENT, miss: float = MISS) -> DataFrame:
@@ -333,7 +321,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = THRESHOL
     Two documents link if 100 * shared >= percent * united shingles. component_id is the smallest
     doc_id reachable over links; kept marks the rows with that id.
     """
-    rows = common.stored(common.with_row_id(features(docs, words), "row"), "features")
+    with common.small_batches(docs.sparkSession, BATCH_ROWS):
+        rows = common.stored(common.with_row_id(features(docs, words), "row"), "features")
     reps = rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"))
     reps = common.stored(reps, "nodes")
     nodes = rows.select(F.col("row").alias("node"), "doc_id", "n", "digest", "lanes", "bands").join(reps.select("node"), "node", "left_semi")
@@ -345,18 +334,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = THRESHOL
     near = common.stored(nodes.join(busy, "node").select("node", "doc_id", "n", "digest", "lanes"), "candidates")
     ids = common.stored(near.select(F.col("doc_id").alias("id"), "node", "digest"), "wanted")
     text = common.pick(docs, "doc_id", "text").join(common.small_or_shuffled(ids, common.BROADCAST_ROWS // 8), F.col("doc_id").eqNullSafe(F.col("id")))
-    sets = common.stored(_sets(text, words).dropDuplicates(["node"]), "sets")
+    with common.small_batches(docs.sparkSession, BATCH_ROWS):
+        sets = common.stored(_sets(text, words).dropDuplicates(["node"]), "sets")
 
-    tested = common.stored(members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    links = _confirm(tested, near, sets, percent, miss, "pivot")
+    pairs = common.stored(members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    links = _confirm(pairs, near, sets, percent, miss)
     parts = components(links)
-    for best in (True, False):
-        labelled = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        fresh = _blocks(labelled, near, best, percent, miss).join(tested, ["a", "b"], "left_anti")
-        fresh = common.stored(fresh, "pairs")
-        links = links.union(_confirm(fresh, near, sets, percent, miss, "block"))
-        tested = tested.union(fresh)
-        parts = components(links)
+    labelled = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    parts = components(links.union(_across(labelled, near, sets, percent, miss)))
 
     of = rows.select("row", "doc_id", "n", "digest").join(reps, "digest", "left")
     of = of.withColumn("node", F.coalesce("node", "row")).join(parts, "node", "left")
