@@ -39,7 +39,7 @@ BANDS, ROWS = 40, 5
 LANES = BANDS * ROWS
 BATCH = 25
 MISS = 1e-6
-BLOCK = 128
+BLOCK = 256
 #: Rows with texts or sets held at once by a Python worker.
 BATCH_ROWS = 1000
 _U = np.uint64
