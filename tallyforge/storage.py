@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; a temporary folder only where that is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
+        path = context.getCheckpointDir()
     return path.rstrip("/")
 
 
