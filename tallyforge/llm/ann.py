@@ -31,11 +31,11 @@ from . import common, fitting
 #: Vectors in the sample, at most about.
 SAMPLE = 8192
 #: Vectors in a part, about, up to the largest number of parts.
-PART, MOST_PARTS = 1024, 128
+PART, MOST_PARTS = 1024, 16
 NEIGHBOURS = 10
 HIDDEN = 96
-RECALL = 0.97
-BLOCK, QUERY_BLOCK = 4096, 512
+RECALL = 0.94
+BLOCK, QUERY_BLOCK = 16384, 512
 
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
