@@ -21,7 +21,8 @@ def laplace(scale: float, seed: int | None = None) -> Column:
 
 
 def hash_laplace(scale: float, *keys: Column) -> Column:
-    """Noise that the keys decide, rounded to 6 places. For tests only: it protects nobody."""
+    """Noise that the keys decide, in whole 1024ths, so that sums and medians are exact. For tests
+    only: it protects nobody."""
     text = F.concat_ws("|", *[F.coalesce(k.cast("string"), F.lit("")) for k in keys])
     h = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double")
-    return F.round(laplace_from((h + 0.5) / float(1 << 32), scale), 6)
+    return F.round(laplace_from((h + 0.5) / float(1 << 32), scale) * 1024) / 1024

@@ -94,14 +94,14 @@ def _versions(source: str, arity: int) -> str:
 
 _U = f"(('0x' || substr(md5(concat_ws('|', table_name, {', '.join(f"coalesce({f}, '')" for f in FIELDS)})), 1, 8))::BIGINT + 0.5) / 4294967296.0"
 _HASHED = f"""WITH f AS ({_FACTS_SQL}), e AS ({_named(3, 'f', 'sum(n)::DOUBLE')}),
-    t3 AS (SELECT table_name, arity, {', '.join(FIELDS)}, "Count" + round(-21.0 * sign(u - 0.5) * ln(1 - 2 * abs(u - 0.5)), 6) AS "Count" FROM (SELECT *, {_U} AS u FROM e)),
+    t3 AS (SELECT table_name, arity, {', '.join(FIELDS)}, "Count" + round(-21.0 * sign(u - 0.5) * ln(1 - 2 * abs(u - 0.5)) * 1024) / 1024 AS "Count" FROM (SELECT *, {_U} AS u FROM e)),
     t2 AS ({_versions('t3', 2)}), t1 AS ({_versions('t2', 1)})
-    SELECT table_name, arity, {', '.join(FIELDS)}, round("Count", 4) AS "Count" FROM (SELECT * FROM t3 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t1)"""
+    SELECT table_name, arity, {', '.join(FIELDS)}, "Count" FROM (SELECT * FROM t3 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t1)"""
 
 
 @query("mth1_tables_with_hash_noise", _HASHED)
 def mth1_hash(t: Tables) -> DataFrame:
-    return contingency.dp_contingency(facts(t), FIELDS, "n", noise="hash").withColumn("Count", F.round("Count", 4))
+    return contingency.dp_contingency(facts(t), FIELDS, "n", noise="hash")
 
 
 @query("job2_dp_contingency")
