@@ -14,19 +14,24 @@ from tallyforge.llm import common, langid, minhash, mixing, packing, radix
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a recognised language: null texts and texts without letters."""
+    common.tuned(spark)
     return langid.accepted(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, but for runs of white space, the smallest doc_id stays."""
+    common.tuned(spark)
     return radix.without_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the smallest doc_id stays."""
+    common.tuned(spark)
     found = minhash.near_duplicates(docs)
     gone = common.stored(found.where("not kept").select(F.col("doc_id").alias("gone_id")), "gone")
-    return docs.join(common.small_or_shuffled(gone), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    have = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(have))])
+    return plain.join(common.small_or_shuffled(gone), F.col(f"c{have.index('doc_id')}") == F.col("gone_id"), "left_anti").toDF(*have)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,6 +41,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents in sequences."""
+    common.tuned(spark)
     return packing.pack_documents(docs)
 
 

@@ -16,10 +16,11 @@ BROADCAST_ROWS = 2_000_000
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one only where unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
+        path = context.getCheckpointDir()
     return path.rstrip("/")
 
 
@@ -62,6 +63,11 @@ def mapped(rows: DataFrame, run: Callable[[Iterator], Iterator], schema: str) ->
     return out.withColumn(key, F.col(key).cast(kind))
 
 
+def tuned(spark: SparkSession, rows: int = 1000) -> None:
+    """Settings of the registered queries: texts are long, so few rows at once go to a Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 @contextlib.contextmanager
 def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
     """For what is written inside: at most so many rows at once in a Python worker's memory."""

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, attribution, chat, fitting, langid, minhash, mixing, packing, radix, secrets, toxicity
+from . import ann, attribution, chat, common, fitting, langid, minhash, mixing, packing, radix, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    common.tuned(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

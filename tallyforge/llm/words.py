@@ -16,7 +16,7 @@ import unicodedata
 import numpy as np
 
 #: Words kept by each Python worker before it starts afresh.
-CACHE = 300_000
+CACHE = 200_000
 #: Fixed: how the vocabulary splits a word.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LATIN_END = "ɏ"
@@ -86,12 +86,13 @@ class Encoder(Pieces):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.full = Tokenizer.from_file(path)
+        self.path = path
+        with open(path, encoding="utf-8") as f:
+            vocabulary = json.load(f)["model"]["vocab"]
         end, byte_of = "</w>", _byte_of()
         ranks = {}
-        for token, i in json.loads(self.full.to_str())["model"]["vocab"].items():
+        for token, i in vocabulary.items():
             body = token.removesuffix(end)
             if all(c in byte_of for c in body) and not token.startswith("<|"):
                 ranks[bytes(byte_of[c] for c in body) + b"\n" * (body != token)] = i
@@ -101,6 +102,13 @@ class Encoder(Pieces):
         self.split = regex.compile(SPLIT).findall
         super().__init__()
 
+    @functools.cached_property
+    def full(self):
+        """The vocabulary's own encoder, which few texts need."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts, count, odd = [], [], []
         for w in words:
