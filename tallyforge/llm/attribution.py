@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -61,7 +62,8 @@ class Lengths(words.Pieces):
 
     def of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [self.encoding.encode_ordinary(p) for p in pieces]
-        return self.size[np.concatenate([np.array(i, np.int64) for i in ids])], np.array([len(i) for i in ids])
+        length = np.array([len(i) for i in ids])
+        return self.size[np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(length.sum()))], length
 
     def spans(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token lengths of all texts, and where each text's tokens begin (one more at the end)."""
