@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import schemas
 from .functions import similarity, text
 from .operators import contingency, dedup, enrich, grid, logs, matching, reports, reshape, validate
 from .plans import jobs
@@ -190,8 +191,6 @@ def rsh7(t: Tables) -> DataFrame:
 @query("rsh8_stack_sub_tables", f"SELECT doc, 'a' AS \"table\", r + CASE doc % 3 WHEN 0 THEN 0 WHEN 1 THEN 10 ELSE 11 END AS r, c, value FROM ({_MATRIX_SQL})")
 def rsh8(t: Tables) -> DataFrame:
     part = F.get(F.array(F.lit("a1"), F.lit("a2"), F.lit("a3")), (F.col("doc") % 3).cast("int"))
-    from . import schemas
-
     return reshape.stack_sub_tables(matrices(t).withColumn("table", part), schemas.SUB_TABLES).drop("conf")
 
 
@@ -649,3 +648,96 @@ def rep7(t: Tables) -> DataFrame:
 @query("rep8_ranked_distribution", f"SELECT c_mktsegment, sum(n)::BIGINT AS n, round(100.0 * sum(n) / sum(sum(n)) OVER (), 6) AS share FROM ({_FACTS_SQL}) GROUP BY ALL")
 def rep8(t: Tables) -> DataFrame:
     return reports.shares(facts(t), ["c_mktsegment"], "n").withColumn("share", F.round("share", 6)).orderBy(F.desc("n"))
+
+
+# --- whole jobs on forms derived from the tables ------------------------------------------------
+
+
+def _quoted(names: list[str]) -> str:
+    return "[" + ", ".join("'" + n.replace("'", "''") + "'" for n in names) + "]"
+
+
+def _form5(t: Tables) -> DataFrame:
+    """A form-5 record of each supplier."""
+    k = F.col("s_suppkey")
+    rows = t.supplier.select(F.concat(F.lit("f"), k).alias("filename"), F.concat(F.lit("C"), k % 7).alias("county"), "s_suppkey")
+
+    def matrix(n: int, height: int) -> Column:
+        row = lambda i: F.transform(F.sequence(F.lit(0), F.lit(14)), lambda j: ((F.col("s_suppkey") + i * 15 + j + n) % 9).cast("int"))
+        return F.transform(F.sequence(F.lit(0), F.lit(height - 1)), row)
+
+    for n, (name, (_, names)) in enumerate(schemas.FORM5_TABLES.items()):
+        rows = rows.withColumn(name, matrix(n, len(names)))
+    flags = {"Local Public School": k % 2 == 0, "Special Regional Agency": F.lit(False), "State Education Agency": F.lit(False), "Other": k % 5 == 0}
+    return rows.withColumns(flags)
+
+
+_FORM5_SQL = " UNION ALL ".join(
+    f"SELECT '{table}' AS tab, '{kind}' AS kind, {n} AS k, {len(names)} AS h, unnest(range({len(names)})) AS i, unnest({_quoted(names)}) AS job" for n, (table, (kind, names)) in enumerate(schemas.FORM5_TABLES.items())
+)
+_RACES_SQL = f"SELECT unnest(range(14)) AS j, unnest({_quoted([r for r, _ in schemas.RACE_GENDER])}) AS race, unnest({_quoted([g for _, g in schemas.RACE_GENDER])}) AS gender"
+
+
+@query(
+    "job10_flatten_form5",
+    f"""SELECT 'f' || s_suppkey AS filename, 'C' || s_suppkey % 7 AS county, CASE WHEN s_suppkey % 5 = 0 THEN 'Other' WHEN s_suppkey % 2 = 0 THEN 'Local Public School' END AS "Type of Agent",
+    kind AS "Work Type", job AS "Job Category", race AS "Race", gender AS "Gender", ((s_suppkey + i * 15 + j + k) % 9)::INT AS "Count" FROM supplier, ({_FORM5_SQL}), ({_RACES_SQL}) WHERE i < h - 1""",
+)
+def job10(t: Tables) -> DataFrame:
+    return jobs.flatten_form5(_form5(t))
+
+
+@query(
+    "job6_margin_report",
+    f"""WITH v AS (SELECT s_suppkey, tab, h, i, j, (s_suppkey + i * 15 + j + k) % 9 AS v FROM supplier, ({_FORM5_SQL}), (SELECT unnest(range(15)) AS j)),
+    s AS (SELECT s_suppkey, tab, sum(v) FILTER (i < h - 1 AND j = 14) AS down, sum(v) FILTER (i = h - 1 AND j < 14) AS across, max(v) FILTER (i = h - 1 AND j = 14) AS whole FROM v GROUP BY ALL)
+    SELECT 'f' || s_suppkey AS doc, tab AS "table", greatest(abs(down - whole), abs(across - whole))::BIGINT AS diff FROM s""",
+)
+def job6(t: Tables) -> DataFrame:
+    return jobs.margin_report(_form5(t), 5)[0].withColumn("diff", F.col("diff").cast("long"))
+
+
+def _form1_fields(t: Tables) -> DataFrame:
+    """The fields of a form of each customer: some are consolidated, lack a city, or are hard to read."""
+    k = F.col("c_custkey")
+    answers = {
+        "a-TYPE_OF_REPORT": F.when(k % 10 == 0, "CONSOLIDATED REPORT").otherwise("ESTABLISHMENT REPORT"),
+        "b-EMPLOYER": F.col("c_name"),
+        "b-STATE": F.when(F.col("c_nationkey") < 12, "MA").otherwise("TX"),
+        "b-CITY_TOWN": F.when(k % 4 != 0, "BOSTN"),
+        "b-ZIPCODE": F.when(k % 50 == 7, "02108").otherwise("90210"),
+        "g-NAICS": F.concat(F.lit("code "), F.col("c_nationkey")),
+    }
+    pairs = [F.struct(F.lit(i).alias("id"), F.to_json(F.array_compact(F.array(F.lit("caption"), a))).alias("content")) for i, a in answers.items()]
+    pairs.append(F.struct(F.lit("h-CURRENT_YEAR_REPORTING_TOTAL_LABEL").alias("id"), F.to_json(F.array(F.concat(F.lit("TOTAL "), 2000 + k % 20))).alias("content")))
+    rows = t.customer.select(F.concat(F.lit("/in/c"), k, F.lit("_page_1_cropped.json")).alias("doc"), "c_custkey", F.explode(F.array(*pairs)).alias("f"))
+    low = F.when((k % 9 == 0) & (F.col("f.id") == "b-STATE"), "[0.9, 0.4]").otherwise("[0.9, 0.9]")
+    return rows.select("doc", "f.id", "f.content", low.alias("confidence"))
+
+
+@query(
+    "job4_extract_form1",
+    """SELECT 'c' || c_custkey AS filename, c_name AS employer_name, CASE WHEN c_nationkey < 12 THEN 'MA' ELSE 'TX' END AS state, CASE WHEN c_custkey % 4 <> 0 THEN 'BOSTN' ELSE '' END AS city,
+    c_nationkey::VARCHAR AS "NAICS", coalesce(n_name, '') AS "NAICS_name", (2000 + c_custkey % 20)::INT AS reporting_year
+    FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON n_nationkey = c_nationkey WHERE c_custkey % 10 <> 0 AND (c_nationkey < 12 OR c_custkey % 50 = 7)""",
+)
+def job4(t: Tables) -> DataFrame:
+    names = t.nation.where("n_nationkey < 20").select(F.col("n_nationkey").cast("string").alias("code"), F.col("n_name").alias("title"))
+    zips = t.region.where("r_regionkey = 0").select(F.lit("02108").alias("zip"))
+    return jobs.extract_form1(_form1_fields(t), names, zips).select("filename", "employer_name", "state", "city", "NAICS", "NAICS_name", "reporting_year")
+
+
+_PLACES = "CASE WHEN r_regionkey = 0 THEN 'BOSTON' ELSE 'TOWN' || r_regionkey END"
+
+
+@query("job5_validate_forms", "SELECT count(*) AS forms, 0::BIGINT AS partial_invalid, 0::BIGINT AS invalid, count(*) FILTER (c_custkey % 9 = 0) AS invalid_text, count(*) FILTER (c_custkey % 4 = 0) AS missing_location FROM customer")
+def job5(t: Tables) -> DataFrame:
+    places = t.region.select(F.expr(_PLACES).alias("city"), F.lit("MA").alias("state"))
+    return jobs.validate_forms(_form1_fields(t), places)[1]
+
+
+@query("job5_corrected_places", "SELECT 'c' || c_custkey AS name, CASE WHEN c_custkey % 4 = 0 THEN '' WHEN c_nationkey < 12 THEN 'BOSTON' ELSE 'BOSTN' END AS city, c_custkey % 4 <> 0 AND c_nationkey < 12 AS place_matched FROM customer")
+def job5_places(t: Tables) -> DataFrame:
+    places = t.region.select(F.expr(_PLACES).alias("city"), F.lit("MA").alias("state"))
+    docs = jobs.validate_forms(_form1_fields(t), places)[0]
+    return docs.select(text.document_key(F.col("doc")).alias("name"), "city", "place_matched")
