@@ -741,3 +741,39 @@ def job5_places(t: Tables) -> DataFrame:
     places = t.region.select(F.expr(_PLACES).alias("city"), F.lit("MA").alias("state"))
     docs = jobs.validate_forms(_form1_fields(t), places)[0]
     return docs.select(text.document_key(F.col("doc")).alias("name"), "city", "place_matched")
+
+
+@query(
+    "job3_enrich_forms",
+    f"""WITH w AS (SELECT c_custkey AS k, c_nationkey AS n, job, (c_custkey * 13 + i * 7 + 14) % 97 AS total FROM customer, (SELECT unnest(range(10)) AS i, unnest({_quoted(schemas.JOB_CATEGORIES[:10])}) AS job)),
+    s AS (SELECT *, sum(total) OVER (PARTITION BY k)::BIGINT AS size, CASE WHEN n < 12 THEN '0' || (2100 + k % 30) ELSE '90210' END AS zip5 FROM w),
+    e AS (SELECT quantile_cont(size, [0.25, 0.5, 0.75]) AS q FROM s),
+    o AS (SELECT unnest(['0' || (2120 + r_regionkey), '0' || (2125 + r_regionkey)]) AS zip5, 'R' || r_regionkey AS other FROM region),
+    c AS (SELECT '0' || (2100 + n_nationkey) AS zip5, n_name AS county FROM nation)
+    SELECT 'c' || k AS filename, job AS "JobCategory", n_name AS "NAICS_label", size AS "Organizational Size",
+    CASE WHEN size <= q[1] THEN 'Small' WHEN size <= q[2] THEN 'Medium' WHEN size <= q[3] THEN 'Large' ELSE 'Very Large' END AS "Organizational Size Binned",
+    zip5, coalesce(county, other) AS "County Name" FROM s CROSS JOIN e LEFT JOIN nation ON n_nationkey = n LEFT JOIN c USING (zip5) LEFT JOIN o USING (zip5)""",
+)
+def job3(t: Tables) -> DataFrame:
+    k = F.col("c_custkey")
+
+    def row(i: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(14)), lambda j: ((F.col("c_custkey") * 13 + i * 7 + j) % 97).cast("int"))
+
+    records = t.customer.select(
+        F.concat(F.lit("c"), k).alias("filename"),
+        F.when(F.col("c_nationkey") < 12, "MA").otherwise("TX").alias("state"),
+        F.concat(F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.lit("11")).alias("NAICS"),
+        (2100 + k % 30).cast("string").alias("zipcode"),
+        F.lit("90210").alias("headquarter_zipcode"),
+        *[F.lit("").alias(c) for c in ("city", "headquarter_state", "headquarter_city", "NAICS_name")],
+        F.lit(2019).alias("reporting_year"),
+        F.transform(F.sequence(F.lit(0), F.lit(11)), row).alias("table"),
+    )
+    code = F.col("n_nationkey")
+    industries = t.nation.select(F.lpad(code.cast("string"), 2, "0").alias("code"), F.col("n_name").alias("title"))
+    counties = t.nation.select(F.concat(F.lit("0"), 2100 + code).alias("zip"), code.alias("county_code"), F.col("n_name").alias("county_name"), F.lit(1.0).alias("share"))
+    r = F.col("r_regionkey")
+    cities = t.region.select(F.concat(F.lit("R"), r).alias("county_name"), F.concat(F.lit("[0"), 2120 + r, F.lit(" 0"), 2125 + r, F.lit("]")).alias("zips"))
+    got = jobs.enrich_forms(jobs.wide_rows(records)[0], industries, counties, cities)
+    return got.select("filename", "JobCategory", "NAICS_label", "Organizational Size", "Organizational Size Binned", "zip5", "County Name")
