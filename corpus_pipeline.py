@@ -35,8 +35,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of a mixture of sources by temperature, under the largest budget without repeats."""
-    return mixing.mixed_once(docs)
+    """A mixture of sources by temperature, under the smallest budget that drops no document.
+
+    Documents of sources with too small a share come as repeated rows.
+    """
+    return mixing.mixed(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

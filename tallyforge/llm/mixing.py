@@ -73,11 +73,11 @@ def exponent(sources: DataFrame, budget: float | None, entropy: float | None, re
     return (low if repeats is None else high) / (1 << BITS)
 
 
-def plan(sized: DataFrame, entropy: float | None = ENTROPY, repeats: float | None = None, budget: int | None = None, once: bool = False) -> DataFrame:
+def plan(sized: DataFrame, entropy: float | None = ENTROPY, repeats: float | None = None, budget: int | None = None, once: bool = False, whole: bool = False) -> DataFrame:
     """(source, n, quota, epochs, rest, blocks) of sized (source, tokens), stored.
 
     epochs: whole epochs; rest: tokens of the last one. once: the budget is the largest that repeats
-    no source; else it is ``budget``, or all tokens.
+    no source; whole: the smallest that drops no document; else it is ``budget``, or all tokens.
     """
     sources = sized.groupBy("source").agg(F.sum("tokens").alias("n")).where("n > 0")
     sources = common.stored(sources, "sources")
@@ -86,11 +86,13 @@ def plan(sized: DataFrame, entropy: float | None = ENTROPY, repeats: float | Non
     shares = sources.withColumn("share", F.col("n") / F.lit(float(total or 1)))
     alpha = exponent(shares, spend / total if total else 1.0, entropy, repeats)
     powers = shares.withColumn("power", F.pow("share", F.lit(alpha)))
-    z, least = powers.agg(F.sum("power"), F.min(F.col("n") / F.col("power"))).first()
+    z, least, most = powers.agg(F.sum("power"), F.min(F.col("n") / F.col("power")), F.max(F.col("n") / F.col("power"))).first()
     weighed = powers.withColumn("weight", F.col("power") / F.lit(z or 1.0))
-    if once and total:
-        spend = least * z
+    if (once or whole) and total:
+        spend = (least if once else most) * z
     quota = F.floor(F.col("weight") * F.lit(float(spend)) + 0.5).cast("long")
+    if whole:
+        quota = F.greatest(quota, "n")
     out = weighed.withColumn("quota", quota).withColumn("epochs", F.expr("quota div n")).withColumn("rest", F.expr("quota % n"))
     blocks = F.ceil(F.col("n") / BLOCK_TOKENS).cast("long").alias("blocks")
     return common.stored(out.select("source", "n", "weight", "quota", "epochs", "rest", blocks), "plan")
@@ -121,6 +123,19 @@ def taken_at_edge(partial: DataFrame, blocks: DataFrame) -> DataFrame:
     return edge.withColumn("used", F.sum("tokens").over(order)).where("used <= room").drop("used")
 
 
+def uses(rows: DataFrame, narrow: DataFrame, sources: DataFrame, seed: str) -> DataFrame:
+    """rows (doc_id, source, tokens, ...) with their plan, epoch and block, a row for each use.
+
+    narrow: the same rows, stored without further columns.
+    """
+    last = (F.col("epoch") == F.col("epochs")) & F.col("n").isNotNull()
+    blocks = edges(dealt(narrow, sources, seed).where(last))
+    spread = dealt(rows, sources, seed)
+    some = spread.join(common.small_or_shuffled(blocks, common.BROADCAST_ROWS // 16), ["source", "block"], "left")
+    some = some.where(~last | F.coalesce("whole", F.lit(False)))
+    return some.select(spread.columns).union(taken_at_edge(spread.where(last), blocks).select(spread.columns))
+
+
 def mix(docs: DataFrame, entropy: float | None = ENTROPY, repeats: float | None = None, budget: int | None = None, seed: str = SEED) -> DataFrame:
     """(doc_id, source, tokens, epoch, block, mix_key) of docs (doc_id, source, text), a row for each use.
 
@@ -128,37 +143,28 @@ def mix(docs: DataFrame, entropy: float | None = ENTROPY, repeats: float | None
     """
     rows = common.pick(docs, "doc_id", "source", "text")
     rows = common.stored(rows.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), tokens_of(F.col("text")).alias("tokens")), "sized")
-    sources = plan(rows, entropy, repeats, budget)
-    uses = dealt(rows, sources, seed)
-    last = (F.col("epoch") == F.col("epochs")) & F.col("n").isNotNull()
-    partial = uses.where(last)
-    blocks = edges(partial)
-    columns = ["doc_id", "source", "tokens", "epoch", "block", "n", "quota", "blocks"]
-    whole = partial.join(blocks.where("whole").select("source", "block"), ["source", "block"], "left_semi")
-    got = uses.where(~last).select(columns).union(whole.select(columns)).union(taken_at_edge(partial, blocks).select(columns))
+    got = uses(rows, rows, plan(rows, entropy, repeats, budget), seed)
     jitter = unit_hash(F.lit(seed), F.col("source"), F.col("epoch"), F.col("block"))
     progress = (F.col("epoch") + (F.col("block") + jitter) / F.col("blocks")) * F.col("n") / F.col("quota")
     return got.select("doc_id", "source", "tokens", "epoch", "block", F.round(F.coalesce(progress, jitter), 9).alias("mix_key"))
 
 
-def mixed_once(docs: DataFrame, entropy: float = ENTROPY, seed: str = SEED) -> DataFrame:
-    """The rows of docs that a mixture without repeats takes, all columns as they were.
+def mixed(docs: DataFrame, entropy: float = ENTROPY, seed: str = SEED, once: bool = False) -> DataFrame:
+    """The rows of docs in a mixture, all columns as they were, a row for each use.
 
-    The budget is the largest that repeats no source. In the block at the edge of a quota, rows with
-    equal doc_ids share their fate.
+    The budget is the smallest that drops no document: the most over-represented source is taken
+    once, the others as often as their weights ask. once: the largest that repeats no source, where
+    the scarcest source decides how much of the others stays.
     """
     have = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(have))])
     col = lambda n: F.col(f"c{have.index(n)}")
     rows = plain.withColumns({"doc_id": col("doc_id"), "source": F.coalesce(col("source"), F.lit("")), "tokens": tokens_of(col("text"))})
     narrow = common.stored(rows.select("doc_id", "source", "tokens"), "sized")
-    sources = plan(narrow, entropy, once=True)
-    partial = dealt(narrow, sources, seed).where("rest > 0 and epochs = 0")
-    blocks = edges(partial)
-    edge = common.stored(taken_at_edge(partial, blocks).select("source", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("edge_id")).distinct(), "edge")
-    limit = common.BROADCAST_ROWS // 16
-    out = dealt(rows, sources, seed).join(common.small_or_shuffled(blocks, limit), ["source", "block"], "left")
-    out = out.withColumn("edge_id", F.when(~F.col("whole"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    out = out.join(common.small_or_shuffled(edge.withColumn("fits", F.lit(True)), limit), ["source", "edge_id"], "left")
-    keep = F.col("n").isNull() | (F.col("epochs") > 0) | F.coalesce("whole", F.lit(False)) | F.coalesce("fits", F.lit(False))
-    return out.where(keep).select(*[f"c{i}" for i in range(len(have))]).toDF(*have)
+    got = uses(rows, narrow, plan(narrow, entropy, once=once, whole=not once), seed)
+    return got.select(*[f"c{i}" for i in range(len(have))]).toDF(*have)
+
+
+def mixed_once(docs: DataFrame, entropy: float = ENTROPY, seed: str = SEED) -> DataFrame:
+    """``mixed`` under the largest budget that repeats no source."""
+    return mixed(docs, entropy, seed, once=True)

@@ -123,6 +123,33 @@ def test_mixing_odd_rows(odd_docs, no_docs):
     assert mixing.mix(no_docs).count() == mixing.mixed_once(no_docs).count() == 0
 
 
+def test_mixture_stage_keeps_every_document(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", 1000)
+    docs = skewed(spark).union(spark.createDataFrame([(9000, "abcd" * 50, "lone"), (9001, "", "lone"), (9002, None, "empty")], "doc_id long, text string, source string"))
+    size, n = {}, {}
+    for r in docs.collect():
+        size[r.doc_id], source = (len(r.text or "") + 3) // 4, r.source
+        n[source] = n.get(source, 0) + size[r.doc_id]
+    total = sum(n.values())
+    shares = {s: v / total for s, v in n.items() if v}
+    low, high = 0.0, 1.0
+    for _ in range(60):  # the largest exponent that reaches the entropy
+        a = (low + high) / 2
+        z = sum(p**a for p in shares.values())
+        low, high = (a, high) if -sum(p**a / z * np.log(p**a / z) for p in shares.values()) >= mixing.ENTROPY * np.log(len(shares)) else (low, a)
+    spend = max(n[s] / p**low for s, p in shares.items())
+    got = corpus_pipeline.mixture(spark, docs, SF)
+    assert got.columns == docs.columns and got.exceptAll(docs).join(docs, "doc_id", "left_anti").count() == 0
+    times = {r.doc_id: r["count"] for r in got.groupBy("doc_id").count().collect()}
+    for r in docs.collect():
+        want = spend * shares[r.source] ** low / n[r.source] if n[r.source] else 1
+        assert int(want + 1e-3) <= times[r.doc_id] <= int(want + 1e-3) + 1
+    assert set(times.values()) != {1} and {times[r.doc_id] for r in docs.where("source = 'hot' or source = 'empty'").collect()} == {1}
+    used = {r[0]: r[1] for r in got.groupBy("source").agg(F.sum(mixing.tokens_of(F.col("text")))).collect()}
+    for s, p in shares.items():
+        assert spend * p**low - 60 * 4 < used[s] <= spend * p**low + 1
+
+
 def test_fitting_sample_is_bounded(spark):
     rows = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 50 == 0).cast("int").alias("y"))
     got, counts = fitting.thinned(rows, "y", "doc_id", 100)
