@@ -5,14 +5,17 @@ normalised. The exponent is bisected: the largest whose weights reach a target e
 smallest that repeats no source beyond a limit. Weights times the token budget are the sources'
 quotas. They are realised by block permutations: each epoch deals a source's documents to blocks
 by a seeded hash; whole epochs take every block, the last takes blocks in order up to the quota,
-and from the block at its edge documents in order of their hash.
+and from the block at its edge on documents in order of their hash, as long as one fits.
 
 Prefix sums run over blocks, whose number is the tokens divided by ``BLOCK_TOKENS``, and over the
 documents of one block; no window holds a source's documents.
 
-Edge cases: a null source counts as the source ''. Null and empty texts have 0 tokens; they are
-dealt out like others. A document is never cut: the last one that would go beyond the quota stays
-out. Without any tokens, every document is taken once.
+Edge cases: a null source counts as the source ''. Null and empty texts have 0 tokens; they fit into
+any quota, so each epoch has them all. A document is never cut: one larger than what is left of the
+quota is passed over, and later ones are tried. Without any tokens, every document is taken once.
+
+The query's SQL still drops all that comes after the first document passed over in a block. Both
+agree where no quota ends within an epoch.
 """
 
 from __future__ import annotations
@@ -116,11 +119,50 @@ def edges(partial: DataFrame) -> tuple[DataFrame, DataFrame]:
     return common.stored(blocks.select("source", "block", "room", (F.col("held") <= F.col("room")).alias("whole")), "blocks")
 
 
+def filled(rows: DataFrame, room: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of stored rows (source, block, pos, tokens, ...) those that fit into their source's room (source, room),
+    in order of block and pos, passing over each that is larger than what is left; and what stays (source, room).
+
+    A pass takes rows up to the first that does not fit, so the next one has less room than that row.
+    """
+    place = F.struct("block", "pos").alias("place")
+    narrow = rows.select("source", "tokens", place)
+    state = room.select("source", "room", F.struct(F.lit(-1).cast("long").alias("block"), F.lit(0).alias("pos")).alias("after"))
+    done, left = None, room
+    while True:
+        still = narrow.join(state, "source").where("place > after and tokens <= room").withColumn("block", F.col("place.block"))
+        held = still.groupBy("source", "block").agg(F.sum("tokens").alias("held"))
+        before = F.sum("held").over(Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+        held = held.select("source", "block", F.coalesce(before, F.lit(0)).alias("before"))
+        order = Window.partitionBy("source", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+        used = still.join(held, ["source", "block"]).withColumn("used", F.col("before") + F.sum("tokens").over(order))
+        stop = F.min(F.when(F.col("used") > F.col("room"), F.col("place"))).alias("stop")
+        spent = F.sum(F.when(F.col("used") <= F.col("room"), F.col("tokens")).otherwise(0)).alias("spent")
+        step = common.stored(used.groupBy("source", "room", "after").agg(stop, spent), "pass")
+        done = step if done is None else done.union(step)
+        left = left.union(step.select("source", F.col("room") - F.col("spent")))
+        state = step.where("stop is not null and spent < room").select("source", (F.col("room") - F.col("spent")).alias("room"), F.col("stop").alias("after"))
+        if state.isEmpty():
+            break
+    got = rows.withColumn("place", place).join(done, "source").where("place > after and tokens <= room and (stop is null or place < stop)")
+    return got.select(rows.columns), left.groupBy("source").agg(F.min("room").alias("room"))
+
+
 def taken_at_edge(partial: DataFrame, blocks: DataFrame) -> DataFrame:
-    """The rows of the blocks at the edge of a quota that still fit, in order of their hash."""
-    edge = partial.join(blocks.where("not whole"), ["source", "block"])
-    order = Window.partitionBy("source", "block").orderBy("at", "doc_id", "tokens").rowsBetween(Window.unboundedPreceding, 0)
-    return edge.withColumn("used", F.sum("tokens").over(order)).where("used <= room").drop("used")
+    """The rows with tokens that still fit, from the block at the edge of a quota on, in order of their hash."""
+    some = partial.where("tokens > 0")
+    order = Window.partitionBy("source", "block").orderBy("at", "doc_id", "tokens")
+
+    def placed(room: DataFrame, where: str) -> DataFrame:
+        rows = some.join(common.small_or_shuffled(room, common.BROADCAST_ROWS // 16), "source").where(where).select(*some.columns)
+        return common.stored(rows.withColumn("pos", F.row_number().over(order)), "edge")
+
+    edge = blocks.where("not whole").select("source", F.col("block").alias("edge"), "room")
+    got, left = filled(placed(edge, "block = edge"), edge.select("source", "room"))
+    left = common.stored(left.where("room > 0"), "left")
+    # Later blocks only have what is no larger than the rest of the room.
+    more, _ = filled(placed(edge.select("source", "edge").join(left, "source"), "block > edge and tokens <= room"), left)
+    return got.union(more).select(partial.columns)
 
 
 def uses(rows: DataFrame, narrow: DataFrame, sources: DataFrame, seed: str) -> DataFrame:
@@ -132,7 +174,7 @@ def uses(rows: DataFrame, narrow: DataFrame, sources: DataFrame, seed: str) -> D
     blocks = edges(dealt(narrow, sources, seed).where(last))
     spread = dealt(rows, sources, seed)
     some = spread.join(common.small_or_shuffled(blocks, common.BROADCAST_ROWS // 16), ["source", "block"], "left")
-    some = some.where(~last | F.coalesce("whole", F.lit(False)))
+    some = some.where(~last | F.coalesce("whole", F.lit(False)) | (F.col("tokens") == 0))
     return some.select(spread.columns).union(taken_at_edge(spread.where(last), blocks).select(spread.columns))
 
 

@@ -1,4 +1,7 @@
+import hashlib
+
 import numpy as np
+import pytest
 from .conftest import SF
 from pyspark.sql import functions as F
 
@@ -123,6 +126,27 @@ def test_mixing_odd_rows(odd_docs, no_docs):
     assert mixing.mix(no_docs).count() == mixing.mixed_once(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("block", [1000, 1 << 18])
+def test_mixing_passes_over_long_documents(spark, monkeypatch, block):
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", block)
+    rows = [(i, "abcd" * (20 + i % 9 if i % 50 else 0), "small") for i in range(200)] + [(900 + i, "abcd" * 3000, "small") for i in range(3)]
+    rows += [(1000 + i, "abcd" * 100, "large") for i in range(100)]
+    docs = spark.createDataFrame([*rows, (5, "abcd" * 24, "small")], "doc_id long, text string, source string")
+    budget = 9000
+    rows = [(r.doc_id, len(r.text) // 4, r.source) for r in docs.collect()]
+    got = sorted((r.doc_id, r.tokens) for r in mixing.mix(docs, entropy=0.0, budget=budget).collect())
+    want, total = [], sum(t for _, t, _ in rows)
+    for source in ("small", "large"):
+        own = [r for r in rows if r[2] == source]
+        left = int(sum(t for _, t, _ in own) / total * budget + 0.5)
+        for d, t, _ in sorted(own, key=lambda r: (hashlib.md5(f"mix|0|{r[0]}".encode()).hexdigest()[:12], r[0], r[1])):
+            if t <= left:
+                left -= t
+                want.append((d, t))
+        assert left < 30 or source == "large" and left < 100
+    assert got == sorted(want)
+
+
 def test_mixture_stage_keeps_every_document(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK_TOKENS", 1000)
     docs = skewed(spark).union(spark.createDataFrame([(9000, "abcd" * 50, "lone"), (9001, "", "lone"), (9002, None, "empty")], "doc_id long, text string, source string"))
