@@ -12,7 +12,8 @@ leaves ``k`` rows for each query.
 
 Edge cases: vectors that are null, zero, of another dimension than most, or that hold null or
 non-finite components, and rows with a null id, take no part. Rows with the query's id are its
-own. Equal scores go to the smaller id. If the visited parts hold too few vectors, more are
+own. Rows of one id are one candidate and one query: equal ones count once, and of different
+vectors the pair with the largest score counts. Equal scores go to the smaller id. If the visited parts hold too few vectors, more are
 visited, down to all.
 """
 
@@ -149,16 +150,21 @@ def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def nearest(q_id: np.ndarray, q: np.ndarray, x_id: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
-    """Each query's k nearest rows: (query_id, vec_id, score)."""
+    """Each query row's k nearest ids, by the best of their rows: (query_id, vec_id, score)."""
+    order = np.argsort(x_id, kind="stable")
+    x_id, x = x_id[order], x[order]
+    first = np.flatnonzero(np.concatenate(([True], x_id[1:] != x_id[:-1])))
     s = q @ x.T
     s[q_id[:, None] == x_id[None, :]] = -np.inf
     slack = 1e-9 * (np.abs(q).max(1) * np.abs(x).max() * x.shape[1])
-    least = np.partition(s, -k, 1)[:, -k] - slack if s.shape[1] > k else np.full(len(s), -np.inf)
+    best = s if len(first) == len(x_id) else np.maximum.reduceat(s, first, 1)
+    least = np.partition(best, -k, 1)[:, -k] - slack if best.shape[1] > k else np.full(len(s), -np.inf)
     ids, found, scores = [], [], []
     for i in range(len(q)):
         near = np.flatnonzero((s[i] >= least[i]) & (s[i] > -np.inf))
         score = exact_scores(q[i], x[near])
-        top = np.lexsort((x_id[near], -score))[:k]
+        top = np.lexsort((x_id[near], -score))
+        top = top[np.sort(np.unique(x_id[near][top], return_index=True)[1])[:k]]
         ids.append(np.full(len(top), q_id[i]))
         found.append(x_id[near][top])
         scores.append(score[top])
@@ -180,9 +186,10 @@ def search(rows: DataFrame, every: int = 20, k: int = 20, recall: float = RECALL
     dims = usable.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
     if dims is None:
         return usable.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score"))
-    dim, n = dims
-    usable = usable.where(F.size("vector") == dim)
-    at = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 20)) / float(1 << 20)
+    dim = dims[0]
+    usable = common.stored(usable.where(F.size("vector") == dim).distinct(), "vectors")
+    n = usable.count()
+    at = F.pmod(F.xxhash64("id", "vector", F.lit("sample")), F.lit(1 << 20)) / float(1 << 20)
     sample = np.array([r[0] for r in usable.where(at < min(1.0, SAMPLE / n)).select("vector").collect()]).reshape(-1, dim)
     parts = min(MOST_PARTS, n // PART, len(sample) // 32)
     index = usable.sparkSession.sparkContext.broadcast(fit(sample, parts, k, recall))
@@ -190,36 +197,38 @@ def search(rows: DataFrame, every: int = 20, k: int = 20, recall: float = RECALL
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             if len(f):
-                yield pd.DataFrame({"id": f["id"], "part": index.value.logits(np.stack(f["vector"])).argmax(1).astype(np.int32)})
+                yield pd.DataFrame({"id": f["id"], "vector": f["vector"], "part": index.value.logits(np.stack(f["vector"])).argmax(1).astype(np.int32)})
 
-    placed = common.stored(usable.select("id", "vector").mapInPandas(assign, "id long, part int"), "parts")
-    sizes = {r[0]: r[1] for r in placed.groupBy("part").count().collect()}  # at most MOST_PARTS rows
+    schema = "id long, vector array<double>, part int"
+    placed = common.stored(usable.select("id", "vector").mapInPandas(assign, schema), "parts")
+    # At most MOST_PARTS rows: a part's rows and ids.
+    found = placed.groupBy("part", "id").count().groupBy("part").agg(F.sum("count"), F.count("*")).collect()
+    sizes, distinct = {r[0]: r[1] for r in found}, {r[0]: r[2] for r in found}
     visits = index.value.visits
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            ids, to = [], []
-            for i, z in zip(f["id"].tolist(), index.value.logits(np.stack(f["vector"])) if len(f) else (), strict=True):
+            rows, to = [], []
+            for i, z in enumerate(index.value.logits(np.stack(f["vector"])) if len(f) else ()):
                 held = 0
                 for seen, p in enumerate(np.argsort(-z, kind="stable").tolist()):
                     if seen >= visits and held > 4 * k:
                         break
-                    held += sizes.get(p, 0)
+                    held += distinct.get(p, 0)
                     if p in sizes:
-                        ids.append(i)
+                        rows.append(i)
                         to.append(p)
-            yield pd.DataFrame({"id": np.array(ids, np.int64), "part": np.array(to, np.int32)})
+            own = f.iloc[rows]
+            yield pd.DataFrame({"id": own["id"].to_numpy(), "vector": own["vector"].to_numpy(), "part": np.array(to, np.int32)})
 
-    asked = usable.where(F.col("id") % every == 0).dropDuplicates(["id"])
-    routed = common.stored(asked.mapInPandas(route, "id long, part int"), "routes")
+    routed = common.stored(usable.select("id", "vector").where(F.col("id") % every == 0).mapInPandas(route, schema), "routes")
     asks = {r[0]: r[1] for r in routed.groupBy("part").count().collect()}
     blocks = F.create_map(*[F.lit(v) for p, s in sizes.items() for v in (p, -(-s // BLOCK))])
     asking = F.create_map(*[F.lit(v) for p in sizes for v in (p, max(1, -(-asks.get(p, 0) // QUERY_BLOCK)))])
-    own = lambda n: F.pmod(F.xxhash64("id"), n[F.col("part")]).cast("int")
+    own = lambda n: F.pmod(F.xxhash64("id", "vector"), n[F.col("part")]).cast("int")
     all_ = lambda n: F.explode(F.sequence(F.lit(0), n[F.col("part")] - 1))
-    vectors = usable.select("id", "vector")
-    base = placed.join(vectors, "id").withColumn("b", own(blocks)).withColumn("q", all_(asking))
-    ask = routed.join(asked.select("id", "vector"), "id").withColumn("q", own(asking)).withColumn("b", all_(blocks))
+    base = placed.withColumn("b", own(blocks)).withColumn("q", all_(asking))
+    ask = routed.withColumn("q", own(asking)).withColumn("b", all_(blocks))
     ask = ask.select(*[F.col(c).alias(f"ask_{c}") for c in ("id", "vector", "part", "b", "q")])
 
     def score(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
@@ -228,7 +237,8 @@ def search(rows: DataFrame, every: int = 20, k: int = 20, recall: float = RECALL
         return nearest(q["ask_id"].to_numpy(), np.stack(q["ask_vector"]), x["id"].to_numpy(), np.stack(x["vector"]), k)
 
     found = base.groupBy("part", "b", "q").cogroup(ask.groupBy("ask_part", "ask_b", "ask_q")).applyInPandas(score, "query_id long, vec_id long, score double")
-    # Each block leaves k rows of a query; the best of them stay.
-    best = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("top"))
+    # Each block leaves k ids of a query; the best of them stay.
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    best = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("top"))
     out = best.select("query_id", F.posexplode("top").alias("i", "t"))
     return out.select("query_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("t.vec_id").alias("vec_id"), (-F.col("t.s")).alias("score"))

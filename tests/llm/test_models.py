@@ -79,6 +79,18 @@ def test_neighbours_odd_rows(spark):
     assert ann.search(df.where("false")).count() == 0
 
 
+def test_neighbours_repeated_ids(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0])] * 2
+    rows += [(1, [50.0, 0.0])] * 30 + [(2, [40.0 - i, 0.0]) for i in range(30)]
+    rows += [(100 * i + 3, [1.0, float(i)]) for i in range(1, 31)]
+    got = [(r.rank, r.vec_id, r.score) for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).where("query_id = 20").orderBy("rank").collect()]
+    best = {}
+    for i, v in rows:
+        best[i] = max(best.get(i, -np.inf), *v)
+    del best[20]
+    assert got == [(n + 1, i, s) for n, (i, s) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:20])]
+
+
 def test_balanced_parts():
     x = np.random.default_rng(0).normal(size=(600, 8))
     part = ann.balanced_parts(x, ann.neighbour_graph(x, 10), 6)
