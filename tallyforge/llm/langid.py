@@ -158,8 +158,11 @@ def fit(labelled: DataFrame, each: int = EACH) -> Model | None:
     return Model(families, members, pairs, weights.astype(np.float32), w[-1] - mean @ weights)
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """docs with the columns lang_pred and score added; docs needs the column text."""
+def predict(docs: DataFrame, model: Model | None, unmodelled: str = UNKNOWN) -> DataFrame:
+    """docs with the columns lang_pred and score added; docs needs the column text.
+
+    unmodelled: what texts with letters get where there is no model.
+    """
     have = docs.columns
     at = have.index("text")
 
@@ -173,7 +176,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                 lang += a
                 score += b.tolist()
             if not model:
-                lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
+                lang, score = [unmodelled] * len(texts), [0.0] * len(texts)
             for i, t in enumerate(texts):
                 if not t or not any(map(str.isalpha, t)):
                     lang[i], score[i] = UNKNOWN, 0.0
@@ -191,9 +194,12 @@ def fitted(docs: DataFrame, each: int = EACH) -> Model | None:
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """The rows of docs with a recognised language, all columns as they were; ``und`` rows go."""
+    """The rows of docs with a recognised language, all columns as they were; ``und`` rows go.
+
+    Without labelled rows to fit a model from, all texts with letters stay.
+    """
     if not docs.columns:
         return docs
     have = docs.columns
-    got = predict(docs, fitted(docs)).toDF(*[f"c{i}" for i in range(len(have))], "lang_pred", "score")
+    got = predict(docs, fitted(docs), unmodelled="any").toDF(*[f"c{i}" for i in range(len(have))], "lang_pred", "score")
     return got.where(F.col("lang_pred") != UNKNOWN).drop("lang_pred", "score").toDF(*have)

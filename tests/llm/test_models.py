@@ -28,6 +28,13 @@ def test_language_odd_rows(odd_docs, no_docs):
     assert langid.accepted(no_docs).count() == 0
 
 
+def test_language_stage_without_labels(spark, odd_docs):
+    docs = odd_docs.withColumn("lang", F.lit(None).cast("string"))
+    assert langid.fitted(docs) is None
+    kept = corpus_pipeline.language_id(spark, docs, SF)
+    assert kept.columns == docs.columns and sorted(r.n_chars for r in kept.collect()) == [3, 4, 5, 6, 7, 8, 10]
+
+
 def test_toxicity_held_out(spark):
     d = "/root/testdata/sf0.1"
     got = queries.op9_toxicity(spark, d).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").toPandas()
