@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import indel_ratio
+from ..functions.similarity import indel_ratio, ratcliff_ratio
 
 #: Scores above skip a report, from here on accept a match; least header similarity.
 SKIP_ABOVE, ACCEPT, HEADER = 80.0, 80.0, 0.70
@@ -17,6 +17,16 @@ def unlike(df: DataFrame, column: str, pattern: str = CONSOLIDATED, above: float
     return df.where(indel_ratio(F.coalesce(F.col(column), F.lit("")), F.lit(pattern)) <= above)
 
 
+def headed(df: DataFrame, column: str, pattern: str, least: float = HEADER) -> DataFrame:
+    """Rows whose whole text is like the pattern, with their score; null never is.
+
+    Only texts of a length that can still reach the score are compared: 2 * shorter / sum of lengths.
+    """
+    n, m = F.length(column), F.lit(len(pattern))
+    can = (n + m == 0) | (2.0 * F.least(n, m) / (n + m) >= least)
+    return df.where(can).withColumn("score", ratcliff_ratio(column, F.lit(pattern))).where(F.col("score") >= least)
+
+
 def best_matches(names: DataFrame, reference: DataFrame, accept: float = ACCEPT) -> DataFrame:
     """(name, match, score) of the distinct names (name): the most similar of reference (ref), if its score is enough.
 

@@ -515,9 +515,8 @@ def str5(t: Tables) -> DataFrame:
 
 @query("str6_flt5_header_similarity")
 def str6(t: Tables) -> DataFrame:
-    pages = t.documents.select("doc_id", F.substring_index("text", "\n", 1).alias("first_line")).withColumn("head", F.substring("first_line", 1, 200))
-    scored = pages.withColumn("score", similarity.ratcliff_ratio("head", F.lit("The and attion to thanedble the, anea. Eriner thanea.")))
-    return scored.where(F.col("score") >= matching.HEADER).select("doc_id", "score")
+    pages = t.documents.select("doc_id", F.substring_index("text", "\n", 1).alias("head"))
+    return matching.headed(pages, "head", "The and attion to thanedble the, anea. Eriner thanea.").select("doc_id", "score")
 
 
 @query("flt2_skip_consolidated")

@@ -1,3 +1,4 @@
+import difflib
 import json
 import random
 
@@ -244,3 +245,11 @@ def test_sinks(spark, tmp_path):
 def test_explode_zips(spark):
     df = spark.createDataFrame([("[02108 02109]",), ("02110",), ("",)], "zips string")
     assert sorted(r.z for r in reshape.explode_zips(df, "zips", "z").collect()) == ["02108", "02109", "02110"]
+
+
+def test_headed_compares_whole_lines(spark):
+    pattern = "HEADER " * 40
+    texts = [pattern, pattern[:200], pattern[:150], pattern + "x" * 400, pattern[:200] + "y" * 900, "", "short", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    ratio = {t: difflib.SequenceMatcher(None, t, pattern).ratio() for t in texts if t is not None}
+    assert {r.t: r.score for r in matching.headed(df, "t", pattern).collect()} == {t: s for t, s in ratio.items() if s >= matching.HEADER}
