@@ -3,22 +3,30 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Above this many rows of one long each, a side is shuffled instead of broadcast (16 MB).
-BROADCAST_ROWS = 2_000_000
+#: A side of more than this many bytes in a broadcast's hash table is shuffled instead.
+BROADCAST_BYTES = 32 << 20
+#: What a row takes in that table beside its columns, a column of a number or truth value, any other column.
+ROW_BYTES, NUMBER_BYTES, OTHER_BYTES = 64, 16, 160
+#: Folders of the tables stored in each open ``scratch``, innermost last.
+_OPEN: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one only where unset."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one only in local mode where that is unset."""
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not path:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
         path = context.getCheckpointDir()
     return path.rstrip("/")
@@ -29,16 +37,61 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _OPEN:
+        _OPEN[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def deleted(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders of the shared folder, and free the shuffle files of plans that nobody holds."""
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    gc.collect()
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables stored inside are deleted at its end, but those stored by the function that it gives.
+
+    Those belong to the scratch around it, if any.
+    """
+    _OPEN.append([])
+    depth = len(_OPEN) - 1
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        out = stored(df, label)
+        path = _OPEN[-1].pop()
+        if depth:
+            _OPEN[depth - 1].append(path)
+        return out
+
+    try:
+        yield kept
+    finally:
+        deleted(spark, _OPEN.pop())
+
+
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
     """Add a unique long. Only stable once the frame has been ``stored``."""
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def small_or_shuffled(ids: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+def identified(df: DataFrame, name: str) -> DataFrame:
+    """df with a string that tells its rows apart and is the same whenever df is read again.
+
+    Rows of Parquet files have their file and place in it, so a frame read from files must hold no row of
+    them twice (as after explode). Any other frame is ``stored`` first.
+    """
+    try:
+        return df.select("*", F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias(name))
+    except AnalysisException:
+        return with_row_id(stored(df, "rows"), name).withColumn(name, F.col(name).cast("string"))
+
+
+def small_or_shuffled(ids: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     """Mark a narrow stored frame for broadcast if its counted rows fit, else leave it to a shuffle."""
+    limit = most // (ROW_BYTES + sum(NUMBER_BYTES if kind in ("bigint", "int", "double", "boolean") else OTHER_BYTES for _, kind in ids.dtypes))
     return F.broadcast(ids) if ids.limit(limit + 1).count() <= limit else ids
 
 

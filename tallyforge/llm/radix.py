@@ -39,62 +39,77 @@ def _split(rows: DataFrame) -> DataFrame:
     return out.select("row", F.coalesce("next", "row").alias("group"), (F.col("next").isNull() | F.col("ended")).alias("done"))
 
 
-def equal_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The stored rows of docs under plain names with a row id, and the verdict on each row.
+def _groups(rows: DataFrame, first: DataFrame) -> DataFrame:
+    """(row, group) of all rows: those of one group are equal byte for byte.
 
-    Verdict: row, doc_id, keep_id, group_size, kept, text_sha256.
+    rows: (at, bytes); first: (row, at, digit, ended), stored. Each level's wide tables are deleted
+    once the next level is written.
     """
-    have = docs.columns
-    rows = docs.toDF(*[f"c{i}" for i in range(len(have))])
-    doc_id, text = f"c{have.index('doc_id')}", f"c{have.index('text')}"
-    clean = F.encode(normalised(F.col(text)), "utf-8")
-    rows = rows.withColumn("bytes", clean).select(
-        "*", F.sha2("bytes", 256).alias("sha"), F.substring("bytes", 1, FIRST).alias("digit"), (F.length("bytes") <= FIRST).alias("ended")
-    )
-    # Written once: row ids are fixed from here on.
-    rows = common.stored(common.with_row_id(rows.drop("bytes"), "row"), "texts")
-
+    spark = rows.sparkSession
     at, width = 0, FIRST
-    level = common.stored(_split(rows.select("row", F.lit(0).cast("long").alias("group"), "digit", "ended")), "level")
+    with common.scratch(spark) as kept:
+        level = kept(_split(first.select("row", F.lit(0).cast("long").alias("group"), "digit", "ended")), "level")
     finished = level.where("done").select("row", "group")
     left = level.where("not done").select("row", "group")
-    rest = None
+    if not left.isEmpty():
+        # From the second level on, only texts that still have company are read.
+        wanted = common.stored(first.select("row", "at").join(common.small_or_shuffled(left.select("row")), "row", "left_semi"), "wanted")
+        rest = common.stored(rows.join(common.small_or_shuffled(wanted), "at").select("row", "bytes"), "rest")
     while not left.isEmpty():
         at, width = at + width, width * GROWTH
-        if rest is None:
-            # From the second level on, only texts that still have company are read.
-            rest = rows.join(common.small_or_shuffled(left.select("row")), "row", "left_semi").select("row", clean.alias("bytes"))
-            rest = common.stored(rest, "rest")
-        digits = rest.join(common.small_or_shuffled(left), "row").select(
-            "row", "group", F.substring("bytes", at + 1, width).alias("digit"), (F.length("bytes") <= at + width).alias("ended")
-        )
-        level = common.stored(_split(common.stored(digits, "digits")), "level")
+        with common.scratch(spark) as kept:
+            digits = rest.join(common.small_or_shuffled(left), "row").select(
+                "row", "group", F.substring("bytes", at + 1, width).alias("digit"), (F.length("bytes") <= at + width).alias("ended")
+            )
+            level = kept(_split(common.stored(digits, "digits")), "level")
         finished = finished.union(level.where("done").select("row", "group"))
         left = level.where("not done").select("row", "group")
+    return finished
+
 
-    of = common.stored(rows.select("row", F.col(doc_id).alias("doc_id"), F.col("sha").alias("text_sha256")).join(finished, "row"), "of")
+def _marked(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """docs under plain names with the column ``at``, and the names of doc_id and text."""
+    have = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(have))])
+    return common.identified(plain, "at"), f"c{have.index('doc_id')}", f"c{have.index('text')}"
+
+
+def _verdict(rows: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Of all rows (row, at, doc_id, text_sha256, group), and of the groups of several rows
+    (group, group_size, keep_id, stays), both stored.
+    """
+    clean = rows.select("at", F.col(doc_id).alias("doc_id"), F.encode(normalised(F.col(text)), "utf-8").alias("bytes"))
+    with common.scratch(rows.sparkSession) as kept:
+        first = clean.select(
+            "at", "doc_id", F.sha2("bytes", 256).alias("text_sha256"), F.substring("bytes", 1, FIRST).alias("digit"), (F.length("bytes") <= FIRST).alias("ended")
+        )
+        # Written once: row ids are fixed from here on.
+        first = common.stored(common.with_row_id(first, "row"), "texts")
+        of = kept(first.select("row", "at", "doc_id", "text_sha256").join(_groups(clean.select("at", "bytes"), first), "row"), "of")
     sizes = of.groupBy("group").agg(F.count("*").alias("group_size"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("stays"))
-    sizes = common.stored(sizes.where("group_size > 1").select("group", "group_size", F.col("stays.doc_id").alias("keep_id"), F.col("stays.row").alias("stays")), "sizes")
+    sizes = sizes.where("group_size > 1").select("group", "group_size", F.col("stays.doc_id").alias("keep_id"), F.col("stays.row").alias("stays"))
+    return of, common.stored(sizes, "sizes")
+
+
+def exact_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, keep_id, group_size, kept, text_sha256), one row per document, dropped ones too."""
+    of, sizes = _verdict(*_marked(common.pick(docs, "doc_id", "text")))
     lone = F.col("stays").isNull()
-    verdict = of.join(sizes, "group", "left").select(
-        "row",
+    return of.join(sizes, "group", "left").select(
         "doc_id",
         F.when(lone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (lone | (F.col("row") == F.col("stays"))).alias("kept"),
         "text_sha256",
     )
-    return rows, verdict
-
-
-def exact_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, text_sha256), one row per document, dropped ones too."""
-    return equal_texts(common.pick(docs, "doc_id", "text"))[1].drop("row")
 
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns."""
-    rows, verdict = equal_texts(docs)
-    drop = common.stored(verdict.where("not kept").select("row"), "dropped")
-    kept = rows.join(common.small_or_shuffled(drop), "row", "left_anti")
-    return kept.select(*[f"c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
+    if not docs.columns:
+        return docs
+    rows, *names = _marked(docs)
+    with common.scratch(docs.sparkSession) as kept:
+        of, sizes = _verdict(rows, *names)
+        gone = kept(of.join(sizes, "group").where("row != stays").select("at"), "gone")
+    return rows.join(common.small_or_shuffled(gone), "at", "left_anti").drop("at").toDF(*docs.columns)
