@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
@@ -64,11 +64,11 @@ def chunks(texts: list[str | None], most: int = CHUNK) -> Iterator[list[bytes]]:
         yield part
 
 
-def words(texts: list[bytes], between: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the words of the texts, A-Z lowered; words are split at the bytes ``between``.
+def cut(texts: list[bytes], between: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Callable[[np.ndarray, np.ndarray], np.ndarray]]:
+    """Words of the texts, A-Z lowered and split at the bytes ``between``, which must hold the newline.
 
-    Returns the joined lower-case bytes, each word's hash and first byte, and each text's first
-    word (one more at the end). ``between`` must hold the newline.
+    Returns the joined lower-case bytes, each word's first byte and end, each text's first word (one more
+    at the end), and a function that hashes bytes from starts to ends.
     """
     size = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     a = np.frombuffer(b"\n".join(texts).lower() + b"\n", np.uint8)
@@ -77,5 +77,15 @@ def words(texts: list[bytes], between: np.ndarray) -> tuple[np.ndarray, np.ndarr
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     with np.errstate(over="ignore"):
         total = np.concatenate(([_U(0)], np.cumsum(_BYTE[a] * power[: len(a)], dtype=np.uint64)))
-        word = mix((total[end] - total[start]) * inverse[start])
-    return a, word, start, np.searchsorted(start, np.concatenate(([0], np.cumsum(size))))
+
+    def hashed(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix((total[end] - total[start]) * inverse[start])
+
+    return a, start, end, np.searchsorted(start, np.concatenate(([0], np.cumsum(size)))), hashed
+
+
+def words(texts: list[bytes], between: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The joined lower-case bytes, each word's hash and first byte, and each text's first word, as by ``cut``."""
+    a, start, end, first, hashed = cut(texts, between)
+    return a, hashed(start, end), start, first

@@ -1,9 +1,10 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences. A sentence's probability is the logistic of the summed weights
-of its distinct words, which are never negative; the document's is their noisy-or, 1 - product of (1 - p). Only document labels are
-known; their likelihood under the noisy-or trains the word weights, and the fitted sentence
-scores then locate the offending sentences.
+of its distinct words and stems (the first ``STEMS`` bytes of longer words), which are never
+negative; the document's is their noisy-or, 1 - product of (1 - p). Only document labels are known;
+their likelihood under the noisy-or trains the weights, and the fitted sentence scores then locate
+the offending sentences.
 
 Fitted on a bounded sample of labelled rows (about ``EACH`` for each label), applied to all.
 
@@ -15,6 +16,7 @@ every score is 0.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,11 +28,17 @@ from . import common, fitting, hashing
 #: Labelled rows used of each label, at most about.
 EACH = 2000
 SLOTS = 1 << 18
-#: Slots in fewer sampled documents than this get no weight.
-LEAST_DOCS = 5
-STEPS = 120
-#: When selecting: weight of the sum of weights in the loss, and the least weight that is kept.
-L1, LEAST = 2e-3, 0.5
+#: Bytes of a stem.
+STEMS = (4, 6)
+#: Slots get a weight if they are in so many sampled documents and in so many times the share of toxic
+#: documents as of others.
+LEAST_DOCS, LIFT = 5, 1.5
+STEPS, RATE = 120, 0.15
+#: Weights of the sum of weights in the loss when selecting, tried on a part of the sample held back,
+#: and the least weight that is then kept.
+L1, LEAST = (1e-3, 3e-4, 1e-4, 3e-5), 0.5
+#: One of so many sampled rows is held back.
+HELD_BACK = 5
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?\n"]] = True
 
@@ -42,13 +50,17 @@ def _new(x: np.ndarray) -> np.ndarray:
 
 
 def bags(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Slots of each sentence's distinct words, the first word of each sentence, the first sentence
+    """Slots of each sentence's distinct words and stems, the first of each sentence, the first sentence
     of each text (one more at the end), and each sentence's first byte in the joined texts.
     Sentences without words don't count."""
-    a, word, start, first = hashing.words(texts, hashing.NO_LETTER)
-    sentence = np.cumsum(_END[a], dtype=np.int64)[start]
-    begin = np.flatnonzero(_new(sentence))
-    both = np.sort(sentence * SLOTS + (word & np.uint64(SLOTS - 1)).astype(np.int64))
+    a, start, end, first, hashed = hashing.cut(texts, hashing.NO_LETTER)
+    number = np.cumsum(_END[a], dtype=np.int64)
+    begin = np.flatnonzero(_new(number[start]))
+    both = [number[start] * SLOTS + (hashed(start, end) % np.uint64(SLOTS)).astype(np.int64)]
+    for k in STEMS:
+        some = start[end - start > k]
+        both.append(number[some] * SLOTS + ((hashed(some, some + k) >> np.uint64(k)) % np.uint64(SLOTS)).astype(np.int64))
+    both = np.sort(np.concatenate(both))
     both = both[_new(both)]
     return (both % SLOTS).astype(np.int32), np.flatnonzero(_new(both // SLOTS)), np.searchsorted(begin, first), start[begin]
 
@@ -60,61 +72,102 @@ def noisy_or(weights: np.ndarray, bias: float, slot: np.ndarray, begin: np.ndarr
     return 1 / (1 + np.exp(-np.clip(z, -40, 40))), -np.expm1(-np.maximum(0, none[bag[1:]] - none[bag[:-1]]))
 
 
-def fit(labelled: DataFrame, share: float) -> tuple[np.ndarray, float] | None:
-    """Word weights and bias from a bounded sample (text, toxic 0/1) of rows that are toxic by share.
+@dataclass
+class Bags:
+    """Sampled documents: word (numbered 0 ..) and sentence of each word of a sentence, document of each sentence."""
 
-    A first pass, with both labels weighing the same, selects the words; a second fits their
-    weights, and the bias, with the labels weighing as in all rows.
-    """
+    toxic: np.ndarray
+    word: np.ndarray
+    sentence: np.ndarray
+    doc: np.ndarray
+    words: int
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for part in hashing.chunks(f["text"].tolist()):
-                slot, begin, bag, _ = bags(part)
-                begin = np.append(begin, len(slot))
-                for s, e in zip(bag[:-1], bag[1:], strict=True):
-                    rows.append((slot[begin[s] : begin[e]], (begin[s:e] - begin[s]).astype(np.int32)))
-            yield pd.DataFrame({"toxic": f["toxic"], "slot": [r[0] for r in rows], "begin": [r[1] for r in rows]})
+    def some(self, rows: np.ndarray) -> Bags:
+        """Only these documents (a mask)."""
+        held = rows[self.doc]
+        inside = held[self.sentence]
+        return Bags(self.toxic[rows], self.word[inside], (np.cumsum(held) - 1)[self.sentence[inside]], (np.cumsum(rows) - 1)[self.doc[held]], self.words)
 
-    seen = labelled.select("text", "toxic").mapInPandas(run, "toxic int, slot array<int>, begin array<int>").toPandas()
-    seen = seen[seen["slot"].map(len) > 0]
-    y = seen["toxic"].to_numpy().astype(float)
-    if not 0 < y.sum() < len(y):
-        return None
-    docs = np.bincount(np.concatenate([np.unique(s) for s in seen["slot"]]), minlength=SLOTS)
-    used = np.flatnonzero(docs >= LEAST_DOCS)
-    place = np.full(SLOTS, len(used))  # the last place stands for all rare words and stays 0
-    place[used] = np.arange(len(used))
-    word = place[np.concatenate(seen["slot"].to_list())]
-    size = seen["slot"].map(len).to_numpy()
-    begin = np.concatenate([b + at for b, at in zip(seen["begin"], np.cumsum(size) - size, strict=True)])
-    of = np.repeat(np.arange(len(y)), seen["begin"].map(len).to_numpy())
-    sentence = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(word))))
-    bag = np.searchsorted(of, np.arange(len(y) + 1))
+    def logits(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The logit of each sentence and minus the log of no toxic sentence of each document; w ends with the bias."""
+        z = np.bincount(self.sentence, w[self.word], len(self.doc)) + w[-1]
+        return z, np.bincount(self.doc, np.logaddexp(0, z), len(self.toxic))
+
+    def loss(self, w: np.ndarray, share: float) -> float:
+        none = self.logits(w)[1]
+        each = np.where(self.toxic, -np.log(np.maximum(-np.expm1(-none), 1e-9)), none)
+        return share * each[self.toxic].mean() + (1 - share) * each[~self.toxic].mean()
 
-    def trained(w: np.ndarray, free: np.ndarray, share: float, l1: float) -> np.ndarray:
-        weigh = np.where(y > 0, share / y.sum(), (1 - share) / (1 - y).sum())
+    def trained(self, w: np.ndarray, free: np.ndarray, share: float, l1: float) -> np.ndarray:
+        """Weights (free ones) and bias after descent, where toxic documents weigh ``share`` of all."""
+        weigh = np.where(self.toxic, share / self.toxic.sum(), (1 - share) / (~self.toxic).sum())[self.doc]
 
         def gradient(w: np.ndarray, _: int) -> np.ndarray:
             w = np.append(np.maximum(w[:-1], 0), w[-1])
-            p, all_ = noisy_or(w[:-1], w[-1], word, begin, bag)
-            d = np.where(y[of] > 0, -p * ((1 - all_) / np.maximum(all_, 1e-9))[of], p) * weigh[of]
-            g = np.append(np.bincount(word, d[sentence], len(used) + 1), d.sum())
+            z, none = self.logits(w)
+            some = -np.expm1(-none)
+            d = np.where(self.toxic[self.doc], -((1 - some) / np.maximum(some, 1e-9))[self.doc], 1.0) * weigh / (1 + np.exp(-z))
+            g = np.append(np.bincount(self.word, d[self.sentence], self.words), d.sum())
             g[:-1] = np.where(free & ((w[:-1] > 0) | (g[:-1] < -l1)), g[:-1] + l1, 0)
             return g
 
-        w = fitting.adam(w, gradient, STEPS, 0.15)
+        w = fitting.adam(w, gradient, STEPS, RATE)
         return np.append(np.maximum(w[:-1], 0) * free, w[-1])
 
-    free = np.arange(len(used) + 1) < len(used)
-    w = trained(np.append(np.zeros(len(used) + 1), -5.0), free, 0.5, L1)
-    w = trained(w, free & (w[:-1] >= LEAST), share, 0.0)
+    def fitted(self, share: float, l1: float) -> np.ndarray:
+        """A first pass, with both labels weighing the same, selects words; a second fits their weights, and
+        the bias, with the labels weighing as in all rows."""
+        w = self.trained(np.append(np.zeros(self.words), -5.0), np.ones(self.words, bool), 0.5, l1)
+        return self.trained(w, w[:-1] >= LEAST, share, 0.0)
+
+
+def trained(toxic: np.ndarray, slots: list[np.ndarray], begins: list[np.ndarray], share: float) -> tuple[np.ndarray, float]:
+    """Slot weights and bias from sampled documents: the slots of each, and where its sentences begin in them."""
+    docs = np.zeros((2, SLOTS))
+    for t, s in zip(toxic, slots, strict=True):
+        docs[int(t), np.unique(s)] += 1
+    used = np.flatnonzero((docs.sum(0) >= LEAST_DOCS) & (docs[1] / toxic.sum() >= LIFT * docs[0] / (~toxic).sum()))
+    place = np.full(SLOTS, -1)
+    place[used] = np.arange(len(used))
+    size = np.array([len(s) for s in slots])
+    begin = np.concatenate([b + at for b, at in zip(begins, np.cumsum(size) - size, strict=True)])
+    doc = np.repeat(np.arange(len(slots)), [len(b) for b in begins])
+    word = place[np.concatenate(slots)]
+    sentence = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(word))))
+    all_ = Bags(toxic, word[word >= 0], sentence[word >= 0], doc, len(used))
+    back = np.arange(len(toxic)) % HELD_BACK == 0
+    l1 = L1[0]
+    if all(len(set(toxic[rows])) == 2 for rows in (back, ~back)):
+        most, least = all_.some(~back), all_.some(back)
+        l1 = min(L1, key=lambda v: least.loss(most.fitted(share, v), share))
+    w = all_.fitted(share, l1)
     weights = np.zeros(SLOTS, np.float32)
-    weights[used] = w[:-2]
+    weights[used] = w[:-1]
     return weights, float(w[-1])
 
 
+def fit(labelled: DataFrame, share: float) -> tuple[np.ndarray, float] | None:
+    """Slot weights and bias from a bounded sample (text, toxic 0/1) of rows that are toxic by share."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for part in hashing.chunks(f["text"].tolist()):
+                slot, begin, bag, _ = bags(part)
+                begin = np.append(begin, len(slot))
+                for s, e in zip(bag[:-1], bag[1:], strict=True):
+                    rows.append((slot[begin[s] : begin[e]], (begin[s:e] - begin[s]).astype(np.int32)))
+            yield pd.DataFrame({"at": f["at"], "toxic": f["toxic"], "slot": [r[0] for r in rows], "begin": [r[1] for r in rows]})
+
+    at = F.xxhash64("doc_id", F.lit("held back")).alias("at")
+    seen = labelled.select(at, "text", "toxic").mapInPandas(run, "at long, toxic int, slot array<int>, begin array<int>").toPandas()
+    seen = seen[seen["slot"].map(len) > 0].sort_values("at", kind="stable")
+    toxic = seen["toxic"].to_numpy() > 0
+    if not 0 < toxic.sum() < len(toxic):
+        return None
+    return trained(toxic, seen["slot"].to_list(), seen["begin"].to_list(), share)
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, float] | None) -> DataFrame:
     """(doc_id, score, sentence_start, sentence_end, sentence_score) of every row of docs.
 
