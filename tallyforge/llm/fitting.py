@@ -14,11 +14,14 @@ def remainder(doc_id: F.Column, n: int) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
 
 
-def thinned(rows: DataFrame, label: str, doc_id: str, each: int) -> tuple[DataFrame, dict]:
-    """About ``each`` rows of each label, by a fixed hash of the id (all rows of rarer labels),
-    and the labels' counts, which come to the driver as one row for each label.
+def thinned(rows: DataFrame, label: str, doc_id: str, each: int, most: int | None = None) -> tuple[DataFrame, dict]:
+    """About ``each`` rows of each label, by a fixed hash of the id (all rows of rarer labels), fewer if
+    that made more than ``most`` rows of all labels.
+
+    Also the labels' counts, which come to the driver as one row for each label.
     """
     counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
+    each = min(each, most // max(1, len(counts))) if most else each
     share = F.lit(None).cast("double")
     for value, n in counts.items():
         share = F.when(F.col(label) == value, F.lit(min(1.0, each / n))).otherwise(share)

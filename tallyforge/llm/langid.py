@@ -7,7 +7,8 @@ separate the languages within it by votes.
 Fitted on a bounded sample of labelled rows (about ``EACH`` for each language), applied to all.
 
 Edge cases: a null text or one without letters is ``und`` with score 0. Without any labelled row
-all rows are ``und``. A language without a known family is a family of its own.
+all rows are ``und``. A language without a known family is a family of its own. A text's prediction
+depends on that text alone, not on the rows beside it.
 """
 
 from __future__ import annotations
@@ -24,11 +25,13 @@ from pyspark.sql import functions as F
 
 from . import common, fitting, hashing
 
-#: Labelled rows used of each language, at most about.
-EACH = 500
+#: Labelled rows used of each language, and of all languages, at most about.
+EACH, MOST = 500, 8000
 ORDERS = (1, 2, 3)
 SLOTS = 1 << 13
 UNKNOWN = "und"
+#: ``accepted`` rejects texts whose language has a lower score.
+SURE = 0.5
 #: Languages by family.
 FAMILIES = {
     "germanic": ("af", "da", "de", "en", "is", "nb", "nl", "nn", "no", "sv"),
@@ -45,21 +48,28 @@ def family(lang: str) -> str:
 
 
 def _slots(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(n-gram slots by order, each as long as the joined bytes; where each text begins)."""
+    """(n-gram slots by order, each as long as the joined bytes; where each text begins).
+
+    Each text ends with a line break. n-grams that would go on into the next text get the slot ``SLOTS``,
+    which counts for nothing, so that a text's slots are the same whatever stands beside it.
+    """
     size = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
+    ends = np.cumsum(size)
     a = np.frombuffer(b"\n".join(texts).lower() + b"\n", np.uint8).astype(np.uint32)
-    out, code = [], np.zeros(len(a), np.uint32)
+    out, code, more = [], np.zeros(len(a), np.uint32), np.concatenate((a, np.zeros(max(ORDERS), np.uint32)))
     for n in range(1, max(ORDERS) + 1):
-        code = (code << np.uint32(8)) | np.concatenate((a[n - 1 :], np.full(n - 1, 10, np.uint32)))
+        code = (code << np.uint32(8)) | more[n - 1 : n - 1 + len(a)]
         if n in ORDERS:
             mixed = (code + np.uint32(n << 26)) * np.uint32(2654435761)
             out.append((mixed >> np.uint32(32 - SLOTS.bit_length() + 1)).astype(np.int32))
-    return np.stack(out), np.concatenate(([0], np.cumsum(size)))
+            for k in range(1, n):
+                out[-1][np.maximum(ends - k, 0)] = SLOTS
+    return np.stack(out), np.concatenate(([0], ends))
 
 
 @dataclass
 class Model:
-    """Weights by slot; columns are the families and then the pairs of languages."""
+    """Weights by slot, zeros at the last; columns are the families and then the pairs of languages."""
 
     families: list[str]
     members: list[list[str]]
@@ -103,7 +113,7 @@ def _frequencies(f: pd.DataFrame) -> Iterator[np.ndarray]:
     for part in hashing.chunks(f["text"].tolist()):
         slots, begin = _slots(part)
         for a, b in zip(begin[:-1], begin[1:], strict=True):
-            yield np.bincount(slots[:, a:b].ravel(), minlength=SLOTS) / (slots.shape[0] * (b - a))
+            yield np.bincount(slots[:, a:b].ravel(), minlength=SLOTS + 1)[:SLOTS] / (slots.shape[0] * (b - a))
 
 
 def fit(labelled: DataFrame, each: int = EACH) -> Model | None:
@@ -115,7 +125,7 @@ def fit(labelled: DataFrame, each: int = EACH) -> Model | None:
             got = [(v := x.astype(np.float32), np.flatnonzero(v)) for x in _frequencies(f)]
             yield pd.DataFrame({"lang": f["lang"], "slot": [k.astype(np.int32) for _, k in got], "value": [v[k] for v, k in got]})
 
-    rows, _ = fitting.thinned(rows, "lang", "doc_id", each)
+    rows, _ = fitting.thinned(rows, "lang", "doc_id", each, MOST)
     seen = rows.select("text", "lang").mapInPandas(run, "lang string, slot array<int>, value array<float>").toPandas()
     if not len(seen):
         return None
@@ -155,7 +165,7 @@ def fit(labelled: DataFrame, each: int = EACH) -> Model | None:
             columns.append(fitting.adam(np.zeros(SLOTS + 1), hinge, 150, 0.02)[:, None])
     w = np.concatenate(columns, 1)
     weights = w[:-1] * scale[:, None]
-    return Model(families, members, pairs, weights.astype(np.float32), w[-1] - mean @ weights)
+    return Model(families, members, pairs, np.concatenate((weights, np.zeros((1, w.shape[1])))).astype(np.float32), w[-1] - mean @ weights)
 
 
 def predict(docs: DataFrame, model: Model | None, unmodelled: str = UNKNOWN) -> DataFrame:
@@ -193,13 +203,17 @@ def fitted(docs: DataFrame, each: int = EACH) -> Model | None:
     return fit(rows.where(fitting.remainder(F.col("doc_id"), 3) != 1), each)
 
 
-def accepted(docs: DataFrame) -> DataFrame:
-    """The rows of docs with a recognised language, all columns as they were; ``und`` rows go.
+def accepted(docs: DataFrame, least: float = SURE) -> DataFrame:
+    """The rows of docs with a recognised language, all columns as they were.
 
-    Without labelled rows to fit a model from, all texts with letters stay.
+    ``und`` rows go, and those whose predicted language has a score under ``least``: texts that the
+    classifier can give to no family or language with confidence. Without labelled rows to fit a model
+    from, all texts with letters stay.
     """
     if not docs.columns:
         return docs
     have = docs.columns
-    got = predict(docs, fitted(docs), unmodelled="any").toDF(*[f"c{i}" for i in range(len(have))], "lang_pred", "score")
-    return got.where(F.col("lang_pred") != UNKNOWN).drop("lang_pred", "score").toDF(*have)
+    model = fitted(docs)
+    got = predict(docs, model, unmodelled="any").toDF(*[f"c{i}" for i in range(len(have))], "lang_pred", "score")
+    sure = F.col("score") >= least if model else F.lit(True)
+    return got.where((F.col("lang_pred") != UNKNOWN) & sure).drop("lang_pred", "score").toDF(*have)
