@@ -7,8 +7,8 @@ quotas. They are realised by block permutations: each epoch deals a source's doc
 by a seeded hash; whole epochs take every block, the last takes blocks in order up to the quota,
 and from the block at its edge on documents in order of their hash, as long as one fits.
 
-Prefix sums run over blocks, whose number is the tokens divided by ``BLOCK_TOKENS``, and over the
-documents of one block; no window holds a source's documents.
+Prefix sums run over chunks of blocks, the blocks of a chunk, and the documents of a block, whose
+number is the tokens divided by ``BLOCK_TOKENS``; no window holds a source's documents or blocks.
 
 Edge cases: a null source counts as the source ''. Null and empty texts have 0 tokens; they fit into
 any quota, so each epoch has them all. A document is never cut: one larger than what is left of the
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from . import common
 
 BLOCK_TOKENS = 1 << 18
+#: Blocks in a chunk of prefix sums.
+CHUNK_BLOCKS = 4096
 #: Target entropy as a share of the largest possible, which equal weights have.
 ENTROPY = 0.95
 SEED = "mix"
@@ -103,19 +105,32 @@ def plan(sized: DataFrame, entropy: float | None = ENTROPY, repeats: float | Non
 
 def dealt(rows: DataFrame, sources: DataFrame, seed: str) -> DataFrame:
     """rows (doc_id, source, tokens, ...) with their source's plan, and for each epoch at and block."""
-    rows = rows.join(common.small_or_shuffled(sources, common.BROADCAST_ROWS // 16), "source", "left")
+    rows = rows.join(common.small_or_shuffled(sources), "source", "left")
     epochs = F.sequence(F.lit(0).cast("long"), F.when(F.col("n").isNull(), F.lit(0)).otherwise(F.col("epochs") + F.when(F.col("rest") > 0, 0).otherwise(-1)))
     rows = rows.where("n is null or quota > 0").withColumn("epoch", F.explode(epochs))
     rows = rows.withColumn("at", unit_hash(F.lit(seed), F.col("epoch"), F.col("doc_id")))
     return rows.withColumn("block", F.floor(F.col("at") * F.coalesce("blocks", F.lit(1))).cast("long"))
 
 
+def held_before(blocks: DataFrame) -> DataFrame:
+    """Stored blocks (source, block, held, ...) with the sum of held of the source's earlier blocks, as before.
+
+    Sums run inside chunks of blocks and then over the chunks, so no window has all blocks of a source.
+    """
+    earlier = lambda *by: Window.partitionBy(*by).orderBy(F.col("block") if "chunk" in by else F.col("chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("chunk", F.floor(F.col("block") / CHUNK_BLOCKS))
+    chunks = blocks.groupBy("source", "chunk").agg(F.sum("held").alias("chunk_held"))
+    chunks = chunks.select("source", "chunk", F.coalesce(F.sum("chunk_held").over(earlier("source")), F.lit(0)).alias("chunks_before"))
+    inside = F.coalesce(F.sum("held").over(earlier("source", "chunk")), F.lit(0))
+    blocks = blocks.withColumn("inside", inside).join(common.small_or_shuffled(common.stored(chunks, "chunks")), ["source", "chunk"])
+    return blocks.withColumn("before", F.col("chunks_before") + F.col("inside")).drop("chunk", "inside", "chunks_before")
+
+
 def edges(partial: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of rows in their source's last epoch: the blocks (source, block, room) with the tokens that they
     may still use, and whether they fit whole."""
-    blocks = partial.groupBy("source", "block", "rest").agg(F.sum("tokens").alias("held"))
-    before = F.coalesce(F.sum("held").over(Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = blocks.withColumn("room", F.col("rest") - before).where("room > 0")
+    blocks = common.stored(partial.groupBy("source", "block", "rest").agg(F.sum("tokens").alias("held")), "held")
+    blocks = held_before(blocks).withColumn("room", F.col("rest") - F.col("before")).where("room > 0")
     return common.stored(blocks.select("source", "block", "room", (F.col("held") <= F.col("room")).alias("whole")), "blocks")
 
 
@@ -131,9 +146,8 @@ def filled(rows: DataFrame, room: DataFrame) -> tuple[DataFrame, DataFrame]:
     done, left = None, room
     while True:
         still = narrow.join(state, "source").where("place > after and tokens <= room").withColumn("block", F.col("place.block"))
-        held = still.groupBy("source", "block").agg(F.sum("tokens").alias("held"))
-        before = F.sum("held").over(Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
-        held = held.select("source", "block", F.coalesce(before, F.lit(0)).alias("before"))
+        held = common.stored(still.groupBy("source", "block").agg(F.sum("tokens").alias("held")), "held")
+        held = held_before(held).select("source", "block", "before")
         order = Window.partitionBy("source", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
         used = still.join(held, ["source", "block"]).withColumn("used", F.col("before") + F.sum("tokens").over(order))
         stop = F.min(F.when(F.col("used") > F.col("room"), F.col("place"))).alias("stop")
@@ -154,7 +168,7 @@ def taken_at_edge(partial: DataFrame, blocks: DataFrame) -> DataFrame:
     order = Window.partitionBy("source", "block").orderBy("at", "doc_id", "tokens")
 
     def placed(room: DataFrame, where: str) -> DataFrame:
-        rows = some.join(common.small_or_shuffled(room, common.BROADCAST_ROWS // 16), "source").where(where).select(*some.columns)
+        rows = some.join(common.small_or_shuffled(room), "source").where(where).select(*some.columns)
         return common.stored(rows.withColumn("pos", F.row_number().over(order)), "edge")
 
     edge = blocks.where("not whole").select("source", F.col("block").alias("edge"), "room")
@@ -173,7 +187,7 @@ def uses(rows: DataFrame, narrow: DataFrame, sources: DataFrame, seed: str) -> D
     last = (F.col("epoch") == F.col("epochs")) & F.col("n").isNotNull()
     blocks = edges(dealt(narrow, sources, seed).where(last))
     spread = dealt(rows, sources, seed)
-    some = spread.join(common.small_or_shuffled(blocks, common.BROADCAST_ROWS // 16), ["source", "block"], "left")
+    some = spread.join(common.small_or_shuffled(blocks), ["source", "block"], "left")
     some = some.where(~last | F.coalesce("whole", F.lit(False)) | (F.col("tokens") == 0))
     return some.select(spread.columns).union(taken_at_edge(spread.where(last), blocks).select(spread.columns))
 
