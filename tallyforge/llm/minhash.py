@@ -121,7 +121,8 @@ def _lanes(values: pd.Series) -> np.ndarray:
 
 
 def features(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n, digest, lanes, bands) of each row; digest, lanes and bands null for an empty set."""
+    """(at, doc_id, n, digest, lanes, bands) of each row of docs (at, doc_id, text); the last three are null
+    for an empty set."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -137,24 +138,19 @@ def features(docs: DataFrame, words: int = WORDS) -> DataFrame:
                     digest.append(None)
                     lanes.append(None)
                     bands.append(None)
-            yield pd.DataFrame({"doc_id": f["doc_id"], "n": n, "digest": digest, "lanes": lanes, "bands": bands})
+            yield pd.DataFrame({"doc_id": f["doc_id"], "at": f["at"], "n": n, "digest": digest, "lanes": lanes, "bands": bands})
 
-    return common.mapped(common.pick(docs, "doc_id", "text"), run, "n long, digest binary, lanes binary, bands array<bigint>")
+    return common.mapped(docs.select("doc_id", "at", "text"), run, "at string, n long, digest binary, lanes binary, bands array<bigint>")
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
-    """(node, grams) of rows (node, digest, text) whose text gives that digest."""
+    """(node, grams) of rows (node, text)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            node, grams = [], []
-            for k, d, s in zip(f["node"], f["digest"], shingle_sets(f["text"].tolist(), words), strict=True):
-                if hashlib.blake2b(raw := s.tobytes(), digest_size=16).digest() == d:
-                    node.append(k)
-                    grams.append(raw)
-            yield pd.DataFrame({"node": node, "grams": grams})
+            yield pd.DataFrame({"node": f["node"], "grams": [s.tobytes() for s in shingle_sets(f["text"].tolist(), words)]})
 
-    return rows.select("node", "digest", "text").mapInPandas(run, "node long, grams binary")
+    return rows.select("node", "text").mapInPandas(run, "node long, grams binary")
 
 
 def _confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataFrame:
@@ -195,11 +191,12 @@ def components(edges: DataFrame) -> DataFrame:
         if open_.isEmpty():
             return now.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
         around = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select("lo", "hi"))
-        least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = around.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        # The smallest ends are stored, so that Spark can split the edges of a hot centre in these joins.
+        least = common.stored(around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = around.where("v > u").join(common.small_or_shuffled(least), "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         large = common.stored(large, "stars")
-        low = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(low, "hi").where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        low = common.stored(large.groupBy("hi").agg(F.min("lo").alias("m")), "least")
+        small = large.join(common.small_or_shuffled(low), "hi").where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         now = common.stored(small.union(low.select("hi", F.col("m").alias("lo"))).distinct(), "stars")
 
 
@@ -214,7 +211,7 @@ def _blocks(members: DataFrame, nodes: DataFrame) -> DataFrame:
     open_ = open_.where("parts > 1").select(
         "key", F.col("top.component").alias("major"), F.ceil(F.col("top.n") / BLOCK).cast("int").alias("nm"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("no"), (F.col("all") - F.col("top.n") == 1).alias("alone")
     )
-    rows = members.join(open_, "key").withColumn("out", F.col("component") != F.col("major"))
+    rows = members.join(common.small_or_shuffled(common.stored(open_, "open")), "key").withColumn("out", F.col("component") != F.col("major"))
     at = F.pmod(F.xxhash64("node"), F.when(F.col("out"), F.col("no")).otherwise(F.col("nm"))).cast("int")
     rows = rows.withColumn("at", at)
     none = F.array().cast("array<struct<x:int,y:int>>")
@@ -315,38 +312,62 @@ def _across(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int,
         return common.stored(blocks.mapInPandas(forest, "a long, b long").distinct(), "links")
 
 
+def _classes(docs: DataFrame, words: int, percent: int, miss: float) -> DataFrame:
+    """(row, at, doc_id, n, part) of every row of docs (at, doc_id, text), stored; rows of one part are linked."""
+    spark = docs.sparkSession
+    with common.scratch(spark) as kept_last:
+        with common.scratch(spark) as kept:
+            with common.small_batches(spark, BATCH_ROWS):
+                rows = common.stored(common.with_row_id(features(docs, words), "row"), "features")
+            reps = common.stored(rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("node")), "nodes")
+            of = rows.select("row", "at", "doc_id", "n", "digest").join(reps, "digest", "left")
+            of = kept(of.select("row", "at", "doc_id", "n", F.coalesce("node", "row").alias("node")), "of")
+            nodes = rows.select(F.col("row").alias("node"), "at", "n", "digest", "lanes", "bands").join(reps.select("node"), "node", "left_semi")
+            member = nodes.select("node", F.explode("bands").alias("key"))
+            buckets = member.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).where("size > 1").select("key", "pivot")
+            members = kept(member.join(common.stored(buckets, "buckets"), "key"), "members")
+            busy = common.stored(members.select("node").distinct(), "busy")
+            near = kept(nodes.join(busy, "node").select("node", "at", "n", "lanes"), "candidates")
+        wanted = common.stored(near.select("at", "node"), "wanted")
+        text = docs.select("at", "text").join(common.small_or_shuffled(wanted), "at")
+        with common.small_batches(spark, BATCH_ROWS):
+            sets = common.stored(_sets(text, words), "sets")
+
+        pairs = common.stored(members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+        links = _confirm(pairs, near, sets, percent, miss)
+        parts = components(links)
+        labelled = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+        parts = components(links.union(_across(labelled, near, sets, percent, miss)))
+        of = of.join(common.small_or_shuffled(parts), "node", "left")
+        return kept_last(of.select("row", "at", "doc_id", "n", F.coalesce("component", "node").alias("part")), "parts")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = THRESHOLD_PERCENT, miss: float = MISS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of docs (doc_id, text).
 
     Two documents link if 100 * shared >= percent * united shingles. component_id is the smallest
     doc_id reachable over links; kept marks the rows with that id.
     """
-    with common.small_batches(docs.sparkSession, BATCH_ROWS):
-        rows = common.stored(common.with_row_id(features(docs, words), "row"), "features")
-    reps = rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"))
-    reps = common.stored(reps, "nodes")
-    nodes = rows.select(F.col("row").alias("node"), "doc_id", "n", "digest", "lanes", "bands").join(reps.select("node"), "node", "left_semi")
-    member = nodes.select("node", F.explode("bands").alias("key"))
-    buckets = member.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).where("size > 1").select("key", "pivot")
-    buckets = common.stored(buckets, "buckets")
-    members = common.stored(member.join(buckets, "key"), "members")
-    busy = common.stored(members.select("node").distinct(), "busy")
-    near = common.stored(nodes.join(busy, "node").select("node", "doc_id", "n", "digest", "lanes"), "candidates")
-    ids = common.stored(near.select(F.col("doc_id").alias("id"), "node", "digest"), "wanted")
-    text = common.pick(docs, "doc_id", "text").join(common.small_or_shuffled(ids, common.BROADCAST_ROWS // 8), F.col("doc_id").eqNullSafe(F.col("id")))
-    with common.small_batches(docs.sparkSession, BATCH_ROWS):
-        sets = common.stored(_sets(text, words).dropDuplicates(["node"]), "sets")
-
-    pairs = common.stored(members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    links = _confirm(pairs, near, sets, percent, miss)
-    parts = components(links)
-    labelled = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    parts = components(links.union(_across(labelled, near, sets, percent, miss)))
-
-    of = rows.select("row", "doc_id", "n", "digest").join(reps, "digest", "left")
-    of = of.withColumn("node", F.coalesce("node", "row")).join(parts, "node", "left")
-    of = common.stored(of.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("part")), "parts")
+    of = _classes(common.identified(common.pick(docs, "doc_id", "text"), "at"), words, percent, miss)
     first = of.groupBy("part").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("size"))
     shared = common.stored(first.where("size > 1").select("part", "component_id"), "firsts")
     out = of.join(shared, "part", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = THRESHOLD_PERCENT, miss: float = MISS) -> DataFrame:
+    """The rows of docs without those that link, over others too, with a row that stays.
+
+    Of linked rows one stays: the smallest doc_id, of those with that id the one read first. Rows that
+    share an id but no link all stay.
+    """
+    if not docs.columns:
+        return docs
+    have = docs.columns
+    rows = common.identified(docs.toDF(*[f"c{i}" for i in range(len(have))]), "at")
+    with common.scratch(docs.sparkSession) as kept:
+        of = _classes(rows.select("at", F.col(f"c{have.index('doc_id')}").alias("doc_id"), F.col(f"c{have.index('text')}").alias("text")), words, percent, miss)
+        stays = of.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"), F.count("*").alias("size")).where("size > 1")
+        stays = common.stored(stays.select("part", F.col("first.row").alias("stays")), "stays")
+        gone = kept(of.join(common.small_or_shuffled(stays), "part").where("row != stays").select("at"), "gone")
+    return rows.join(common.small_or_shuffled(gone), "at", "left_anti").drop("at").toDF(*have)

@@ -1,11 +1,12 @@
 import re
+from pathlib import Path
 from itertools import combinations
 
 import numpy as np
 import pytest
 from .conftest import LONG, SF
 
-from tallyforge.llm import minhash, queries, radix
+from tallyforge.llm import common, minhash, queries, radix
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -93,6 +94,28 @@ def test_minhash_odd_rows(odd_docs, no_docs):
     assert minhash.near_duplicates(no_docs).count() == 0
 
 
+def test_minhash_stage_drops_by_row(spark, odd_docs, no_docs):
+    """A repeated doc_id of which one row is a near copy keeps its other row."""
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base), (5, base + " extra"), (5, "a text of its own that nobody else has"), (None, base + " other"), (7, None), (7, "")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, TEXT string")
+    kept = minhash.without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r[0], r[1]) for r in kept.collect()), key=repr) == sorted([rows[0], rows[2], rows[4], rows[5]], key=repr)
+    kept = minhash.without_near_duplicates(odd_docs)
+    assert kept.columns == odd_docs.columns and kept.count() == 8
+    assert minhash.without_near_duplicates(no_docs).count() == 0
+
+
+def test_scratch_leaves_what_is_kept(spark):
+    with common.scratch(spark) as kept:
+        with common.scratch(spark) as inner:
+            a, b = common.stored(spark.range(3), "a"), inner(spark.range(4), "b")
+        c = kept(spark.range(5), "c")
+        assert b.count() == 4 and not Path(a.inputFiles()[0].removeprefix("file://")).exists()
+    assert c.count() == 5 and not Path(b.inputFiles()[0].removeprefix("file://")).exists()
+
+
 def test_least_matches_keeps_similar_pairs():
     for n, least in minhash.least_matches(75, 1e-6):
         assert 0 <= least < 0.76 * n
