@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The least tail probability; Spark's generator draws multiples of it, 0 included.
+LEAST = 2.0**-53
+
 
 def laplace_from(u: Column, scale: float) -> Column:
-    """The Laplace quantile of u in (0, 1)."""
+    """The Laplace quantile of u in [0, 1]. The ends count as the nearest numbers that have one."""
     d = u - 0.5
-    return -scale * F.signum(d) * F.log(1 - 2 * F.abs(d))
+    return -scale * F.signum(d) * F.log(F.greatest(1 - 2 * F.abs(d), F.lit(LEAST)))
 
 
 def laplace(scale: float, seed: int | None = None) -> Column:
@@ -17,7 +20,7 @@ def laplace(scale: float, seed: int | None = None) -> Column:
 
     A plan that is run again may draw again: materialise the result before using it twice.
     """
-    return laplace_from(F.greatest(F.rand(seed) if seed is not None else F.rand(), F.lit(1e-300)), scale)
+    return laplace_from(F.rand(seed) if seed is not None else F.rand(), scale)
 
 
 def hash_laplace(scale: float, *keys: Column) -> Column:
