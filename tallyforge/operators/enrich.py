@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import schemas
+from .. import schemas, storage
 
 
 def total_by(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
@@ -56,9 +58,32 @@ def relevant(df: DataFrame, state: str, state_columns: list[str], zip_columns: l
     return df.where(keep).drop(*[f"_z{i}" for i in range(len(zip_columns))])
 
 
-def quartile_edges(df: DataFrame, value: str) -> DataFrame:
-    """One row (edges) of the five quartile edges over rows, linearly interpolated."""
-    return df.agg(F.percentile(value, F.array(*[F.lit(q) for q in (0.0, 0.25, 0.5, 0.75, 1.0)])).alias("edges"))
+def quartile_edges(df: DataFrame, value: str, buckets: int = 256) -> DataFrame:
+    """One row (edges) of the five quartile edges over rows, linearly interpolated; null without rows.
+
+    Rows are counted by value first. An approximate split of the values into buckets and the buckets'
+    counts, which alone reach the driver, then tell in which buckets the edges lie; only those are sorted.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
+    counts = storage.materialised(counts, "values")
+    splits = counts.agg(F.approx_percentile("v", F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), F.lit(10 * buckets)).alias("s")).first()[0]
+    if splits is None:
+        return df.sparkSession.range(1).select(F.lit(None).cast("array<double>").alias("edges"))
+    splits = sorted(set(splits))
+    bucket = F.size(F.filter(F.array(*[F.lit(x) for x in splits]), lambda s: s < F.col("v")))
+    counts = counts.withColumn("bucket", bucket)
+    held = {r[0]: r[1] for r in counts.groupBy("bucket").agg(F.sum("n")).collect()}
+    total, before, start = sum(held.values()), {}, 0
+    for b in sorted(held):
+        before[b], start = start, start + held[b]
+    ranks = [q / 4 * (total - 1) for q in range(5)]
+    wanted = sorted({r for at in ranks for r in (math.floor(at), math.ceil(at))})
+    of = {r: max(b for b in before if before[b] <= r) for r in wanted}
+    upto = F.sum("n").over(Window.partitionBy("bucket").orderBy("v"))
+    some = counts.where(F.col("bucket").isin(*set(of.values()))).withColumn("upto", upto)
+    at = dict(zip(wanted, some.agg(*[F.min(F.when((F.col("bucket") == of[r]) & (F.col("upto") > r - before[of[r]]), F.col("v"))) for r in wanted]).first(), strict=True))
+    edges = [(math.ceil(x) - x) * at[math.floor(x)] + (x - math.floor(x)) * at[math.ceil(x)] if x % 1 else at[int(x)] for x in ranks]
+    return df.sparkSession.range(1).select(F.array(*[F.lit(e) for e in edges]).alias("edges"))
 
 
 def size_bins(df: DataFrame, value: str, out: str, labels: list[str] | None = None, duplicates: str = "raise") -> DataFrame:

@@ -13,8 +13,14 @@ CONSOLIDATED = "CONSOLIDATED REPORT"
 
 
 def unlike(df: DataFrame, column: str, pattern: str = CONSOLIDATED, above: float = SKIP_ABOVE) -> DataFrame:
-    """Rows whose text is not like the pattern; null counts as ''."""
-    return df.where(indel_ratio(F.coalesce(F.col(column), F.lit("")), F.lit(pattern)) <= above)
+    """Rows whose text is not like the pattern; null counts as ''.
+
+    Only texts of a length that can get above the score are compared: 2 * shorter / sum of lengths.
+    """
+    value = F.coalesce(F.col(column), F.lit(""))
+    n, m = F.length(value), F.lit(len(pattern))
+    can = (n + m == 0) | (200.0 * F.least(n, m) / (n + m) > above)
+    return df.where(F.coalesce(indel_ratio(F.when(can, value), F.lit(pattern)), F.lit(0.0)) <= above)
 
 
 def headed(df: DataFrame, column: str, pattern: str, least: float = HEADER) -> DataFrame:

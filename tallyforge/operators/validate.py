@@ -7,7 +7,7 @@ partitioning by (doc, table).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY = ["doc", "table"]
@@ -27,36 +27,43 @@ def _sized(cells: DataFrame) -> DataFrame:
     return cells.withColumn("_h", F.max("r").over(w)).withColumn("_w", F.max("c").over(w))
 
 
-def rows_checked(cells: DataFrame, repair: bool = True, allow_negative: bool = True) -> DataFrame:
-    """cells with row_valid and repaired.
-
-    With repair, a row that doesn't add up and has exactly one cell of low confidence (its total
-    included) gets the value that balances it. conf stays as it was.
-    """
+def _rows(cells: DataFrame, repair: bool, allow_negative: bool) -> DataFrame:
+    """rows_checked with the table's last row and column, _h and _w, and each value as it came, _came."""
     row = Window.partitionBy(*KEY, "r")
     total = F.col("c") == F.col("_w")
     low = F.coalesce(F.col("conf") < REPAIR_LOW, F.lit(False))
-    got = _sized(cells).withColumn("_sum", F.coalesce(F.sum(F.when(~total, F.col("value"))).over(row), F.lit(0)))
+    got = _sized(cells).withColumn("_came", F.col("value")).withColumn("_sum", F.coalesce(F.sum(F.when(~total, F.col("value"))).over(row), F.lit(0)))
     got = got.withColumn("_total", F.max(F.when(total, F.col("value"))).over(row)).withColumn("_low", F.sum(low.cast("int")).over(row))
     adds = F.coalesce(F.col("_sum") == F.col("_total"), F.lit(False))
     if not repair:
-        return got.withColumn("row_valid", adds).withColumn("repaired", F.lit(False)).drop("_h", "_w", "_sum", "_total", "_low")
+        return got.withColumn("row_valid", adds).withColumn("repaired", F.lit(False)).drop("_sum", "_total", "_low")
     new = F.when(total, F.col("_sum")).otherwise(F.col("_total") - F.col("_sum") + F.col("value"))
     fixes = ~adds & low & (F.col("_low") == 1)
     if not allow_negative:
         fixes = fixes & (new >= 0)
     got = got.withColumn("repaired", fixes).withColumn("value", F.when(fixes, new).otherwise(F.col("value")).cast("long"))
-    got = got.withColumn("row_valid", adds | F.max("repaired").over(row))
-    return got.drop("_h", "_w", "_sum", "_total", "_low")
+    return got.withColumn("row_valid", adds | F.max("repaired").over(row)).drop("_sum", "_total", "_low")
+
+
+def rows_checked(cells: DataFrame, repair: bool = True, allow_negative: bool = True) -> DataFrame:
+    """cells with row_valid and repaired.
+
+    With repair, a row that doesn't add up and has exactly one cell of low confidence (its total
+    included) gets the value that balances it. conf stays as it was.
+    """
+    return _rows(cells, repair, allow_negative).drop("_h", "_w", "_came")
+
+
+def _columns(sized: DataFrame, value: str, total_back: int, *more: Column) -> DataFrame:
+    """(doc, table, c, col_valid, ..): whether the rows above the total row add up to it."""
+    at = F.col("_h") - (total_back - 1)
+    upper = F.coalesce(F.sum(F.when(F.col("r") < at, F.col(value))), F.lit(0))
+    return sized.groupBy(*KEY, "c").agg(F.coalesce(upper == F.max(F.when(F.col("r") == at, F.col(value))), F.lit(False)).alias("col_valid"), *more)
 
 
 def columns_checked(cells: DataFrame, total_back: int = 2) -> DataFrame:
     """(doc, table, c, col_valid): whether the rows above the total row add up to it."""
-    at = F.col("_h") - (total_back - 1)
-    sums = _sized(cells).groupBy(*KEY, "c").agg(
-        F.coalesce(F.sum(F.when(F.col("r") < at, F.col("value"))), F.lit(0)).alias("s"), F.max(F.when(F.col("r") == at, F.col("value"))).alias("t")
-    )
-    return sums.select(*KEY, "c", F.coalesce(F.col("s") == F.col("t"), F.lit(False)).alias("col_valid"))
+    return _columns(_sized(cells), "value", total_back)
 
 
 def verdicts(cells: DataFrame, total_back: int = 2, order: str = "rows_first", repair: bool = True, allow_negative: bool = True) -> DataFrame:
@@ -65,16 +72,21 @@ def verdicts(cells: DataFrame, total_back: int = 2, order: str = "rows_first", r
     order: columns are checked on repaired cells (rows_first) or on the cells as they came
     (columns_first). part_ok forgives the last row; only_last_col: all fine but the last column.
     """
-    fixed = rows_checked(cells, repair, allow_negative)
-    last = F.max("r").over(Window.partitionBy(*KEY))
-    rows = fixed.withColumn("_last", F.col("r") == last).groupBy(*KEY).agg(F.every("row_valid").alias("rows_ok"), F.every(F.col("row_valid") | F.col("_last")).alias("rows_part"))
-    cols = columns_checked(fixed if order == "rows_first" else cells, total_back)
-    last_c = F.max("c").over(Window.partitionBy(*KEY))
-    cols = cols.withColumn("_last", F.col("c") == last_c).groupBy(*KEY).agg(
-        F.every("col_valid").alias("cols_ok"), (F.every(F.col("col_valid") | F.col("_last")) & ~F.every("col_valid")).alias("last_bad")
+    # A table's rows, columns and verdict are all grouped within its one shuffle.
+    fixed = _rows(cells, repair, allow_negative)
+    last_row, last_column = F.col("r") == F.col("_h"), F.col("c") == F.col("_w")
+    cols = _columns(
+        fixed,
+        "value" if order == "rows_first" else "_came",
+        total_back,
+        F.every("row_valid").alias("rows_ok"),
+        F.every(F.col("row_valid") | last_row).alias("rows_part"),
+        F.any_value("_w").alias("_w"),
+    )
+    got = cols.groupBy(*KEY).agg(
+        F.every("rows_ok").alias("rows_ok"), F.every("rows_part").alias("rows_part"), F.every("col_valid").alias("cols_ok"), F.every(F.col("col_valid") | last_column).alias("others_ok")
     )
-    got = rows.join(cols, KEY)
-    only = F.col("rows_ok") & F.col("last_bad")
+    only = F.col("rows_ok") & F.col("others_ok") & ~F.col("cols_ok")
     status = F.when(F.col("rows_ok") & F.col("cols_ok"), "Valid").when(only, "Valid, invalid sum").otherwise("Invalid")
     return got.select(*KEY, "rows_ok", "cols_ok", (F.col("rows_part") & F.col("cols_ok")).alias("part_ok"), only.alias("only_last_col"), status.alias("status"))
 

@@ -6,13 +6,19 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows of a few narrow columns that may be broadcast: about 16 MB.
+BROADCAST_ROWS = 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder only where that is unset."""
+    """``spark.checkpoint.dir``; a temporary folder only in local mode where that is unset."""
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not path:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
         path = context.getCheckpointDir()
     return path.rstrip("/")
@@ -23,3 +29,13 @@ def materialised(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a frame has no more rows than may be broadcast."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def small_or_shuffled(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if its counted rows fit, else left to a shuffle."""
+    return F.broadcast(df) if fits(df) else df
