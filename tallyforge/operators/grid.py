@@ -2,31 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import storage
+
 #: Margin of a page, row height of form 1, both in pixels at half the page size.
 PADDING, ROW_HEIGHT = 45, 25
+#: The most rectangles that count as one page's.
+PAGE_RECTANGLES = 10_000
+
 
+def in_rectangles(words: DataFrame, layout: DataFrame, on: tuple[str, ...] = ()) -> DataFrame:
+    """words (x, y, ..) with the section and field of every rectangle that holds the point, edges included.
 
-def in_rectangles(words: DataFrame, layout: DataFrame) -> DataFrame:
-    """words (x, y, ..) with the section and field of every rectangle that holds the point, edges included."""
+    on: columns of both, such as the form or page, that must be equal; with them a layout may have any
+    size. Without them it is one page's rectangles and is broadcast; a larger one raises ValueError.
+    """
     inside = F.col("x").between(F.col("x1"), F.col("x2")) & F.col("y").between(F.col("y1"), F.col("y2"))
-    # A layout is a page's worth of rectangles.
-    return words.join(F.broadcast(layout), inside).drop("x1", "y1", "x2", "y2")
+    if not on and not storage.fits(layout, PAGE_RECTANGLES):
+        raise ValueError("a layout of many pages needs columns to join on")
+    for c in on:
+        layout = layout.withColumnRenamed(c, f"_{c}")
+        inside = inside & (F.col(c) == F.col(f"_{c}"))
+    layout = storage.small_or_shuffled(layout) if on else F.broadcast(layout)
+    return words.join(layout, inside).drop("x1", "y1", "x2", "y2", *[f"_{c}" for c in on])
 
 
-def positions(words: DataFrame, rows: int, columns: int, row_height: float | None = ROW_HEIGHT, padding: float = PADDING) -> DataFrame:
+def positions(words: DataFrame, rows: int | Column, columns: int, row_height: float | None = ROW_HEIGHT, padding: float = PADDING) -> DataFrame:
     """words with r and c: the cell at the box's midpoint. row_height None: the page in equal rows.
 
+    rows: the table's rows, or a column of them where tables differ.
+
     Rows beyond the last count as the last. Positions outside the grid stay as they are.
     """
     w, h = F.col("page_w") / 2, F.col("page_h") / 2
     x = (F.col("x0") + F.col("x1")) * w / 2 - padding
     y = (F.col("y0") + F.col("y1")) * h / 2 - padding
+    rows = rows if isinstance(rows, Column) else F.lit(rows)
     height = F.lit(float(row_height)) if row_height is not None else (h - 2 * padding) / rows
     c = F.floor(x / ((w - 2 * padding) / columns)).cast("int")
-    r = F.least(F.floor(y / height).cast("int"), F.lit(rows - 1))
+    r = F.least(F.floor(y / height).cast("int"), rows - 1)
     return words.withColumn("r", r).withColumn("c", c)
 
 
@@ -35,8 +51,8 @@ def outside(placed: DataFrame, columns: int) -> DataFrame:
     return placed.where((F.col("r") < 0) | (F.col("c") < 0) | (F.col("c") >= columns))
 
 
-def grid_cells(placed: DataFrame, keys: list[str], rows: int, columns: int, order: list[str]) -> DataFrame:
-    """(keys, r, c, raw, conf), every position of the grid.
+def grid_cells(placed: DataFrame, keys: list[str], rows: int | Column, columns: int, order: list[str]) -> DataFrame:
+    """(keys, r, c, raw, conf), every position of the grid. rows: a number, or a column made of keys.
 
     The first word of digits wins; without one, the last word. Untouched positions have a null raw
     and the confidence -1.
@@ -44,11 +60,14 @@ def grid_cells(placed: DataFrame, keys: list[str], rows: int, columns: int, orde
     at = F.struct(*order)
     digits = F.col("value").rlike("^[0-9]+$")
     word = F.struct("value", "conf")
-    inside = placed.where((F.col("r") >= 0) & F.col("c").between(0, columns - 1))
-    got = inside.groupBy(*keys, "r", "c").agg(F.coalesce(F.min_by(word, F.when(digits, at)), F.max_by(word, at)).alias("w"))
-    grid = placed.select(*keys).distinct()
-    grid = grid.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))))
-    out = grid.join(got, [*keys, "r", "c"], "left")
+    inside = (F.col("r") >= 0) & F.col("c").between(0, columns - 1)
+    # One shuffle, by keys; a table's words then meet all its positions.
+    got = placed.repartition(*keys).groupBy(*keys, F.when(inside, F.struct("r", "c")).alias("at"))
+    got = got.agg(F.coalesce(F.min_by(word, F.when(digits, at)), F.max_by(word, at)).alias("w"))
+    found = F.map_from_entries(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "w"))))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    grid = got.groupBy(*keys).agg(found.alias("found")).withColumn("r", F.explode(upto(rows if isinstance(rows, Column) else F.lit(rows)))).withColumn("c", F.explode(upto(F.lit(columns))))
+    out = grid.select(*keys, "r", "c", F.try_element_at("found", F.struct("r", "c")).alias("w"))
     return out.select(*keys, "r", "c", F.col("w.value").alias("raw"), F.coalesce(F.col("w.conf"), F.lit(-1.0)).alias("conf"))
 
 

@@ -46,3 +46,34 @@ def pivot_report(df: DataFrame, row: str, column: str, count: str, values: list[
     for v in values if percent else ():
         got = got.withColumn(f"{v}_pct", F.bround(F.coalesce(100.0 * F.col(f"`{v}`") / F.nullif(F.col("total"), F.lit(0)), F.lit(0.0)), 0))
     return got
+
+
+def sized_shares(df: DataFrame, group: str, split: str, count: str, floor: float = 0.3) -> DataFrame:
+    """(group, split, n, share, total, size): how each group splits, in percent, and its relative size."""
+    return shares(df, [group, split], count, [group]).join(relative_size(df, group, count, floor), group)
+
+
+def ranked_pivot(df: DataFrame, row: str, column: str, count: str, values: list[str]) -> DataFrame:
+    """(row, values.., total, place): rows by falling total, ties by name."""
+    got = pivot_report(df, row, column, count, values)
+    # One row for each category, as in relative_size.
+    return got.withColumn("place", F.row_number().over(Window.partitionBy().orderBy(F.desc("total"), row)))
+
+
+def selected_counts(df: DataFrame, row: str, column: str, count: str, values: list[str], keep: list[str]) -> DataFrame:
+    """(row, values.., total, position) of the listed rows, with whole counts."""
+    got = ordered(pivot_report(df, row, column, count, values), row, keep)
+    return got.select(row, *[F.round(F.col(f"`{c}`")).cast("long").alias(c) for c in (*values, "total")], "position")
+
+
+def every_table(tables: DataFrame, dims: list[str]) -> DataFrame:
+    """(table_name, rows, column, n, share) of all contingency tables at once: each table's last dimension
+    across, the others down, and percent of the line.
+
+    tables: (table_name, arity, dims.., Count), null in the dimensions that a table hasn't.
+    """
+    used = F.filter(F.array(*[F.struct(F.lit(d).alias("dim"), F.col(f"`{d}`").alias("value")) for d in dims]), lambda s: F.concat(F.lit("_"), "table_name", F.lit("_")).contains(F.concat(F.lit("_"), s.dim, F.lit("_"))))
+    cells = tables.select("table_name", F.transform(used, lambda s: s.value).alias("values"), F.col("Count").alias("n"))
+    cells = cells.select("table_name", F.slice("values", 1, F.size("values") - 1).alias("rows"), F.element_at("values", -1).alias("column"), "n")
+    cells = cells.groupBy("table_name", "rows", "column").agg(F.sum("n").alias("n"))
+    return enrich.share_of(cells, "n", "share", ["table_name", "rows"])

@@ -166,12 +166,17 @@ def margin_report(records: DataFrame, form: int) -> tuple[DataFrame, DataFrame]:
     return diffs, validate.margin_histogram(diffs)
 
 
-def words_to_tables(words: DataFrame, rows: int, columns: int, form: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def words_to_tables(words: DataFrame, columns: int, form: int, rows: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cells, verdicts, rejects) of the recognised words of table cells.
 
-    words: the schema of words, with the table's part in ``table``. Parts of form 5 are put under one
-    another before they are checked.
+    words: the schema of words, with the table's part in ``table``. rows: of form 1's table. The parts of
+    form 5 have rows of their own; words of unknown parts are left out. They are put under one another
+    before they are checked.
     """
+    if form == 5:
+        words = words.where(F.col("table").isin(*schemas.SUB_TABLES))
+        heights = F.create_map(*[F.lit(x) for k, (_, height, _) in schemas.SUB_TABLES.items() for x in (k, height)])
+        rows = heights[F.col("table")]
     placed = grid.positions(words, rows, columns, grid.ROW_HEIGHT if form == 1 else None)
     cells = grid.grid_cells(placed, ["doc", "table"], rows, columns, ["page", "block", "line", "word_seq"])
     if form == 5:

@@ -6,15 +6,17 @@ small tables of cells, brands and types are codes and labels, priorities are job
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import schemas
+from . import schemas, storage
 from .functions import similarity, text
 from .operators import contingency, dedup, enrich, grid, logs, matching, reports, reshape, validate
 from .plans import jobs
+from .sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -112,8 +114,6 @@ def job2_dp(t: Tables) -> DataFrame:
 
 @query("snk4_combined_tables", f"WITH f AS ({_FACTS_SQL}) SELECT 'by_flag' AS table_name, l_returnflag, NULL AS c_mktsegment, sum(n)::BIGINT AS \"Count\" FROM f GROUP BY ALL UNION ALL SELECT 'by_segment', NULL, c_mktsegment, sum(n)::BIGINT FROM f GROUP BY ALL")
 def snk4(t: Tables) -> DataFrame:
-    from .sources import files
-
     f = facts(t)
     return files.combined([contingency.cube(f, ["l_returnflag"], "n"), contingency.cube(f, ["c_mktsegment"], "n")], ["by_flag", "by_segment"])
 
@@ -444,7 +444,34 @@ def grd1(t: Tables) -> DataFrame:
     SELECT doc, r, c, (CASE WHEN s <> t AND conf < 0.7 AND low = 1 THEN CASE WHEN c = 3 THEN s ELSE t - s + value END ELSE value END)::BIGINT AS value, s = t OR low = 1 AS row_valid FROM s""")
 def job7(t: Tables) -> DataFrame:
     words = _boxes(t).withColumns({"page": F.lit(0), "block": F.lit(0), "line": F.lit(0)})
-    return jobs.words_to_tables(words, 4, 4, 1)[0].select("doc", "r", "c", "value", "row_valid")
+    return jobs.words_to_tables(words, 4, 1, 4)[0].select("doc", "r", "c", "value", "row_valid")
+
+
+_PARTS_SQL = " UNION ALL ".join(f"SELECT '{part}' AS part, '{table}' AS tab, {height} AS height, {offset} AS up" for part, (table, height, offset) in schemas.SUB_TABLES.items())
+
+
+@query(
+    "job7_words_to_form5",
+    f"""WITH v AS (SELECT s_suppkey AS s, tab, up + i AS r, j AS c, (s_suppkey + up + i * 15 + j) % 9 AS v, (s_suppkey + up + i) % 2 AS off, s_suppkey % 4 = 0 AS lacks
+        FROM supplier, (SELECT *, unnest(range(height)) AS i FROM ({_PARTS_SQL})), (SELECT unnest(range(14)) AS j)),
+    t AS (SELECT *, sum(v) OVER (PARTITION BY s, tab, r) + off AS total FROM v)
+    SELECT s AS doc, tab AS "table", r, c, (CASE WHEN c = 3 AND lacks THEN v + off ELSE v END)::BIGINT AS value, lacks OR off = 0 AS row_valid FROM t
+    UNION ALL SELECT DISTINCT s, tab, r, 14, total::BIGINT, lacks OR off = 0 FROM t""",
+)
+def job7_form5(t: Tables) -> DataFrame:
+    """Five parts of a form of each supplier, words at the cells' centres. Every other total is off by one;
+    every fourth form lacks a word in each row, which the totals give back."""
+    parts = t.spark.createDataFrame([(p, h, o) for p, (_, h, o) in schemas.SUB_TABLES.items()], "table string, height int, up int")
+    cells = t.supplier.select(F.col("s_suppkey").alias("doc")).crossJoin(F.broadcast(parts)).withColumn("r", F.explode(F.sequence(F.lit(0), F.col("height") - 1)))
+    numbers = F.transform(F.sequence(F.lit(0), F.lit(13)), lambda j: (F.col("doc") + F.col("up") + F.col("r") * 15 + j) % 9)
+    cells = cells.withColumn("row", numbers)
+    total = F.aggregate("row", F.lit(0).cast("long"), lambda a, x: a + x) + (F.col("doc") + F.col("up") + F.col("r")) % 2
+    cells = cells.select("doc", "table", "height", "r", F.posexplode(F.concat("row", F.array(total))).alias("c", "value")).where("not (c = 3 and doc % 4 = 0)")
+    x = (45 + (F.col("c") + 0.5) * (500 - 90) / 15) / 500
+    y = (45 + (F.col("r") + 0.5) * (250 - 90) / F.col("height")) / 250
+    place = {"page": F.lit(0), "block": F.lit(0), "line": F.lit(0), "word_seq": F.col("c"), "page_w": F.lit(1000.0), "page_h": F.lit(500.0)}
+    words = cells.select("doc", "table", F.col("value").cast("string").alias("value"), F.lit(0.9).alias("conf"), x.alias("x0"), x.alias("x1"), y.alias("y0"), y.alias("y1"), *[v.alias(k) for k, v in place.items()])
+    return jobs.words_to_tables(words, 15, 5)[0].select("doc", "table", "r", "c", "value", "row_valid")
 
 
 @query("jon8_in_rectangles", "SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity <= 25 THEN 'low' ELSE 'high' END AS field FROM lineitem WHERE l_tax BETWEEN 0 AND 0.05 AND (l_quantity BETWEEN 1 AND 25 OR l_quantity BETWEEN 26 AND 50)")
@@ -506,11 +533,16 @@ def hsh1(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.sha2("text", 256).alias("hash"))
 
 
-@query("str5_indel_ratio", """SELECT n_name, r_name, 100.0 * (CASE WHEN n_name = '' THEN 0 ELSE (length(n_name) + length(r_name) - d) END) / (length(n_name) + length(r_name)) AS score FROM (
-    SELECT n_name, n_name || 'X' AS r_name, 1 AS d FROM nation UNION ALL SELECT n_name, substr(n_name, 2) AS r_name, 1 FROM nation)""")
+@query(
+    "str5_indel_ratio",
+    """SELECT c_name, other, 100.0 * (length(c_name) + length(other) - d) / greatest(length(c_name) + length(other), 1) AS score FROM (
+    SELECT c_name, c_name || 'X' AS other, 1 AS d FROM customer UNION ALL SELECT c_name, substr(c_name, 2), 1 FROM customer UNION ALL SELECT c_name, substr(c_name, 1, 4) || 'X' || substr(c_name, 7), 3 FROM customer
+    UNION ALL SELECT c_name, '', length(c_name) FROM customer)""",
+)
 def str5(t: Tables) -> DataFrame:
-    rows = t.nation.select("n_name", F.explode(F.array(F.concat("n_name", F.lit("X")), F.substring("n_name", 2, 1000))).alias("r_name"))
-    return rows.withColumn("score", similarity.indel_ratio("n_name", "r_name"))
+    """An added letter, a dropped one, two replaced by another, and nothing left."""
+    edits = F.array(F.concat("c_name", F.lit("X")), F.substring("c_name", 2, 1000), F.concat(F.substring("c_name", 1, 4), F.lit("X"), F.substring("c_name", 7, 1000)), F.lit(""))
+    return t.customer.select("c_name", F.explode(edits).alias("other")).withColumn("score", similarity.indel_ratio("c_name", "other"))
 
 
 @query("str6_flt5_header_similarity")
@@ -524,12 +556,16 @@ def flt2(t: Tables) -> DataFrame:
     return matching.unlike(t.part.select("p_partkey", "p_name"), "p_name", "almond antique", 60.0)
 
 
-_DROPPED_SQL = "SELECT n_name AS match, left(n_name, 2) || substr(n_name, 4) AS name FROM nation WHERE length(n_name) > 6"
+_DROPPED_SQL = """SELECT DISTINCT n_name AS match, left(n_name, (c_custkey % 6)::INT) || substr(n_name, (c_custkey % 6)::INT + 2) AS name
+    FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE length(n_name) > 6"""
 
 
 @query("jon6_best_matches", f"SELECT name, match, round(200.0 * length(name) / (length(name) + length(match)), 6) AS score FROM ({_DROPPED_SQL}) UNION SELECT n_name, n_name, 100.0 FROM nation")
 def jon6(t: Tables) -> DataFrame:
-    dropped = t.nation.where(F.length("n_name") > 6).select(F.concat(F.substring("n_name", 1, 2), F.substring("n_name", 4, 1000)).alias("name"))
+    """Each customer's nation, spelled with one of its first letters left out."""
+    lived = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).where(F.length("n_name") > 6)
+    at = (F.col("c_custkey") % 6).cast("int")
+    dropped = lived.select(F.concat(F.substring("n_name", F.lit(1), at), F.substring("n_name", at + 2, F.lit(1000))).alias("name"))
     names = dropped.union(t.nation.select("n_name"))
     return matching.best_matches(names, t.nation.select(F.col("n_name").alias("ref"))).withColumn("score", F.round("score", 6))
 
@@ -628,6 +664,11 @@ def rep3(t: Tables) -> DataFrame:
     return reports.shares(facts(t), ["o_orderstatus", "o_orderpriority"], "n", ["o_orderstatus"]).withColumn("share", F.round("share", 6))
 
 
+@query("rep4_job_by_gender", f"SELECT o_orderpriority, o_orderstatus, sum(n)::BIGINT AS n, round(100.0 * sum(n) / sum(sum(n)) OVER (), 6) AS share FROM ({_FACTS_SQL}) GROUP BY ALL")
+def rep4(t: Tables) -> DataFrame:
+    return reports.shares(facts(t), ["o_orderpriority", "o_orderstatus"], "n").withColumn("share", F.round("share", 6))
+
+
 @query("rep5_selected_after_shares", f"SELECT * FROM (SELECT o_orderstatus, o_orderpriority, n, round(100.0 * n / sum(n) OVER (PARTITION BY o_orderstatus), 6) AS share FROM (SELECT o_orderstatus, o_orderpriority, sum(n)::BIGINT AS n FROM ({_FACTS_SQL}) GROUP BY ALL)) WHERE o_orderpriority <> '5-LOW'")
 def rep5(t: Tables) -> DataFrame:
     got = reports.shares(facts(t), ["o_orderstatus", "o_orderpriority"], "n", ["o_orderstatus"], {"o_orderpriority": ["5-LOW"]}, hide_after=True)
@@ -639,6 +680,17 @@ def rep6(t: Tables) -> DataFrame:
     return reports.relative_size(facts(t), "o_orderstatus", "n").withColumn("size", F.round("size", 6))
 
 
+@query(
+    "rep6_split_and_size",
+    f"""WITH g AS (SELECT o_orderstatus, l_returnflag, sum(n)::BIGINT AS n FROM ({_FACTS_SQL}) GROUP BY ALL)
+    SELECT o_orderstatus, l_returnflag, n, round(100.0 * n / sum(n) OVER w, 6) AS share, (sum(n) OVER w)::BIGINT AS total,
+    round(greatest(0.3, sum(n) OVER w / (SELECT max(s) FROM (SELECT sum(n) AS s FROM g GROUP BY o_orderstatus))), 6) AS size FROM g WINDOW w AS (PARTITION BY o_orderstatus)""",
+)
+def rep6_split(t: Tables) -> DataFrame:
+    got = reports.sized_shares(facts(t), "o_orderstatus", "l_returnflag", "n")
+    return got.withColumns({c: F.round(c, 6) for c in ("share", "size")})
+
+
 @query("rep7_stacked_counts", f"SELECT o_orderpriority, {_PIVOT_SQL}, coalesce(sum(n) FILTER (c_mktsegment IN ('BUILDING', 'MACHINERY', 'FURNITURE')), 0)::BIGINT AS total FROM ({_FACTS_SQL}) GROUP BY ALL")
 def rep7(t: Tables) -> DataFrame:
     return reports.pivot_report(facts(t), "o_orderpriority", "c_mktsegment", "n", _SEGMENTS)
@@ -649,6 +701,96 @@ def rep8(t: Tables) -> DataFrame:
     return reports.shares(facts(t), ["c_mktsegment"], "n").withColumn("share", F.round("share", 6)).orderBy(F.desc("n"))
 
 
+@query("rep9_ranked_pivot", f"SELECT *, row_number() OVER (ORDER BY total DESC, o_orderpriority)::INT AS place FROM (SELECT *, {' + '.join(_SEGMENTS)} AS total FROM (SELECT o_orderpriority, {_PIVOT_SQL} FROM ({_FACTS_SQL}) GROUP BY ALL))")
+def rep9(t: Tables) -> DataFrame:
+    return reports.ranked_pivot(facts(t), "o_orderpriority", "c_mktsegment", "n", _SEGMENTS)
+
+
+@query("rep9_selected_counts", f"SELECT *, list_position(['5-LOW', '2-HIGH'], o_orderpriority)::INT AS position FROM (SELECT *, {' + '.join(_SEGMENTS)} AS total FROM (SELECT o_orderpriority, {_PIVOT_SQL} FROM ({_FACTS_SQL}) GROUP BY ALL)) WHERE o_orderpriority IN ('5-LOW', '2-HIGH')")
+def rep9_selected(t: Tables) -> DataFrame:
+    return reports.selected_counts(facts(t), "o_orderpriority", "c_mktsegment", "n", _SEGMENTS, ["5-LOW", "2-HIGH"])
+
+
+def _every_sql(arity: int) -> str:
+    from itertools import combinations
+
+    return " UNION ALL ".join(
+        f"SELECT '{'_'.join(c)}' AS table_name, concat_ws('|', {', '.join(c[:-1])}) AS lines, {c[-1]} AS \"column\", sum(n)::BIGINT AS n, round(100.0 * sum(n) / sum(sum(n)) OVER (PARTITION BY {', '.join(c[:-1])}), 6) AS share FROM f GROUP BY {', '.join(c)}"
+        for c in combinations(FIELDS, arity)
+    )
+
+
+@query("rep10_every_table", f"WITH f AS ({_FACTS_SQL}) {_every_sql(3)} UNION ALL {_every_sql(2)}")
+def rep10(t: Tables) -> DataFrame:
+    f = facts(t)
+    both = contingency.contingency(f, FIELDS, 3, "n").unionByName(contingency.contingency(f, FIELDS, 2, "n"))
+    got = reports.every_table(both, FIELDS)
+    return got.select("table_name", F.array_join("rows", "|").alias("lines"), "column", "n", F.round("share", 6).alias("share"))
+
+
+# --- readers and writers: a table written out and read back --------------------------------------
+
+
+def _new_path(t: Tables, name: str) -> str:
+    return f"{storage.shared_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("src4_industries", "SELECT c_custkey::VARCHAR AS code, c_name AS title FROM customer")
+def src4(t: Tables) -> DataFrame:
+    path = _new_path(t, "industries")
+    k = F.col("c_custkey")
+    t.customer.select(k.cast("int").alias("Seq. No."), F.concat(F.lit(" "), k).alias("Code"), F.concat("c_name", F.lit(" ")).alias("Title"), F.lit(None).cast("string").alias("note")).write.option("header", True).csv(path)
+    return files.industries(t.spark, path)
+
+
+@query("src5_zip_counties", "SELECT lpad(c_custkey::VARCHAR, 5, '0') AS zip, c_nationkey::VARCHAR AS county_code, c_mktsegment AS county_name, c_nationkey / 32.0 AS share FROM customer WHERE c_custkey % 10 <> 0 AND c_custkey < 100000")
+def src5(t: Tables) -> DataFrame:
+    """Every tenth row is a label or a placeholder."""
+    path = _new_path(t, "counties")
+    k = F.col("c_custkey")
+    zcta = F.when(k % 20 == 0, "ZIP code").when(k % 10 == 0, " ").otherwise(F.lpad(k.cast("string"), 5, "0"))
+    rows = t.customer.where("c_custkey < 100000")
+    rows.select(zcta.alias("zcta"), F.col("c_nationkey").alias("county"), F.concat("c_mktsegment", F.lit(" MA")).alias("CountyName"), F.lit("x").alias("ZIPName"), F.lit(1).alias("pop20"), (F.col("c_nationkey") / 32).alias("afact")).write.option("header", True).csv(path)
+    return files.zip_counties(t.spark, path)
+
+
+@query("src6_cities", "SELECT upper(c_mktsegment) || c_custkey AS city, 'MA' AS state, c_name AS county_name, '02108 02109' AS zips FROM customer")
+def src6(t: Tables) -> DataFrame:
+    path = _new_path(t, "cities")
+    known = {"city": F.concat(F.lit(" "), F.lower("c_mktsegment"), "c_custkey"), "state_id": F.lit("MA "), "county_name": F.col("c_name"), "zips": F.lit("02108 02109")}
+    t.customer.select(*[known.get(c, F.lit("x")).alias(c) for c in schemas.CITIES.names]).write.option("header", True).csv(path)
+    return files.cities(t.spark, path)
+
+
+@query("snk1_tables_by_folder", f"WITH f AS ({_FACTS_SQL}) {_named(2, 'f', 'sum(n)::BIGINT')}")
+def snk1(t: Tables) -> DataFrame:
+    path = _new_path(t, "tables")
+    files.write_tables(contingency.contingency(facts(t), FIELDS, 2, "n"), path)
+    return t.spark.read.parquet(path).withColumn("arity", F.col("arity").cast("int"))
+
+
+@query("snk1_named_csv", f"WITH f AS ({_FACTS_SQL}) SELECT table_name || '_contingency.csv' AS file, * EXCLUDE (table_name, arity) FROM ({_named(2, 'f', 'sum(n)::BIGINT')})")
+def snk1_csv(t: Tables) -> DataFrame:
+    path = _new_path(t, "tables")
+    files.write_tables(contingency.contingency(facts(t), FIELDS, 2, "n"), path, "csv")
+    kinds = ", ".join(f"{f} string" for f in FIELDS)
+    return t.spark.read.schema(f"{kinds}, `Count` long, file string").option("header", True).csv(path)
+
+
+@query("snk2_form_records", "SELECT 'c' || c_custkey AS id, c_mktsegment AS section, c_name AS content, c_nationkey::VARCHAR AS confidence FROM customer")
+def snk2(t: Tables) -> DataFrame:
+    path = _new_path(t, "forms")
+    files.write_forms(t.customer.select(F.concat(F.lit("c"), "c_custkey").alias("id"), F.col("c_mktsegment").alias("section"), F.col("c_name").alias("content"), F.col("c_nationkey").cast("string").alias("confidence")), path)
+    return t.spark.read.schema(schemas.FIELDS).json(path)
+
+
+@query("snk3_margin_histogram", f"{_MARGIN_SQL} SELECT diff, count(*) AS files FROM g WHERE diff <> 0 GROUP BY diff")
+def snk3(t: Tables) -> DataFrame:
+    path = _new_path(t, "histogram")
+    files.write_summary(validate.margin_histogram(validate.margins(matrices(t), 1)).drop("table"), path)
+    return t.spark.read.schema("diff long, files long").json(path)
+
+
 # --- whole jobs on forms derived from the tables ------------------------------------------------
 
 
@@ -686,6 +828,44 @@ def job10(t: Tables) -> DataFrame:
     return jobs.flatten_form5(_form5(t))
 
 
+@query(
+    "flt7_flatten_without_table_c",
+    f"""SELECT 'f' || s_suppkey AS filename, kind AS "Work Type", sum((s_suppkey + i * 15 + j + k) % 9)::BIGINT AS n, count(*) AS cells
+    FROM supplier, ({_FORM5_SQL}), ({_RACES_SQL}) WHERE i < h - 1 AND tab <> 'table_c' GROUP BY ALL""",
+)
+def flt7(t: Tables) -> DataFrame:
+    flat = jobs.flatten_form5(_form5(t), include_new_hires=False)
+    return flat.groupBy("filename", "Work Type").agg(F.sum("Count").alias("n"), F.count("*").alias("cells"))
+
+
+@query(
+    "job4_extract_form5",
+    """SELECT 's' || s_suppkey AS filename, 'MA' AS state, 'COUNTY' || s_nationkey AS county, CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE s_name END AS city, lpad(s_suppkey::VARCHAR, 5, '0') AS zipcode,
+    (CASE WHEN s_suppkey % 5 = 0 THEN -1 ELSE 2000 + s_suppkey % 20 END)::VARCHAR AS reporting_year, s_suppkey % 2 = 0 AS "Local Public School", false AS "Special Regional Agency", false AS "State Education Agency", s_suppkey % 7 = 0 AS "Other",
+    (s_suppkey % 100 * 6 + 15)::BIGINT AS a, (s_suppkey % 100 * 2 + 1)::BIGINT AS c FROM supplier""",
+)
+def job4_form5(t: Tables) -> DataFrame:
+    k = F.col("s_suppkey")
+    text_of = lambda *a: F.to_json(F.array_compact(F.array(F.lit("caption"), *a)))
+    number = lambda i: (k % 100 + i).cast("int")
+    content = {
+        "b-STATE": text_of(F.lit("MA")),
+        "b-COUNTY": text_of(F.concat(F.lit("County"), "s_nationkey")),
+        "b-CITY": text_of(F.when(k % 3 != 0, F.col("s_name"))),
+        "b-ZIPCODE": text_of(F.lpad(k.cast("string"), 5, "0")),
+        "title-OE_NUM_AND_YEAR": text_of(F.when(k % 5 == 0, "none").otherwise(F.concat(F.lit("Report "), 2000 + k % 20))),
+        "a-TYPE_OF_AGENCY": F.to_json(F.create_map(F.lit("Local Public School"), k % 2 == 0, F.lit("Other"), k % 7 == 0)),
+        "table-A": F.to_json(F.array(*[F.array(*[number(3 * i + j) for j in range(3)]) for i in range(2)])),
+        "table-B": F.to_json(F.array(F.array(number(0)))),
+        "table-C": F.to_json(F.array(F.array(number(0), number(1)))),
+    }
+    pairs = F.array(*[F.struct(F.lit(i).alias("id"), c.alias("content")) for i, c in content.items()])
+    fields = t.supplier.select(F.concat(F.lit("/in/s"), k, F.lit("_page_1_cropped.json")).alias("doc"), F.explode(pairs).alias("f")).select("doc", "f.id", "f.content")
+    sums = lambda m: F.aggregate(F.flatten(m), F.lit(0).cast("long"), lambda a, x: a + x)
+    records = jobs.extract_form5(fields)
+    return records.select("filename", "state", "county", "city", "zipcode", "reporting_year", *[f"`{f}`" for f in schemas.AGENT_FLAGS], sums("table_a").alias("a"), sums("table_c").alias("c"))
+
+
 @query(
     "job6_margin_report",
     f"""WITH v AS (SELECT s_suppkey, tab, h, i, j, (s_suppkey + i * 15 + j + k) % 9 AS v FROM supplier, ({_FORM5_SQL}), (SELECT unnest(range(15)) AS j)),
@@ -697,7 +877,11 @@ def job6(t: Tables) -> DataFrame:
 
 
 def _form1_fields(t: Tables) -> DataFrame:
-    """The fields of a form of each customer: some are consolidated, lack a city, or are hard to read."""
+    """The fields of a form of each customer: some are consolidated, lack a city, or are hard to read.
+
+    Of six tables of two rows, their total and the year before, one has a wrong total in a row, one in the
+    last row, and one a wrong number that was hard to read.
+    """
     k = F.col("c_custkey")
     answers = {
         "a-TYPE_OF_REPORT": F.when(k % 10 == 0, "CONSOLIDATED REPORT").otherwise("ESTABLISHMENT REPORT"),
@@ -709,8 +893,18 @@ def _form1_fields(t: Tables) -> DataFrame:
     }
     pairs = [F.struct(F.lit(i).alias("id"), F.to_json(F.array_compact(F.array(F.lit("caption"), a))).alias("content")) for i, a in answers.items()]
     pairs.append(F.struct(F.lit("h-CURRENT_YEAR_REPORTING_TOTAL_LABEL").alias("id"), F.to_json(F.array(F.concat(F.lit("TOTAL "), 2000 + k % 20))).alias("content")))
+    i = lambda c: c.cast("int")
+    upper, lower = [i(k % 7), i(k % 5), i(k % 3)], [i(k % 4), i(k % 6), i(k % 2)]
+    totals = [a + b for a, b in zip(upper, lower, strict=True)]
+    off = lambda n: F.when(k % 6 == n, 1).otherwise(0)
+    matrix = F.array(
+        F.array(upper[0] + off(3), *upper[1:], sum(upper, off(1))), F.array(*lower, sum(lower, F.lit(0))), F.array(*totals, sum(totals, F.lit(0))), F.array(*[F.lit(v) for v in (1, 2, 3)], 6 + off(2))
+    )
+    pairs.append(F.struct(F.lit("h-TABLE").alias("id"), F.to_json(matrix).alias("content")))
     rows = t.customer.select(F.concat(F.lit("/in/c"), k, F.lit("_page_1_cropped.json")).alias("doc"), "c_custkey", F.explode(F.array(*pairs)).alias("f"))
-    low = F.when((k % 9 == 0) & (F.col("f.id") == "b-STATE"), "[0.9, 0.4]").otherwise("[0.9, 0.9]")
+    line = "[0.9, 0.9, 0.9, 0.9]"
+    sure = F.when(k % 6 == 3, f"[[0.1, 0.9, 0.9, 0.9], {line}, {line}, {line}]").otherwise(f"[{line}, {line}, {line}, {line}]")
+    low = F.when(F.col("f.id") == "h-TABLE", sure).when((k % 9 == 0) & (F.col("f.id") == "b-STATE"), "[0.9, 0.4]").otherwise("[0.9, 0.9]")
     return rows.select("doc", "f.id", "f.content", low.alias("confidence"))
 
 
@@ -729,7 +923,7 @@ def job4(t: Tables) -> DataFrame:
 _PLACES = "CASE WHEN r_regionkey = 0 THEN 'BOSTON' ELSE 'TOWN' || r_regionkey END"
 
 
-@query("job5_validate_forms", "SELECT count(*) AS forms, 0::BIGINT AS partial_invalid, 0::BIGINT AS invalid, count(*) FILTER (c_custkey % 9 = 0) AS invalid_text, count(*) FILTER (c_custkey % 4 = 0) AS missing_location FROM customer")
+@query("job5_validate_forms", "SELECT count(*) AS forms, count(*) FILTER (c_custkey % 6 IN (1, 3)) AS partial_invalid, count(*) FILTER (c_custkey % 6 IN (1, 2, 3)) AS invalid, count(*) FILTER (c_custkey % 9 = 0) AS invalid_text, count(*) FILTER (c_custkey % 4 = 0) AS missing_location FROM customer")
 def job5(t: Tables) -> DataFrame:
     places = t.region.select(F.expr(_PLACES).alias("city"), F.lit("MA").alias("state"))
     return jobs.validate_forms(_form1_fields(t), places)[1]

@@ -55,8 +55,20 @@ def log_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_tables(tables: DataFrame, path: str, kind: str = "parquet") -> None:
-    """Contingency tables (table_name, arity, ..) in one folder for each."""
-    tables.write.partitionBy("arity", "table_name").format(kind).save(path)
+    """Contingency tables (table_name, arity, ..) in one folder for each.
+
+    As CSV, with a header, the folders are named file=<dimensions>_contingency.csv.
+    """
+    if kind == "csv":
+        file = F.concat(F.regexp_replace("table_name", " ", "_"), F.lit("_contingency.csv"))
+        tables.withColumn("file", file).drop("table_name", "arity").write.partitionBy("file").option("header", True).csv(path)
+    else:
+        tables.write.partitionBy("arity", "table_name").format(kind).save(path)
+
+
+def write_summary(summary: DataFrame, path: str) -> None:
+    """A histogram or a summary of few rows as one file of JSON lines."""
+    summary.coalesce(1).write.json(path)
 
 
 def write_forms(records: DataFrame, path: str) -> None:

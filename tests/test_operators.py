@@ -1,5 +1,6 @@
 import difflib
 import json
+import math
 import random
 
 import pytest
@@ -190,10 +191,39 @@ def test_form5_jobs(spark):
     assert records.where(validate.not_exactly_one(schemas.AGENT_FLAGS)).count() == 1
 
 
+def test_noise_at_the_ends(spark):
+    got = spark.createDataFrame([(u,) for u in (0.0, 2.0**-53, 0.5, 1 - 2.0**-53, 1.0)], "u double").select(noise.laplace_from(F.col("u"), 21.0).alias("x")).collect()
+    low, less, mid, more, high = (r.x for r in got)
+    assert low == pytest.approx(-21 * 53 * math.log(2)) and low <= less < mid == 0 < more <= high == -low
+
+
+def test_quartiles_agree_with_percentile(spark):
+    for n, spread in ((1, 1), (2, 9), (7, 3), (5000, 40), (4001, 10**6)):
+        df = spark.range(n).select(F.when(F.col("id") % 11 != 3, F.xxhash64("id") % spread).alias("v"))
+        want = df.agg(F.percentile("v", F.array(*[F.lit(q / 4) for q in range(5)]))).first()[0]
+        assert enrich.quartile_edges(df, "v").first().edges == pytest.approx(want)
+    assert enrich.quartile_edges(df.where("false"), "v").first().edges is None
+
+
+def test_layouts(spark):
+    words = spark.createDataFrame([("p", 1.0, 1.0), ("q", 1.0, 1.0)], "form string, x double, y double")
+    layout = spark.createDataFrame([("p", "s", "f", 0.0, 0.0, 2.0, 2.0), ("q", "s", "g", 0.0, 0.0, 1.0, 1.0), ("q", "s", "h", 2.0, 0.0, 3.0, 1.0)], "form string, section string, field string, x1 double, y1 double, x2 double, y2 double")
+    assert sorted((r.form, r.field) for r in grid.in_rectangles(words, layout, ("form",)).collect()) == [("p", "f"), ("q", "g")]
+    many = spark.range(grid.PAGE_RECTANGLES + 1).select(*[F.lit(1.0).alias(c) for c in ("x1", "x2", "y1", "y2")])
+    with pytest.raises(ValueError):
+        grid.in_rectangles(words, many)
+
+
+def test_unlike_skips_by_length(spark):
+    texts = ["CONSOLIDATED REPORT", "CONSOLIDATED REPRT", "REPORT", "", None, "CONSOLIDATED REPORT" * 9]
+    got = [r.t for r in matching.unlike(spark.createDataFrame([(t,) for t in texts], "t string"), "t").collect()]
+    assert got == texts[2:]
+
+
 def test_words_to_stacked_tables(spark):
     words = [("d", "a2", 0, 0, 0, 1, "5", 0.9, 0.1, 0.5, 0.1, 0.5, 1000.0, 500.0)]
     df = spark.createDataFrame(words, "doc string, table string, page int, block int, line int, word_seq int, value string, conf double, x0 double, y0 double, x1 double, y1 double, page_w double, page_h double")
-    got, _, rejects = jobs.words_to_tables(df, 1, 15, 5)
+    got, _, rejects = jobs.words_to_tables(df, 15, 5)
     assert {r.r for r in got.collect()} == {10} and rejects.count() == 0
 
 
@@ -238,6 +268,11 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 3
     files.write_forms(df, str(tmp_path / "f"))
     assert spark.read.json(str(tmp_path / "f")).count() == 1
+    files.write_tables(tables, str(tmp_path / "c"), "csv")
+    assert sorted(p.name for p in (tmp_path / "c").iterdir() if p.is_dir()) == [f"file={x}_contingency.csv" for x in ("a_b", "a_c", "b_c")]
+    assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 3
+    files.write_summary(df, str(tmp_path / "s"))
+    assert len(list((tmp_path / "s").glob("*.json"))) == 1
     names = [r.table_name for r in files.combined([df, df], ["n" * 40, "n" * 40]).collect()]
     assert len(set(names)) == 2 and max(map(len, names)) == 31
 
