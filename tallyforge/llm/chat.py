@@ -1,11 +1,13 @@
 """Chat formatting in budgeted windows.
 
 A conversation's rows, in order of turn, become training texts (windows) of at most ``budget``
-tokens. Prefix sums of turn tokens choose the spans: a window opens with the conversation's
-system turn, repeats the last turns before it as history while they fit a share of the budget,
-and goes on with new turns up to the budget; spans begin and end at turns. A turn larger than
-what is left of the budget stands alone with the system turn, whole. Repeated turns bear no
-loss, so each assistant turn is a target exactly once.
+tokens. A turn's tokens are those of a byte-level vocabulary, the template's included. Prefix sums of
+turn tokens choose the spans: a window opens with the conversation's system turn, repeats the last
+turns before it as history while they fit a share of the budget, and goes on with new turns up to
+the budget; spans begin and end at turns. A turn larger than the budget stands alone, whole, with the
+system turn: only such windows go over it. Where the system turn is so large that it and a new turn
+don't fit together, but the turn alone does, the window goes without the system turn. Repeated
+turns bear no loss, so each assistant turn is a target exactly once.
 
 Template of a turn: ``### <role>: <text></turn>`` and a newline. Inside roles and texts a backslash
 goes before each backslash and each control string; reading drops it.
@@ -23,10 +25,11 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from . import common
+from . import attribution, common
 
 BUDGET = 1024
 #: The most that history may take of the budget.
@@ -37,7 +40,6 @@ _TEXT_CONTROL = re.compile(r"\\|### |</turn>")
 _ROLE_CONTROL = re.compile(r"\\|: |### |</turn>")
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 _TURN = re.compile(r"### ((?:[^\\:]|\\.|:(?! ))*): ((?:[^\\<]++|\\.|<(?!/turn>))*+)</turn>\n", re.DOTALL)
-_WORDS = re.compile(r"\w+|[^\w\s]")
 
 WINDOWS = "window long, text string, new_from int, loss array<struct<start:int,end:int>>, tokens long"
 
@@ -67,17 +69,17 @@ def turns(text: str) -> Iterator[tuple[str, str, int, int]]:
         at = m.end()
 
 
-def count_tokens(text: str) -> int:
-    """Words and punctuation marks, the template's included."""
-    return sum(1 for _ in _WORDS.finditer(text))
+def counted(parts: list[str], vocabulary: str) -> np.ndarray:
+    """Tokens of each formatted turn."""
+    return np.diff(attribution.lengths(vocabulary).spans(parts)[1])
 
 
 class _Conversation:
-    """Windows of one conversation, turn by turn."""
+    """Windows of one conversation, some turns at a time."""
 
     def __init__(self, budget: int, history: int) -> None:
         self.budget, self.most = budget, history
-        self.system: tuple[str, str] | None = None
+        self.system: tuple[str, str, int] | None = None
         self.past: list[tuple[str, str, int]] = []  # the turns that may be repeated next
         self.number = 0
         self._open()
@@ -95,69 +97,77 @@ class _Conversation:
         self.length += len(part)
         self.tokens += tokens
 
-    def close(self) -> dict | None:
-        if not self.fresh:
-            return None
-        out = {"window": self.number, "text": "".join(self.parts), "new_from": len(self.parts) - self.fresh, "loss": self.loss, "tokens": self.tokens}
-        self.number += 1
-        self._open()
-        return out
-
-    def add(self, role: str, text: str) -> dict | None:
-        """Takes a turn; returns the window that it ended, if any."""
-        tokens = count_tokens(format_turn(role, text)[0])
-        out = self.close() if self.fresh and self.tokens + tokens > self.budget else None
-        if not self.fresh:
-            if self.system:
-                self._put(*self.system, False)
-            room = min(self.most, self.budget - self.tokens - tokens)
-            keep = len(self.past)
-            while keep and self.past[keep - 1][2] <= room:
-                keep -= 1
-                room -= self.past[keep][2]
-            for turn in self.past[keep:]:
-                self._put(*turn, False)
-        self._put(role, text, tokens, role == TARGET)
-        self.fresh += 1
-        if role == SYSTEM and self.system is None:
-            self.system = (role, text, tokens)
-        else:
-            self.past.append((role, text, tokens))
-            total = 0
-            for i in range(len(self.past) - 1, -1, -1):
-                total += self.past[i][2]
-                if total > self.most:
-                    del self.past[: i + 1]
-                    break
-        return out
-
-
-def windows(rows: DataFrame, budget: int = BUDGET, history: float = HISTORY) -> DataFrame:
+    def close(self) -> Iterator[dict]:
+        if self.fresh:
+            yield {"window": self.number, "text": "".join(self.parts), "new_from": len(self.parts) - self.fresh, "loss": self.loss, "tokens": self.tokens}
+            self.number += 1
+            self._open()
+
+    def _begin(self, tokens: int) -> None:
+        """Opens a window whose first new turn has so many tokens: the system turn and history."""
+        room = self.budget - tokens
+        if self.system and (self.system[2] <= room or room < 0):
+            self._put(*self.system, False)
+            room -= self.system[2]
+        held = np.cumsum([n for _, _, n in reversed(self.past)])
+        for turn in self.past[len(self.past) - int(np.searchsorted(held, min(self.most, room), "right")) :]:
+            self._put(*turn, False)
+
+    def take(self, turns: list[tuple[str, str]], tokens: np.ndarray) -> Iterator[dict]:
+        """Takes the next turns; gives the windows that they end."""
+        upto = np.concatenate(([0], np.cumsum(tokens)))
+        i = 0
+        while i < len(turns):
+            end = int(np.searchsorted(upto, upto[i] + self.budget - self.tokens, "right")) - 1
+            if self.fresh and end <= i:
+                yield from self.close()
+            if not self.fresh:
+                self._begin(int(tokens[i]))
+                end = max(i + 1, int(np.searchsorted(upto, upto[i] + self.budget - self.tokens, "right")) - 1)
+            new = [(*turns[k], int(tokens[k])) for k in range(i, end)]
+            for turn in new:
+                self._put(*turn, turn[0] == TARGET)
+            self.fresh += len(new)
+            i = end
+            if self.system is None and (first := next((k for k, turn in enumerate(new) if turn[0] == SYSTEM), None)) is not None:
+                self.system = new.pop(first)
+            self.past += new
+            held = np.cumsum([n for _, _, n in reversed(self.past)])
+            self.past = self.past[len(self.past) - int(np.searchsorted(held, self.most, "right")) :]
+
+
+def windows(rows: DataFrame, budget: int = BUDGET, history: float = HISTORY, vocabulary: str | None = None) -> DataFrame:
     """(conv_id, window, text, new_from, loss, tokens), ordered within partitions.
 
     rows: (conv_id, turn, role, text). new_from: how many of the window's turns are repeated; loss:
     spans of code points of the text that bear loss.
     """
+    path = vocabulary or attribution.default_path()
     rows = common.pick(rows, "conv_id", "turn", "role", "text")
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, key = None, None
         for f in frames:
-            out = []
-            for conv, role, text in zip(f["conv_id"].tolist(), f["role"], f["text"], strict=True):
-                if now is None or conv != key:
-                    if now is not None and (w := now.close()):
-                        out.append({"conv_id": key} | w)
-                    now, key = _Conversation(budget, int(budget * history)), conv
-                if w := now.add(role or "", text or ""):
+            keys = f["conv_id"].tolist()
+            turns = [(r or "", t or "") for r, t in zip(f["role"], f["text"], strict=True)]
+            tokens = counted([format_turn(*turn)[0] for turn in turns], path)
+            out: list[dict] = []
+            i = 0
+            while i < len(keys):
+                end = next((k for k in range(i, len(keys)) if keys[k] != keys[i]), len(keys))
+                if now is None or keys[i] != key:
+                    out += [{"conv_id": key} | w for w in now.close()] if now else []
+                    now, key = _Conversation(budget, int(budget * history)), keys[i]
+                for w in now.take(turns[i:end], tokens[i:end]):
                     out.append({"conv_id": key} | w)
-                if len(out) >= 1000:
-                    yield _frame(out)
-                    out = []
+                    if len(out) >= 1000:
+                        yield _frame(out)
+                        out = []
+                i = end
             yield _frame(out)
-        if now is not None and (w := now.close()):
-            yield _frame([{"conv_id": key} | w])
+        if now is not None:
+            yield _frame([{"conv_id": key} | w for w in now.close()])
 
     return common.mapped(rows, run, WINDOWS)
 

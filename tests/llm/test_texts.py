@@ -72,6 +72,31 @@ def test_pack_examples(spark):
         assert sum(r.t for r in own) <= 512 and len(own) <= 4 and sum(r.l or 0 for r in own) <= 60
 
 
+@pytest.mark.parametrize("rule", attribution.RULES)
+def test_attribution_matches_brute_force(spark, rule):
+    """Each section's tokens, from whole texts encoded by themselves, one token at a time."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id % 5 = 0")
+    got = attribution.attribute(docs, "doc_id", ["source", "lang", "text"], ("text",), rule).toPandas()
+    coder = attribution.Lengths(attribution.default_path()).encoding
+    for r in docs.collect():
+        parts = [f"{r.source}\n", f"{r.lang}\n", *re.findall(r"[^\n]*\n|[^\n]+", r.text or "")]
+        parts += [""] if not r.text else []
+        owner = [k for k, p in enumerate(parts) for _ in p.encode()]
+        count, crossing, at = [0.0] * len(parts), [0] * len(parts), 0
+        for i in coder.encode_ordinary("".join(parts)):
+            n = len(coder.decode_single_token_bytes(i))
+            held = Counter(owner[at : at + n])
+            at += n
+            if rule == "share":
+                for k, v in held.items():
+                    count[k] += v / n
+            else:
+                count[min(held) if rule == "start" else min(held, key=lambda k: (-held[k], k))] += 1
+            crossing[min(held)] += len(held) > 1
+        own = got[got["doc_id"] == r.doc_id].sort_values("section")
+        assert np.allclose(own["n_tokens"], count) and own["n_crossing"].tolist() == crossing
+
+
 @pytest.mark.parametrize("rule", attribution.RULES)
 def test_attribution_adds_up(spark, rule):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
@@ -113,6 +138,24 @@ def test_secret_spans(spark):
         assert sorted(s for s in secrets.spans(t) if s[2] in secrets.KINDS[:3]) == brute_spans(t)
 
 
+def test_secret_query_matches_brute_force(spark):
+    """All columns of the query: counts, the digest of the base spans, and the joined spans."""
+    d = "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in queries.op8_secret_scan(spark, d).collect()}
+    docs = spark.read.parquet(f"{d}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    order = ("assign", "access", "hex")
+    for r in docs:
+        base = sorted(brute_spans(r.text or ""), key=lambda s: (s[0], order.index(s[2])))
+        joined = [f"{k}:{s}:{e}" for s, e, k in base]
+        assert got[r.doc_id].base_sha256 == hashlib.sha256(",".join(joined).encode()).hexdigest()
+        assert (got[r.doc_id].n_assign, got[r.doc_id].n_access, got[r.doc_id].n_hex) == tuple(sum(s[2] == k for s in base) for k in order)
+        spans = got[r.doc_id].spans.split(",") if got[r.doc_id].spans else []
+        assert [s for s in spans if s.split(":")[0] in order] == joined
+        starts = [int(s.split(":")[1]) for s in spans]
+        assert starts == sorted(starts)
+
+
 def test_secret_checksums():
     body = "A1b2C3d4E5f6G7h8J9k0L1m2N3p4Q5"
     n, tail = zlib.crc32(body.encode()), ""
@@ -145,6 +188,54 @@ def test_chat_reads_back(spark):
         assert got[c].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
 
 
+def brute_windows(turns, budget, most):
+    """(system, repeated, new) indices of turns by window, one turn at a time; turns: (role, tokens)."""
+    out, system, past, now, used = [], None, [], None, 0
+    for i, (role, n) in enumerate(turns):
+        if now and used + n > budget:
+            out, now = [*out, now], None
+        if not now:
+            now, room = ([], [], []), budget - n
+            used = n
+            if system is not None and (turns[system][1] <= room or room < 0):
+                now[0].append(system)
+                room -= turns[system][1]
+                used += turns[system][1]
+            room = min(most, room)
+            for k in reversed(past):
+                if turns[k][1] > room:
+                    break
+                now[1].insert(0, k)
+                room -= turns[k][1]
+                used += turns[k][1]
+        else:
+            used += n
+        now[2].append(i)
+        if role == "system" and system is None:
+            system = i
+        else:
+            past.append(i)
+    return [*out, now] if now else out
+
+
+@pytest.mark.parametrize("system", [4, 60, 90, 130])
+def test_chat_spans_match_brute_force(spark, system):
+    """Budget 100: small and large system turns, turns over the budget, very long texts."""
+    rng = np.random.default_rng(system)
+    said = ["w " * int(n) for n in rng.choice([1, 5, 20, 60, 95, 150, 20000], 400, p=[0.2, 0.3, 0.3, 0.1, 0.05, 0.04, 0.01])]
+    rows = [(1, i, ("user", "assistant")[i % 2], t) for i, t in enumerate(said)]
+    rows[2] = (1, 2, "system", "s " * system)
+    made = sorted(chat.windows(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"), 100, 0.3).collect(), key=lambda w: w.window)
+    encode = attribution.Lengths(attribution.default_path()).encoding.encode_ordinary
+    turns = [(r[2], len(encode(chat.format_turn(r[2], r[3])[0]))) for r in rows]
+    want = brute_windows(turns, 100, 30)
+    assert len(made) == len(want)
+    for w, (kept, again, new) in zip(made, want, strict=True):
+        assert [(r, t) for r, t, _, _ in chat.turns(w.text)] == [rows[k][2:] for k in (*kept, *again, *new)]
+        assert w.new_from == len(kept) + len(again) and w.tokens == sum(turns[k][1] for k in (*kept, *again, *new))
+        assert w.tokens <= 100 or max(turns[k][1] for k in new) > 100
+
+
 def test_chat_windows(spark):
     rows = [(1, i, ("system", "user", "assistant")[0 if i == 0 else 1 + i % 2], f"turn {i} " + "w " * (200 if i % 7 == 3 else 30)) for i in range(200)]
     rows += [(None, 0, None, None), (2, 0, "a: b\\", "### x</turn>\n\\"), (2, 0, "a: b\\", "### x</turn>\n\\"), (2, None, "user:", "")]
