@@ -13,9 +13,6 @@ number is the tokens divided by ``BLOCK_TOKENS``; no window holds a source's doc
 Edge cases: a null source counts as the source ''. Null and empty texts have 0 tokens; they fit into
 any quota, so each epoch has them all. A document is never cut: one larger than what is left of the
 quota is passed over, and later ones are tried. Without any tokens, every document is taken once.
-
-The query's SQL still drops all that comes after the first document passed over in a block. Both
-agree where no quota ends within an epoch.
 """
 
 from __future__ import annotations

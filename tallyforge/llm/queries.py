@@ -109,17 +109,16 @@ ORACLE_SQL: dict[str, str] = {
             FROM (SELECT *, ('0x' || substr(md5('mix|' || epoch || '|' || doc_id), 1, 12))::BIGINT / 281474976710656.0 AS u
                 FROM (SELECT *, unnest(range(0, CASE WHEN n IS NULL THEN 1 ELSE epochs + (rest > 0)::INT END)) AS epoch
                     FROM sized LEFT JOIN plan USING (source)))),
-        held AS (SELECT source, block, rest, sum(tokens) AS held FROM uses WHERE epoch = epochs GROUP BY ALL),
-        room AS (SELECT source, block, held, rest - coalesce(sum(held) OVER (PARTITION BY source ORDER BY block
-            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room FROM held),
+        last AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY source ORDER BY block, u, doc_id, tokens) AS r FROM uses WHERE epoch = epochs AND tokens > 0),
+        filled(source, r, free, took) AS (
+            SELECT source, 0::BIGINT, rest, false FROM plan
+            UNION ALL
+            SELECT source, last.r, CASE WHEN tokens <= free THEN free - tokens ELSE free END, tokens <= free
+            FROM filled JOIN last USING (source) WHERE last.r = filled.r + 1),
         got AS (
-            SELECT * FROM uses WHERE epoch <> epochs OR n IS NULL
+            SELECT * FROM uses WHERE epoch <> epochs OR n IS NULL OR tokens = 0
             UNION ALL
-            SELECT * EXCLUDE (room, held, used) FROM (
-                SELECT uses.*, room, held, sum(tokens) OVER (PARTITION BY source, block ORDER BY u, doc_id, tokens
-                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS used
-                FROM uses JOIN room USING (source, block) WHERE epoch = epochs)
-            WHERE room > 0 AND (held <= room OR used <= room)),
+            SELECT last.* EXCLUDE (r) FROM last JOIN filled USING (source, r) WHERE took),
         jittered AS (SELECT *, ('0x' || substr(md5('mix|' || source || '|' || epoch || '|' || block), 1, 12))::BIGINT / 281474976710656.0 AS j FROM got)
         SELECT doc_id, source, tokens, epoch, block,
             round(coalesce((epoch + (block + j) / blocks) * n / quota, j), 9) AS mix_key FROM jittered
