@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions.similarity import indel_ratio, ratcliff_ratio
 
 #: Scores above skip a report, from here on accept a match; least header similarity.
 SKIP_ABOVE, ACCEPT, HEADER = 80.0, 80.0, 0.70
 CONSOLIDATED = "CONSOLIDATED REPORT"
+#: Parts of the names of a length where the reference is not broadcast.
+SALTS = 32
 
 
 def unlike(df: DataFrame, column: str, pattern: str = CONSOLIDATED, above: float = SKIP_ABOVE) -> DataFrame:
@@ -37,7 +40,9 @@ def best_matches(names: DataFrame, reference: DataFrame, accept: float = ACCEPT)
     """(name, match, score) of the distinct names (name): the most similar of reference (ref), if its score is enough.
 
     Exact hits skip the comparison. The others meet only references of a length that can still reach
-    the score: 2 * shorter / sum of lengths. Ties go to the smaller reference.
+    the score: 2 * shorter / sum of lengths. A reference whose rows fit is broadcast, so that names are
+    not shuffled; a larger one is repeated over salts, so that no task has all names of a length.
+    Ties go to the smaller reference.
     """
     names = names.select("name").where("name is not null").distinct()
     reference = reference.select("ref").where("ref is not null").distinct()
@@ -47,7 +52,12 @@ def best_matches(names: DataFrame, reference: DataFrame, accept: float = ACCEPT)
     low, high = accept / (200.0 - accept), (200.0 - accept) / accept
     n = F.length("name")
     lengths = F.sequence(F.greatest(F.ceil(n * low - 1e-9), F.lit(1)).cast("int"), F.greatest(F.floor(n * high + 1e-9), F.lit(1)).cast("int"))
-    pairs = rest.withColumn("_n", F.explode(lengths)).join(reference.withColumn("_n", F.length("ref")), "_n")
+    rest, reference = rest.withColumn("_n", F.explode(lengths)), reference.withColumn("_n", F.length("ref"))
+    if storage.fits(reference):
+        pairs = rest.join(F.broadcast(reference), "_n")
+    else:
+        reference = reference.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        pairs = rest.withColumn("_salt", F.pmod(F.xxhash64("name"), F.lit(SALTS)).cast("int")).join(reference, ["_n", "_salt"])
     scored = pairs.select("name", "ref", indel_ratio("name", "ref").alias("s")).where(F.col("s") >= accept)
     best = scored.groupBy("name").agg(F.min(F.struct((-F.col("s")).alias("s"), "ref")).alias("b"))
     return exact.union(best.select("name", "b.ref", -F.col("b.s")))

@@ -119,6 +119,15 @@ def test_matching(spark):
     assert got == {1: ("BOSTON", True), 2: ("AUSTIN", False), 3: ("QQ", False), 4: (None, False)}
 
 
+def test_matching_a_large_reference(spark, monkeypatch):
+    names = spark.createDataFrame([("BOSTN",), ("BOSTON",), ("CAMBRIDG",), ("NOWHERE",)], "name string")
+    reference = spark.createDataFrame([("BOSTON",), ("CAMBRIDGE",), ("LYNN",)], "ref string")
+    small = sorted(map(tuple, matching.best_matches(names, reference).collect()))
+    monkeypatch.setattr(matching.storage, "fits", lambda df: df.limit(3).count() <= 2)
+    assert sorted(map(tuple, matching.best_matches(names, reference).collect())) == small
+    assert [n for n, *_ in small] == ["BOSTN", "BOSTON", "CAMBRIDG"]
+
+
 def test_header_limit_and_skips(spark):
     df = spark.createDataFrame([("CONSOLIDATED REPORT",), ("CONSOLIDATED REPOR",), ("ESTABLISHMENT REPORT",), (None,)], "t string")
     assert {r.t for r in matching.unlike(df, "t").collect()} == {"ESTABLISHMENT REPORT", None}
