@@ -10,10 +10,8 @@ that crosses a boundary is given out by an explicit rule:
 
 The sections' counts add up to the document's tokens under each rule.
 
-Tokens never join a word to white space after it, so words with the white space before them are
-encoded once and then looked up; a test holds this against encoding whole texts.
-
-Edge cases: null fields count as empty and have no tokens. Each empty field still has its row.
+Edge cases: null fields count as empty and have no tokens. Each empty field still has its row. Runs of
+white space too long for the vocabulary's pattern are cut where that pattern would cut them.
 """
 
 from __future__ import annotations
@@ -29,13 +27,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common, words
+from . import common
 
 RULES = ("start", "most", "share")
 SEPARATOR = "\n"
-_PIECE = re.compile(r"\s*\S+|\s+").findall
-#: White space here, but not to the vocabulary's pattern.
-_ODD = re.compile(r"[\x1c-\x1f]").search
+#: Longer runs of white space overflow the pattern's matcher. What that pattern takes for white space.
+_RUN = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{10000,}")
 _STEP = 1 << 19
 
 
@@ -45,7 +42,7 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-class Lengths(words.Pieces):
+class Lengths:
     """Byte lengths of the tokens of whole texts."""
 
     def __init__(self, path: str) -> None:
@@ -58,21 +55,25 @@ class Lengths(words.Pieces):
         self.size = np.zeros(max(ranks.values()) + 1, np.uint32)
         for token, i in ranks.items():
             self.size[i] = len(token)
-        super().__init__()
 
-    def of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [self.encoding.encode_ordinary(p) for p in pieces]
-        length = np.array([len(i) for i in ids])
-        return self.size[np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(length.sum()))], length
+    def ids(self, text: str) -> list[int]:
+        """The tokens of a text.
+
+        The pattern takes a run of white space as one piece, but for its last character where something follows.
+        """
+        out, at = [], 0
+        for run in _RUN.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            out += self.encoding.encode_ordinary(text[at : run.start()])
+            out += self.encoding._encode_single_piece(text[run.start() : end])
+            at = end
+        return out + self.encoding.encode_ordinary(text[at:]) if at else self.encoding.encode_ordinary(text)
 
     def spans(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token lengths of all texts, and where each text's tokens begin (one more at the end)."""
-        pieces: list[str] = []
-        upto = [0]
-        for t in texts:
-            pieces += [t] if _ODD(t) else _PIECE(t)
-            upto.append(len(pieces))
-        return self.gathered(pieces, upto)
+        ids = [self.ids(t) for t in texts]
+        to = np.concatenate(([0], np.cumsum([len(i) for i in ids])))
+        return self.size[np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(to[-1]))], to
 
 
 @functools.lru_cache(2)

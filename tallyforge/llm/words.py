@@ -15,8 +15,8 @@ import unicodedata
 
 import numpy as np
 
-#: Words kept by each Python worker before it starts afresh.
-CACHE = 200_000
+#: Words kept by each Python worker, and characters of them, before it starts afresh.
+CACHE, CACHE_CHARACTERS = 200_000, 4_000_000
 #: Fixed: how the vocabulary splits a word.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LATIN_END = "ɏ"
@@ -36,13 +36,14 @@ def _byte_of() -> dict[str, int]:
 
 
 class Pieces:
-    """A growing table of whole numbers for each distinct piece of text, held up to ``CACHE`` pieces."""
+    """A growing table of whole numbers for each distinct piece of text, of bounded size between calls."""
 
     def __init__(self) -> None:
         self._clear()
 
     def _clear(self) -> None:
         self.code: dict[str, int] = {}
+        self.characters = 0
         self.values = np.zeros(1 << 20, np.uint32)
         self.begin = np.zeros(1 << 16, np.int64)  # of each code; one more at the end
 
@@ -59,6 +60,7 @@ class Pieces:
             self.begin = np.concatenate((self.begin, np.zeros_like(self.begin)))
         self.values[used : used + len(flat)] = flat
         self.begin[n + 1 : n + len(pieces) + 1] = used + np.cumsum(length)
+        self.characters += sum(map(len, pieces))
         self.code.update(zip(pieces, range(n, n + len(pieces)), strict=True))
 
     def gathered(self, pieces: list[str], upto: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +69,7 @@ class Pieces:
         Returns all numbers, and where each text's begin (one more at the end).
         """
         new = set(pieces).difference(self.code)
-        if len(new) + len(self.code) > CACHE and self.code:
+        if self.code and (len(new) + len(self.code) > CACHE or self.characters > CACHE_CHARACTERS):
             self._clear()
             new = set(pieces)
         if new:

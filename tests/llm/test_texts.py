@@ -109,6 +109,17 @@ def test_attribution_adds_up(spark, rule):
         assert own["start"].tolist()[1:] == own["end"].tolist()[:-1] and own["end"].max() == len(whole)
 
 
+def test_long_white_space_is_cut_as_the_pattern_cuts_it(monkeypatch):
+    lengths = attribution.Lengths(attribution.default_path())
+    texts = ["a" + w * n + b for w in (" ", "\n", "\t\u3000") for n in (1, 2, 3, 40) for b in ("", "b", " b", "\nb", "1", "\x1cb")]
+    want = [lengths.encoding.encode_ordinary(t) for t in texts]
+    monkeypatch.setattr(attribution, "_RUN", re.compile(attribution._RUN.pattern.replace("10000", "2")))
+    assert [lengths.ids(t) for t in texts] == want
+    monkeypatch.undo()
+    size, to = lengths.spans([" " * 2_000_000 + "x", "\n" * 2_000_000])
+    assert size[: to[1]].sum() == 2_000_001 and size[to[1] :].sum() == 2_000_000
+
+
 def test_allocate_rules():
     ends, sections = np.array([3, 10, 12]), np.array([4, 4, 9, 12])
     assert attribution.allocate(ends, sections, "start")[0].tolist() == [2, 0, 0, 1]
