@@ -6,14 +6,16 @@ read again as the next stage's docs. All stages but the last return the columns
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyforge.llm import common, langid, minhash, mixing, packing, radix
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a recognised language: null texts and texts without letters."""
+    """Drops documents without a recognised language: null texts, texts without letters, and those
+    whose predicted language has a score under ``langid.SURE``."""
     common.tuned(spark)
     return langid.accepted(docs)
 
@@ -25,13 +27,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the smallest doc_id stays."""
+    """Of each group of near-duplicates one row stays, of the smallest doc_id."""
     common.tuned(spark)
-    found = minhash.near_duplicates(docs)
-    gone = common.stored(found.where("not kept").select(F.col("doc_id").alias("gone_id")), "gone")
-    have = docs.columns
-    plain = docs.toDF(*[f"c{i}" for i in range(len(have))])
-    return plain.join(common.small_or_shuffled(gone), F.col(f"c{have.index('doc_id')}") == F.col("gone_id"), "left_anti").toDF(*have)
+    return minhash.without_near_duplicates(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +53,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages one after another. What a stage stored, and its input, goes once its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder, before = f"{common.shared_dir(spark)}/pipeline-{uuid.uuid4().hex}", []
     for name, stage in STAGES:
-        docs = common.stored(stage(spark, docs, sf_dir), name)
+        with common.scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        common.deleted(spark, before)
+        before = [f"{folder}/{name}"]
     return docs
