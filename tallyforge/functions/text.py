@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Fixed value: a year in a label.
 YEAR = r"\b(19|20)\d{2}\b"
 
 

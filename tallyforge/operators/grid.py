@@ -9,6 +9,9 @@ from .. import storage
 
 #: Margin of a page, row height of form 1, both in pixels at half the page size.
 PADDING, ROW_HEIGHT = 45, 25
+# Names of table parts and of fields.
+_PART = r".+_section_table_(a1|a2|a3|b|c)$"
+_FIELD = r".*_section_([a-zA-Z]+)_([a-zA-Z0-9_]+)"
 #: The most rectangles that count as one page's.
 PAGE_RECTANGLES = 10_000
 
@@ -79,8 +82,8 @@ def lines(words: DataFrame, keys: list[str]) -> DataFrame:
 
 def routed(cells: DataFrame, name: str) -> DataFrame:
     """cells with section, field (of ``.._section_<section>_<field>``) and table_part (of table parts)."""
-    part = F.regexp_extract(name, r".+_section_table_(a1|a2|a3|b|c)$", 1)
-    section = F.regexp_extract(name, r".*_section_([a-zA-Z]+)_([a-zA-Z0-9_]+)", 1)
-    field = F.regexp_extract(name, r".*_section_([a-zA-Z]+)_([a-zA-Z0-9_]+)", 2)
+    part = F.regexp_extract(name, _PART, 1)
+    section = F.regexp_extract(name, _FIELD, 1)
+    field = F.regexp_extract(name, _FIELD, 2)
     empty = lambda c: F.when(c != "", c)
     return cells.withColumn("section", empty(section)).withColumn("field", empty(field)).withColumn("table_part", empty(part))

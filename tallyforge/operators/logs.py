@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The forms of log lines.
 _LINE = r"^\[([A-Z]+)\],([0-9/]+ [0-9:]+),([^,]*),(.*)$"
 _INVALID = r"row-\[([^\]]+)\],col-\[([^\]]+)\]"
 _CELL = r"val:(\d+),conf:([0-9.]+),loc:\[([0-9]+), ([0-9]+)\]"
