@@ -21,6 +21,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -177,26 +179,32 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, limits: Limit
 
 
 def pack_examples(examples: DataFrame, tokens: str, loss: str, limits: Limits = Limits()) -> DataFrame:
-    """Uncut examples with the columns sequence_id, offset and segment added; all columns stay.
+    """Uncut examples with the columns sequence_id, offset and segment added; all columns stay, those of
+    the same names too.
 
     Null counts are 0. An example beyond a limit raises ValueError.
     """
+    have = examples.columns
+    size_at, loss_at = have.index(tokens), have.index(loss)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counts(batch: pa.RecordBatch, at: int) -> np.ndarray:
+        return pc.fill_null(batch.column(at).cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 40
-        for f in frames:
-            for i in range(0, len(f), BLOCK_DOCS):
-                part = f.iloc[i : i + BLOCK_DOCS].reset_index(drop=True)
-                size = part[tokens].fillna(0).to_numpy(np.int64)
-                place = np.zeros((len(part), 3), np.int64)
-                seqs = fill(size, part[loss].fillna(0).to_numpy(np.int64), limits, False)
+        for batch in batches:
+            for i in range(0, batch.num_rows, BLOCK_DOCS):
+                part = batch.slice(i, BLOCK_DOCS)
+                place = np.zeros((part.num_rows, 3), np.int64)
+                seqs = fill(counts(part, size_at), counts(part, loss_at), limits, False)
                 for s, pieces in enumerate(seqs):
                     offset = 0
                     for segment, (k, n) in enumerate(pieces):
                         place[k] = first + s, offset, segment
                         offset += n
                 first += len(seqs)
-                yield part.assign(sequence_id=place[:, 0], offset=place[:, 1], segment=place[:, 2])
+                yield pa.RecordBatch.from_arrays([*part.columns, *map(pa.array, place.T)], [*part.schema.names, "sequence_id", "offset", "segment"])
 
-    kinds = ", ".join(f"`{n}` {k}" for n, k in examples.dtypes)
-    return examples.mapInPandas(run, f"{kinds}, sequence_id long, offset long, segment long")
+    plain = examples.toDF(*[f"c{i}" for i in range(len(have))])
+    kinds = ", ".join(f"{n} {k}" for n, k in plain.dtypes)
+    return plain.mapInArrow(run, f"{kinds}, sequence_id long, offset long, segment long").toDF(*have, "sequence_id", "offset", "segment")

@@ -72,6 +72,16 @@ def test_pack_examples(spark):
         assert sum(r.t for r in own) <= 512 and len(own) <= 4 and sum(r.l or 0 for r in own) <= 60
 
 
+def test_pack_examples_keeps_odd_columns(spark):
+    """Clashing names, nulls, large whole numbers and repeated rows come back as they were."""
+    rows = [(2**62 + 1, 5, 3, None), (None, None, None, "x"), (2**62 + 1, 5, 3, None), (7, 512, 60, "y")]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "sequence_id long, t int, l int, offset string, Segment int")
+    got = packing.pack_examples(df, "t", "l", packing.Limits(512, 4, 60))
+    assert got.columns == [*df.columns, "sequence_id", "offset", "segment"]
+    assert {tuple(r)[:5] for r in got.collect()} == set(map(tuple, df.collect()))
+    assert packing.pack_examples(df.where("false"), "t", "l").count() == 0
+
+
 @pytest.mark.parametrize("rule", attribution.RULES)
 def test_attribution_matches_brute_force(spark, rule):
     """Each section's tokens, from whole texts encoded by themselves, one token at a time."""
