@@ -1,42 +1,47 @@
 """Approximate nearest neighbours by learned partitions.
 
-The index is fitted on a bounded sample: its exact neighbour graph is cut into balanced parts, and
-a small classifier learns each vector's part from the parts of its neighbours. Every vector is
-indexed in its most probable part. A query goes to its several most probable parts, whose
-vectors are all reranked by the exact inner product. The number of parts to visit is set on the
-sample, for a target recall.
-
-Parts hold unequal numbers of vectors (one may hold a third of all), so vectors and queries of a
-part are dealt out in blocks of bounded size; each pair of blocks is scored on its own and
-leaves ``k`` rows for each query.
+A node of the index holds vectors; the root holds all. A node is fitted on a bounded sample of its
+own vectors: their exact neighbour graph is cut into balanced parts, and a small classifier learns
+each vector's part from the parts of its neighbours. Every vector goes to its most probable part, a
+query to its several most probable ones. Parts are nodes of the next level, until a part has about
+``PART`` vectors; so the number of parts grows with the table, and no fit or task does. In the last
+parts all vectors are reranked by the exact inner product. How many parts a query visits in a node
+is set on the node's sample, for a target recall that all levels meet together.
+
+Equal vectors are one: the k + 1 smallest of their ids stand for all candidates, and equal queries
+are asked once. Parts still hold unequal numbers of vectors, so their vectors and queries are dealt
+out in blocks of bounded size; each pair of blocks leaves k + 1 rows for each query.
 
 Edge cases: vectors that are null, zero, of another dimension than most, or that hold null or
 non-finite components, and rows with a null id, take no part. Rows with the query's id are its
 own. Rows of one id are one candidate and one query: equal ones count once, and of different
-vectors the pair with the largest score counts. Equal scores go to the smaller id. If the visited parts hold too few vectors, more are
-visited, down to all.
+vectors the pair with the largest score counts. Equal scores go to the smaller id. If the visited parts
+hold too few vectors, more are visited, down to all.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+import pickle
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common, fitting
 
-#: Vectors in the sample, at most about.
-SAMPLE = 8192
-#: Vectors in a part, about, up to the largest number of parts.
-PART, MOST_PARTS = 1024, 16
+#: Vectors in the sample of a node, at most about.
+SAMPLE = 4096
+#: Vectors in a last part, about; parts of a node, at most; sampled vectors that a part needs.
+PART, FAN, LEAST = 250, 16, 32
 NEIGHBOURS = 10
 HIDDEN = 96
 RECALL = 0.94
-BLOCK, QUERY_BLOCK = 16384, 512
+#: Vectors, and queries, in a block; queries scored at once.
+BLOCK, QUERY_BLOCK, AT_ONCE = 8192, 4096, 256
 
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
@@ -149,26 +154,31 @@ def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def nearest(q_id: np.ndarray, q: np.ndarray, x_id: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
-    """Each query row's k nearest ids, by the best of their rows: (query_id, vec_id, score)."""
+def nearest(q_id: np.ndarray, q: np.ndarray, visits: np.ndarray, x_id: np.ndarray, x: np.ndarray, x_part: np.ndarray, k: int) -> pd.DataFrame:
+    """Each query's k nearest ids in the parts that it visits, by the best of their rows: (ask, vec_id, score).
+
+    visits: a row of truth values by part for each query.
+    """
     order = np.argsort(x_id, kind="stable")
-    x_id, x = x_id[order], x[order]
+    x_id, x, x_part = x_id[order], x[order], x_part[order]
     first = np.flatnonzero(np.concatenate(([True], x_id[1:] != x_id[:-1])))
-    s = q @ x.T
-    s[q_id[:, None] == x_id[None, :]] = -np.inf
-    slack = 1e-9 * (np.abs(q).max(1) * np.abs(x).max() * x.shape[1])
-    best = s if len(first) == len(x_id) else np.maximum.reduceat(s, first, 1)
-    least = np.partition(best, -k, 1)[:, -k] - slack if best.shape[1] > k else np.full(len(s), -np.inf)
     ids, found, scores = [], [], []
-    for i in range(len(q)):
-        near = np.flatnonzero((s[i] >= least[i]) & (s[i] > -np.inf))
-        score = exact_scores(q[i], x[near])
-        top = np.lexsort((x_id[near], -score))
-        top = top[np.sort(np.unique(x_id[near][top], return_index=True)[1])[:k]]
-        ids.append(np.full(len(top), q_id[i]))
-        found.append(x_id[near][top])
-        scores.append(score[top])
-    return pd.DataFrame({"query_id": np.concatenate(ids), "vec_id": np.concatenate(found), "score": np.concatenate(scores)})
+    for at in range(0, len(q), AT_ONCE):
+        some = slice(at, at + AT_ONCE)
+        s = q[some] @ x.T
+        slack = 1e-9 * (np.abs(q[some]).max(1) * np.abs(x).max() * x.shape[1])
+        s[~visits[some][:, x_part]] = -np.inf
+        best = s if len(first) == len(x_id) else np.maximum.reduceat(s, first, 1)
+        least = np.partition(best, -k, 1)[:, -k] - slack if best.shape[1] > k else np.full(len(s), -np.inf)
+        for i in range(len(s)):
+            near = np.flatnonzero((s[i] >= least[i]) & (s[i] > -np.inf))
+            score = exact_scores(q[at + i], x[near])
+            top = np.lexsort((x_id[near], -score))
+            top = top[np.sort(np.unique(x_id[near][top], return_index=True)[1])[:k]]
+            ids.append(np.full(len(top), q_id[at + i]))
+            found.append(x_id[near][top])
+            scores.append(score[top])
+    return pd.DataFrame({"ask": np.concatenate(ids), "vec_id": np.concatenate(found), "score": np.concatenate(scores)})
 
 
 def _usable(rows: DataFrame) -> DataFrame:
@@ -179,66 +189,118 @@ def _usable(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("vector").isNotNull() & (F.size("vector") > 0)).where(fine)
 
 
-def search(rows: DataFrame, every: int = 20, k: int = 20, recall: float = RECALL) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest of rows (vec_id, embedding) whose id is
-    divisible by ``every``, among all rows but their own."""
-    usable = _usable(common.pick(rows, "vec_id", "embedding"))
-    dims = usable.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if dims is None:
-        return usable.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score"))
-    dim = dims[0]
-    usable = common.stored(usable.where(F.size("vector") == dim).distinct(), "vectors")
-    n = usable.count()
-    at = F.pmod(F.xxhash64("id", "vector", F.lit("sample")), F.lit(1 << 20)) / float(1 << 20)
-    sample = np.array([r[0] for r in usable.where(at < min(1.0, SAMPLE / n)).select("vector").collect()]).reshape(-1, dim)
-    parts = min(MOST_PARTS, n // PART, len(sample) // 32)
-    index = usable.sparkSession.sparkContext.broadcast(fit(sample, parts, k, recall))
-
-    def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            if len(f):
-                yield pd.DataFrame({"id": f["id"], "vector": f["vector"], "part": index.value.logits(np.stack(f["vector"])).argmax(1).astype(np.int32)})
-
-    schema = "id long, vector array<double>, part int"
-    placed = common.stored(usable.select("id", "vector").mapInPandas(assign, schema), "parts")
-    # At most MOST_PARTS rows: a part's rows and ids.
-    found = placed.groupBy("part", "id").count().groupBy("part").agg(F.sum("count"), F.count("*")).collect()
-    sizes, distinct = {r[0]: r[1] for r in found}, {r[0]: r[2] for r in found}
-    visits = index.value.visits
-
-    def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows, to = [], []
-            for i, z in enumerate(index.value.logits(np.stack(f["vector"])) if len(f) else ()):
-                held = 0
-                for seen, p in enumerate(np.argsort(-z, kind="stable").tolist()):
-                    if seen >= visits and held > 4 * k:
-                        break
-                    held += distinct.get(p, 0)
-                    if p in sizes:
-                        rows.append(i)
-                        to.append(p)
-            own = f.iloc[rows]
-            yield pd.DataFrame({"id": own["id"].to_numpy(), "vector": own["vector"].to_numpy(), "part": np.array(to, np.int32)})
-
-    routed = common.stored(usable.select("id", "vector").where(F.col("id") % every == 0).mapInPandas(route, schema), "routes")
-    asks = {r[0]: r[1] for r in routed.groupBy("part").count().collect()}
-    blocks = F.create_map(*[F.lit(v) for p, s in sizes.items() for v in (p, -(-s // BLOCK))])
-    asking = F.create_map(*[F.lit(v) for p in sizes for v in (p, max(1, -(-asks.get(p, 0) // QUERY_BLOCK)))])
-    own = lambda n: F.pmod(F.xxhash64("id", "vector"), n[F.col("part")]).cast("int")
-    all_ = lambda n: F.explode(F.sequence(F.lit(0), n[F.col("part")] - 1))
-    base = placed.withColumn("b", own(blocks)).withColumn("q", all_(asking))
-    ask = routed.withColumn("q", own(asking)).withColumn("b", all_(blocks))
-    ask = ask.select(*[F.col(c).alias(f"ask_{c}") for c in ("id", "vector", "part", "b", "q")])
+def _dealt(rows: DataFrame, blocks: DataFrame, *key: str) -> DataFrame:
+    """rows (node, ...) in their node's blocks: a column block below the node's number of them (node, blocks)."""
+    return rows.join(common.small_or_shuffled(blocks), "node").withColumn("block", F.pmod(F.xxhash64(*key), F.col("blocks")).cast("int")).drop("blocks")
+
+
+def _sent(rows: DataFrame, models: DataFrame, key: str, parts_of: Callable[[Index, np.ndarray, dict[int, int]], list[list[int]]]) -> DataFrame:
+    """rows (node, key, vector) with the parts of their node that each goes to, stored.
+
+    models: (node, model, held), stored. Blocks of a node's rows meet its model, so neither a node's rows
+    nor all models come together in a task.
+    """
+    blocks = common.stored(rows.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
+    each = models.join(common.small_or_shuffled(blocks), "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+
+    def sent(x: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
+        index, held = pickle.loads(m["model"].iloc[0]), dict(m["held"].iloc[0] or [])
+        parts = parts_of(index, np.stack(x["vector"]), held) if len(x) else []
+        return pd.DataFrame({"node": x["node"], key: x[key], "vector": x["vector"], "parts": pd.Series(parts, x.index, object)})
+
+    met = _dealt(rows, blocks, key, "vector").groupBy("node", "block").cogroup(each.groupBy("node", "block"))
+    return common.stored(met.applyInPandas(sent, f"node long, {key} long, vector array<double>, parts array<int>"), "nodes")
+
+
+def _level(placed: DataFrame, asks: DataFrame, k: int, recall: float) -> tuple[DataFrame, DataFrame]:
+    """Vectors (node, id, vector) with the part of their node, queries (node, ask, vector) with those they visit."""
+    sizes = common.stored(placed.groupBy("node").agg(F.count("*").alias("n")), "sizes")
+    share = F.pmod(F.xxhash64("id", "vector", F.lit("sample")), F.lit(1 << 20)) / float(1 << 20)
+    sample = placed.join(common.small_or_shuffled(sizes), "node").where(share < SAMPLE / F.col("n"))
+
+    def model(rows: pd.DataFrame) -> pd.DataFrame:
+        parts = int(min(FAN, rows["n"].iloc[0] // PART, len(rows) // LEAST))
+        return pd.DataFrame({"node": rows["node"].iloc[:1], "model": [pickle.dumps(fit(np.stack(rows["vector"]), parts, k, recall))]})
+
+    models = common.stored(sample.groupBy("node").applyInPandas(model, "node long, model binary"), "models")
+    down = _sent(placed, models.withColumn("held", F.lit(None).cast("map<int,long>")), "id", lambda index, x, _: index.logits(x).argmax(1)[:, None].tolist())
+    held = down.groupBy("node", F.col("parts")[0].alias("part")).agg(F.count_distinct("id").alias("n"))
+    held = held.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("part", "n"))).alias("held"))
+
+    def visited(index: Index, x: np.ndarray, held: dict[int, int]) -> list[list[int]]:
+        out = []
+        for order in np.argsort(-index.logits(x), 1, kind="stable").tolist():
+            seen = 0
+            out.append([])
+            for i, part in enumerate(order):
+                if i >= index.visits and seen > 4 * k:
+                    break
+                if part in held:
+                    seen += held[part]
+                    out[-1].append(part)
+        return out
+
+    return down, _sent(asks, common.stored(models.join(held, "node"), "models"), "ask", visited)
+
+
+def _reranked(placed: DataFrame, asks: DataFrame, k: int) -> DataFrame:
+    """(ask, vec_id, score): the k nearest of the vectors in the parts that a query visits.
+
+    A node of the last level and the queries there are one group, or several where they are many, so
+    that a query leaves k rows for a node and not for each part.
+    """
+    count = lambda rows, most, name: rows.groupBy("node").agg(F.ceil(F.count("*") / most).cast("int").alias(name))
+    blocks = common.stored(count(placed, BLOCK, "blocks").join(count(asks, QUERY_BLOCK, "ask_blocks"), "node"), "blocks")
+    copies = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n, *key: F.pmod(F.xxhash64(*key), F.col(n)).cast("int")
+    base = placed.join(common.small_or_shuffled(blocks), "node").select("node", own("blocks", "id", "vector").alias("b"), copies("ask_blocks").alias("q"), "id", "vector", F.col("parts")[0].alias("part"))
+    ask = asks.join(common.small_or_shuffled(blocks), "node").select("node", copies("blocks").alias("b"), own("ask_blocks", "ask").alias("q"), "ask", "vector", "parts")
 
     def score(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(q):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return nearest(q["ask_id"].to_numpy(), np.stack(q["ask_vector"]), x["id"].to_numpy(), np.stack(x["vector"]), k)
-
-    found = base.groupBy("part", "b", "q").cogroup(ask.groupBy("ask_part", "ask_b", "ask_q")).applyInPandas(score, "query_id long, vec_id long, score double")
-    # Each block leaves k ids of a query; the best of them stay.
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    best = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("top"))
-    out = best.select("query_id", F.posexplode("top").alias("i", "t"))
-    return out.select("query_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("t.vec_id").alias("vec_id"), (-F.col("t.s")).alias("score"))
+            return pd.DataFrame({"ask": [], "vec_id": [], "score": []})
+        visits = np.zeros((len(q), FAN), bool)
+        for i, parts in enumerate(q["parts"]):
+            visits[i, parts] = True
+        return nearest(q["ask"].to_numpy(), np.stack(q["vector"]), visits, x["id"].to_numpy(), np.stack(x["vector"]), x["part"].to_numpy(), k)
+
+    found = base.groupBy("node", "b", "q").cogroup(ask.groupBy("node", "b", "q")).applyInPandas(score, "ask long, vec_id long, score double")
+    return _top(found, "ask", k)
+
+
+def _top(found: DataFrame, by: str, k: int) -> DataFrame:
+    """The k best of found (by, vec_id, score), each id once, with their rank."""
+    best = found.repartition(by).groupBy(by, "vec_id").agg(F.max("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(F.desc("score"), "vec_id")).alias("rank")
+    return best.select(by, rank, "vec_id", "score").where(F.col("rank") <= k)
+
+
+def levels(n: int) -> int:
+    """Levels of nodes above the last parts."""
+    return next(i for i in itertools.count(1) if PART * FAN**i >= n)
+
+
+def search(rows: DataFrame, every: int = 20, k: int = 20, recall: float = RECALL) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest of rows (vec_id, embedding) whose id is
+    divisible by ``every``, among all rows but their own."""
+    with common.scratch(rows.sparkSession) as kept:
+        usable = _usable(common.pick(rows, "vec_id", "embedding"))
+        dims = usable.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
+        usable = usable.where(F.size("vector") == (dims[0] if dims else 0)).distinct().withColumn("hash", F.xxhash64("vector"))
+        usable = common.stored(usable, "vectors")
+        # A query takes k ids beside its own, so of equal vectors no more than the k + 1 smallest ids matter.
+        place = F.row_number().over(Window.partitionBy("hash", "vector").orderBy("id"))
+        placed = common.stored(usable.withColumn("place", place).where(F.col("place") <= k + 1).select(F.lit(0).cast("long").alias("node"), "id", "vector"), "nodes")
+        queries = usable.where(F.col("id") % every == 0)
+        asks = common.stored(common.with_row_id(queries.select("hash", "vector").distinct(), "ask"), "asks")
+        own = common.stored(queries.join(asks, ["hash", "vector"]).select(F.col("id").alias("query_id"), "ask"), "own")
+        asks = asks.select(F.lit(0).cast("long").alias("node"), "ask", "vector")
+        n = levels(placed.count())
+        for i in range(n):
+            if i:
+                placed = placed.select((F.col("node") * FAN + F.col("parts")[0]).alias("node"), "id", "vector")
+                asks = asks.select("node", F.explode("parts").alias("part"), "ask", "vector").select((F.col("node") * FAN + F.col("part")).alias("node"), "ask", "vector")
+            placed, asks = _level(placed, asks, k, recall ** (1 / n))
+        near = common.stored(_reranked(placed, asks, k + 1).select("ask", "vec_id", "score"), "near")
+        own, near = kept(own, "own"), kept(near, "near")
+    return _top(own.join(near, "ask").where("vec_id != query_id").select("query_id", "vec_id", "score"), "query_id", k)

@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from .conftest import SF
 from pyspark.sql import functions as F
@@ -28,6 +29,30 @@ def test_language_odd_rows(odd_docs, no_docs):
     assert langid.accepted(no_docs).count() == 0
 
 
+def test_language_of_a_text_is_its_own(spark):
+    """Order, neighbours and batches change neither features nor predictions."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fitted(docs)
+    texts = [(r.text or "").encode() for r in docs.collect()]
+    texts += [t[:n] for t in texts[:60] for n in (0, 1, 2, 3, 12)]
+    alone = [model.predict([t]) for t in texts]
+    for some in (texts, texts[::-1]):
+        lang, score = model.predict(some)
+        pairs = list(zip(lang, score.tolist(), strict=True))
+        assert (pairs if some is texts else pairs[::-1]) == [(a[0], b[0]) for a, b in alone]
+    a, b = (list(langid._frequencies(t)) for t in (pd.DataFrame({"text": ["hola", "x"]}), pd.DataFrame({"text": ["hola"]})))
+    assert (a[0] == b[0]).all()
+
+
+def test_language_stage_rejects_by_prediction(spark):
+    docs = spark.read.parquet(f"{MORE}/documents.parquet")
+    said = {r.doc_id: r for r in queries.op10_language_id(spark, MORE).collect()}
+    for least in (0.5, 0.99):
+        kept = {r.doc_id for r in langid.accepted(docs, least).collect()}
+        assert kept == {i for i, r in said.items() if r.lang_pred != "und" and r.score >= least}
+    assert len(langid.accepted(docs).collect()) > 0.995 * len(said)
+
+
 def test_language_stage_without_labels(spark, odd_docs):
     docs = odd_docs.withColumn("lang", F.lit(None).cast("string"))
     assert langid.fitted(docs) is None
@@ -61,7 +86,19 @@ def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     assert toxicity.fitted(odd_docs, labels.where("false")) is None
 
 
-def test_neighbours_recall(spark):
+def test_neighbours_go_through_parts():
+    """The index of the test below has several parts, of which a query visits some."""
+    rows = pd.read_parquet("/root/testdata/sf0.1/embeddings.parquet")
+    index = ann.fit(np.stack(rows["embedding"]).astype(float), len(rows) // ann.PART, 20)
+    assert ann.levels(len(rows)) == 1 and index.w2.shape[1] == 8 and 1 < index.visits < 8
+
+
+@pytest.mark.parametrize(("part", "fan"), [(ann.PART, ann.FAN), (100, 4)])
+def test_neighbours_recall(spark, monkeypatch, part, fan):
+    """Recall through the routing, on one level of nodes and on three."""
+    monkeypatch.setattr(ann, "PART", part)
+    monkeypatch.setattr(ann, "FAN", fan)
+    assert ann.levels(2000) == (1 if part == ann.PART and fan == 16 else 3)
     d = "/root/testdata/sf0.1"
     rows = spark.read.parquet(f"{d}/embeddings.parquet").toPandas()
     x, ids = np.stack(rows["embedding"]).astype(float), rows["vec_id"].to_numpy()
@@ -98,6 +135,27 @@ def test_neighbours_repeated_ids(spark):
     assert got == [(n + 1, i, s) for n, (i, s) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:20])]
 
 
+def test_neighbours_in_clusters(spark, monkeypatch):
+    """Where vectors have structure, few parts are visited: three levels of nodes, clusters of 25, hot vectors."""
+    monkeypatch.setattr(ann, "PART", 50)
+    monkeypatch.setattr(ann, "FAN", 4)
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=(80, 16))
+    x = np.repeat(centre / np.linalg.norm(centre, axis=1)[:, None], 25, 0) + rng.normal(0, 0.02, (2000, 16))
+    x = np.concatenate((x, np.repeat(x[:1], 1000, 0)))
+    made = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(made).toPandas()
+    hits = 0
+    for i in range(0, 3000, 20):
+        s = np.round(np.array([ann.exact_scores(x[i], x[j : j + 1])[0] for j in range(len(x))]), 12)
+        s[i] = -np.inf
+        own = got[got["query_id"] == i].sort_values("rank")["vec_id"].tolist()
+        assert len(own) == 20
+        hits += len(set(own) & set(np.lexsort((np.arange(3000), -s))[:20].tolist()))
+    assert hits / 20 / 150 >= 0.9
+    assert ann.fit(x[:2000], 8, 20).visits <= 3
+
+
 def test_balanced_parts():
     x = np.random.default_rng(0).normal(size=(600, 8))
     part = ann.balanced_parts(x, ann.neighbour_graph(x, 10), 6)
