@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 32 << 20
 #: What a row takes in that table beside its columns, a column of a number or truth value, any other column.
 ROW_BYTES, NUMBER_BYTES, OTHER_BYTES = 64, 16, 160
+#: Bytes of a batch that goes to a Python worker, about; a larger row goes alone.
+ARROW_BYTES = 8 << 20
 #: Folders of the tables stored in each open ``scratch``, innermost last.
 _OPEN: list[list[str]] = []
 
@@ -117,8 +119,9 @@ def mapped(rows: DataFrame, run: Callable[[Iterator], Iterator], schema: str) ->
 
 
 def tuned(spark: SparkSession, rows: int = 1000) -> None:
-    """Settings of the registered queries: texts are long, so few rows at once go to a Python worker."""
+    """Settings of the registered queries: texts are long, so few rows and bytes at once go to a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 @contextlib.contextmanager
