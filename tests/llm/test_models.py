@@ -1,13 +1,16 @@
 import hashlib
+import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pytest
 from .conftest import SF
+from .test_duplicates import brute_components
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyforge.llm import ann, fitting, langid, mixing, queries, toxicity
+from tallyforge.llm import ann, common, fitting, langid, mixing, queries, toxicity
 
 MORE = "/root/testdata/sf0.01"
 
@@ -257,6 +260,62 @@ def test_fitting_sample_is_bounded(spark):
     assert counts == {0: 4900, 1: 100} and got.where("y = 1").count() == 100 and 50 < got.where("y = 0").count() < 160
 
 
+def test_toxicity_of_a_text_is_its_own(spark):
+    docs = [(i, t) for i, t in enumerate(["You idiot. Fine", "", None, "fine words", "idiot", "x" * 50_000 + " idiot", "fine! You idiot"])]
+    weights = np.zeros(toxicity.SLOTS, np.float32)
+    weights[toxicity.bags([b"idiot"])[0]] = 3.0
+    score = lambda rows: {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), (weights, -4.0)).collect()}
+    together = score(docs)
+    assert together == score(docs[::-1]) and together[1] == together[2] == 0
+    assert all(together[d] == score([(d, t)])[d] for d, t in docs)
+    assert together[0] > 0.8 > together[3]
+
+
+def stages(spark, docs):
+    """The rows that each stage of the pipeline returns, written and read again in between."""
+    out = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = common.stored(stage(spark, docs, SF), name)
+        out[name] = docs
+    return out
+
+
+def test_pipeline_matches_brute_force(spark):
+    """Every stage by its predecessor's rows; run() gives the last stage's."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = stages(spark, docs)
+    rows = {n: [tuple(r) for r in d.collect()] for n, d in got.items()}
+    said = {r.doc_id: r for r in queries.op10_language_id(spark, SF).collect()}
+    want = [tuple(r) for r in docs.collect() if said[r.doc_id].lang_pred != "und" and said[r.doc_id].score >= langid.SURE]
+    assert sorted(rows["language_id"]) == sorted(want) and len(want) > 190
+    first = {}
+    for r in sorted(want):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", r[1]), r)
+    want = sorted(first.values())
+    assert sorted(rows["exact_dedup"]) == want
+    near = brute_components([r[:2] for r in want])
+    want = [r for r in want if near[r[0]][1] == r[0]]
+    assert sorted(rows["near_dedup"]) == want
+    # How often a document comes is the matter of test_mixture_stage_keeps_every_document.
+    assert sorted(set(rows["mixture"])) == want
+    times = Counter(r[0] for r in rows["mixture"])
+    pieces = Counter()
+    for doc_id, _, length, _, tokens, _, _ in rows["packing"]:
+        pieces[doc_id] += length / tokens
+    assert pieces == {d: pytest.approx(n) for d, n in times.items()}
+    assert sum(r.length for r in corpus_pipeline.run(spark, SF).collect()) == sum(r[2] for r in rows["packing"])
+
+
+def test_pipeline_odd_rows(spark, odd_docs):
+    plain = odd_docs.toDF(*[f"c{i}" for i in range(8)]).select("c0", "c1", "c2", "c3", "c4", "c6", "c7")
+    docs = common.stored(plain.toDF("doc_id", "text", "lang", "source", "n_chars", "score", "row"), "odd")
+    got = {n: d.collect() for n, d in stages(spark, docs).items()}
+    assert sorted(r.n_chars for r in got["language_id"]) == [3, 4, 5, 6, 7, 8, 10]
+    assert sorted(r.n_chars for r in got["exact_dedup"]) in ([3, 5, 7, 10], [3, 5, 8, 10])
+    assert len(got["near_dedup"]) == 4 and {r.doc_id for r in got["mixture"]} == {r.doc_id for r in got["packing"]} == {4, 6, 8, None}
+    assert stages(spark, docs.where("false"))["packing"].count() == 0
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     seen = docs
