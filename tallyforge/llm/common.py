@@ -83,7 +83,7 @@ def identified(df: DataFrame, name: str) -> DataFrame:
     """df with a string that tells its rows apart and is the same whenever df is read again.
 
     Rows of Parquet files have their file and place in it, so a frame read from files must hold no row of
-    them twice (as after explode). Any other frame is ``stored`` first.
+    them twice (as after explode) and choose none at random. Any other frame is ``stored`` first.
     """
     try:
         return df.select("*", F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias(name))

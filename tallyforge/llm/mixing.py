@@ -18,6 +18,7 @@ quota is passed over, and later ones are tried. Without any tokens, every docume
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ from . import common
 BLOCK_TOKENS = 1 << 18
 #: Blocks in a chunk of prefix sums.
 CHUNK_BLOCKS = 4096
+#: Rows of a source that are folded at once.
+FOLD = 4096
 #: Target entropy as a share of the largest possible, which equal weights have.
 ENTROPY = 0.95
 SEED = "mix"
@@ -131,32 +134,41 @@ def edges(partial: DataFrame) -> tuple[DataFrame, DataFrame]:
     return common.stored(blocks.select("source", "block", "room", (F.col("held") <= F.col("room")).alias("whole")), "blocks")
 
 
-def filled(rows: DataFrame, room: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of stored rows (source, block, pos, tokens, ...) those that fit into their source's room (source, room),
-    in order of block and pos, passing over each that is larger than what is left; and what stays (source, room).
+def upto_first(rows: DataFrame, room: DataFrame) -> DataFrame:
+    """(source, room, after) of rows (source, block, pos, tokens) of one block of each source: the room that is left,
+    and the place, when all rows up to the first that doesn't fit are taken; after is null where all fit."""
+    used = rows.join(room, "source").withColumn("used", F.sum("tokens").over(Window.partitionBy("source").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)))
+    spent = F.sum(F.when(F.col("used") <= F.col("room"), F.col("tokens")).otherwise(0))
+    return used.groupBy("source", "room").agg(spent.alias("spent"), F.min(F.when(F.col("used") > F.col("room"), F.struct("block", "pos"))).alias("after")).select("source", (F.col("room") - F.col("spent")).alias("room"), "after")
 
-    A pass takes rows up to the first that does not fit, so the next one has less room than that row.
+
+def filled(rows: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Places (source, block, pos) of stored rows (source, block, pos, tokens) that fit into their source's room,
+    in order, passing over each that is larger than what is left; and what stays (source, room).
+
+    state: (source, room, after), stored; only rows behind the place ``after`` count. Rows that can still fit are
+    folded ``FOLD`` at a time, so that no group is unbounded.
     """
-    place = F.struct("block", "pos").alias("place")
-    narrow = rows.select("source", "tokens", place)
-    state = room.select("source", "room", F.struct(F.lit(-1).cast("long").alias("block"), F.lit(0).alias("pos")).alias("after"))
-    done, left = None, room
+    place = F.struct("block", "pos")
+    order = F.row_number().over(Window.partitionBy("source").orderBy("block", "pos"))
+    kind = "struct<room:bigint,taken:array<struct<block:bigint,pos:int>>>"
+    took, left = [], state.select("source", "room")
     while True:
-        still = narrow.join(state, "source").where("place > after and tokens <= room").withColumn("block", F.col("place.block"))
-        held = common.stored(still.groupBy("source", "block").agg(F.sum("tokens").alias("held")), "held")
-        held = held_before(held).select("source", "block", "before")
-        order = Window.partitionBy("source", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-        used = still.join(held, ["source", "block"]).withColumn("used", F.col("before") + F.sum("tokens").over(order))
-        stop = F.min(F.when(F.col("used") > F.col("room"), F.col("place"))).alias("stop")
-        spent = F.sum(F.when(F.col("used") <= F.col("room"), F.col("tokens")).otherwise(0)).alias("spent")
-        step = common.stored(used.groupBy("source", "room", "after").agg(stop, spent), "pass")
-        done = step if done is None else done.union(step)
-        left = left.union(step.select("source", F.col("room") - F.col("spent")))
-        state = step.where("stop is not null and spent < room").select("source", (F.col("room") - F.col("spent")).alias("room"), F.col("stop").alias("after"))
+        still = rows.join(common.small_or_shuffled(state), "source").where((place > F.col("after")) & (F.col("tokens") <= F.col("room")))
+        still = still.withColumn("k", order).where(F.col("k") <= FOLD)
+        held = still.groupBy("source", "room").agg(F.array_sort(F.collect_list(F.struct("block", "pos", "tokens"))).alias("rows"))
+        start = F.struct(F.col("room"), F.array().cast("array<struct<block:bigint,pos:int>>").alias("taken")).cast(kind)
+        take = lambda a, x: F.struct((a.room - x.tokens).alias("room"), F.array_append(a.taken, F.struct(x.block, x.pos)).alias("taken")).cast(kind)
+        end = F.aggregate("rows", start, lambda a, x: F.when(x.tokens <= a.room, take(a, x)).otherwise(a))
+        last = F.element_at("rows", -1)
+        step = held.withColumn("end", end).select("source", "end.taken", F.col("end.room").alias("room"), F.struct(last.block.alias("block"), last.pos.alias("pos")).alias("after"), (F.size("rows") == FOLD).alias("more"))
+        step = common.stored(step, "fold")
+        took.append(step.select("source", F.explode("taken").alias("p")).select("source", "p.block", "p.pos"))
+        left = left.union(step.select("source", "room"))
+        state = step.where("more and room > 0").select("source", "room", "after")
         if state.isEmpty():
             break
-    got = rows.withColumn("place", place).join(done, "source").where("place > after and tokens <= room and (stop is null or place < stop)")
-    return got.select(rows.columns), left.groupBy("source").agg(F.min("room").alias("room"))
+    return reduce(DataFrame.union, took), left.groupBy("source").agg(F.min("room").alias("room"))
 
 
 def taken_at_edge(partial: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -164,16 +176,24 @@ def taken_at_edge(partial: DataFrame, blocks: DataFrame) -> DataFrame:
     some = partial.where("tokens > 0")
     order = Window.partitionBy("source", "block").orderBy("at", "doc_id", "tokens")
 
-    def placed(room: DataFrame, where: str) -> DataFrame:
+    def placed(room: DataFrame, where: str) -> tuple[DataFrame, DataFrame]:
         rows = some.join(common.small_or_shuffled(room), "source").where(where).select(*some.columns)
-        return common.stored(rows.withColumn("pos", F.row_number().over(order)), "edge")
+        rows = common.stored(rows.withColumn("pos", F.row_number().over(order)), "edge")
+        return rows, rows.select("source", "block", "pos", "tokens")
 
     edge = blocks.where("not whole").select("source", F.col("block").alias("edge"), "room")
-    got, left = filled(placed(edge, "block = edge"), edge.select("source", "room"))
-    left = common.stored(left.where("room > 0"), "left")
+    rows, narrow = placed(edge, "block = edge")
+    state = common.stored(upto_first(narrow, edge.select("source", "room")), "state")
+    got = rows.join(common.small_or_shuffled(state.select("source", "after")), "source").where("after is null or block < after.block or block = after.block and pos < after.pos").select(partial.columns)
+    more, left = filled(narrow, common.stored(state.where("after is not null"), "state"))
+    got = got.union(rows.join(common.stored(more, "more"), ["source", "block", "pos"], "left_semi").select(partial.columns))
     # Later blocks only have what is no larger than the rest of the room.
-    more, _ = filled(placed(edge.select("source", "edge").join(left, "source"), "block > edge and tokens <= room"), left)
-    return got.union(more).select(partial.columns)
+    left = state.select("source", "room").union(left).groupBy("source").agg(F.min("room").alias("room")).where("room > 0")
+    later = common.stored(edge.select("source", "edge").join(left, "source"), "left")
+    rows, narrow = placed(later, "block > edge and tokens <= room")
+    start = F.struct(F.lit(-1).cast("long").alias("block"), F.lit(0).alias("pos")).alias("after")
+    more, _ = filled(narrow, common.stored(later.select("source", "room", start), "state"))
+    return got.union(rows.join(common.stored(more, "more"), ["source", "block", "pos"], "left_semi").select(partial.columns))
 
 
 def uses(rows: DataFrame, narrow: DataFrame, sources: DataFrame, seed: str) -> DataFrame:

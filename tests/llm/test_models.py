@@ -206,9 +206,11 @@ def test_mixing_odd_rows(odd_docs, no_docs):
     assert mixing.mix(no_docs).count() == mixing.mixed_once(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("block", [1000, 1 << 18])
-def test_mixing_passes_over_long_documents(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "fold", "chunk"), [(1000, 4096, 4096), (1000, 3, 2), (1 << 18, 7, 4096)])
+def test_mixing_passes_over_long_documents(spark, monkeypatch, block, fold, chunk):
     monkeypatch.setattr(mixing, "BLOCK_TOKENS", block)
+    monkeypatch.setattr(mixing, "FOLD", fold)
+    monkeypatch.setattr(mixing, "CHUNK_BLOCKS", chunk)
     rows = [(i, "abcd" * (20 + i % 9 if i % 50 else 0), "small") for i in range(200)] + [(900 + i, "abcd" * 3000, "small") for i in range(3)]
     rows += [(1000 + i, "abcd" * 100, "large") for i in range(100)]
     docs = spark.createDataFrame([*rows, (5, "abcd" * 24, "small")], "doc_id long, text string, source string")
