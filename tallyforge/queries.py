@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from . import schemas, storage
 from .functions import similarity, text
-from .operators import contingency, dedup, enrich, grid, logs, matching, reports, reshape, validate
+from .operators import contingency, enrich, grid, logs, matching, reports, reshape, validate
 from .plans import jobs
 from .sources import files
 
