@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import gc
 import tempfile
 import uuid
@@ -18,8 +19,10 @@ BROADCAST_BYTES = 32 << 20
 ROW_BYTES, NUMBER_BYTES, OTHER_BYTES = 64, 16, 160
 #: Bytes of a batch that goes to a Python worker, about; a larger row goes alone.
 ARROW_BYTES = 8 << 20
-#: Folders of the tables stored in each open ``scratch``, innermost last.
-_OPEN: list[list[str]] = []
+#: Folders of the tables stored in each open ``scratch`` of this thread, innermost last.
+_OPEN: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("open", default=())
+#: Nodes of a plan that neither repeat nor merge the rows of a file.
+_PLAIN = ("Project", "Filter", "SubqueryAlias")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,8 +42,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if _OPEN:
-        _OPEN[-1].append(path)
+    if _OPEN.get():
+        _OPEN.get()[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -58,20 +61,22 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
 
     Those belong to the scratch around it, if any.
     """
-    _OPEN.append([])
-    depth = len(_OPEN) - 1
+    around = _OPEN.get()
+    own: list[str] = []
+    token = _OPEN.set((*around, own))
 
     def kept(df: DataFrame, label: str) -> DataFrame:
         out = stored(df, label)
-        path = _OPEN[-1].pop()
-        if depth:
-            _OPEN[depth - 1].append(path)
+        path = _OPEN.get()[-1].pop()
+        if around:
+            around[-1].append(path)
         return out
 
     try:
         yield kept
     finally:
-        deleted(spark, _OPEN.pop())
+        _OPEN.reset(token)
+        deleted(spark, own)
 
 
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
@@ -79,16 +84,28 @@ def with_row_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def _of_files(df: DataFrame) -> bool:
+    """Whether df holds each row of its files once at most: columns and filters over one scan."""
+    plan = df._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while plan.nodeName() in _PLAIN:
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation"
+
+
 def identified(df: DataFrame, name: str) -> DataFrame:
     """df with a string that tells its rows apart and is the same whenever df is read again.
 
-    Rows of Parquet files have their file and place in it, so a frame read from files must hold no row of
-    them twice (as after explode) and choose none at random. Any other frame is ``stored`` first.
+    Rows of Parquet files have their file and place in it, where df is columns and filters over one scan.
+    Any other frame, such as one that repeats rows by explode or union, is ``stored`` first.
     """
-    try:
-        return df.select("*", F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias(name))
-    except AnalysisException:
-        return with_row_id(stored(df, "rows"), name).withColumn(name, F.col(name).cast("string"))
+    if _of_files(df):
+        try:
+            return df.select("*", F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias(name))
+        except AnalysisException:
+            pass  # files of another kind have no place
+    return with_row_id(stored(df, "rows"), name).withColumn(name, F.col(name).cast("string"))
 
 
 def small_or_shuffled(ids: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
