@@ -112,6 +112,12 @@ def zip_by_state(state: Column, inside: Column, outside: Column, home: str = "MA
 
 
 def share_of(df: DataFrame, value: str, out: str, within: list[str] | None = None) -> DataFrame:
-    """Percent of the total within the columns (of all rows without them); null becomes 0."""
-    total = F.sum(value).over(Window.partitionBy(*(within or [])))
-    return df.withColumn(out, F.coalesce(100.0 * F.col(value) / F.when(total != 0, total), F.lit(0.0)))
+    """Percent of the total within the columns (of all rows without them); null becomes 0.
+
+    The total of all rows is summed where they are and joined as one row.
+    """
+    if within:
+        rows, total = df, F.sum(value).over(Window.partitionBy(*within))
+    else:
+        rows, total = df.crossJoin(F.broadcast(df.agg(F.sum(value).alias("_total")))), F.col("_total")
+    return rows.withColumn(out, F.coalesce(100.0 * F.col(value) / F.when(total != 0, total), F.lit(0.0))).drop("_total")

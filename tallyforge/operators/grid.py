@@ -12,24 +12,46 @@ PADDING, ROW_HEIGHT = 45, 25
 # Names of table parts and of fields.
 _PART = r".+_section_table_(a1|a2|a3|b|c)$"
 _FIELD = r".*_section_([a-zA-Z]+)_([a-zA-Z0-9_]+)"
-#: The most rectangles that count as one page's.
-PAGE_RECTANGLES = 10_000
+#: Tiles double twice from level to level: sides of 4**level, from the least to the greatest, which is one tile.
+TILE_BASE, LEAST_LEVEL, WHOLE_LEVEL = 4.0, -10, 24
+
+
+def _level(extent: Column) -> Column:
+    """The level whose tiles are just as large as an extent, so that it meets two of them, or three."""
+    level = F.ceil(F.log(F.greatest(extent, F.lit(TILE_BASE**LEAST_LEVEL))) / F.log(F.lit(TILE_BASE)))
+    return F.least(level, F.lit(WHOLE_LEVEL)).cast("int")
+
+
+def _tile(at: Column, level: Column) -> Column:
+    return F.when(level == WHOLE_LEVEL, F.lit(0)).otherwise(F.floor(at / F.pow(F.lit(TILE_BASE), level))).cast("long")
 
 
 def in_rectangles(words: DataFrame, layout: DataFrame, on: tuple[str, ...] = ()) -> DataFrame:
     """words (x, y, ..) with the section and field of every rectangle that holds the point, edges included.
 
-    on: columns of both, such as the form or page, that must be equal; with them a layout may have any
-    size. Without them it is one page's rectangles and is broadcast; a larger one raises ValueError.
+    layout: (x1, x2, y1, y2, section, field) of any number of rectangles and any sizes. on: columns of both,
+    such as the form or page, that must be equal.
+
+    A bucket index: by its width and height a rectangle gets a level in each direction, and it is listed
+    under the few tiles of that level that it touches. A point lies in one tile of each pair of levels
+    that the layout has, a few for usual layouts. Equal tiles are joined, then the exact test decides.
+    The index of a layout is broadcast if its counted rows fit; beyond that it is shuffled by tile. Points
+    and rectangles with a null or not-a-number edge, and rectangles whose ends are reversed, match nothing.
     """
+    levels = ["_lx", "_ly"]
+    known = lambda c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    boxes = layout.where((F.col("x1") <= F.col("x2")) & (F.col("y1") <= F.col("y2")) & known("x1") & known("x2") & known("y1") & known("y2"))
+    boxes = boxes.withColumns({f"_l{d}": _level(F.col(f"{d}2") - F.col(f"{d}1")) for d in "xy"})
+    present = [tuple(r) for r in boxes.select(*levels).distinct().collect()]  # a few numbers, whatever the layout
+    for d in "xy":
+        level = F.col(f"_l{d}")
+        boxes = boxes.withColumn(f"_t{d}", F.explode(F.sequence(_tile(F.col(f"{d}1"), level), _tile(F.col(f"{d}2"), level))))
+    pairs = F.array(*[F.struct(F.lit(x).alias("_lx"), F.lit(y).alias("_ly")) for x, y in present]) if present else F.expr("cast(array() as array<struct<_lx: int, _ly: int>>)")
+    points = words.where(known("x") & known("y")).withColumn("_pair", F.explode(pairs)).select("*", "_pair._lx", "_pair._ly").drop("_pair")
+    points = points.withColumns({f"_t{d}": _tile(F.col(d), F.col(f"_l{d}")) for d in "xy"})
     inside = F.col("x").between(F.col("x1"), F.col("x2")) & F.col("y").between(F.col("y1"), F.col("y2"))
-    if not on and not storage.fits(layout, PAGE_RECTANGLES):
-        raise ValueError("a layout of many pages needs columns to join on")
-    for c in on:
-        layout = layout.withColumnRenamed(c, f"_{c}")
-        inside = inside & (F.col(c) == F.col(f"_{c}"))
-    layout = storage.small_or_shuffled(layout) if on else F.broadcast(layout)
-    return words.join(layout, inside).drop("x1", "y1", "x2", "y2", *[f"_{c}" for c in on])
+    tiles = [*on, *levels, "_tx", "_ty"]
+    return points.join(storage.small_or_shuffled(boxes), tiles).where(inside).select(*words.columns, *[c for c in layout.columns if c not in (*on, "x1", "x2", "y1", "y2")])
 
 
 def positions(words: DataFrame, rows: int | Column, columns: int, row_height: float | None = ROW_HEIGHT, padding: float = PADDING) -> DataFrame:

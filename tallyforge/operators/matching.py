@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import storage
@@ -11,8 +11,12 @@ from ..functions.similarity import indel_ratio, ratcliff_ratio
 #: Scores above skip a report, from here on accept a match; least header similarity.
 SKIP_ABOVE, ACCEPT, HEADER = 80.0, 80.0, 0.70
 CONSOLIDATED = "CONSOLIDATED REPORT"
-#: Parts of the names of a length where the reference is not broadcast.
-SALTS = 32
+#: The score tried before ``accept``: a name that has a match so good looks no further.
+FIRST = 92.0
+#: Runs that a pair must share among its rarest ones, where its length promises so many.
+SHARED = 2
+#: Stands for what lies before a name's first letter and after its last.
+PAD = "\x01"
 
 
 def unlike(df: DataFrame, column: str, pattern: str = CONSOLIDATED, above: float = SKIP_ABOVE) -> DataFrame:
@@ -36,31 +40,84 @@ def headed(df: DataFrame, column: str, pattern: str, least: float = HEADER) -> D
     return df.where(can).withColumn("score", ratcliff_ratio(column, F.lit(pattern))).where(F.col("score") >= least)
 
 
+def _grams(q: int) -> Column:
+    """All runs of q letters of ``text`` padded at both ends, each with the number of its occurrence."""
+    # Bound to a name, r, so that the runs are cut once.
+    runs = f"transform(sequence(1, length(text) + {q - 1}), i -> substring(concat(repeat('{PAD}', {q - 1}), text, repeat('{PAD}', {q - 1})), i, {q}))"
+    return F.expr(f"get(transform(array({runs}), r -> transform(r, (g, i) -> concat(g, size(filter(slice(r, 1, i + 1), x -> x = g))))), 0)")
+
+
+def gram_size(accept: float) -> int:
+    """The longest runs, of up to 3 letters, of which names of such a score always share one."""
+    return next(q for q in (3, 2, 1) if (2 * q - 1) * accept >= 200 * (q - 1))
+
+
+def _least_common(q: int, accept: float) -> str:
+    """How many runs a name of n letters shares at least with a partner whose score is ``accept`` or more.
+
+    A letter that only one of two names has breaks q of its own runs and q - 1 of the other's; the
+    shortest partner promises least.
+    """
+    total = f"(n + ceil(n * {accept / (200.0 - accept)!r}D - 1e-9D))"
+    return f"cast(ceil({total} * {(2 * q - 1) * accept / 200.0 - (q - 1)!r}D + {q - 1} - 1e-9D) as int)"
+
+
+def _indexed(texts: DataFrame, frequency: DataFrame, q: int) -> DataFrame:
+    """(text, n, grams) with the runs (frequency, gram, at) of each text, those rare in the reference first."""
+    runs = texts.select("text", F.posexplode(_grams(q)).alias("at", "gram")).join(frequency, "gram", "left")
+    return runs.groupBy("text").agg(F.expr("array_sort(collect_list(struct(coalesce(frequency, 0) as frequency, gram, at))) as grams")).selectExpr("text", "length(text) as n", "grams")
+
+
+def _frequency(grams: DataFrame) -> DataFrame:
+    return grams.groupBy("gram").agg(F.count("*").alias("frequency"))
+
+
+def candidates(names: DataFrame, reference: DataFrame, q: int, accept: float) -> DataFrame:
+    """(name, ref) that can have the score, of names and reference as ``_indexed`` gives them.
+
+    Of the runs that a name of such a score has in common with its partner the first k, by rareness, lie among
+    its rarest all - least + k ones: a name looks only at these, and a pair must meet k times, at
+    places that are close enough.
+    """
+    least = _least_common(q, accept)
+
+    def side(df: DataFrame, text: str, n: str, k: str, at: str) -> DataFrame:
+        counted = df.selectExpr(f"text as {text}", "n", f"{least} as least", f"least({least}, {SHARED}) as k", "grams")
+        return counted.selectExpr(text, f"n as {n}", f"k as {k}", f"explode(slice(grams, 1, greatest(n + {q - 1} - least + k, 1))) as g").selectExpr(text, n, k, "g.gram", f"g.at as {at}")
+
+    lcs = f"ceil((n + m) * {accept / 200.0!r}D - 1e-9D)"
+    close = f"abs(i - j) <= greatest(n, m) - {lcs} and {lcs} <= least(n, m)"
+    met = side(names, "name", "n", "k", "i").join(side(reference, "ref", "m", "l", "j"), "gram").where(close)
+    return met.groupBy("name", "ref").agg(F.expr("count(*) as met"), F.expr("any_value(least(k, l)) as must")).where("met >= must").select("name", "ref")
+
+
 def best_matches(names: DataFrame, reference: DataFrame, accept: float = ACCEPT) -> DataFrame:
     """(name, match, score) of the distinct names (name): the most similar of reference (ref), if its score is enough.
 
-    Exact hits skip the comparison. The others meet only references of a length that can still reach
-    the score: 2 * shorter / sum of lengths. A reference whose rows fit is broadcast, so that names are
-    not shuffled; a larger one is repeated over salts, so that no task has all names of a length.
-    Ties go to the smaller reference.
+    Exact hits skip the comparison. The others look partners up in an inverted index of runs of letters:
+    a name of such a score shares one of each side's rarest runs, at a close place, and a known number of
+    all runs; only such pairs are compared. The index is tried with a high score first, which names few
+    pairs, and names that found a match leave. Spark broadcasts an index that turns out small, else
+    shuffles both sides by run and splits frequent ones. Ties go to the smaller reference.
     """
-    names = names.select("name").where("name is not null").distinct()
-    reference = reference.select("ref").where("ref is not null").distinct()
-    exact = names.join(reference, F.col("name") == F.col("ref")).select("name", F.col("ref").alias("match"), F.lit(100.0).alias("score"))
-    rest = names.join(reference, F.col("name") == F.col("ref"), "left_anti")
-    # Lengths that can reach the score make an equi-join; never all names by all references.
-    low, high = accept / (200.0 - accept), (200.0 - accept) / accept
-    n = F.length("name")
-    lengths = F.sequence(F.greatest(F.ceil(n * low - 1e-9), F.lit(1)).cast("int"), F.greatest(F.floor(n * high + 1e-9), F.lit(1)).cast("int"))
-    rest, reference = rest.withColumn("_n", F.explode(lengths)), reference.withColumn("_n", F.length("ref"))
-    if storage.fits(reference):
-        pairs = rest.join(F.broadcast(reference), "_n")
-    else:
-        reference = reference.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        pairs = rest.withColumn("_salt", F.pmod(F.xxhash64("name"), F.lit(SALTS)).cast("int")).join(reference, ["_n", "_salt"])
-    scored = pairs.select("name", "ref", indel_ratio("name", "ref").alias("s")).where(F.col("s") >= accept)
-    best = scored.groupBy("name").agg(F.min(F.struct((-F.col("s")).alias("s"), "ref")).alias("b"))
-    return exact.union(best.select("name", "b.ref", -F.col("b.s")))
+    names = names.select(F.col("name").alias("text")).where("text is not null").distinct()
+    reference = reference.select(F.col("ref").alias("text")).where("text is not null").distinct()
+    exact = names.join(reference, "text", "left_semi").select(F.col("text").alias("name"), F.col("text").alias("match"), F.lit(100.0).alias("score"))
+    q = gram_size(accept)
+    refs, left = reference.where("text != ''"), names.join(reference, "text", "left_anti").where("text != ''")
+    refs = storage.materialised(_indexed(refs, _frequency(refs.select(F.explode(_grams(q)).alias("gram"))), q), "reference")
+    left = storage.materialised(_indexed(left, _frequency(refs.select(F.explode("grams.gram").alias("gram"))), q), "names")
+
+    def best(names: DataFrame, least: float) -> DataFrame:
+        scored = candidates(names, refs, q, least).withColumn("s", indel_ratio("name", "ref")).where(F.col("s") >= least)
+        found = scored.groupBy("name").agg(F.min(F.struct((-F.col("s")).alias("s"), "ref")).alias("b"))
+        return found.select("name", F.col("b.ref").alias("match"), (-F.col("b.s")).alias("score"))
+
+    if accept >= FIRST:
+        return exact.union(best(left, accept))
+    near = storage.materialised(best(left, FIRST), "matches")
+    far = best(left.join(near.select(F.col("name").alias("text")), "text", "left_anti"), accept)
+    return exact.union(near).union(far)
 
 
 def corrected_pairs(df: DataFrame, first: str, second: str, reference: DataFrame, accept: float = ACCEPT) -> DataFrame:
@@ -68,11 +125,11 @@ def corrected_pairs(df: DataFrame, first: str, second: str, reference: DataFrame
 
     reference: (first, second) under the same column names.
     """
-    a = best_matches(df.select(F.col(first).alias("name")), reference.select(F.col(first).alias("ref")), accept)
-    b = best_matches(df.select(F.col(second).alias("name")), reference.select(F.col(second).alias("ref")), accept)
-    got = df.join(a.select(F.col("name").alias(first), F.col("match").alias("_a")), first, "left")
-    got = got.join(b.select(F.col("name").alias(second), F.col("match").alias("_b")), second, "left")
-    known = reference.select(F.col(first).alias("_a"), F.col(second).alias("_b")).distinct().withColumn("_ok", F.lit(True))
-    got = got.join(known, ["_a", "_b"], "left")
-    fix = lambda c, m: F.when(F.col("_ok"), F.col(m)).otherwise(F.col(c)).alias(c)
-    return got.select(*[c for c in df.columns if c not in (first, second)], fix(first, "_a"), fix(second, "_b"), F.coalesce("_ok", F.lit(False)).alias("matched"))
+    pairs = df.select(first, second).distinct()
+    a = best_matches(pairs.select(F.col(first).alias("name")), reference.select(F.col(first).alias("ref")), accept)
+    b = best_matches(pairs.select(F.col(second).alias("name")), reference.select(F.col(second).alias("ref")), accept)
+    known = reference.select(F.col(first).alias("_a"), F.col(second).alias("_b")).distinct()
+    fixes = pairs.join(a.select(F.col("name").alias(first), F.col("match").alias("_a")), first).join(b.select(F.col("name").alias(second), F.col("match").alias("_b")), second)
+    got = df.join(fixes.join(known, ["_a", "_b"]).select(first, second, "_a", "_b"), [first, second], "left")
+    fix = lambda c, m: F.coalesce(m, c).alias(c)
+    return got.select(*[c for c in df.columns if c not in (first, second)], fix(first, "_a"), fix(second, "_b"), F.col("_a").isNotNull().alias("matched"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import enrich, reshape
+from . import contingency, enrich, reshape
 
 
 def hidden(df: DataFrame, column: str, values: list[str]) -> DataFrame:
@@ -70,10 +72,21 @@ def every_table(tables: DataFrame, dims: list[str]) -> DataFrame:
     """(table_name, rows, column, n, share) of all contingency tables at once: each table's last dimension
     across, the others down, and percent of the line.
 
-    tables: (table_name, arity, dims.., Count), null in the dimensions that a table hasn't.
+    tables: (table_name, arity, dims.., Count), null in the dimensions that a table hasn't. Which ones it has
+    is known by the names that its dimensions in order give it, blanks as _, never by parts of a name.
     """
-    used = F.filter(F.array(*[F.struct(F.lit(d).alias("dim"), F.col(f"`{d}`").alias("value")) for d in dims]), lambda s: F.concat(F.lit("_"), "table_name", F.lit("_")).contains(F.concat(F.lit("_"), s.dim, F.lit("_"))))
-    cells = tables.select("table_name", F.transform(used, lambda s: s.value).alias("values"), F.col("Count").alias("n"))
+    sets = {contingency.table_name(s): list(s) for k in range(1, len(dims) + 1) for s in combinations(dims, k)}
+    if len(sets) < 2 ** len(dims) - 1:
+        raise ValueError("two sets of dimensions give a table the same name")
+    value = {d: F.col(f"`{d}`").cast("string") for d in dims}
+    # Only tables that are there; a plan of all sets would grow with 2**dims.
+    there = [r[0] for r in tables.select("table_name").distinct().collect()]
+    values = F.lit(None).cast("array<string>")
+    for name in there:
+        if name not in sets:
+            raise ValueError(f"no set of dimensions gives the name {name!r}")
+        values = F.when(F.col("table_name") == name, F.array(*[value[d] for d in sets[name]])).otherwise(values)
+    cells = tables.select("table_name", values.alias("values"), F.col("Count").alias("n"))
     cells = cells.select("table_name", F.slice("values", 1, F.size("values") - 1).alias("rows"), F.element_at("values", -1).alias("column"), "n")
     cells = cells.groupBy("table_name", "rows", "column").agg(F.sum("n").alias("n"))
     return enrich.share_of(cells, "n", "share", ["table_name", "rows"])

@@ -60,8 +60,3 @@ def last_flag(flags: list[str]) -> Column:
     """The name of the last true flag; null without one."""
     return F.coalesce(*[F.when(F.col(f"`{f}`"), F.lit(f)) for f in reversed(flags)])
 
-
-def first_n_joined(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
-    """(keys, text, n): the values of each key joined by blanks, in order."""
-    items = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(value))))
-    return df.groupBy(*keys).agg(F.array_join(F.transform(items, lambda s: s[value]), " ").alias("text"), F.count("*").alias("n"))

@@ -1,8 +1,11 @@
-"""Checks and repair of tables with totals, on long cells (doc, table, r, c, value, conf).
+"""Checks and repair of tables with totals, on long cells (doc, table, r, c, value, conf) or on arrays.
 
 The last column holds the row totals. total_back says how far the total row is from the end: 2
-where a prior year's row follows it, 1 where it is the last. All steps of one table share one
-partitioning by (doc, table).
+where a prior year's row follows it, 1 where it is the last.
+
+A table is checked as one value: an array of rows (r, cells), each an array of cells (c, value, conf).
+Sums, repair and verdicts are folds over it, so long cells take one shuffle, by (doc, table), and tables that
+come as arrays take none. A table is one form's, so it is small; cells that a table lacks count as 0.
 """
 
 from __future__ import annotations
@@ -27,43 +30,127 @@ def _sized(cells: DataFrame) -> DataFrame:
     return cells.withColumn("_h", F.max("r").over(w)).withColumn("_w", F.max("c").over(w))
 
 
-def _rows(cells: DataFrame, repair: bool, allow_negative: bool) -> DataFrame:
-    """rows_checked with the table's last row and column, _h and _w, and each value as it came, _came."""
-    row = Window.partitionBy(*KEY, "r")
-    total = F.col("c") == F.col("_w")
-    low = F.coalesce(F.col("conf") < REPAIR_LOW, F.lit(False))
-    got = _sized(cells).withColumn("_came", F.col("value")).withColumn("_sum", F.coalesce(F.sum(F.when(~total, F.col("value"))).over(row), F.lit(0)))
-    got = got.withColumn("_total", F.max(F.when(total, F.col("value"))).over(row)).withColumn("_low", F.sum(low.cast("int")).over(row))
-    adds = F.coalesce(F.col("_sum") == F.col("_total"), F.lit(False))
-    if not repair:
-        return got.withColumn("row_valid", adds).withColumn("repaired", F.lit(False)).drop("_sum", "_total", "_low")
-    new = F.when(total, F.col("_sum")).otherwise(F.col("_total") - F.col("_sum") + F.col("value"))
-    fixes = ~adds & low & (F.col("_low") == 1)
-    if not allow_negative:
-        fixes = fixes & (new >= 0)
-    got = got.withColumn("repaired", fixes).withColumn("value", F.when(fixes, new).otherwise(F.col("value")).cast("long"))
-    return got.withColumn("row_valid", adds | F.max("repaired").over(row)).drop("_sum", "_total", "_low")
+def matrix_rows(matrix: Column, conf: Column) -> Column:
+    """Rows (r, cells) of an array of arrays and the confidences of the same places."""
+    cell = lambda r: lambda v, c: F.struct(c.alias("c"), v.cast("long").alias("value"), F.get(F.get(conf, r), c).alias("conf"))
+    return F.transform(matrix, lambda row, r: F.struct(r.alias("r"), F.transform(row, cell(r)).alias("cells")))
 
 
-def rows_checked(cells: DataFrame, repair: bool = True, allow_negative: bool = True) -> DataFrame:
-    """cells with row_valid and repaired.
+def rows_matrix(rows: Column) -> Column:
+    """The values of rows as an array of arrays."""
+    return F.transform(rows, lambda t: F.transform(t.cells, lambda x: x.value))
+
+
+def _packed(cells: DataFrame) -> DataFrame:
+    """(doc, table, _rows) of long cells; a cell keeps all its other columns."""
+    got = cells.repartition(*KEY).groupBy(*KEY, "r").agg(F.array_sort(F.collect_list(F.struct("c", *[c for c in cells.columns if c not in (*KEY, "r", "c")]))).alias("cells"))
+    return got.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("r", "cells"))).alias("_rows"))
+
+
+def last_column(rows: Column) -> Column:
+    """The number of the totals' column."""
+    return F.array_max(F.transform(rows, lambda t: F.element_at(t.cells, -1).c))
+
+
+def _value(cells: Column, c: Column) -> Column:
+    """The value at a column: at its place where the row is whole, else searched for."""
+    there = F.get(cells, c.cast("int"))
+    return F.when(there.c == c, there.value).otherwise(F.get(F.filter(cells, lambda x: x.c == c), 0).value)
+
+
+def balanced(rows: Column, w: Column, repair: bool = True, allow_negative: bool = True) -> Column:
+    """Rows (r, cells, valid, at, new): whether each adds up, after repair; at and new are the column and
+    value that repair has set, null without.
 
     With repair, a row that doesn't add up and has exactly one cell of low confidence (its total
-    included) gets the value that balances it. conf stays as it was.
+    included) gets the value that balances it.
     """
-    return _rows(cells, repair, allow_negative).drop("_h", "_w", "_came")
+    long = F.lit(None).cast("long")
+    number = lambda x: F.coalesce(x.value, F.lit(0))
+    sums = F.transform(
+        rows,
+        lambda t: F.struct(
+            t.r.alias("r"),
+            t.cells.alias("cells"),
+            F.aggregate(t.cells, F.lit(0).cast("long"), lambda a, x: a + F.when(x.c < w, number(x)).otherwise(0)).alias("sum"),
+            F.aggregate(t.cells, long, lambda a, x: F.when(x.c == w, x.value.cast("long")).otherwise(a)).alias("total"),
+            F.filter(t.cells, lambda x: x.conf < REPAIR_LOW).alias("low") if repair else F.lit(None).alias("low"),
+        ),
+    )
+    adds = lambda t: F.coalesce(t["sum"] == t.total, F.lit(False))
+    if not repair:
+        return F.transform(sums, lambda t: F.struct(t.r.alias("r"), t.cells.alias("cells"), adds(t).alias("valid"), F.lit(None).cast("int").alias("at"), long.alias("new")))
 
+    def mended(t: Column) -> Column:
+        one = F.get(t.low, 0)
+        new = F.when(one.c == w, t["sum"]).otherwise(t.total - t["sum"] + number(one))
+        fixes = ~adds(t) & (F.size(t.low) == 1) & new.isNotNull()
+        if not allow_negative:
+            fixes = fixes & (new >= 0)
+        return F.struct(t.r.alias("r"), t.cells.alias("cells"), (adds(t) | fixes).alias("valid"), F.when(fixes, one.c).cast("int").alias("at"), F.when(fixes, new).alias("new"))
+
+    return F.transform(sums, mended)
+
+
+def mended_rows(rows: Column) -> Column:
+    """Rows (r, cells) of balanced rows with the repaired values in their places."""
+    cell = lambda t: lambda x: F.struct(x.c.alias("c"), F.when(x.c == t["at"], t.new).otherwise(x.value.cast("long")).alias("value"), x.conf.alias("conf"))
+    return F.transform(rows, lambda t: F.struct(t.r.alias("r"), F.transform(t.cells, cell(t)).alias("cells")))
 
-def _columns(sized: DataFrame, value: str, total_back: int, *more: Column) -> DataFrame:
-    """(doc, table, c, col_valid, ..): whether the rows above the total row add up to it."""
-    at = F.col("_h") - (total_back - 1)
-    upper = F.coalesce(F.sum(F.when(F.col("r") < at, F.col(value))), F.lit(0))
-    return sized.groupBy(*KEY, "c").agg(F.coalesce(upper == F.max(F.when(F.col("r") == at, F.col(value))), F.lit(False)).alias("col_valid"), *more)
+
+def columns_valid(rows: Column, total_back: int, mended: bool = False) -> Column:
+    """(c, valid) of each column: whether the rows above the total row add up to it.
+
+    mended: of balanced rows, with their repaired values.
+    """
+    at = F.element_at(rows, -1).r - (total_back - 1)
+    value = lambda t, c: F.when(t["at"] == c, t.new).otherwise(_value(t.cells, c)) if mended else _value(t.cells, c)
+    upper = lambda c: F.aggregate(rows, F.lit(0).cast("long"), lambda a, t: a + F.when(t.r < at, F.coalesce(value(t, c), F.lit(0))).otherwise(0))
+    whole = lambda c: F.aggregate(rows, F.lit(None).cast("long"), lambda a, t: F.when(t.r == at, value(t, c)).otherwise(a))
+    every = F.array_sort(F.array_distinct(F.flatten(F.transform(rows, lambda t: F.transform(t.cells, lambda x: x.c)))))
+    return F.transform(every, lambda c: F.struct(c.alias("c"), F.coalesce(upper(c) == whole(c), F.lit(False)).alias("valid")))
+
+
+def verdict(rows: Column, columns: Column, w: Column) -> Column:
+    """struct(rows_ok, cols_ok, part_ok, only_last_col, status) of balanced rows and valid columns.
+
+    part_ok forgives the last row; only_last_col: all fine but the last column.
+    """
+    last = F.element_at(rows, -1).r
+    rows_ok, cols_ok = F.forall(rows, lambda t: t.valid), F.forall(columns, lambda x: x.valid)
+    part = F.forall(rows, lambda t: t.valid | (t.r == last)) & cols_ok
+    only = rows_ok & F.forall(columns, lambda x: x.valid | (x.c == w)) & ~cols_ok
+    status = F.when(rows_ok & cols_ok, "Valid").when(only, "Valid, invalid sum").otherwise("Invalid")
+    return F.struct(rows_ok.alias("rows_ok"), cols_ok.alias("cols_ok"), part.alias("part_ok"), only.alias("only_last_col"), status.alias("status"))
+
+
+def _judged(packed: DataFrame, total_back: int, order: str, repair: bool, allow_negative: bool) -> DataFrame:
+    """packed with _w, the balanced rows, and the verdict.
+
+    order: columns are checked on repaired cells (rows_first) or on the cells as they came
+    (columns_first).
+    """
+    got = packed.withColumn("_w", last_column(F.col("_rows")))
+    got = got.withColumn("_balanced", balanced(F.col("_rows"), F.col("_w"), repair, allow_negative))
+    columns = columns_valid(F.col("_balanced"), total_back, mended=order == "rows_first")
+    return got.withColumn("_columns", columns).withColumn("_verdict", verdict(F.col("_balanced"), F.col("_columns"), F.col("_w")))
+
+
+def rows_checked(cells: DataFrame, repair: bool = True, allow_negative: bool = True) -> DataFrame:
+    """cells with row_valid and repaired, as ``balanced`` finds them. conf stays as it was."""
+    got = _packed(cells)
+    got = got.select(*KEY, F.explode(balanced(F.col("_rows"), last_column(F.col("_rows")), repair, allow_negative)).alias("_t"))
+    got = got.select(*KEY, "_t.r", "_t.valid", "_t.at", "_t.new", F.explode("_t.cells").alias("_x"))
+    fixed = F.coalesce(F.col("at") == F.col("_x.c"), F.lit(False))
+    value = F.when(fixed, F.col("new")).otherwise(F.col("_x.value").cast("long")) if repair else F.col("_x.value")
+    own = lambda c: F.col(c) if c in (*KEY, "r") else value.alias(c) if c == "value" else F.col(f"_x.{c}")
+    return got.select(*[own(c) for c in cells.columns], F.col("valid").alias("row_valid"), fixed.alias("repaired"))
 
 
 def columns_checked(cells: DataFrame, total_back: int = 2) -> DataFrame:
     """(doc, table, c, col_valid): whether the rows above the total row add up to it."""
-    return _columns(_sized(cells), "value", total_back)
+    got = _packed(cells).select(*KEY, F.explode(columns_valid(F.col("_rows"), total_back)).alias("_x"))
+    return got.select(*KEY, "_x.c", F.col("_x.valid").alias("col_valid"))
 
 
 def verdicts(cells: DataFrame, total_back: int = 2, order: str = "rows_first", repair: bool = True, allow_negative: bool = True) -> DataFrame:
@@ -72,23 +159,7 @@ def verdicts(cells: DataFrame, total_back: int = 2, order: str = "rows_first", r
     order: columns are checked on repaired cells (rows_first) or on the cells as they came
     (columns_first). part_ok forgives the last row; only_last_col: all fine but the last column.
     """
-    # A table's rows, columns and verdict are all grouped within its one shuffle.
-    fixed = _rows(cells, repair, allow_negative)
-    last_row, last_column = F.col("r") == F.col("_h"), F.col("c") == F.col("_w")
-    cols = _columns(
-        fixed,
-        "value" if order == "rows_first" else "_came",
-        total_back,
-        F.every("row_valid").alias("rows_ok"),
-        F.every(F.col("row_valid") | last_row).alias("rows_part"),
-        F.any_value("_w").alias("_w"),
-    )
-    got = cols.groupBy(*KEY).agg(
-        F.every("rows_ok").alias("rows_ok"), F.every("rows_part").alias("rows_part"), F.every("col_valid").alias("cols_ok"), F.every(F.col("col_valid") | last_column).alias("others_ok")
-    )
-    only = F.col("rows_ok") & F.col("others_ok") & ~F.col("cols_ok")
-    status = F.when(F.col("rows_ok") & F.col("cols_ok"), "Valid").when(only, "Valid, invalid sum").otherwise("Invalid")
-    return got.select(*KEY, "rows_ok", "cols_ok", (F.col("rows_part") & F.col("cols_ok")).alias("part_ok"), only.alias("only_last_col"), status.alias("status"))
+    return _judged(_packed(cells), total_back, order, repair, allow_negative).select(*KEY, "_verdict.*")
 
 
 def grand_total_repaired(cells: DataFrame, total_back: int = 2, compat: bool = False) -> DataFrame:
@@ -125,9 +196,9 @@ def margin_histogram(diffs: DataFrame) -> DataFrame:
     return diffs.where("diff <> 0").groupBy("table", "diff").agg(F.count("*").alias("files"))
 
 
-def text_status(confidences: str, limit: float = TEXT_LOW) -> F.Column:
+def text_status(confidences: str | Column, limit: float = TEXT_LOW) -> Column:
     """struct(valid, status) of a list of confidences; the first, a caption's, doesn't count."""
-    c = F.col(confidences)
+    c = F.col(confidences) if isinstance(confidences, str) else confidences
     empty = F.coalesce(F.size(c), F.lit(0)) < 2
     low = F.exists(F.slice(c, 2, F.greatest(F.size(c), F.lit(1))), lambda x: x < limit)
     return F.when(empty, F.struct(F.lit(True).alias("valid"), F.lit("empty_content").alias("status"))).otherwise(

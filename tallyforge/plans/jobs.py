@@ -17,6 +17,11 @@ def records_by_field(fields: DataFrame, ids: dict[str, str], keys: tuple[str, ..
     return fields.groupBy(*keys).agg(*[F.max(F.when(F.col("id") == i, F.col("content"))).alias(n) for n, i in ids.items()])
 
 
+def sorted_forms(fields: DataFrame) -> DataFrame:
+    """(doc, fields) of fields (doc, id, ..): each form's fields as one array in the order of their ids."""
+    return fields.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("id", *[c for c in fields.columns if c not in ("doc", "id")]))).alias("fields"))
+
+
 def _answer(column: str) -> F.Column:
     return text.second_or_empty(F.from_json(column, "array<string>"))
 
@@ -127,25 +132,75 @@ def flatten_form5(records: DataFrame, include_new_hires: bool = True) -> DataFra
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Ids of a form's table, of its checkboxes, of its place and of its year.
+_TABLE, _CHECKBOX, _CITY, _STATE, _YEAR = "h-TABLE", "E-AND_F", "b-CITY_TOWN", "b-STATE", "h-CURRENT_YEAR_REPORTING_TOTAL_LABEL"
+
+
+def checked_forms(fields: DataFrame, places: DataFrame) -> DataFrame:
+    """One row for each form of fields (doc, at, id, content, confidence): its verdicts, and its fields rewritten.
+
+    (doc, text_ok, table_ok, table_part_ok, city, state, place_matched, missing_location, year,
+    fields array of (at, id, content, confidence)). at: the field's place in the form; without it fields
+    are in the order of their ids, and the result has places from 0. places: (city, state), cities in upper case.
+
+    The table is checked by columns as it came, then by rows with repair. The repaired table and
+    the corrected place are put back where they came from; all other fields stay as they were. A form is
+    one row, so that the checks take one shuffle, by form; of fields of one id the first is meant.
+    """
+    order = [c for c in ("at", "id", "content", "confidence") if c in fields.columns]
+    every = F.array_sort(F.collect_list(F.struct(*order, F.from_json("confidence", "array<double>").alias("c"))))
+    placed = lambda f, i: F.struct(i.alias("at"), *[f[n].alias(n) for n in ("id", "content", "confidence", "c")])
+    forms = fields.groupBy("doc").agg(F.transform(every, placed).alias("_all"))
+    first = lambda i: F.get(F.filter("_all", lambda f: f.id == i), 0)
+    forms = forms.withColumns({f"_{n}": first(i) for n, i in (("table", _TABLE), ("city", _CITY), ("state", _STATE), ("year", _YEAR))})
+    texts = lambda n: F.from_json(F.col(f"_{n}.content"), "array<string>")
+    forms = forms.withColumns({f"_{n}s": texts(n) for n in ("city", "state", "year")})
+    forms = forms.withColumn("_rows", validate.matrix_rows(F.from_json("_table.content", _MATRIX), F.from_json("_table.confidence", "array<array<double>>")))
+    got = validate._judged(forms, 2, "columns_first", True, True)
+    lacks = lambda n: F.coalesce(F.size(f"_{n}s"), F.lit(0)) < 2
+    got = got.select(
+        "doc",
+        F.forall(F.filter("_all", lambda f: ~f.id.isin(_TABLE, _CHECKBOX)), lambda f: validate.text_status(f.c).getField("valid")).alias("text_ok"),
+        F.coalesce(F.col("_verdict.rows_ok") & F.col("_verdict.cols_ok"), F.lit(True)).alias("table_ok"),
+        F.coalesce("_verdict.part_ok", F.lit(True)).alias("table_part_ok"),
+        text.second_or_empty(F.col("_citys")).alias("city"),
+        text.second_or_empty(F.col("_states")).alias("state"),
+        (lacks("city") | lacks("state")).alias("missing_location"),
+        F.when(F.col("_year").isNotNull(), text.year(F.coalesce(F.get("_years", 0), F.lit("")))).alias("year"),
+        F.to_json(validate.rows_matrix(validate.mended_rows(F.col("_balanced")))).alias("_mended"),
+        *["_all", "_citys", "_states", "_table", "_city", "_state"],
+    )
+    got = matching.corrected_pairs(got, "city", "state", places).withColumnRenamed("matched", "place_matched")
+    moved = lambda n: F.to_json(F.transform(f"_{n}s", lambda x, i: F.when(i == 1, F.col(n)).otherwise(x)))
+    got = got.withColumns({"_new_city": moved("city"), "_new_state": moved("state")})
+    moves = F.col("place_matched") & ~F.col("missing_location")
+
+    def rewritten(f: F.Column) -> F.Column:
+        new = F.when(f["at"] == F.col("_table.at"), F.coalesce("_mended", f.content))
+        new = new.when((f["at"] == F.col("_city.at")) & moves, F.col("_new_city")).when((f["at"] == F.col("_state.at")) & moves, F.col("_new_state"))
+        return F.struct(f["at"].alias("at"), f.id.alias("id"), new.otherwise(f.content).alias("content"), f.confidence.alias("confidence"))
+
+    names = ["doc", "text_ok", "table_ok", "table_part_ok", "city", "state", "place_matched", "missing_location", "year"]
+    return got.select(*names, F.transform("_all", rewritten).alias("fields"))
+
+
+def rewritten_fields(forms: DataFrame) -> DataFrame:
+    """(doc, at, id, content, confidence) of checked forms, to be written back."""
+    return forms.select("doc", F.inline("fields"))
+
+
+def offending(forms: DataFrame) -> DataFrame:
+    """(check, doc): the forms that each check has found fault with."""
+    failed = {"partial_invalid": ~F.col("table_part_ok"), "invalid": ~F.col("table_ok"), "invalid_text": ~F.col("text_ok"), "missing_location": F.col("missing_location")}
+    return forms.select(F.explode(F.array_compact(F.array(*[F.when(bad, F.lit(check)) for check, bad in failed.items()]))).alias("check"), "doc")
+
+
 def validate_forms(fields: DataFrame, places: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, summary, years) of form-1 fields (doc, id, content, confidence).
+    """(documents, summary, years) of form-1 fields, as ``checked_forms`` takes them.
 
-    documents: (doc, text_ok, table_ok, table_part_ok, city, state, place_matched, missing_location).
-    places: (city, state), cities in upper case. The table is checked by columns as it came, then by
-    rows with repair; both checks forgive nothing but, for table_part_ok, the last row.
+    documents: its rows without the fields; years: (year, forms).
     """
-    table, checkbox = "h-TABLE", "E-AND_F"
-    conf = fields.where(~F.col("id").isin(table, checkbox)).withColumn("_c", F.from_json("confidence", "array<double>"))
-    texts = conf.groupBy("doc").agg(F.every(validate.text_status("_c").getField("valid")).alias("text_ok"))
-    matrix = fields.where(F.col("id") == table).select("doc", F.from_json("content", _MATRIX).alias("m"), F.from_json("confidence", "array<array<double>>").alias("k"))
-    cells = reshape.matrix_cells(matrix, ["doc", "k"], "m").select("doc", F.lit(table).alias("table"), "r", "c", "value", F.get(F.get("k", F.col("r")), F.col("c")).alias("conf"))
-    checks = validate.verdicts(cells, 2, "columns_first").select("doc", (F.col("rows_ok") & F.col("cols_ok")).alias("table_ok"), F.col("part_ok").alias("table_part_ok"))
-    raw = records_by_field(fields, {"_city": "b-CITY_TOWN", "_state": "b-STATE", "_year": "h-CURRENT_YEAR_REPORTING_TOTAL_LABEL"})
-    answers = lambda c: F.coalesce(F.size(F.from_json(c, "array<string>")), F.lit(0))
-    where = raw.select("doc", _answer("_city").alias("city"), _answer("_state").alias("state"), ((answers("_city") < 2) | (answers("_state") < 2)).alias("missing_location"))
-    where = matching.corrected_pairs(where, "city", "state", places).withColumnRenamed("matched", "place_matched")
-    docs = where.join(texts, "doc", "left").join(checks, "doc", "left")
-    docs = docs.na.fill(True, ["text_ok", "table_ok", "table_part_ok"])
+    docs = checked_forms(fields, places).drop("fields")
     summary = docs.agg(
         F.count("*").alias("forms"),
         F.count_if(~F.col("table_part_ok")).alias("partial_invalid"),
@@ -153,9 +208,7 @@ def validate_forms(fields: DataFrame, places: DataFrame) -> tuple[DataFrame, Dat
         F.count_if(~F.col("text_ok")).alias("invalid_text"),
         F.count_if("missing_location").alias("missing_location"),
     )
-    label = F.coalesce(F.get(F.from_json("_year", "array<string>"), 0), F.lit(""))
-    years = raw.where("_year is not null").groupBy(text.year(label).alias("year")).agg(F.count("*").alias("forms"))
-    return docs, summary, years
+    return docs.drop("year"), summary, docs.where("year is not null").groupBy("year").agg(F.count("*").alias("forms"))
 
 
 def margin_report(records: DataFrame, form: int) -> tuple[DataFrame, DataFrame]:

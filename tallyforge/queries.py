@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas, storage
-from .functions import similarity, text
-from .operators import contingency, enrich, grid, logs, matching, reports, reshape, validate
+from .functions import noise, similarity, text
+from .operators import contingency, dedup, enrich, flatten, grid, logs, matching, reports, reshape, validate
 from .plans import jobs
-from .sources import files
+from .sources import each, files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -107,9 +107,37 @@ def mth1_hash(t: Tables) -> DataFrame:
     return contingency.dp_contingency(facts(t), FIELDS, "n", noise="hash")
 
 
-@query("job2_dp_contingency")
+#: A key for the tests; a real one is drawn for each release and kept secret.
+_TEST_KEY = bytes(range(32))
+
+
+def _keyed_sql() -> str:
+    """The keyed noise of the 3-way tables e, in whole numbers."""
+    inner, outer = (p.hex() for p in noise.pads(_TEST_KEY))
+    part = lambda c: f"coalesce(length({c}) || ':' || {c}, '-')"
+    text = " || ".join(part(c) for c in ("table_name", *FIELDS))
+    hexes = ", ".join(f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode({text} || '|{i}'))))" for i in range(6))
+    u = lambda i: f"('0x' || substr(h[{i // 4 + 1}], {1 + i % 4 * 13}, 13))::BIGINT"
+    bits = noise.bit_thresholds(contingency.EPSILON)
+    size = lambda first: " + ".join(f"({u(first + j)} < {t})::BIGINT * {1 << j}" for j, t in enumerate(bits))
+    return f"SELECT * REPLACE (\"Count\" + ({size(0)}) - ({size(len(bits))}) AS \"Count\") FROM (SELECT *, [{hexes}] AS h FROM e)"
+
+
+@query(
+    "job2_dp_contingency",
+    f"""WITH f AS ({_FACTS_SQL}), e AS ({_named(3, 'f', 'sum(n)::DOUBLE')}), t3 AS (SELECT * EXCLUDE (h) FROM ({_keyed_sql()})),
+    t2 AS ({_versions('t3', 2)}), t1 AS ({_versions('t2', 1)})
+    SELECT table_name, arity, {', '.join(FIELDS)}, "Count" FROM (SELECT * FROM t3 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t1)""",
+)
 def job2_dp(t: Tables) -> DataFrame:
-    return contingency.dp_contingency(facts(t), FIELDS, "n")
+    return contingency.dp_contingency(facts(t), FIELDS, "n", key=_TEST_KEY)
+
+
+@query("job2_dp_with_absent_cells")
+def job2_absent(t: Tables) -> DataFrame:
+    """Parts by brand, type and name: most combinations are absent; those whose noise is 100 or more come too."""
+    parts = t.part.select("p_brand", "p_type", "p_name", F.lit(1).alias("n"))
+    return contingency.dp_contingency(parts, ["p_brand", "p_type", "p_name"], "n", key=_TEST_KEY, above=100)
 
 
 @query("snk4_combined_tables", f"WITH f AS ({_FACTS_SQL}) SELECT 'by_flag' AS table_name, l_returnflag, NULL AS c_mktsegment, sum(n)::BIGINT AS \"Count\" FROM f GROUP BY ALL UNION ALL SELECT 'by_segment', NULL, c_mktsegment, sum(n)::BIGINT FROM f GROUP BY ALL")
@@ -188,6 +216,41 @@ def rsh7(t: Tables) -> DataFrame:
     return reshape.explode_zips(rows, "zips", "code").drop("zips")
 
 
+_NESTED_SQL = """SELECT event_id, 'type' AS path, event_type AS value FROM events WHERE event_id % 7 <> 0
+    UNION ALL SELECT event_id, 'props.k', json_extract_string(props, '$.k') FROM events
+    UNION ALL SELECT event_id, 'user.id', user_id::VARCHAR FROM events WHERE event_id % 5 <> 0
+    UNION ALL SELECT event_id, 'user.tags_' || i, 't' || (user_id + i) FROM events, (SELECT unnest(range(3)) AS i) WHERE event_id % 5 <> 0 AND i < event_id % 4
+    UNION ALL SELECT event_id, 'user', 'nobody' FROM events WHERE event_id % 5 = 0
+    UNION ALL SELECT event_id, 'rows_' || i || '_' || j, (event_id % 10 + i * 2 + j)::VARCHAR FROM events, (SELECT unnest(range(2)) AS i), (SELECT unnest(range(2)) AS j) WHERE event_id % 3 = 0
+    UNION ALL SELECT event_id, 'more.list_0.deep.er', NULL FROM events WHERE event_id % 11 = 0"""
+
+
+def _nested(t: Tables) -> DataFrame:
+    """Events as documents of several shapes: members that are lacking, of two kinds, empty, null and deep."""
+    k = F.col("event_id")
+    tags = F.array_join(F.transform(F.slice(F.array(*[F.lit(i) for i in range(3)]), F.lit(1), F.least(k % 4, F.lit(3)).cast("int")), lambda i: F.concat(F.lit('"t'), F.col("user_id") + i, F.lit('"'))), ",")
+    user = F.when(k % 5 == 0, '"nobody"').otherwise(F.concat(F.lit('{"id":'), "user_id", F.lit(',"tags":['), tags, F.lit("]}")))
+    cell = lambda i: (k % 10 + i).cast("string")
+    rows = F.when(k % 3 == 0, F.concat(F.lit(',"rows":[['), cell(0), F.lit(","), cell(1), F.lit("],["), cell(2), F.lit(","), cell(3), F.lit("]]"))).otherwise("")
+    kind = F.when(k % 7 != 0, F.concat(F.lit(',"type":"'), "event_type", F.lit('"'))).otherwise("")
+    more = F.when(k % 11 == 0, ',"more":{"list":[{"deep":{"er":null}}]}').otherwise(',"more":{}')
+    return t.events.select("event_id", F.parse_json(F.concat(F.lit('{"props":'), "props", F.lit(',"user":'), user, rows, kind, more, F.lit("}"))).alias("doc"))
+
+
+@query("rsh5_flatten_any_shape", _NESTED_SQL)
+def rsh5(t: Tables) -> DataFrame:
+    return flatten.flattened(_nested(t), "doc", ["event_id"])
+
+
+@query(
+    "rsh5_flat_columns",
+    f"""SELECT event_id, max(value) FILTER (path = 'type') AS type, max(value) FILTER (path = 'user') AS "user", max(value) FILTER (path = 'user.id') AS "user.id",
+    max(value) FILTER (path = 'user.tags_1') AS "user.tags_1", max(value) FILTER (path = 'rows_1_0') AS rows_1_0 FROM ({_NESTED_SQL}) GROUP BY event_id""",
+)
+def rsh5_columns(t: Tables) -> DataFrame:
+    return flatten.widened(flatten.flattened(_nested(t), "doc", ["event_id"]), ["event_id"], ["type", "user", "user.id", "user.tags_1", "rows_1_0"])
+
+
 @query("rsh8_stack_sub_tables", f"SELECT doc, 'a' AS \"table\", r + CASE doc % 3 WHEN 0 THEN 0 WHEN 1 THEN 10 ELSE 11 END AS r, c, value FROM ({_MATRIX_SQL})")
 def rsh8(t: Tables) -> DataFrame:
     part = F.get(F.array(F.lit("a1"), F.lit("a2"), F.lit("a3")), (F.col("doc") % 3).cast("int"))
@@ -483,6 +546,35 @@ def jon8(t: Tables) -> DataFrame:
     return grid.in_rectangles(words, layout).select("l_orderkey", "l_linenumber", "field")
 
 
+@query(
+    "jon8_form_layouts",
+    """WITH b AS (SELECT s_suppkey AS form, i, (i % 4) * 12.5 + s_suppkey % 3 AS x1, (i % 4) * 12.5 + s_suppkey % 3 + 1 + (i * i) % 17 AS x2, (i // 4) / 30.0 AS y1, (i // 4) / 30.0 + (1 + i % 5) / 50.0 AS y2
+        FROM supplier, (SELECT unnest(range(12)) AS i))
+    SELECT l_orderkey, l_linenumber, 'f' || i AS field FROM lineitem JOIN b ON l_suppkey = form AND l_quantity BETWEEN x1 AND x2 AND l_discount BETWEEN y1 AND y2""",
+)
+def jon8_forms(t: Tables) -> DataFrame:
+    """Twelve rectangles on the form of each supplier, overlapping ones of many sizes; the words of a form are its order lines."""
+    k, i = F.col("s_suppkey"), F.col("i")
+    boxes = t.supplier.select(k, F.explode(F.sequence(F.lit(0), F.lit(11))).alias("i"))
+    x1, y1 = (i % 4) * 12.5 + k % 3, F.floor(i / 4) / 30.0
+    layout = boxes.select(k.alias("form"), F.lit("s").alias("section"), F.concat(F.lit("f"), i).alias("field"), x1.alias("x1"), (x1 + 1 + (i * i) % 17).alias("x2"), y1.alias("y1"), (y1 + (1 + i % 5) / 50.0).alias("y2"))
+    words = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("form"), F.col("l_quantity").alias("x"), F.col("l_discount").alias("y"))
+    return grid.in_rectangles(words, layout, ("form",)).select("l_orderkey", "l_linenumber", "field")
+
+
+@query(
+    "jon8_one_large_layout",
+    """WITH b AS (SELECT p_partkey, p_partkey - 0.25 AS x1, p_partkey + p_size % 3 + CASE WHEN p_partkey % 97 = 0 THEN 40 ELSE 0.5 END AS x2, p_size % 40 AS y1, p_size % 40 + 5 + p_partkey % 7 AS y2 FROM part)
+    SELECT l_orderkey, l_linenumber, 'p' || p_partkey AS field FROM lineitem JOIN b ON l_partkey + l_tax BETWEEN x1 AND x2 AND l_quantity BETWEEN y1 AND y2""",
+)
+def jon8_large(t: Tables) -> DataFrame:
+    """A rectangle of each part, all on one page without a key to join on; one in 97 is wide."""
+    k, z = F.col("p_partkey"), F.col("p_size")
+    layout = t.part.select(F.lit("s").alias("section"), F.concat(F.lit("p"), k).alias("field"), (k - 0.25).alias("x1"), (k + z % 3 + F.when(k % 97 == 0, 40.0).otherwise(0.5)).alias("x2"), (z % 40).alias("y1"), (z % 40 + 5 + k % 7).alias("y2"))
+    words = t.lineitem.select("l_orderkey", "l_linenumber", (F.col("l_partkey") + F.col("l_tax")).alias("x"), F.col("l_quantity").alias("y"))
+    return grid.in_rectangles(words, layout).select("l_orderkey", "l_linenumber", "field")
+
+
 @query("grd4_cell_names", "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'h' ELSE 'table' END AS section, CASE WHEN p_partkey % 2 = 0 THEN 'TABLE' ELSE 'a' || (p_partkey % 3 + 1) END AS field, CASE WHEN p_partkey % 2 = 1 THEN 'a' || (p_partkey % 3 + 1) END AS table_part FROM part")
 def grd4(t: Tables) -> DataFrame:
     k = F.col("p_partkey")
@@ -541,7 +633,7 @@ def hsh1(t: Tables) -> DataFrame:
 )
 def str5(t: Tables) -> DataFrame:
     """An added letter, a dropped one, two replaced by another, and nothing left."""
-    edits = F.array(F.concat("c_name", F.lit("X")), F.substring("c_name", 2, 1000), F.concat(F.substring("c_name", 1, 4), F.lit("X"), F.substring("c_name", 7, 1000)), F.lit(""))
+    edits = F.array(F.concat("c_name", F.lit("X")), F.substr("c_name", F.lit(2)), F.concat(F.substring("c_name", 1, 4), F.lit("X"), F.substr("c_name", F.lit(7))), F.lit(""))
     return t.customer.select("c_name", F.explode(edits).alias("other")).withColumn("score", similarity.indel_ratio("c_name", "other"))
 
 
@@ -557,19 +649,45 @@ def flt2(t: Tables) -> DataFrame:
 
 
 _DROPPED_SQL = """SELECT DISTINCT n_name AS match, left(n_name, (c_custkey % 6)::INT) || substr(n_name, (c_custkey % 6)::INT + 2) AS name
-    FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE length(n_name) > 6"""
+    FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+
 
+def _without(name: str, at: Column) -> Column:
+    """A name without the letter after the first ``at``."""
+    return F.concat(F.substring(name, F.lit(1), at), F.substr(F.col(name), at + 2))
 
-@query("jon6_best_matches", f"SELECT name, match, round(200.0 * length(name) / (length(name) + length(match)), 6) AS score FROM ({_DROPPED_SQL}) UNION SELECT n_name, n_name, 100.0 FROM nation")
+
+@query(
+    "jon6_best_matches",
+    f"""WITH d AS ({_DROPPED_SQL}), c AS (SELECT name, n_name AS match, 200.0 * (SELECT length(name)) / (length(name) + length(n_name)) AS score FROM d, nation WHERE n_name = d.match)
+    SELECT name, arg_min(match, (-round(score, 6), match)) AS match, round(max(score), 6) AS score FROM c WHERE score >= 80 AND name NOT IN (SELECT n_name FROM nation) GROUP BY name UNION SELECT n_name, n_name, 100.0 FROM nation""",
+)
 def jon6(t: Tables) -> DataFrame:
     """Each customer's nation, spelled with one of its first letters left out."""
-    lived = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).where(F.length("n_name") > 6)
-    at = (F.col("c_custkey") % 6).cast("int")
-    dropped = lived.select(F.concat(F.substring("n_name", F.lit(1), at), F.substring("n_name", at + 2, F.lit(1000))).alias("name"))
+    lived = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    dropped = lived.select(_without("n_name", (F.col("c_custkey") % 6).cast("int")).alias("name"))
     names = dropped.union(t.nation.select("n_name"))
     return matching.best_matches(names, t.nation.select(F.col("n_name").alias("ref"))).withColumn("score", F.round("score", 6))
 
 
+_CATALOGUE_SQL = """SELECT *, CASE p_partkey % 4 WHEN 0 THEN whole WHEN 1 THEN left(whole, i) || substr(whole, i + 2) WHEN 2 THEN left(whole, i) || substr(whole, i + 3) ELSE left(whole, i) || '?' || substr(whole, i + 2) END AS name
+    FROM (SELECT p_partkey, (p_partkey % 19)::INT AS i, p_name || ' ' || p_type || ' ' || substr(md5(p_partkey::VARCHAR), 1, 12) AS whole FROM part)"""
+
+
+@query(
+    "jon6_growing_reference",
+    f"""SELECT name, whole AS match, round(200.0 * (length(whole) - [0, 1, 2, 1][(p_partkey % 4 + 1)::INT]) / (length(name) + length(whole)), 6) AS score FROM ({_CATALOGUE_SQL})""",
+)
+def jon6_growing(t: Tables) -> DataFrame:
+    """The name of each part as it is, without a letter or two, or with one replaced, against all names."""
+    k = F.col("p_partkey")
+    i = (k % 19).cast("int")
+    full = t.part.select("p_partkey", F.concat_ws(" ", "p_name", "p_type", F.substring(F.md5(k.cast("string")), 1, 12)).alias("full"))
+    head = F.substring("full", F.lit(1), i)
+    name = F.when(k % 4 == 0, F.col("full")).when(k % 4 == 1, _without("full", i)).when(k % 4 == 2, F.concat(head, F.substr("full", i + 3))).otherwise(F.concat(head, F.lit("?"), F.substr("full", i + 2)))
+    return matching.best_matches(full.select(name.alias("name")), full.select(F.col("full").alias("ref"))).withColumn("score", F.round("score", 6))
+
+
 def _log_lines(t: Tables) -> DataFrame:
     """Log lines made of events: one log for each user."""
     k = F.col("event_id")
@@ -728,6 +846,27 @@ def rep10(t: Tables) -> DataFrame:
     return got.select("table_name", F.array_join("rows", "|").alias("lines"), "column", "n", F.round("share", 6).alias("share"))
 
 
+#: The facts' columns under names with blanks, one of which is a part of another.
+_BLANKS = {"l_returnflag": "Job Category", "l_linestatus": "Size", "o_orderpriority": "Org Size", "o_orderstatus": "County Name", "c_mktsegment": "Gender"}
+
+
+def _blank_sql(arity: int) -> str:
+    from itertools import combinations
+
+    return " UNION ALL ".join(
+        f"SELECT '{'_'.join(_BLANKS[x] for x in c).replace(' ', '_')}' AS table_name, concat_ws('|', {', '.join(c[:-1]) or "''"}) AS lines, {c[-1]} AS \"column\", sum(n)::BIGINT AS n, round(100.0 * sum(n) / sum(sum(n)) OVER ({'PARTITION BY ' + ', '.join(c[:-1]) if c[1:] else ''}), 6) AS share FROM f GROUP BY {', '.join(c)}"
+        for c in combinations(FIELDS, arity)
+    )
+
+
+@query("rep10_names_with_blanks", f"WITH f AS ({_FACTS_SQL}) {_blank_sql(3)} UNION ALL {_blank_sql(2)} UNION ALL {_blank_sql(1)}")
+def rep10_blanks(t: Tables) -> DataFrame:
+    f, dims = facts(t).withColumnsRenamed(_BLANKS), list(_BLANKS.values())
+    tables = [contingency.contingency(f, dims, k, "n") for k in (3, 2, 1)]
+    got = reports.every_table(tables[0].unionByName(tables[1]).unionByName(tables[2]), dims)
+    return got.select("table_name", F.array_join("rows", "|").alias("lines"), "column", "n", F.round("share", 6).alias("share"))
+
+
 # --- readers and writers: a table written out and read back --------------------------------------
 
 
@@ -743,14 +882,13 @@ def src4(t: Tables) -> DataFrame:
     return files.industries(t.spark, path)
 
 
-@query("src5_zip_counties", "SELECT lpad(c_custkey::VARCHAR, 5, '0') AS zip, c_nationkey::VARCHAR AS county_code, c_mktsegment AS county_name, c_nationkey / 32.0 AS share FROM customer WHERE c_custkey % 10 <> 0 AND c_custkey < 100000")
+@query("src5_zip_counties", "SELECT lpad((c_custkey % 100000)::VARCHAR, 5, '0') AS zip, c_nationkey::VARCHAR AS county_code, c_mktsegment AS county_name, c_nationkey / 32.0 AS share FROM customer WHERE c_custkey % 10 <> 0")
 def src5(t: Tables) -> DataFrame:
     """Every tenth row is a label or a placeholder."""
     path = _new_path(t, "counties")
     k = F.col("c_custkey")
-    zcta = F.when(k % 20 == 0, "ZIP code").when(k % 10 == 0, " ").otherwise(F.lpad(k.cast("string"), 5, "0"))
-    rows = t.customer.where("c_custkey < 100000")
-    rows.select(zcta.alias("zcta"), F.col("c_nationkey").alias("county"), F.concat("c_mktsegment", F.lit(" MA")).alias("CountyName"), F.lit("x").alias("ZIPName"), F.lit(1).alias("pop20"), (F.col("c_nationkey") / 32).alias("afact")).write.option("header", True).csv(path)
+    zcta = F.when(k % 20 == 0, "ZIP code").when(k % 10 == 0, " ").otherwise(F.lpad((k % 100000).cast("string"), 5, "0"))
+    t.customer.select(zcta.alias("zcta"), F.col("c_nationkey").alias("county"), F.concat("c_mktsegment", F.lit(" MA")).alias("CountyName"), F.lit("x").alias("ZIPName"), F.lit(1).alias("pop20"), (F.col("c_nationkey") / 32).alias("afact")).write.option("header", True).csv(path)
     return files.zip_counties(t.spark, path)
 
 
@@ -784,6 +922,113 @@ def snk2(t: Tables) -> DataFrame:
     return t.spark.read.schema(schemas.FIELDS).json(path)
 
 
+def _customer_forms(t: Tables) -> DataFrame:
+    k = F.col("c_custkey")
+    return t.customer.select(F.concat(F.lit("c"), k).alias("id"), F.col("c_mktsegment").alias("section"), F.col("c_name").alias("content"), F.col("c_nationkey").cast("string").alias("confidence"))
+
+
+@query("snk2_one_file_a_form", "SELECT 'c' || c_custkey AS id, c_mktsegment AS section, c_name AS content, c_nationkey::VARCHAR AS confidence, 'c' || c_custkey || '.json' AS file FROM customer")
+def snk2_each(t: Tables) -> DataFrame:
+    """A file for each form, in folders by nation, read back from all of them."""
+    path = _new_path(t, "forms")
+    each.write_each_form(_customer_forms(t), path, F.concat(F.lit("n"), "confidence", F.lit("/"), "id"))
+    read = files.forms(t.spark, path, schemas.FIELDS)
+    return read.select("id", "section", "content", "confidence", F.substring_index("_path", "/", -1).alias("file"))
+
+
+def _mixed_files(t: Tables) -> str:
+    """Files of customers on three levels: forms, lists of two forms, and broken, empty and other ones."""
+    path, k = _new_path(t, "mixed"), F.col("c_custkey")
+    form = F.to_json(F.struct(F.col("c_name").alias("id"), F.col("c_mktsegment").alias("section")))
+    value = F.when(k % 10 == 1, F.substring(form, F.lit(1), F.length(form) - 2)).when(k % 10 == 2, "").when(k % 10 == 3, F.concat(F.lit(" ["), form, F.lit(","), form, F.lit("]\n"))).otherwise(form)
+    folder = F.when(k % 3 == 0, "").when(k % 3 == 1, "a/").otherwise("a/b/")
+    kind = F.when(k % 20 == 4, ".txt").when(k % 20 == 5, ".JSON").otherwise(".json")
+    each.write_each(t.customer.select(F.concat(folder, F.lit("f"), k, kind).alias("name"), value.alias("value")), path)
+    return path
+
+
+_MIXED_SQL = """SELECT *, 'f' || c_custkey || CASE c_custkey % 20 WHEN 4 THEN '.txt' WHEN 5 THEN '.JSON' ELSE '.json' END AS file FROM customer"""
+
+
+@query("src1_forms_recursive", f"SELECT c_name AS id, c_mktsegment AS section, file FROM ({_MIXED_SQL}), (SELECT unnest([0, 1]) AS copy) WHERE file LIKE '%.json' AND c_custkey % 10 NOT IN (1, 2) AND (copy = 0 OR c_custkey % 10 = 3)")
+def src1(t: Tables) -> DataFrame:
+    found, _ = each.forms(t.spark, _mixed_files(t), "id string, section string")
+    return found.select("id", "section", F.substring_index("_path", "/", -1).alias("file"))
+
+
+@query("src1_rejected_files", f"SELECT file, 'not JSON' AS error FROM ({_MIXED_SQL}) WHERE file LIKE '%.json' AND c_custkey % 10 = 1")
+def src1_rejects(t: Tables) -> DataFrame:
+    _, rejects = each.forms(t.spark, _mixed_files(t), "id string, section string")
+    return rejects.select(F.substring_index("_path", "/", -1).alias("file"), "error")
+
+
+@query("src2_forms_on_two_levels", f"SELECT c_name AS id, file FROM ({_MIXED_SQL}), (SELECT unnest([0, 1]) AS copy) WHERE file LIKE '%.json' AND c_custkey % 3 < 2 AND c_custkey % 10 NOT IN (1, 2) AND (copy = 0 OR c_custkey % 10 = 3)")
+def src2(t: Tables) -> DataFrame:
+    found, _ = each.forms(t.spark, _mixed_files(t), "id string, section string", two_levels=True)
+    return found.select("id", F.substring_index("_path", "/", -1).alias("file"))
+
+
+@query("src3_files_by_suffix", f"SELECT file, octet_length(encode('{{\"id\":\"' || c_name || '\",\"section\":\"' || c_mktsegment || '\"}}'))::BIGINT AS length FROM ({_MIXED_SQL}) WHERE lower(file) LIKE '%.json' AND c_custkey % 3 = 0 AND c_custkey % 10 NOT IN (1, 2, 3)")
+def src3(t: Tables) -> DataFrame:
+    """Names in any case, of one folder only; lists and broken files are left out of the comparison of lengths, and Spark lists no empty ones."""
+    found = files.by_suffix(t.spark, _mixed_files(t), "json").withColumn("file", F.substring_index("path", "/", -1))
+    number = F.regexp_extract("file", "[0-9]+", 0).cast("int") % 10
+    return found.where(~number.isin(1, 3)).select("file", "length")
+
+
+@query("src7_log_files", "SELECT 'log' || user_id || '_' || event_id // 1000 || '.log' AS file, count(*) AS n, count(*) FILTER (event_id % 4 = 0) AS valid FROM events GROUP BY ALL")
+def src7(t: Tables) -> DataFrame:
+    """Logs written as one file for each user and thousand of events, and one that is no log."""
+    path = _new_path(t, "logs")
+    lines = _log_lines(t).withColumn("part", F.floor(F.col("event_id") / 1000))
+    name = F.concat(F.regexp_replace("file", ".log$", "_"), F.col("part"), F.lit(".log"))
+    each.write_each(lines.groupBy(name.alias("name")).agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("value")).union(t.region.where("r_regionkey = 0").select(F.lit("x.txt"), "r_name")), path)
+    found = files.log_lines(t.spark, path)
+    return found.groupBy("file").agg(F.count("*").alias("n"), F.count_if(F.col("line").endswith("Valid table")).alias("valid"))
+
+
+def _document_files(t: Tables) -> str:
+    path = _new_path(t, "documents")
+    each.write_each(t.documents.select(F.concat("lang", F.lit("/"), "doc_id", F.when(F.col("doc_id") % 2 == 0, ".TXT").otherwise(".md")).alias("name"), F.col("text").alias("value")), path)
+    return path
+
+
+_DOCUMENT_FILES_SQL = "SELECT doc_id || CASE WHEN doc_id % 2 = 0 THEN '.TXT' ELSE '.md' END AS file, CASE WHEN doc_id % 2 = 0 THEN 'txt' ELSE 'md' END AS ext, lang || '/' || doc_id AS path, text, octet_length(encode(text)) AS length FROM documents"
+
+
+@query("src8_binary_files", f"SELECT file, length, sha256(text) AS hash FROM ({_DOCUMENT_FILES_SQL})")
+def src8(t: Tables) -> DataFrame:
+    found = files.binaries(t.spark, _document_files(t))
+    return found.select(F.substring_index("path", "/", -1).alias("file"), "length", F.sha2("content", 256).alias("hash"))
+
+
+@query("ded1_files_by_ranges", f"SELECT ext, sha256(text) AS hash, arg_min(file, path) OVER w AS kept, file FROM ({_DOCUMENT_FILES_SQL}) WINDOW w AS (PARTITION BY ext, text) QUALIFY count(*) OVER w > 1")
+def ded1_files(t: Tables) -> DataFrame:
+    found, _ = dedup.duplicate_files(each.listed(t.spark, _document_files(t)))
+    last = lambda c: F.substring_index(c, "/", -1)
+    return found.select("ext", "hash", last("kept").alias("kept"), last("path").alias("file"))
+
+
+@query(
+    "ded1_bytes_read",
+    f"""WITH f AS ({_DOCUMENT_FILES_SQL}), a AS (SELECT *, count(*) OVER (PARTITION BY ext, length) AS n FROM f), e AS (SELECT *, left(text, 512) AS head, right(text, least(512, greatest(length(text) - 512, 0))::INT) AS tail FROM a WHERE n > 1),
+    w AS (SELECT *, count(*) OVER (PARTITION BY ext, length, head, tail) AS m FROM e)
+    SELECT 'ends' AS step, count(*) AS files FROM e UNION ALL SELECT 'whole', count(*) FROM w WHERE m > 1 AND length > 512""",
+)
+def ded1_read(t: Tables) -> DataFrame:
+    """How many files each step opens, with ends of 512 bytes."""
+    found, read = dedup.duplicate_files(each.listed(t.spark, _document_files(t)), ends=512)
+    return read.select("step", "files")
+
+
+@query("cls1_manifest_by_folder", f"SELECT ext, count(*) AS files, sum(length)::BIGINT AS bytes FROM ({_DOCUMENT_FILES_SQL}) GROUP BY ALL")
+def cls1_manifest(t: Tables) -> DataFrame:
+    """The manifest in a folder for each extension, counted from what lies there."""
+    path = _new_path(t, "manifest")
+    dedup.by_folder(each.listed(t.spark, _document_files(t))).write.partitionBy("ext").parquet(path)
+    return t.spark.read.parquet(path).groupBy("ext").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+
+
 @query("snk3_margin_histogram", f"{_MARGIN_SQL} SELECT diff, count(*) AS files FROM g WHERE diff <> 0 GROUP BY diff")
 def snk3(t: Tables) -> DataFrame:
     path = _new_path(t, "histogram")
@@ -901,11 +1146,11 @@ def _form1_fields(t: Tables) -> DataFrame:
         F.array(upper[0] + off(3), *upper[1:], sum(upper, off(1))), F.array(*lower, sum(lower, F.lit(0))), F.array(*totals, sum(totals, F.lit(0))), F.array(*[F.lit(v) for v in (1, 2, 3)], 6 + off(2))
     )
     pairs.append(F.struct(F.lit("h-TABLE").alias("id"), F.to_json(matrix).alias("content")))
-    rows = t.customer.select(F.concat(F.lit("/in/c"), k, F.lit("_page_1_cropped.json")).alias("doc"), "c_custkey", F.explode(F.array(*pairs)).alias("f"))
+    rows = t.customer.select(F.concat(F.lit("/in/c"), k, F.lit("_page_1_cropped.json")).alias("doc"), "c_custkey", F.posexplode(F.array(*pairs)).alias("at", "f"))
     line = "[0.9, 0.9, 0.9, 0.9]"
     sure = F.when(k % 6 == 3, f"[[0.1, 0.9, 0.9, 0.9], {line}, {line}, {line}]").otherwise(f"[{line}, {line}, {line}, {line}]")
     low = F.when(F.col("f.id") == "h-TABLE", sure).when((k % 9 == 0) & (F.col("f.id") == "b-STATE"), "[0.9, 0.4]").otherwise("[0.9, 0.9]")
-    return rows.select("doc", "f.id", "f.content", low.alias("confidence"))
+    return rows.select("doc", "at", "f.id", "f.content", low.alias("confidence"))
 
 
 @query(
@@ -936,6 +1181,55 @@ def job5_places(t: Tables) -> DataFrame:
     return docs.select(text.document_key(F.col("doc")).alias("name"), "city", "place_matched")
 
 
+def _checked(t: Tables) -> DataFrame:
+    places = t.region.select(F.expr(_PLACES).alias("city"), F.lit("MA").alias("state"))
+    return jobs.checked_forms(_form1_fields(t), places)
+
+
+_KEY_SQL = "'c' || c_custkey AS name"
+_TABLE_SQL = """SELECT c_custkey, u1, u2, u3, l1, l2, l3, [[u1, u2, u3, u1 + u2 + u3 + (c_custkey % 6 = 1)::INT], [l1, l2, l3, l1 + l2 + l3], [u1 + l1, u2 + l2, u3 + l3, u1 + l1 + u2 + l2 + u3 + l3], [1, 2, 3, 6 + (c_custkey % 6 = 2)::INT]] AS m
+    FROM (SELECT c_custkey, (c_custkey % 7)::INT AS u1, (c_custkey % 5)::INT AS u2, (c_custkey % 3)::INT AS u3, (c_custkey % 4)::INT AS l1, (c_custkey % 6)::INT AS l2, (c_custkey % 2)::INT AS l3 FROM customer)"""
+
+
+@query("job5_rewritten_tables", f"SELECT {_KEY_SQL}, 7 AS \"at\", r, c, m[r + 1][c + 1] AS value FROM ({_TABLE_SQL}), (SELECT unnest(range(4))::INT AS r), (SELECT unnest(range(4))::INT AS c)")
+def job5_tables(t: Tables) -> DataFrame:
+    """The cells of the tables in the rewritten forms: the ones that were hard to read are repaired."""
+    tables = jobs.rewritten_fields(_checked(t)).where("id = 'h-TABLE'")
+    rows = tables.select(text.document_key(F.col("doc")).alias("name"), "at", F.from_json("content", "array<array<int>>").alias("m"))
+    return reshape.matrix_cells(rows, ["name", "at"], "m")
+
+
+@query(
+    "job5_rewritten_forms",
+    f"""SELECT {_KEY_SQL}, 8 AS fields, 'a-TYPE_OF_REPORT b-EMPLOYER b-STATE b-CITY_TOWN b-ZIPCODE g-NAICS h-CURRENT_YEAR_REPORTING_TOTAL_LABEL h-TABLE' AS ids,
+    '["caption","' || CASE WHEN c_nationkey < 12 THEN 'MA' ELSE 'TX' END || '"]' AS state,
+    CASE WHEN c_custkey % 4 = 0 THEN '["caption"]' WHEN c_nationkey < 12 THEN '["caption","BOSTON"]' ELSE '["caption","BOSTN"]' END AS city, '["caption","' || c_name || '"]' AS employer FROM customer""",
+)
+def job5_forms(t: Tables) -> DataFrame:
+    """The rewritten forms: places corrected, other fields as they were, all in their order."""
+    content = lambda i: F.get(F.filter("fields", lambda f: f.id == i), 0).content
+    return _checked(t).select(
+        text.document_key(F.col("doc")).alias("name"), F.size("fields").alias("fields"), F.array_join(F.transform("fields", lambda f: f.id), " ").alias("ids"), content("b-STATE").alias("state"), content("b-CITY_TOWN").alias("city"), content("b-EMPLOYER").alias("employer")
+    )
+
+
+@query(
+    "job5_offending_forms",
+    f"""SELECT unnest(list_filter([CASE WHEN c_custkey % 6 IN (1, 3) THEN 'partial_invalid' END, CASE WHEN c_custkey % 6 IN (1, 2, 3) THEN 'invalid' END, CASE WHEN c_custkey % 9 = 0 THEN 'invalid_text' END,
+    CASE WHEN c_custkey % 4 = 0 THEN 'missing_location' END], lambda x: x IS NOT NULL)) AS "check", {_KEY_SQL} FROM customer""",
+)
+def job5_offending(t: Tables) -> DataFrame:
+    return jobs.offending(_checked(t)).select("check", text.document_key(F.col("doc")).alias("name"))
+
+
+@query("srt3_sorted_fields", "SELECT o_custkey AS doc, string_agg(o_orderpriority || '-' || o_orderkey, ' ' ORDER BY o_orderpriority || '-' || o_orderkey) AS ids, count(*) AS fields FROM orders GROUP BY ALL")
+def srt3(t: Tables) -> DataFrame:
+    """The fields of each form in the order of their ids."""
+    fields = t.orders.select(F.col("o_custkey").alias("doc"), F.concat_ws("-", "o_orderpriority", "o_orderkey").alias("id"), F.col("o_orderstatus").alias("content"))
+    forms = jobs.sorted_forms(fields)
+    return forms.select("doc", F.array_join(F.transform("fields", lambda f: f.id), " ").alias("ids"), F.size("fields").cast("long").alias("fields"))
+
+
 @query(
     "job3_enrich_forms",
     f"""WITH w AS (SELECT c_custkey AS k, c_nationkey AS n, job, (c_custkey * 13 + i * 7 + 14) % 97 AS total FROM customer, (SELECT unnest(range(10)) AS i, unnest({_quoted(schemas.JOB_CATEGORIES[:10])}) AS job)),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of a few narrow columns that may be broadcast: about 16 MB.
@@ -39,3 +39,24 @@ def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 def small_or_shuffled(df: DataFrame) -> DataFrame:
     """Marked for broadcast if its counted rows fit, else left to a shuffle."""
     return F.broadcast(df) if fits(df) else df
+
+
+def running(df: DataFrame, value: Column, out: str, *order: str) -> DataFrame:
+    """df with the sum of a whole number over the rows before it, in an order of unique keys.
+
+    Rows are dealt out by ranges of the order and stored; the ranges' sums, one number each, come to the
+    driver. So no task has more than its range.
+    """
+    rows = materialised(df.withColumn("_v", value.cast("long")).repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    first = rows.groupBy("_part").agg(F.min(F.struct(*order)).alias("at"), F.sum("_v").alias("n")).orderBy("at").collect()
+    base, total = {}, 0
+    for r in first:
+        base[r["_part"]], total = total, total + r["n"]
+    offsets = F.broadcast(df.sparkSession.createDataFrame(list(base.items()), "_part int, _base long"))  # a row for each range
+    before = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.join(offsets, "_part").withColumn(out, F.col("_base") + F.coalesce(F.sum("_v").over(before), F.lit(0))).drop("_part", "_base", "_v")
+
+
+def numbered(df: DataFrame, out: str, *order: str) -> DataFrame:
+    """df with consecutive numbers from 0 in an order of unique keys."""
+    return running(df, F.lit(1), out, *order)
