@@ -14,19 +14,20 @@ def remainder(doc_id: F.Column, n: int) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
 
 
-def thinned(rows: DataFrame, label: str, doc_id: str, each: int, most: int | None = None) -> tuple[DataFrame, dict]:
+def thinned(rows: DataFrame, label: str, doc_id: str, each: int, most: int | None = None, kinds: int | None = None) -> tuple[DataFrame, dict]:
     """About ``each`` rows of each label, by a fixed hash of the id (all rows of rarer labels), fewer if
-    that made more than ``most`` rows of all labels.
+    that made more than ``most`` rows of all labels; of the ``kinds`` most frequent labels only.
 
-    Also the labels' counts, which come to the driver as one row for each label.
+    Also these labels' counts, which come to the driver as one row for each.
     """
-    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
+    counts = rows.where(F.col(label).isNotNull()).groupBy(label).count().orderBy(F.desc("count"), label)
+    counts = {r[0]: r[1] for r in (counts.limit(kinds) if kinds else counts).collect()}
     each = min(each, most // max(1, len(counts))) if most else each
-    share = F.lit(None).cast("double")
-    for value, n in counts.items():
-        share = F.when(F.col(label) == value, F.lit(min(1.0, each / n))).otherwise(share)
+    # A row for each label that is learned.
+    kind = rows.schema[label].dataType.simpleString()
+    shares = rows.sparkSession.createDataFrame([(v, min(1.0, each / n)) for v, n in counts.items()], f"_label {kind}, _share double")
     at = F.pmod(F.xxhash64(doc_id, F.lit("sample")), F.lit(1 << 20)) / float(1 << 20)
-    return rows.where(at < share), counts
+    return rows.join(F.broadcast(shares), F.col(label) == F.col("_label")).where(at < F.col("_share")).select(*rows.columns), counts
 
 
 def adam(weights: np.ndarray, gradient: Callable[[np.ndarray, int], np.ndarray], steps: int, rate: float) -> np.ndarray:

@@ -4,7 +4,9 @@ Byte n-grams of the whole text are hashed to relative frequencies. A multinomial
 classifier first tells the language family; one-versus-one linear support vector machines then
 separate the languages within it by votes.
 
-Fitted on a bounded sample of labelled rows (about ``EACH`` for each language), applied to all.
+Fitted on a bounded sample of labelled rows (about ``EACH`` for each language), applied to all. Of more
+than ``LANGS`` labels, as dirty data have, the most frequent are learned, ties by name; the others'
+rows are not, and their texts get the learned language that is most like them.
 
 Edge cases: a null text or one without letters is ``und`` with score 0. Without any labelled row
 all rows are ``und``. A language without a known family is a family of its own. A text's prediction
@@ -27,6 +29,8 @@ from . import common, fitting, hashing
 
 #: Labelled rows used of each language, and of all languages, at most about.
 EACH, MOST = 500, 8000
+#: Languages that are learned, the most frequent ones, at most; every pair of a family's has a machine.
+LANGS = 32
 ORDERS = (1, 2, 3)
 SLOTS = 1 << 13
 UNKNOWN = "und"
@@ -125,7 +129,7 @@ def fit(labelled: DataFrame, each: int = EACH) -> Model | None:
             got = [(v := x.astype(np.float32), np.flatnonzero(v)) for x in _frequencies(f)]
             yield pd.DataFrame({"lang": f["lang"], "slot": [k.astype(np.int32) for _, k in got], "value": [v[k] for v, k in got]})
 
-    rows, _ = fitting.thinned(rows, "lang", "doc_id", each, MOST)
+    rows, _ = fitting.thinned(rows, "lang", "doc_id", each, MOST, LANGS)
     seen = rows.select("text", "lang").mapInPandas(run, "lang string, slot array<int>, value array<float>").toPandas()
     if not len(seen):
         return None

@@ -32,6 +32,8 @@ CHUNK_BLOCKS = 4096
 FOLD = 4096
 #: Target entropy as a share of the largest possible, which equal weights have.
 ENTROPY = 0.95
+#: In the mixture of rows, how often a document comes at most.
+MOST = 4
 SEED = "mix"
 #: Halvings of the exponent's interval, done so many at a time by one pass over the sources.
 BITS, AT_ONCE = 30, 6
@@ -50,7 +52,10 @@ def unit_hash(*parts: F.Column) -> F.Column:
 
 
 def exponent(sources: DataFrame, budget: float | None, entropy: float | None, repeats: float | None) -> float:
-    """The exponent for sources (share), by bisection; one row for each candidate reaches the driver."""
+    """The exponent for sources (share), by bisection; one row for each candidate reaches the driver.
+
+    budget: of all tokens; None is the smallest that drops no document.
+    """
     count = sources.count()
     target = (entropy or 0.0) * math.log(count) if count else 0.0
     low, high, done = 0, 1 << BITS, 0
@@ -58,11 +63,12 @@ def exponent(sources: DataFrame, budget: float | None, entropy: float | None, re
     def fine(rows: DataFrame, grid: list[int]) -> set[int]:
         at = rows.select("share", F.explode(F.array(*[F.lit(g) for g in grid])).alias("g")).withColumn("a", F.col("g") / float(1 << BITS))
         power = F.pow("share", "a")
-        got = at.groupBy("g", "a").agg(F.sum(power).alias("z"), F.sum(power * F.log("share")).alias("l"), F.max(F.pow(F.col("share"), F.col("a") - 1)).alias("m"))
+        got = at.groupBy("g", "a").agg(F.sum(power).alias("z"), F.sum(power * F.log("share")).alias("l"), F.max(F.pow(F.col("share"), F.col("a") - 1)).alias("m"), F.max(F.pow(F.col("share"), 1 - F.col("a"))).alias("k"))
         if repeats is None:
             return {r.g for r in got.where(F.log("z") - F.col("a") * F.col("l") / F.col("z") >= target).select("g").collect()}
         # Beyond the limit, the exponent must grow: the search is for the last that is not fine.
-        return {r.g for r in got.where(F.col("m") / F.col("z") * budget > repeats).select("g").collect()}
+        times = F.col("m") * F.col("k") if budget is None else F.col("m") / F.col("z") * budget
+        return {r.g for r in got.where(times > repeats).select("g").collect()}
 
     ends = fine(sources, [low, high]) if count else {high}
     if high in ends:
@@ -78,11 +84,12 @@ def exponent(sources: DataFrame, budget: float | None, entropy: float | None, re
     return (low if repeats is None else high) / (1 << BITS)
 
 
-def plan(sized: DataFrame, entropy: float | None = ENTROPY, repeats: float | None = None, budget: int | None = None, once: bool = False, whole: bool = False) -> DataFrame:
+def plan(sized: DataFrame, entropy: float | None = ENTROPY, repeats: float | None = None, budget: int | None = None, whole: int | None = None) -> DataFrame:
     """(source, n, quota, epochs, rest, blocks) of sized (source, tokens), stored.
 
-    epochs: whole epochs; rest: tokens of the last one. once: the budget is the largest that repeats
-    no source; whole: the smallest that drops no document; else it is ``budget``, or all tokens.
+    epochs: whole epochs; rest: tokens of the last one. whole: the budget is the smallest that drops no
+    document, and the exponent is raised until no document comes more than so many times; else the
+    budget is ``budget``, or all tokens.
     """
     sources = sized.groupBy("source").agg(F.sum("tokens").alias("n")).where("n > 0")
     sources = common.stored(sources, "sources")
@@ -90,14 +97,16 @@ def plan(sized: DataFrame, entropy: float | None = ENTROPY, repeats: float | Non
     spend = budget or total
     shares = sources.withColumn("share", F.col("n") / F.lit(float(total or 1)))
     alpha = exponent(shares, spend / total if total else 1.0, entropy, repeats)
+    if whole and total:
+        alpha = max(alpha, exponent(shares, None, None, float(whole)))
     powers = shares.withColumn("power", F.pow("share", F.lit(alpha)))
-    z, least, most = powers.agg(F.sum("power"), F.min(F.col("n") / F.col("power")), F.max(F.col("n") / F.col("power"))).first()
+    z, most = powers.agg(F.sum("power"), F.max(F.col("n") / F.col("power"))).first()
     weighed = powers.withColumn("weight", F.col("power") / F.lit(z or 1.0))
-    if (once or whole) and total:
-        spend = (least if once else most) * z
+    if whole and total:
+        spend = most * z
     quota = F.floor(F.col("weight") * F.lit(float(spend)) + 0.5).cast("long")
     if whole:
-        quota = F.greatest(quota, "n")
+        quota = F.least(F.greatest(quota, "n"), F.col("n") * whole)
     out = weighed.withColumn("quota", quota).withColumn("epochs", F.expr("quota div n")).withColumn("rest", F.expr("quota % n"))
     blocks = F.ceil(F.col("n") / BLOCK_TOKENS).cast("long").alias("blocks")
     return common.stored(out.select("source", "n", "weight", "quota", "epochs", "rest", blocks), "plan")
@@ -222,22 +231,17 @@ def mix(docs: DataFrame, entropy: float | None = ENTROPY, repeats: float | None
     return got.select("doc_id", "source", "tokens", "epoch", "block", F.round(F.coalesce(progress, jitter), 9).alias("mix_key"))
 
 
-def mixed(docs: DataFrame, entropy: float = ENTROPY, seed: str = SEED, once: bool = False) -> DataFrame:
+def mixed(docs: DataFrame, entropy: float = ENTROPY, seed: str = SEED, most: int = MOST) -> DataFrame:
     """The rows of docs in a mixture, all columns as they were, a row for each use.
 
-    The budget is the smallest that drops no document: the most over-represented source is taken
-    once, the others as often as their weights ask. once: the largest that repeats no source, where
-    the scarcest source decides how much of the others stays.
+    The budget is the smallest that drops no document: the largest source is taken once, the
+    others as often as their weights ask, up to ``most`` times. Where the entropy would ask for
+    more, the exponent is raised, so the weights are as even as the limit allows.
     """
     have = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(have))])
     col = lambda n: F.col(f"c{have.index(n)}")
     rows = plain.withColumns({"doc_id": col("doc_id"), "source": F.coalesce(col("source"), F.lit("")), "tokens": tokens_of(col("text"))})
     narrow = common.stored(rows.select("doc_id", "source", "tokens"), "sized")
-    got = uses(rows, narrow, plan(narrow, entropy, once=once, whole=not once), seed)
+    got = uses(rows, narrow, plan(narrow, entropy, whole=most), seed)
     return got.select(*[f"c{i}" for i in range(len(have))]).toDF(*have)
-
-
-def mixed_once(docs: DataFrame, entropy: float = ENTROPY, seed: str = SEED) -> DataFrame:
-    """``mixed`` under the largest budget that repeats no source."""
-    return mixed(docs, entropy, seed, once=True)

@@ -1,12 +1,13 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences. A sentence's probability is the logistic of the summed weights
-of its distinct words and stems (the first ``STEMS`` bytes of longer words), which are never
-negative; the document's is their noisy-or, 1 - product of (1 - p). Only document labels are known;
+of its distinct words, stems (the first ``STEMS`` bytes of longer words) and pairs of neighbouring
+words, which are never negative; the document's is their noisy-or, 1 - product of (1 - p). Only document labels are known;
 their likelihood under the noisy-or trains the weights, and the fitted sentence scores then locate
 the offending sentences.
 
-Fitted on a bounded sample of labelled rows (about ``EACH`` for each label), applied to all.
+Fitted on a bounded sample of labelled rows (about ``EACH`` for each label, and fewer where their slots
+are more than ``MOST_SLOTS``), applied to all.
 
 Edge cases: null and empty texts have no sentence and the score of an empty bag, 0. Labels that
 are null are left out; contradicting labels of a document count as toxic. Without both labels
@@ -27,7 +28,9 @@ from . import common, fitting, hashing
 
 #: Labelled rows used of each label, at most about.
 EACH = 2000
-SLOTS = 1 << 18
+#: Slots of a sample's sentences that come to the driver, at most about; a larger document comes alone.
+MOST_SLOTS = 1 << 23
+SLOTS = 1 << 20
 #: Bytes of a stem.
 STEMS = (4, 6)
 #: Slots get a weight if they are in so many sampled documents and in so many times the share of toxic
@@ -50,13 +53,17 @@ def _new(x: np.ndarray) -> np.ndarray:
 
 
 def bags(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Slots of each sentence's distinct words and stems, the first of each sentence, the first sentence
+    """Slots of each sentence's distinct words, stems and pairs, the first of each sentence, the first sentence
     of each text (one more at the end), and each sentence's first byte in the joined texts.
     Sentences without words don't count."""
     a, start, end, first, hashed = hashing.cut(texts, hashing.NO_LETTER)
     number = np.cumsum(_END[a], dtype=np.int64)
-    begin = np.flatnonzero(_new(number[start]))
-    both = [number[start] * SLOTS + (hashed(start, end) % np.uint64(SLOTS)).astype(np.int64)]
+    word, at = hashed(start, end), number[start]
+    both = [at * SLOTS + (word % np.uint64(SLOTS)).astype(np.int64)]
+    begin = np.flatnonzero(_new(at))
+    near = np.flatnonzero(~_new(at))  # words with one before them in the sentence
+    pair = hashing.mix(word[near - 1] ^ (word[near] << np.uint64(1) | word[near] >> np.uint64(63)))
+    both.append(at[near] * SLOTS + (pair % np.uint64(SLOTS)).astype(np.int64))
     for k in STEMS:
         some = start[end - start > k]
         both.append(number[some] * SLOTS + ((hashed(some, some + k) >> np.uint64(k)) % np.uint64(SLOTS)).astype(np.int64))
@@ -161,7 +168,11 @@ def fit(labelled: DataFrame, share: float) -> tuple[np.ndarray, float] | None:
             yield pd.DataFrame({"at": f["at"], "toxic": f["toxic"], "slot": [r[0] for r in rows], "begin": [r[1] for r in rows]})
 
     at = F.xxhash64("doc_id", F.lit("held back")).alias("at")
-    seen = labelled.select(at, "text", "toxic").mapInPandas(run, "at long, toxic int, slot array<int>, begin array<int>").toPandas()
+    with common.scratch(labelled.sparkSession):
+        held = common.stored(labelled.select(at, "text", "toxic").mapInPandas(run, "at long, toxic int, slot array<int>, begin array<int>"), "bags")
+        total = held.agg(F.sum(F.size("slot"))).first()[0] or 0
+        few = held.where(F.pmod(F.xxhash64("at"), F.lit(1 << 20)) < F.lit((1 << 20) * min(1.0, MOST_SLOTS / max(total, 1))))
+        seen = few.toPandas()
     seen = seen[seen["slot"].map(len) > 0].sort_values("at", kind="stable")
     toxic = seen["toxic"].to_numpy() > 0
     if not 0 < toxic.sum() < len(toxic):

@@ -201,9 +201,9 @@ def test_mixing_repeats_within_the_limit(spark):
 def test_mixing_odd_rows(odd_docs, no_docs):
     got = mixing.mix(odd_docs).collect()
     assert {r.source for r in got} <= {"", "a", "b"} and {1, 2} <= {r.doc_id for r in got}
-    kept = mixing.mixed_once(odd_docs)
+    kept = mixing.mixed(odd_docs, most=1)
     assert kept.columns == odd_docs.columns and 0 < kept.count() <= 11
-    assert mixing.mix(no_docs).count() == mixing.mixed_once(no_docs).count() == 0
+    assert mixing.mix(no_docs).count() == mixing.mixed(no_docs).count() == 0
 
 
 @pytest.mark.parametrize(("block", "fold", "chunk"), [(1000, 4096, 4096), (1000, 3, 2), (1 << 18, 7, 4096)])
@@ -243,6 +243,10 @@ def test_mixture_stage_keeps_every_document(spark, monkeypatch):
         a = (low + high) / 2
         z = sum(p**a for p in shares.values())
         low, high = (a, high) if -sum(p**a / z * np.log(p**a / z) for p in shares.values()) >= mixing.ENTROPY * np.log(len(shares)) else (low, a)
+    # No document more than MOST times: the lone one would come more often by the entropy.
+    even = 1 - np.log(mixing.MOST) / np.log(max(shares.values()) / min(shares.values()))
+    assert even > low
+    low = even
     spend = max(n[s] / p**low for s, p in shares.items())
     got = corpus_pipeline.mixture(spark, docs, SF)
     assert got.columns == docs.columns and got.exceptAll(docs).join(docs, "doc_id", "left_anti").count() == 0
@@ -250,10 +254,43 @@ def test_mixture_stage_keeps_every_document(spark, monkeypatch):
     for r in docs.collect():
         want = spend * shares[r.source] ** low / n[r.source] if n[r.source] else 1
         assert int(want + 1e-3) <= times[r.doc_id] <= int(want + 1e-3) + 1
-    assert set(times.values()) != {1} and {times[r.doc_id] for r in docs.where("source = 'hot' or source = 'empty'").collect()} == {1}
+    assert max(times.values()) == mixing.MOST and times[9000] == mixing.MOST and {times[r.doc_id] for r in docs.where("source = 'hot' or source = 'empty'").collect()} == {1}
     used = {r[0]: r[1] for r in got.groupBy("source").agg(F.sum(mixing.tokens_of(F.col("text")))).collect()}
     for s, p in shares.items():
-        assert spend * p**low - 60 * 4 < used[s] <= spend * p**low + 1
+        assert spend * p**low - 60 * 4 - 1 < used[s] <= spend * p**low + 1
+
+
+def test_mixture_stage_limits_repeats(spark):
+    """One document beside 20000 of another source comes MOST times, and not as often as the entropy asks."""
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("abcd" * 20).alias("text"), F.when(F.col("id") < 1, "b").otherwise("a").alias("source"))
+    got = {r.doc_id: r["count"] for r in mixing.mixed(docs).groupBy("doc_id").count().collect()}
+    assert len(got) == 20_000 and got.pop(0) == mixing.MOST and set(got.values()) == {1}
+
+
+def test_many_labels(spark):
+    """Of 2000 labels the most frequent are learned, and all texts get one of them."""
+    rows = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("word"), F.md5(F.col("id").cast("string"))).alias("text"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("x"), F.col("id") % 20)).otherwise(F.concat(F.lit("l"), F.col("id") % 2000)).alias("lang"))
+    model = langid.fitted(rows)
+    assert len(model.families) == langid.LANGS and {f"x{i}" for i in range(20)} <= set(model.families)
+    assert langid.predict(rows, model).where(F.col("lang_pred").isin(model.families)).count() == 6000
+
+
+def test_toxic_pairs_of_words(spark):
+    """A phrase whose words are harmless alone is found."""
+    harmless = [f"w{i} red w{i % 50} apples w{i % 7} rotten fruit w{i % 31}" for i in range(600)]
+    rows = [(i, t if i % 6 else t + ". You rotten apples here", int(i % 6 == 0)) for i, t in enumerate(harmless)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = toxicity.score(docs, toxicity.fitted(docs, docs)).join(docs, "doc_id").toPandas()
+    assert got["score"][got["toxic"] == 1].min() > 0.5 > got["score"][got["toxic"] == 0].max()
+
+
+def test_toxicity_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MOST_SLOTS", 3000)
+    docs = spark.createDataFrame([(i, f"w{i} idiot" if i % 2 else f"w{i} nice word", i % 2) for i in range(3000)], "doc_id long, text string, toxic int")
+    seen = []
+    real = toxicity.trained
+    monkeypatch.setattr(toxicity, "trained", lambda toxic, *a: seen.append(len(toxic)) or real(toxic, *a))
+    assert toxicity.fitted(docs, docs) is not None and 300 < seen[0] < 1000
 
 
 def test_fitting_sample_is_bounded(spark):
