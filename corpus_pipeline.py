@@ -35,7 +35,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A mixture of sources by temperature, under the smallest budget that drops no document.
 
-    Documents of sources with too small a share come as repeated rows.
+    Documents of sources with too small a share come as repeated rows, ``mixing.MOST`` times at most.
     """
     return mixing.mixed(docs)
 
