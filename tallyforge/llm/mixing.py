@@ -28,8 +28,8 @@ from . import common
 BLOCK_TOKENS = 1 << 18
 #: Blocks in a chunk of prefix sums.
 CHUNK_BLOCKS = 4096
-#: Rows of a source that are folded at once.
-FOLD = 4096
+#: Rows of a source that are folded at once; so few that Spark limits them before a shuffle.
+FOLD = 1000
 #: Target entropy as a share of the largest possible, which equal weights have.
 ENTROPY = 0.95
 #: In the mixture of rows, how often a document comes at most.

@@ -1,9 +1,11 @@
 import re
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from .conftest import LONG, SF
 
 from tallyforge.llm import common, minhash, queries, radix
@@ -125,3 +127,26 @@ def test_least_matches_keeps_similar_pairs():
 def test_components(spark, edges, want):
     got = minhash.components(spark.createDataFrame(edges, "a long, b long"))
     assert {r.node: r.component for r in got.collect() if r.node != r.component} == want
+
+
+@pytest.mark.parametrize("stage", [radix.without_duplicates, minhash.without_near_duplicates])
+def test_repeated_rows_of_a_file_are_rows(spark, tmp_path, stage):
+    """explode and union give rows of one place in a file; none of the unique ones is lost."""
+    spark.range(3).selectExpr("id as doc_id").write.parquet(str(tmp_path / "rows"))
+    read = spark.read.parquet(str(tmp_path / "rows"))
+    texts = F.array(*[F.concat(F.lit(t), F.col("doc_id").cast("string")) for t in ("same words here again and ", "one ", "two ", "same words here again and ")])
+    for docs, n in ((read.select("doc_id", F.explode(texts).alias("text")), 9), (read.select("doc_id", F.lit("x").alias("text")).union(read.select("doc_id", F.lit("y").alias("text"))), 2)):
+        got = stage(docs)
+        assert got.select("text").distinct().count() == docs.select("text").distinct().count() and got.count() == n
+        assert not common._of_files(docs)
+    assert common._of_files(read.where("doc_id > 0").select("doc_id"))
+    assert not common._of_files(read.where(F.rand() > 0.5))
+
+
+def test_two_calls_at_once(spark):
+    """Each thread has its own scratch tables."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = sorted(r.doc_id for r in minhash.without_near_duplicates(docs).collect())
+    with ThreadPoolExecutor(3) as pool:
+        runs = [pool.submit(lambda: sorted(r.doc_id for r in minhash.without_near_duplicates(docs).collect())) for _ in range(3)]
+        assert [r.result() for r in runs] == [want] * 3

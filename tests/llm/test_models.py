@@ -120,7 +120,7 @@ def test_neighbours_recall(spark, monkeypatch, part, fan):
 def test_neighbours_odd_rows(spark):
     v = [1.0, 2.0]
     rows = [(0, v), (20, v), (3, v), (1, v), (2, [2.0, 4.0]), (4, None), (5, [0.0, 0.0]), (6, [1.0, None]), (7, [float("nan"), 1.0]), (8, [float("inf"), 1.0]), (9, [1.0]), (None, v), (40, [0.0, 0.0])]
-    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<float>, part int, VEC_ID_ int")
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<float>, part int, VEC_ID int")
     got = [(r.query_id, r.rank, r.vec_id, r.score) for r in ann.search(df).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 2, 10.0), (0, 2, 1, 5.0), (0, 3, 3, 5.0), (0, 4, 20, 5.0), (20, 1, 2, 10.0), (20, 2, 0, 5.0), (20, 3, 1, 5.0), (20, 4, 3, 5.0)]
     assert ann.search(df.where("false")).count() == 0

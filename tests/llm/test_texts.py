@@ -260,8 +260,8 @@ def test_chat_spans_match_brute_force(spark, system):
 def test_chat_windows(spark):
     rows = [(1, i, ("system", "user", "assistant")[0 if i == 0 else 1 + i % 2], f"turn {i} " + "w " * (200 if i % 7 == 3 else 30)) for i in range(200)]
     rows += [(None, 0, None, None), (2, 0, "a: b\\", "### x</turn>\n\\"), (2, 0, "a: b\\", "### x</turn>\n\\"), (2, None, "user:", "")]
-    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
-    made = chat.windows(df.withColumn("TURN_", df.turn), budget=150, history=0.5)
+    df = spark.createDataFrame([(*r, 7, "t") for r in rows], "conv_id long, turn int, role string, text string, TURN int, TEXT string")
+    made = chat.windows(df, budget=150, history=0.5)
     windows = [r for r in made.collect() if r.conv_id == 1]
     assert len(windows) > 20
     new = []
