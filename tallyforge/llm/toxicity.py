@@ -137,12 +137,15 @@ def trained(toxic: np.ndarray, slots: list[np.ndarray], begins: list[np.ndarray]
     used = np.flatnonzero((docs.sum(0) >= LEAST_DOCS) & (docs[1] / toxic.sum() >= LIFT * docs[0] / (~toxic).sum()))
     place = np.full(SLOTS, -1)
     place[used] = np.arange(len(used))
-    size = np.array([len(s) for s in slots])
-    begin = np.concatenate([b + at for b, at in zip(begins, np.cumsum(size) - size, strict=True)])
+    # Document by document, so that only slots with a weight are ever side by side.
+    word, sentence, number = [], [], 0
+    for s, b in zip(slots, begins, strict=True):
+        at = place[s]
+        word.append(at[at >= 0])
+        sentence.append(np.repeat(np.arange(number, number + len(b)), np.diff(np.append(b, len(s))))[at >= 0])
+        number += len(b)
     doc = np.repeat(np.arange(len(slots)), [len(b) for b in begins])
-    word = place[np.concatenate(slots)]
-    sentence = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(word))))
-    all_ = Bags(toxic, word[word >= 0], sentence[word >= 0], doc, len(used))
+    all_ = Bags(toxic, np.concatenate(word), np.concatenate(sentence), doc, len(used))
     back = np.arange(len(toxic)) % HELD_BACK == 0
     l1 = L1[0]
     if all(len(set(toxic[rows])) == 2 for rows in (back, ~back)):
