@@ -75,3 +75,13 @@ def split_label(c: Column, separator: str, parts: int) -> list[Column]:
     tail = F.substring_index(c, separator, -(parts - 1))
     head = F.substr(c, F.lit(1), F.length(c) - F.length(tail) - len(separator))
     return [head, *pieces]
+
+
+def content_hash(content: Column) -> Column:
+    """SHA-256 of a text's UTF-8 or of bytes, in hex digits."""
+    return F.sha2(content, 256)
+
+
+def whole(c: Column) -> Column:
+    """The nearest whole number, a half to the even one."""
+    return F.bround(c, 0)

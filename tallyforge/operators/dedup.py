@@ -24,7 +24,7 @@ def duplicates(files: DataFrame, content: str = "content", key: str = "path") ->
     """
     rows = files.withColumn("ext", text.extension(F.col(key)))
     sizes = rows.groupBy("ext", "length").agg(F.count("*").alias("n")).where("n > 1").select("ext", "length")
-    hashed = rows.join(sizes, ["ext", "length"], "left_semi").select("ext", F.col(key).alias("path"), F.sha2(content, 256).alias("hash"))
+    hashed = rows.join(sizes, ["ext", "length"], "left_semi").select("ext", F.col(key).alias("path"), text.content_hash(F.col(content)).alias("hash"))
     # Written, so that no content is read or hashed twice.
     hashed = storage.materialised(hashed, "hashed")
     groups = hashed.groupBy("ext", "hash").agg(F.min("path").alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")

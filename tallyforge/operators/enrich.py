@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from .. import schemas, storage
 
 
+def sums_by(df: DataFrame, keys: list[str], values: dict[str, str]) -> DataFrame:
+    """(keys.., a sum for each of values by its new name, n rows), null keys as a category."""
+    return df.groupBy(*keys).agg(*[F.sum(c).alias(out) for out, c in values.items()], F.count("*").alias("n"))
+
+
+def members(df: DataFrame, column: str, known: DataFrame, known_column: str) -> DataFrame:
+    """The distinct values of a column that a reference has too."""
+    return df.select(column).distinct().join(known.select(F.col(known_column).alias(column)), column, "left_semi")
+
+
 def total_by(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
     """Every row with the sum over its keys. Summed apart and joined back, so that a hot key is
     pre-aggregated."""

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import storage
-from ..functions.similarity import indel_ratio, ratcliff_ratio
+from ..functions.similarity import indel_ratio, ratcliff_ratio, shared_letters
 
 #: Scores above skip a report, from here on accept a match; least header similarity.
 SKIP_ABOVE, ACCEPT, HEADER = 80.0, 80.0, 0.70
@@ -22,21 +22,23 @@ PAD = "\x01"
 def unlike(df: DataFrame, column: str, pattern: str = CONSOLIDATED, above: float = SKIP_ABOVE) -> DataFrame:
     """Rows whose text is not like the pattern; null counts as ''.
 
-    Only texts of a length that can get above the score are compared: 2 * shorter / sum of lengths.
+    Only texts whose length and letters can get above the score are compared: twice the shared letters by the
+    sum of lengths.
     """
     value = F.coalesce(F.col(column), F.lit(""))
     n, m = F.length(value), F.lit(len(pattern))
-    can = (n + m == 0) | (200.0 * F.least(n, m) / (n + m) > above)
+    can = (n + m == 0) | (200.0 * F.least(n, m) / (n + m) > above) & (200.0 * shared_letters(value, pattern) / (n + m) > above)
     return df.where(F.coalesce(indel_ratio(F.when(can, value), F.lit(pattern)), F.lit(0.0)) <= above)
 
 
 def headed(df: DataFrame, column: str, pattern: str, least: float = HEADER) -> DataFrame:
     """Rows whose whole text is like the pattern, with their score; null never is.
 
-    Only texts of a length that can still reach the score are compared: 2 * shorter / sum of lengths.
+    Only texts whose length and letters can still reach the score are compared: twice the shared letters by
+    the sum of lengths.
     """
     n, m = F.length(column), F.lit(len(pattern))
-    can = (n + m == 0) | (2.0 * F.least(n, m) / (n + m) >= least)
+    can = (n + m == 0) | (2.0 * F.least(n, m) / (n + m) >= least) & (2.0 * shared_letters(F.col(column), pattern) / (n + m) >= least)
     return df.where(can).withColumn("score", ratcliff_ratio(column, F.lit(pattern))).where(F.col("score") >= least)
 
 

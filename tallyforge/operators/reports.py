@@ -7,6 +7,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text
 from . import contingency, enrich, reshape
 
 
@@ -34,6 +35,11 @@ def shares(df: DataFrame, dims: list[str], count: str, within: list[str] | None
     return got
 
 
+def count_by(df: DataFrame, column: str) -> DataFrame:
+    """(column, n) rows of each category; null is none."""
+    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+
+
 def relative_size(df: DataFrame, group: str, count: str, floor: float = 0.3) -> DataFrame:
     """(group, total, size): each group's total by the largest one, at least ``floor``; only positive groups."""
     got = df.groupBy(group).agg(F.sum(count).alias("total")).where("total > 0")
@@ -46,7 +52,7 @@ def pivot_report(df: DataFrame, row: str, column: str, count: str, values: list[
     got = reshape.pivot_sum(df, [row], column, count, values)
     got = got.withColumn("total", sum((F.col(f"`{v}`") for v in values), F.lit(0)))
     for v in values if percent else ():
-        got = got.withColumn(f"{v}_pct", F.bround(F.coalesce(100.0 * F.col(f"`{v}`") / F.nullif(F.col("total"), F.lit(0)), F.lit(0.0)), 0))
+        got = got.withColumn(f"{v}_pct", text.whole(F.coalesce(100.0 * F.col(f"`{v}`") / F.nullif(F.col("total"), F.lit(0)), F.lit(0.0))))
     return got
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ def melt(df: DataFrame, ids: list[str], values: list[str], name: str, value: str
     return df.unpivot(ids, values, name, value)
 
 
+def appended(tables: list[DataFrame]) -> DataFrame:
+    """All tables under one another by name; a column that one lacks is null there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
 def split_labels(df: DataFrame, label: str, names: list[str], separator: str) -> DataFrame:
     """The label replaced by its parts, cut from the right."""
     parts = text.split_label(F.col(label), separator, len(names))

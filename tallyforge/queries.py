@@ -352,13 +352,14 @@ def bin1(t: Tables) -> DataFrame:
 )
 def agg1(t: Tables) -> DataFrame:
     rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return rows.groupBy("o_orderpriority", "o_orderstatus", "c_mktsegment", "c_nationkey").agg(F.sum(F.col("l_quantity").cast("long")).alias("q"), F.count("*").alias("n"))
+    rows = rows.withColumn("l_quantity", F.col("l_quantity").cast("long"))
+    return enrich.sums_by(rows, ["o_orderpriority", "o_orderstatus", "c_mktsegment", "c_nationkey"], {"q": "l_quantity"})
 
 
 @query("agg8_count_by_county", "SELECT n_name AS county, count(*) AS n FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_name IS NOT NULL GROUP BY ALL")
 def agg8(t: Tables) -> DataFrame:
     rows = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("county"))
-    return rows.where("county is not null").groupBy("county").agg(F.count("*").alias("n"))
+    return reports.count_by(rows, "county")
 
 
 @query("agg10_year_histogram", "SELECT year, count(*) AS n FROM (SELECT CASE WHEN o_orderstatus = 'P' THEN -1 ELSE year(o_orderdate) END AS year FROM orders) GROUP BY ALL")
@@ -617,12 +618,12 @@ def prj4(t: Tables) -> DataFrame:
 
 @query("mth3_round_half_even", "SELECT l_orderkey, l_linenumber, round_even(l_quantity / 4, 0) AS whole FROM lineitem")
 def mth3(t: Tables) -> DataFrame:
-    return t.lineitem.select("l_orderkey", "l_linenumber", F.bround(F.col("l_quantity") / 4, 0).alias("whole"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", text.whole(F.col("l_quantity") / 4).alias("whole"))
 
 
 @query("hsh1_sha256", "SELECT doc_id, sha256(text) AS hash FROM documents")
 def hsh1(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.sha2("text", 256).alias("hash"))
+    return t.documents.select("doc_id", text.content_hash(F.col("text")).alias("hash"))
 
 
 @query(
@@ -643,9 +644,19 @@ def str6(t: Tables) -> DataFrame:
     return matching.headed(pages, "head", "The and attion to thanedble the, anea. Eriner thanea.").select("doc_id", "score")
 
 
-@query("flt2_skip_consolidated")
+_REPORT = "small widget"
+
+
+@query(
+    "flt2_skip_consolidated",
+    f"""WITH RECURSIVE d AS (SELECT DISTINCT p_name AS name FROM part),
+    step(name, i, seen) AS (SELECT name, 0, list_transform(range({len(_REPORT) + 1}), lambda k: 0) FROM d UNION ALL
+        SELECT name, i + 1, [0] || list_transform(range(1, {len(_REPORT) + 1}), lambda k: list_max(list_transform(range(1, k + 1), lambda j: greatest(seen[j + 1], CASE WHEN substr('{_REPORT}', j, 1) = substr(name, i + 1, 1) THEN seen[j] + 1 ELSE 0 END)))) FROM step WHERE i < length(name)),
+    s AS (SELECT name, 200.0 * seen[{len(_REPORT) + 1}] / (length(name) + {len(_REPORT)}) AS score FROM step WHERE i = length(name))
+    SELECT p_partkey, p_name FROM part JOIN s ON p_name = name WHERE score <= 60""",
+)
 def flt2(t: Tables) -> DataFrame:
-    return matching.unlike(t.part.select("p_partkey", "p_name"), "p_name", "almond antique", 60.0)
+    return matching.unlike(t.part.select("p_partkey", "p_name"), "p_name", _REPORT, 60.0)
 
 
 _DROPPED_SQL = """SELECT DISTINCT n_name AS match, left(n_name, (c_custkey % 6)::INT) || substr(n_name, (c_custkey % 6)::INT + 2) AS name
@@ -746,12 +757,12 @@ def cls1(t: Tables) -> DataFrame:
 
 @query("set1_append", "SELECT s_suppkey AS key, s_name AS name, NULL AS segment FROM supplier UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def set1(t: Tables) -> DataFrame:
-    return t.supplier.select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name")).unionByName(t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")), allowMissingColumns=True)
+    return reshape.appended([t.supplier.select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name")), t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))])
 
 
 @query("set2_membership", "SELECT DISTINCT c_nationkey FROM customer WHERE c_nationkey IN (SELECT s_nationkey FROM supplier)")
 def set2(t: Tables) -> DataFrame:
-    return t.customer.join(t.supplier, F.col("c_nationkey") == F.col("s_nationkey"), "left_semi").select("c_nationkey").distinct()
+    return enrich.members(t.customer, "c_nationkey", t.supplier, "s_nationkey")
 
 
 # --- reports ------------------------------------------------------------------------------------

@@ -50,6 +50,7 @@ TOTAL = "Row Total"
 RACE_GENDER = [(RACES[0], g) for g in GENDERS] + [(r, g) for g in GENDERS for r in RACES[1:]]
 FORM1_COLUMNS = [f"{r} {g}" for r, g in RACE_GENDER] + [TOTAL]
 FORM5_COLUMNS = [f"{r}_{g}" for r, g in RACE_GENDER] + [TOTAL]
+# Rows of form 1's table.
 JOB_CATEGORIES = [
     "Executive/Senior Level Officials and Managers",
     "First/Mid-Level Officials and Managers",
@@ -65,6 +66,7 @@ JOB_CATEGORIES = [
     "PRIOR REPORTING YEAR TOTAL",
 ]
 SUMMARY_JOBS = JOB_CATEGORIES[-2:]
+# Rows of form 5's tables.
 TABLE_A_ROWS = [
     "Officials, Administrators, Managers",
     "Principals",
@@ -91,6 +93,6 @@ TABLE_C_ROWS = ["Officials, Administrators, Managers", "Principals/Assistant Pri
 FORM5_TABLES = {"table_a": ("FULL-TIME STAFF", TABLE_A_ROWS), "table_b": ("PART-TIME STAFF", TABLE_B_ROWS), "table_c": ("FULL-TIME NEW HIRES", TABLE_C_ROWS)}
 #: Rows of the parts in which a form-5 table is recognised, in their order.
 SUB_TABLES = {"a1": ("a", 10, 0), "a2": ("a", 1, 10), "a3": ("a", 8, 11), "b": ("b", 3, 0), "c": ("c", 6, 0)}
-RACE_ORDER = [RACES[1], RACES[0], RACES[3], RACES[2], RACES[6], RACES[5], RACES[4]]
+# Names of the quartiles, and the columns that form 1's rows are summed by.
 SIZE_LABELS = ["Small", "Medium", "Large", "Very Large"]
 FORM1_KEYS = ["State", "City", "Headquarter State", "Headquarter City", "NAICS", "Year", "JobCategory", "NAICS Name", "zip code", "HQ zip code", "filename"]

@@ -1,5 +1,6 @@
 """Indexes, rewriting, keyed noise, files by the thousand: brute force, laws and failures."""
 
+import difflib
 import hashlib
 import hmac
 import json
@@ -11,7 +12,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallyforge import storage
-from tallyforge.functions import noise
+from tallyforge.functions import noise, similarity
 from tallyforge.functions.similarity import lcs_length
 from tallyforge.operators import contingency, dedup, flatten, grid, matching, reports, validate
 from tallyforge.plans import jobs
@@ -100,6 +101,21 @@ def test_index_compares_few_pairs(spark):
     assert pairs.count() < 0.01 * len(names) * len(refs)
 
 
+def test_matching_blocks_are_those_of_the_standard_library():
+    rng = random.Random(7)
+    text = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    pairs = [(text(rng.randint(0, 40), "ab c"), text(rng.randint(0, 40), "ab c")) for _ in range(300)]
+    pairs += [(text(300, "abcdefgh \n"), text(rng.randint(190, 420), "abcdefgh \n")) for _ in range(20)] + [(text(250, "xyz" * 40 + "abcdefghijklmnop"), text(250, "xyz" * 40 + "abcdefghijklmnop")) for _ in range(20)]
+    for a, b in pairs:
+        assert similarity.matching_letters(a, b) == sum(m.size for m in difflib.SequenceMatcher(None, a, b).get_matching_blocks())
+
+
+def test_shared_letters_bound_both_similarities(spark):
+    texts = ["", "aab", "Ab.*", "ba", "abab abab"]
+    got = {r.t: r.n for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", similarity.shared_letters(F.col("t"), "aab.*").alias("n")).collect()}
+    assert got == {"": 0, "aab": 3, "Ab.*": 3, "ba": 2, "abab abab": 3}
+
+
 # --- tables as values, rewritten forms ------------------------------------------------------------
 
 
