@@ -3,9 +3,9 @@
 The last column holds the row totals. total_back says how far the total row is from the end: 2
 where a prior year's row follows it, 1 where it is the last.
 
-A table is checked as one value: an array of rows (r, cells), each an array of cells (c, value, conf).
-Sums, repair and verdicts are folds over it, so long cells take one shuffle, by (doc, table), and tables that
-come as arrays take none. A table is one form's, so it is small; cells that a table lacks count as 0.
+Long cells are checked with windows that share one partitioning by (doc, table). A table that comes
+as arrays is checked as one value, an array of rows (r, cells) with cells (c, value, conf): sums, repair
+and verdict are folds over it and take no shuffle at all.
 """
 
 from __future__ import annotations
@@ -30,6 +30,70 @@ def _sized(cells: DataFrame) -> DataFrame:
     return cells.withColumn("_h", F.max("r").over(w)).withColumn("_w", F.max("c").over(w))
 
 
+def _rows(cells: DataFrame, repair: bool, allow_negative: bool) -> DataFrame:
+    """rows_checked with the table's last row and column, _h and _w, and each value as it came, _came."""
+    row = Window.partitionBy(*KEY, "r")
+    total = F.col("c") == F.col("_w")
+    low = F.coalesce(F.col("conf") < REPAIR_LOW, F.lit(False))
+    got = _sized(cells).withColumn("_came", F.col("value")).withColumn("_sum", F.coalesce(F.sum(F.when(~total, F.col("value"))).over(row), F.lit(0)))
+    got = got.withColumn("_total", F.max(F.when(total, F.col("value"))).over(row)).withColumn("_low", F.sum(low.cast("int")).over(row))
+    adds = F.coalesce(F.col("_sum") == F.col("_total"), F.lit(False))
+    if not repair:
+        return got.withColumn("row_valid", adds).withColumn("repaired", F.lit(False)).drop("_sum", "_total", "_low")
+    new = F.when(total, F.col("_sum")).otherwise(F.col("_total") - F.col("_sum") + F.col("value"))
+    fixes = ~adds & low & (F.col("_low") == 1) & new.isNotNull()
+    if not allow_negative:
+        fixes = fixes & (new >= 0)
+    got = got.withColumn("repaired", fixes).withColumn("value", F.when(fixes, new).otherwise(F.col("value")).cast("long"))
+    return got.withColumn("row_valid", adds | F.max("repaired").over(row)).drop("_sum", "_total", "_low")
+
+
+def rows_checked(cells: DataFrame, repair: bool = True, allow_negative: bool = True) -> DataFrame:
+    """cells with row_valid and repaired.
+
+    With repair, a row that doesn't add up and has exactly one cell of low confidence (its total
+    included) gets the value that balances it. conf stays as it was.
+    """
+    return _rows(cells, repair, allow_negative).drop("_h", "_w", "_came")
+
+
+def _columns(sized: DataFrame, value: str, total_back: int, *more: Column) -> DataFrame:
+    """(doc, table, c, col_valid, ..): whether the rows above the total row add up to it."""
+    at = F.col("_h") - (total_back - 1)
+    upper = F.coalesce(F.sum(F.when(F.col("r") < at, F.col(value))), F.lit(0))
+    return sized.groupBy(*KEY, "c").agg(F.coalesce(upper == F.max(F.when(F.col("r") == at, F.col(value))), F.lit(False)).alias("col_valid"), *more)
+
+
+def columns_checked(cells: DataFrame, total_back: int = 2) -> DataFrame:
+    """(doc, table, c, col_valid): whether the rows above the total row add up to it."""
+    return _columns(_sized(cells), "value", total_back)
+
+
+def verdicts(cells: DataFrame, total_back: int = 2, order: str = "rows_first", repair: bool = True, allow_negative: bool = True) -> DataFrame:
+    """(doc, table, rows_ok, cols_ok, part_ok, only_last_col, status) of each table.
+
+    order: columns are checked on repaired cells (rows_first) or on the cells as they came
+    (columns_first). part_ok forgives the last row; only_last_col: all fine but the last column.
+    """
+    # A table's rows, columns and verdict are all grouped within its one shuffle.
+    fixed = _rows(cells, repair, allow_negative)
+    last_row, last_column = F.col("r") == F.col("_h"), F.col("c") == F.col("_w")
+    cols = _columns(
+        fixed,
+        "value" if order == "rows_first" else "_came",
+        total_back,
+        F.every("row_valid").alias("rows_ok"),
+        F.every(F.col("row_valid") | last_row).alias("rows_part"),
+        F.any_value("_w").alias("_w"),
+    )
+    got = cols.groupBy(*KEY).agg(
+        F.every("rows_ok").alias("rows_ok"), F.every("rows_part").alias("rows_part"), F.every("col_valid").alias("cols_ok"), F.every(F.col("col_valid") | last_column).alias("others_ok")
+    )
+    only = F.col("rows_ok") & F.col("others_ok") & ~F.col("cols_ok")
+    status = F.when(F.col("rows_ok") & F.col("cols_ok"), "Valid").when(only, "Valid, invalid sum").otherwise("Invalid")
+    return got.select(*KEY, "rows_ok", "cols_ok", (F.col("rows_part") & F.col("cols_ok")).alias("part_ok"), only.alias("only_last_col"), status.alias("status"))
+
+
 def matrix_rows(matrix: Column, conf: Column) -> Column:
     """Rows (r, cells) of an array of arrays and the confidences of the same places."""
     cell = lambda r: lambda v, c: F.struct(c.alias("c"), v.cast("long").alias("value"), F.get(F.get(conf, r), c).alias("conf"))
@@ -41,12 +105,6 @@ def rows_matrix(rows: Column) -> Column:
     return F.transform(rows, lambda t: F.transform(t.cells, lambda x: x.value))
 
 
-def _packed(cells: DataFrame) -> DataFrame:
-    """(doc, table, _rows) of long cells; a cell keeps all its other columns."""
-    got = cells.repartition(*KEY).groupBy(*KEY, "r").agg(F.array_sort(F.collect_list(F.struct("c", *[c for c in cells.columns if c not in (*KEY, "r", "c")]))).alias("cells"))
-    return got.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("r", "cells"))).alias("_rows"))
-
-
 def last_column(rows: Column) -> Column:
     """The number of the totals' column."""
     return F.array_max(F.transform(rows, lambda t: F.element_at(t.cells, -1).c))
@@ -124,42 +182,15 @@ def verdict(rows: Column, columns: Column, w: Column) -> Column:
     return F.struct(rows_ok.alias("rows_ok"), cols_ok.alias("cols_ok"), part.alias("part_ok"), only.alias("only_last_col"), status.alias("status"))
 
 
-def _judged(packed: DataFrame, total_back: int, order: str, repair: bool, allow_negative: bool) -> DataFrame:
-    """packed with _w, the balanced rows, and the verdict.
+def judged(tables: DataFrame, rows: str, total_back: int, order: str = "rows_first", repair: bool = True, allow_negative: bool = True) -> DataFrame:
+    """tables with ``balanced``, the rows of the column ``rows`` after repair, and ``verdict``, in one pass.
 
     order: columns are checked on repaired cells (rows_first) or on the cells as they came
     (columns_first).
     """
-    got = packed.withColumn("_w", last_column(F.col("_rows")))
-    got = got.withColumn("_balanced", balanced(F.col("_rows"), F.col("_w"), repair, allow_negative))
-    columns = columns_valid(F.col("_balanced"), total_back, mended=order == "rows_first")
-    return got.withColumn("_columns", columns).withColumn("_verdict", verdict(F.col("_balanced"), F.col("_columns"), F.col("_w")))
-
-
-def rows_checked(cells: DataFrame, repair: bool = True, allow_negative: bool = True) -> DataFrame:
-    """cells with row_valid and repaired, as ``balanced`` finds them. conf stays as it was."""
-    got = _packed(cells)
-    got = got.select(*KEY, F.explode(balanced(F.col("_rows"), last_column(F.col("_rows")), repair, allow_negative)).alias("_t"))
-    got = got.select(*KEY, "_t.r", "_t.valid", "_t.at", "_t.new", F.explode("_t.cells").alias("_x"))
-    fixed = F.coalesce(F.col("at") == F.col("_x.c"), F.lit(False))
-    value = F.when(fixed, F.col("new")).otherwise(F.col("_x.value").cast("long")) if repair else F.col("_x.value")
-    own = lambda c: F.col(c) if c in (*KEY, "r") else value.alias(c) if c == "value" else F.col(f"_x.{c}")
-    return got.select(*[own(c) for c in cells.columns], F.col("valid").alias("row_valid"), fixed.alias("repaired"))
-
-
-def columns_checked(cells: DataFrame, total_back: int = 2) -> DataFrame:
-    """(doc, table, c, col_valid): whether the rows above the total row add up to it."""
-    got = _packed(cells).select(*KEY, F.explode(columns_valid(F.col("_rows"), total_back)).alias("_x"))
-    return got.select(*KEY, "_x.c", F.col("_x.valid").alias("col_valid"))
-
-
-def verdicts(cells: DataFrame, total_back: int = 2, order: str = "rows_first", repair: bool = True, allow_negative: bool = True) -> DataFrame:
-    """(doc, table, rows_ok, cols_ok, part_ok, only_last_col, status) of each table.
-
-    order: columns are checked on repaired cells (rows_first) or on the cells as they came
-    (columns_first). part_ok forgives the last row; only_last_col: all fine but the last column.
-    """
-    return _judged(_packed(cells), total_back, order, repair, allow_negative).select(*KEY, "_verdict.*")
+    got = tables.withColumn("_w", last_column(F.col(rows))).withColumn("balanced", balanced(F.col(rows), F.col("_w"), repair, allow_negative))
+    got = got.withColumn("_columns", columns_valid(F.col("balanced"), total_back, mended=order == "rows_first"))
+    return got.withColumn("verdict", verdict(F.col("balanced"), F.col("_columns"), F.col("_w"))).drop("_w", "_columns")
 
 
 def grand_total_repaired(cells: DataFrame, total_back: int = 2, compat: bool = False) -> DataFrame:

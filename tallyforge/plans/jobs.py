@@ -156,18 +156,18 @@ def checked_forms(fields: DataFrame, places: DataFrame) -> DataFrame:
     texts = lambda n: F.from_json(F.col(f"_{n}.content"), "array<string>")
     forms = forms.withColumns({f"_{n}s": texts(n) for n in ("city", "state", "year")})
     forms = forms.withColumn("_rows", validate.matrix_rows(F.from_json("_table.content", _MATRIX), F.from_json("_table.confidence", "array<array<double>>")))
-    got = validate._judged(forms, 2, "columns_first", True, True)
+    got = validate.judged(forms, "_rows", 2, "columns_first")
     lacks = lambda n: F.coalesce(F.size(f"_{n}s"), F.lit(0)) < 2
     got = got.select(
         "doc",
         F.forall(F.filter("_all", lambda f: ~f.id.isin(_TABLE, _CHECKBOX)), lambda f: validate.text_status(f.c).getField("valid")).alias("text_ok"),
-        F.coalesce(F.col("_verdict.rows_ok") & F.col("_verdict.cols_ok"), F.lit(True)).alias("table_ok"),
-        F.coalesce("_verdict.part_ok", F.lit(True)).alias("table_part_ok"),
+        F.coalesce(F.col("verdict.rows_ok") & F.col("verdict.cols_ok"), F.lit(True)).alias("table_ok"),
+        F.coalesce("verdict.part_ok", F.lit(True)).alias("table_part_ok"),
         text.second_or_empty(F.col("_citys")).alias("city"),
         text.second_or_empty(F.col("_states")).alias("state"),
         (lacks("city") | lacks("state")).alias("missing_location"),
         F.when(F.col("_year").isNotNull(), text.year(F.coalesce(F.get("_years", 0), F.lit("")))).alias("year"),
-        F.to_json(validate.rows_matrix(validate.mended_rows(F.col("_balanced")))).alias("_mended"),
+        F.to_json(validate.rows_matrix(validate.mended_rows(F.col("balanced")))).alias("_mended"),
         *["_all", "_citys", "_states", "_table", "_city", "_state"],
     )
     got = matching.corrected_pairs(got, "city", "state", places).withColumnRenamed("matched", "place_matched")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tallyforge import storage
 from tallyforge.functions import noise, similarity
 from tallyforge.functions.similarity import lcs_length
-from tallyforge.operators import contingency, dedup, flatten, grid, matching, reports, validate
+from tallyforge.operators import contingency, dedup, flatten, grid, matching, reports, reshape, validate
 from tallyforge.plans import jobs
 from tallyforge.sources import each, files
 
@@ -129,8 +129,32 @@ def test_sparse_and_ragged_tables(spark):
         ("d", 1, 0): (7, True, True, "n"), ("d", 1, 3): (7, False, True, "n"), ("d", 2, 1): (5, False, False, "n"), (None, 0, 0): (1, False, False, "n"),
     }
     assert validate.verdicts(df.where("false")).count() == 0
-    exchanges = validate.verdicts(df, 1)._jdf.queryExecution().sparkPlan().toString()
-    assert exchanges.count("RepartitionByExpression") + exchanges.count("Exchange") == 1 and "Window" not in exchanges
+
+
+@pytest.mark.parametrize("order", ["rows_first", "columns_first"])
+@pytest.mark.parametrize("back", [1, 2])
+def test_tables_as_arrays_and_as_cells_agree(spark, order, back):
+    rng = random.Random(8)
+    tables = []
+    for i in range(120):
+        m = [[rng.randint(0, 9) for _ in range(3)] for _ in range(3)]
+        m = [r + [sum(r)] for r in m]
+        m.insert(3 if back == 1 else 2, [sum(c) for c in zip(*m[: 3 if back == 1 else 2])])
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            m[rng.randrange(4)][rng.randrange(4)] += rng.choice([1, -5])
+        k = [[rng.choice([0.1, 0.9, 0.9, 0.9, 0.9]) for _ in r] for r in m]
+        tables.append((i, "t", m, k))
+    df = spark.createDataFrame(tables, "doc int, table string, m array<array<int>>, k array<array<double>>")
+    arrays = validate.judged(df.withColumn("rows", validate.matrix_rows(F.col("m"), F.col("k"))), "rows", back, order)
+    assert "Exchange" not in arrays._jdf.queryExecution().executedPlan().toString()
+    cells = reshape.matrix_cells(df, ["doc", "table", "k"], "m").withColumn("conf", F.get(F.get("k", F.col("r")), F.col("c"))).drop("k")
+    got = {r.doc: r for r in arrays.select("doc", "verdict.*", validate.rows_matrix(validate.mended_rows(F.col("balanced"))).alias("m")).collect()}
+    want = {r.doc: r for r in validate.verdicts(cells, back, order).collect()}
+    assert len({r.status for r in want.values()}) > 1
+    for d, r in want.items():
+        assert all(got[d][c] == r[c] for c in ("rows_ok", "cols_ok", "part_ok", "only_last_col", "status"))
+    for r in validate.rows_checked(cells).collect():
+        assert got[r.doc].m[r.r][r.c] == r.value
 
 
 def test_forms_are_rewritten_in_place(spark):
