@@ -136,10 +136,13 @@ def fit(labelled: DataFrame, each: int = EACH) -> Model | None:
     x = np.zeros((len(seen), SLOTS), np.float32)
     for i, (s, v) in enumerate(zip(seen["slot"], seen["value"], strict=True)):
         x[i, s] = v
+    lang = seen["lang"].to_numpy()
+    del seen
     mean = x.mean(0)
     scale = 1 / (np.sqrt(mean) + 1e-3)
-    x = (x - mean) * scale
-    lang = seen["lang"].to_numpy()
+    # In place: the sample is the largest thing in the driver's memory.
+    x -= mean
+    x *= scale
     of = np.array([family(v) for v in lang])
     families = sorted(set(of))
     members = [sorted(set(lang[of == f])) for f in families]
