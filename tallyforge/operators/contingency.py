@@ -142,14 +142,24 @@ def with_noisy_zeros(t3: DataFrame, rows: DataFrame, fields: list[str], key: byt
     """
     if above < 1:
         raise ValueError("above must be at least 1")
-    values = {f: storage.materialised(storage.numbered(rows.select(F.col(f"`{f}`").alias("v")).where("v is not null").distinct(), "i", "v"), "values") for f in fields}
-    n = {f: v.count() for f, v in values.items()}
+    # The values of all fields in one frame, numbered in each.
+    each = F.array(*[F.struct(F.lit(k).alias("field"), F.col(f"`{f}`").cast("string").alias("v")) for k, f in enumerate(fields)])
+    values = rows.select(F.explode(each).alias("x")).select("x.*").where("v is not null").distinct()
+    values = storage.materialised(storage.numbered(values, "i", "field", "v"), "values")
+    held = {r["field"]: r for r in values.groupBy("field").agg(F.min("i").alias("first"), F.count("*").alias("n")).collect()}
+    n = {f: held[k]["n"] if k in held else 0 for k, f in enumerate(fields)}
     spark, sets = rows.sparkSession, list(combinations(fields, 3))
     places = []
     for s in sets:
         if (cells := n[s[0]] * n[s[1]] * n[s[2]]) >= 1 << 62:
             raise ValueError(f"too many combinations to number: {s}")
         places.append((_bits(fields, s), cells))
+
+    def names(f: str) -> DataFrame:
+        k = fields.index(f)
+        own = values.where(F.col("field") == k).select(F.col("v").cast(rows.schema[f].dataType).alias(f), (F.col("i") - (held[k]["first"] if k in held else 0)).alias(f"_i_{f}"))
+        return storage.small_or_shuffled(own)
+
     kept = storage.materialised(kept_places(spark.createDataFrame(places, "gid int, cells long"), key, epsilon, above), "zeros")
     out = []
     for s in sets:
@@ -157,8 +167,7 @@ def with_noisy_zeros(t3: DataFrame, rows: DataFrame, fields: list[str], key: byt
         for f in reversed(s):
             zeros = zeros.withColumn(f"_i_{f}", F.expr(f"rest % {max(n[f], 1)}L")).withColumn("rest", F.expr(f"rest div {max(n[f], 1)}L"))
         for f in s:
-            names = storage.small_or_shuffled(values[f].select(F.col("v").alias(f), F.col("i").alias(f"_i_{f}")))
-            zeros = zeros.join(names, f"_i_{f}").drop(f"_i_{f}")
+            zeros = zeros.join(names(f), f"_i_{f}").drop(f"_i_{f}")
         # A present cell has noise of its own.
         there = t3.where(F.col("gid") == _bits(fields, s)).select(*[f"`{f}`" for f in s])
         out.append(zeros.join(there, list(s), "left_anti").select(*[F.col(f"`{f}`") if f in s else F.lit(None).cast(rows.schema[f].dataType).alias(f) for f in fields], "Count", "gid"))
