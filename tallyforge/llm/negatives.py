@@ -61,22 +61,23 @@ class Block:
         # What the columns from each place on bring at least and at most.
         least = np.concatenate((np.cumsum(ends.min(0)[::-1])[::-1], [0]))
         most = np.concatenate((np.cumsum(ends.max(0)[::-1])[::-1], [0]))
-        left = np.flatnonzero(wanted)
-        columns, at = self.columns, left  # candidates' positions in the columns that are read
-        total = np.zeros(len(left), np.int64)
+        columns, left = self.columns, np.flatnonzero(wanted)
+        at = left  # the candidates' places in the columns that are read
+        total = np.zeros(columns.shape[1], np.int64)
         for i in range(0, len(a), STEP):
-            some = order[i : i + STEP]
-            for k, d in enumerate(some):
-                total += a[i + k] * (columns[d] if len(at) == columns.shape[1] else columns[d, at])
-            j = i + len(some)
-            keep = prune(total, int(least[j]), int(most[j]))
-            if not keep.all():
-                total, left, at = total[keep], left[keep], at[keep]
-                if 0 < len(at) < columns.shape[1] // 4 and j < len(a):  # few are left: their columns alone
-                    columns, at = np.ascontiguousarray(columns[:, at]), np.arange(len(at))
-            if not len(left):
+            if len(at) < columns.shape[1] // 4:  # few are left: their columns alone
+                columns, total = np.ascontiguousarray(columns[:, at]), total[at]
+                at = np.arange(len(at))
+            step = np.empty(columns.shape[1], np.int64)
+            j = min(i + STEP, len(a))
+            for k in range(i, j):
+                np.multiply(columns[order[k]], a[k], out=step)
+                total += step
+            keep = prune(total[at], int(least[j]), int(most[j]))
+            left, at = left[keep], at[keep]
+            if not len(at):
                 break
-        return left, total
+        return left, total[at]
 
 
 def largest(scores: np.ndarray, k: int) -> int | None:
@@ -99,13 +100,19 @@ def nearest(block: Block, anchor: np.ndarray, wanted: np.ndarray, k: int) -> tup
 def within(block: Block, anchor: np.ndarray, wanted: np.ndarray, windows: list[tuple[int, int]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each window (low, high) positions and scores of the k best wanted rows inside it."""
 
+    lowest, highest = min(low for low, _ in windows), max(high for _, high in windows)
+
     def prune(total: np.ndarray, least: int, most: int) -> np.ndarray:
+        if all(most - least > high - low for low, high in windows):  # no row is surely inside yet
+            return (total >= lowest - most) & (total <= highest - least)
         keep = np.zeros(len(total), bool)
         for low, high in windows:
-            can = (total + most >= low) & (total + least <= high)
-            # Rows that are surely inside push out those that are surely below k of them.
-            edge = largest(total[(total + least >= low) & (total + most <= high)], k)
-            keep |= can if edge is None else can & (total + most >= edge + least)
+            can = (total >= low - most) & (total <= high - least)
+            if most - least <= high - low:
+                # Rows that are surely inside push out those that are surely below k of them.
+                edge = largest(total[(total >= low - least) & (total <= high - most)], k)
+                can = can if edge is None else can & (total >= edge + least - most)
+            keep |= can
         return keep
 
     left, score = block.scan(anchor, wanted, prune)
