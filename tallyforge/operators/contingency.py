@@ -145,7 +145,8 @@ def with_noisy_zeros(t3: DataFrame, rows: DataFrame, fields: list[str], key: byt
     # The values of all fields in one frame, numbered in each.
     each = F.array(*[F.struct(F.lit(k).alias("field"), F.col(f"`{f}`").cast("string").alias("v")) for k, f in enumerate(fields)])
     values = rows.select(F.explode(each).alias("x")).select("x.*").where("v is not null").distinct()
-    values = storage.materialised(storage.numbered(values, "i", "field", "v"), "values")
+    with storage.scratch(rows.sparkSession) as kept_last:
+        values = kept_last(storage.numbered(values, "i", "field", "v"), "values")
     held = {r["field"]: r for r in values.groupBy("field").agg(F.min("i").alias("first"), F.count("*").alias("n")).collect()}
     n = {f: held[k]["n"] if k in held else 0 for k, f in enumerate(fields)}
     spark, sets = rows.sparkSession, list(combinations(fields, 3))

@@ -70,29 +70,31 @@ def duplicate_files(listing: DataFrame, ends: int = ENDS, chunk: int = CHUNK) ->
     that of its chunks' digests in order.
     """
     rows = listing.select("path", "length", text.extension(F.col("path")).alias("ext"))
-    sized = _company(rows, "ext", "length")
-    # The head, and the tail if it doesn't overlap.
-    head = F.struct(F.lit(0).cast("long").alias("offset"), F.least("length", F.lit(ends)).cast("long").alias("size"))
-    tail = F.struct(F.greatest(F.col("length") - ends, F.lit(ends)).cast("long").alias("offset"), F.least(F.lit(ends), F.col("length") - ends).cast("long").alias("size"))
-    both = F.when(F.col("length") > ends, F.array(head, tail)).otherwise(F.array(head))
-    parts = sized.select("path", "ext", F.col("length").alias("whole"), F.explode(both).alias("p")).select("path", "p.offset", F.col("p.size").alias("length"), "ext", "whole")
-    parts = storage.materialised(_digests(each.spread(parts), "digest"), "ends")
-    near = parts.groupBy("path", "ext", "whole").agg(F.concat_ws("|", F.transform(F.array_sort(F.collect_list(F.struct("offset", "digest"))), lambda x: x.digest)).alias("ends"))
-    near = storage.materialised(_company(near, "ext", "whole", "ends"), "near")
-    # Files that the first step has read whole are not read again.
-    done = near.where(F.col("whole") <= ends).select("ext", "path", F.col("ends").alias("hash"))
-    starts = F.explode(F.expr(f"sequence(0L, (whole - 1) div {chunk}L)"))
-    chunks = near.where(F.col("whole") > ends).select("path", starts.alias("i"), "ext", "whole")
-    chunks = chunks.select("path", (F.col("i") * chunk).alias("offset"), F.least(F.lit(chunk), F.col("whole") - F.col("i") * chunk).cast("long").alias("length"), "ext", "whole")
-    chunks = storage.materialised(_digests(each.spread(chunks), "digest"), "chunks")
-    several = F.array_sort(F.collect_list(F.struct("offset", "digest")))
-    whole = chunks.groupBy("ext", "path").agg(several.alias("d"))
-    joined = F.when(F.size("d") == 1, F.get("d", 0).digest).otherwise(F.sha2(F.concat_ws("", F.transform("d", lambda x: x.digest)), 256))
-    hashed = done.union(whole.select("ext", "path", joined.alias("hash")))
+    with storage.scratch(listing.sparkSession) as kept:
+        sized = _company(rows, "ext", "length")
+        # The head, and the tail if it doesn't overlap.
+        head = F.struct(F.lit(0).cast("long").alias("offset"), F.least("length", F.lit(ends)).cast("long").alias("size"))
+        tail = F.struct(F.greatest(F.col("length") - ends, F.lit(ends)).cast("long").alias("offset"), F.least(F.lit(ends), F.col("length") - ends).cast("long").alias("size"))
+        both = F.when(F.col("length") > ends, F.array(head, tail)).otherwise(F.array(head))
+        parts = sized.select("path", "ext", F.col("length").alias("whole"), F.explode(both).alias("p")).select("path", "p.offset", F.col("p.size").alias("length"), "ext", "whole")
+        parts = storage.materialised(_digests(each.spread(parts), "digest"), "ends")
+        near = parts.groupBy("path", "ext", "whole").agg(F.concat_ws("|", F.transform(F.array_sort(F.collect_list(F.struct("offset", "digest"))), lambda x: x.digest)).alias("ends"))
+        near = storage.materialised(_company(near, "ext", "whole", "ends"), "near")
+        # Files that the first step has read whole are not read again.
+        done = near.where(F.col("whole") <= ends).select("ext", "path", F.col("ends").alias("hash"))
+        starts = F.explode(F.expr(f"sequence(0L, (whole - 1) div {chunk}L)"))
+        chunks = near.where(F.col("whole") > ends).select("path", starts.alias("i"), "ext", "whole")
+        chunks = chunks.select("path", (F.col("i") * chunk).alias("offset"), F.least(F.lit(chunk), F.col("whole") - F.col("i") * chunk).cast("long").alias("length"), "ext", "whole")
+        chunks = storage.materialised(_digests(each.spread(chunks), "digest"), "chunks")
+        several = F.array_sort(F.collect_list(F.struct("offset", "digest")))
+        whole = chunks.groupBy("ext", "path").agg(several.alias("d"))
+        joined = F.when(F.size("d") == 1, F.get("d", 0).digest).otherwise(F.sha2(F.concat_ws("", F.transform("d", lambda x: x.digest)), 256))
+        hashed = kept(done.union(whole.select("ext", "path", joined.alias("hash"))), "hashed")
+        read = lambda rows, step: rows.agg(F.lit(step).alias("step"), F.count_distinct("path").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+        steps = kept(read(parts, "ends").union(read(chunks, "whole")), "steps")
     groups = hashed.groupBy("ext", "hash").agg(F.min("path").alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
     found = hashed.join(groups, ["ext", "hash"]).select("ext", "hash", "kept", "path", (F.col("path") == F.col("kept")).alias("is_kept"))
-    read = lambda rows, step: rows.agg(F.lit(step).alias("step"), F.count_distinct("path").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
-    return found, read(parts, "ends").union(read(chunks, "whole"))
+    return found, steps
 
 
 def by_folder(files: DataFrame, key: str = "path") -> DataFrame:

@@ -107,19 +107,21 @@ def best_matches(names: DataFrame, reference: DataFrame, accept: float = ACCEPT)
     exact = names.join(reference, "text", "left_semi").select(F.col("text").alias("name"), F.col("text").alias("match"), F.lit(100.0).alias("score"))
     q = gram_size(accept)
     refs, left = reference.where("text != ''"), names.join(reference, "text", "left_anti").where("text != ''")
-    refs = storage.materialised(_indexed(refs, _frequency(refs.select(F.explode(_grams(q)).alias("gram"))), q), "reference")
-    left = storage.materialised(_indexed(left, _frequency(refs.select(F.explode("grams.gram").alias("gram"))), q), "names")
 
-    def best(names: DataFrame, least: float) -> DataFrame:
+    def best(names: DataFrame, refs: DataFrame, least: float) -> DataFrame:
         scored = candidates(names, refs, q, least).withColumn("s", indel_ratio("name", "ref")).where(F.col("s") >= least)
         found = scored.groupBy("name").agg(F.min(F.struct((-F.col("s")).alias("s"), "ref")).alias("b"))
         return found.select("name", F.col("b.ref").alias("match"), (-F.col("b.s")).alias("score"))
 
-    if accept >= FIRST:
-        return exact.union(best(left, accept))
-    near = storage.materialised(best(left, FIRST), "matches")
-    far = best(left.join(near.select(F.col("name").alias("text")), "text", "left_anti"), accept)
-    return exact.union(near).union(far)
+    # The matches are stored, a row for a name at most; the indexes go.
+    with storage.scratch(names.sparkSession) as kept:
+        refs = storage.materialised(_indexed(refs, _frequency(refs.select(F.explode(_grams(q)).alias("gram"))), q), "reference")
+        left = storage.materialised(_indexed(left, _frequency(refs.select(F.explode("grams.gram").alias("gram"))), q), "names")
+        if accept >= FIRST:
+            return kept(exact.union(best(left, refs, accept)), "matched")
+        near = storage.materialised(best(left, refs, FIRST), "matches")
+        far = best(left.join(near.select(F.col("name").alias("text")), "text", "left_anti"), refs, accept)
+        return kept(exact.union(near).union(far), "matched")
 
 
 def corrected_pairs(df: DataFrame, first: str, second: str, reference: DataFrame, accept: float = ACCEPT) -> DataFrame:

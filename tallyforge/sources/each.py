@@ -196,7 +196,8 @@ def forms(spark: SparkSession, path: str, schema: T.StructType | str, two_levels
     document = F.when(inner.startswith("["), inner).otherwise(F.concat(F.lit("["), inner, F.lit("]")))
     parsed = F.from_json(document, T.ArrayType(schema), {"mode": "PERMISSIVE"})
     strict = F.try_parse_json(document).isNotNull() & (inner != "")
-    rows = texts(files).select(F.col("path").alias("_path"), F.when(strict, parsed).alias("rows"), F.coalesce("error", F.when(~F.coalesce(strict, F.lit(False)), F.lit("not JSON"))).alias("error"))
-    # Written once: files are opened once for both frames.
-    rows = storage.materialised(rows.withColumn("error", F.coalesce("error", F.when(F.col("rows").isNull() | F.exists("rows", lambda x: x.isNull()), F.lit("not of the schema")))), "forms")
+    with storage.scratch(spark) as kept:
+        rows = texts(files).select(F.col("path").alias("_path"), F.when(strict, parsed).alias("rows"), F.coalesce("error", F.when(~F.coalesce(strict, F.lit(False)), F.lit("not JSON"))).alias("error"))
+        # Written once: files are opened once for both frames.
+        rows = kept(rows.withColumn("error", F.coalesce("error", F.when(F.col("rows").isNull() | F.exists("rows", lambda x: x.isNull()), F.lit("not of the schema")))), "forms")
     return rows.where("error is null").select(F.inline("rows"), "_path"), rows.where("error is not null").select("_path", "error")

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of a few narrow columns that may be broadcast: about 16 MB.
 BROADCAST_ROWS = 100_000
+#: Folders of the tables stored in each open ``scratch`` of this thread, innermost last.
+_OPEN: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("open", default=())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,10 +32,39 @@ def shared_dir(spark: SparkSession) -> str:
 def materialised(df: DataFrame, label: str) -> DataFrame:
     """df written as Parquet and read back: later plans all see the same rows."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    if _OPEN.get():
+        _OPEN.get()[-1].append(path)  # before writing, so that a failed table goes too
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables stored inside are deleted at its end, also after an error, but those stored by the function that it gives.
+
+    Those belong to the scratch around it; without one they stay, as a result reads them. So a job that has
+    written its result inside a scratch leaves nothing else behind.
+    """
+    around = _OPEN.get()
+    own: list[str] = []
+    token = _OPEN.set((*around, own))
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        out = materialised(df, label)
+        path = _OPEN.get()[-1].pop()
+        if around:
+            around[-1].append(path)
+        return out
+
+    try:
+        yield kept
+    finally:
+        _OPEN.reset(token)
+        for path in own:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a frame has no more rows than may be broadcast."""
     return df.limit(rows + 1).count() <= rows

@@ -6,6 +6,8 @@ import hmac
 import json
 import math
 import random
+import threading
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from tallyforge import storage
 from tallyforge.functions import noise, similarity
 from tallyforge.functions.similarity import lcs_length
-from tallyforge.operators import contingency, dedup, flatten, grid, matching, reports, reshape, validate
+from tallyforge.operators import contingency, dedup, enrich, flatten, grid, matching, reports, reshape, validate
 from tallyforge.plans import jobs
 from tallyforge.sources import each, files
 
@@ -344,3 +346,54 @@ def test_small_file_readers_agree(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"id": "1"}, {"id": "2"}]')
     plain = files.forms(spark, str(tmp_path), spark.createDataFrame([], "id string").schema)
     assert sorted(r.id for r in plain.collect()) == sorted(r.id for r in each.forms(spark, str(tmp_path), "id string")[0].collect())
+
+
+# --- stored tables --------------------------------------------------------------------------------
+
+
+def _stored(spark):
+    return {p.name for p in Path(storage.shared_dir(spark).removeprefix("file:").replace("//", "/")).iterdir()}
+
+
+def test_only_what_a_result_reads_stays(spark, tmp_path):
+    rows = spark.createDataFrame([("anna karenina", 3), ("war and peace", 4), ("dead souls", 5)], "name string, n long")
+    others = spark.createDataFrame([("anna karenin",), ("oblomov",)], "ref string")
+    each.write_each(spark.createDataFrame([("a.json", '{"id": "1"}'), ("b.json", '{"id": "1"}'), ("c.json", "{")], "name string, value string"), str(tmp_path / "f"))
+    cases = [
+        (0, lambda: [enrich.quartile_edges(rows, "n")]),
+        (0, lambda: [enrich.quartile_edges(rows.where("false"), "n")]),
+        (1, lambda: [matching.best_matches(rows, others)]),
+        (1, lambda: [matching.best_matches(rows, others, 95.0)]),
+        (2, lambda: dedup.duplicate_files(each.listed(spark, str(tmp_path / "f")))),
+        (1, lambda: each.forms(spark, str(tmp_path / "f"), "id string")),
+    ]
+    for n, run in cases:
+        before = _stored(spark)
+        got = [sorted(d.collect(), key=repr) for d in run()]
+        assert len(_stored(spark) - before) == n, got
+        with storage.scratch(spark):
+            assert [sorted(d.collect(), key=repr) for d in run()] == got
+        assert len(_stored(spark) - before) == n
+
+
+def test_a_failed_job_leaves_no_tables(spark):
+    before = _stored(spark)
+    with pytest.raises(PySparkException), storage.scratch(spark) as kept:
+        storage.materialised(spark.range(3), "fine")
+        kept(spark.range(3).select(F.raise_error(F.lit("no")).cast("string").alias("x")), "broken")
+    assert _stored(spark) == before
+
+
+def test_scratches_nest_and_keep_to_their_thread(spark):
+    before = _stored(spark)
+    with storage.scratch(spark) as outer:
+        with storage.scratch(spark) as inner:
+            storage.materialised(spark.range(1), "gone")
+            a = inner(spark.range(2), "inner")
+            b = outer(spark.range(3), "outer")
+        assert (a.count(), b.count()) == (2, 3) and len(_stored(spark) - before) == 2
+        other = []
+        thread = threading.Thread(target=lambda: other.append(storage.materialised(spark.range(4), "other")))
+        thread.start()
+        thread.join()
+    assert other[0].count() == 4 and len(_stored(spark) - before) == 1
