@@ -396,4 +396,6 @@ def test_scratches_nest_and_keep_to_their_thread(spark):
         thread = threading.Thread(target=lambda: other.append(storage.materialised(spark.range(4), "other")))
         thread.start()
         thread.join()
-    assert other[0].count() == 4 and len(_stored(spark) - before) == 1
+    # Kept by the outermost scratch, and stored by a thread that has none.
+    assert other[0].count() == 4 and b.count() == 3
+    assert sorted(name.partition("-")[0] for name in _stored(spark) - before) == ["other", "outer"]
