@@ -69,8 +69,9 @@ def duplicate_files(listing: DataFrame, ends: int = ENDS, chunk: int = CHUNK) ->
     chunks are hashed, each by a task of its own. A file of one chunk has its SHA-256 as hash, a longer one
     that of its chunks' digests in order.
     """
-    rows = listing.select("path", "length", text.extension(F.col("path")).alias("ext"))
     with storage.scratch(listing.sparkSession) as kept:
+        # Stored, so that all steps see one listing.
+        rows = storage.materialised(listing.select("path", "length", text.extension(F.col("path")).alias("ext")), "listing")
         sized = _company(rows, "ext", "length")
         # The head, and the tail if it doesn't overlap.
         head = F.struct(F.lit(0).cast("long").alias("offset"), F.least("length", F.lit(ends)).cast("long").alias("size"))

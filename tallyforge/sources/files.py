@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from . import each
 
 
 def forms(spark: SparkSession, path: str, schema: T.StructType, two_levels: bool = False) -> DataFrame:
@@ -22,12 +25,12 @@ def forms(spark: SparkSession, path: str, schema: T.StructType, two_levels: bool
 def by_suffix(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     """(path, length) of the files of a folder by suffix in any case. A missing folder is an error."""
     glob = "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "length")
+    return each.listed(spark, path, glob, recursive=False)
 
 
 def binaries(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, content) of all files below a folder."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "content")
+    """(path, length, content) of all files below a folder, packed into tasks by bytes."""
+    return each.contents(each.listed(spark, path))
 
 
 def industries(spark: SparkSession, path: str) -> DataFrame:
@@ -50,8 +53,14 @@ def cities(spark: SparkSession, path: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line) of the logs of a folder."""
-    return spark.read.option("pathGlobFilter", "*.log").text(path).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("line"))
+    """(file, line) of the logs of a folder: small ones packed into tasks by bytes, large ones in splits."""
+    found = each.listed(spark, path, "*.log", recursive=False)
+    large = [r.path for r in found.where(F.col("length") > each.TASK_BYTES).select("path").collect()]
+    got = each.lines(found.where(F.col("length") <= each.TASK_BYTES)).select(F.substring_index("path", "/", -1).alias("file"), "line")
+    if large:
+        rows = spark.read.text([re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in large])
+        got = got.union(rows.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("line")))
+    return got
 
 
 def write_tables(tables: DataFrame, path: str, kind: str = "parquet") -> None:

@@ -75,6 +75,15 @@ def small_or_shuffled(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if fits(df) else df
 
 
+def dealt(df: DataFrame, rows: int, *keys: str, most: int | None = None) -> DataFrame:
+    """df dealt out by a hash of the keys to tasks of about so many rows, which are counted, and to ``most`` tasks at most.
+
+    A table of few bytes comes as one task or two, however many rows it has and whatever each row becomes.
+    """
+    tasks = df.count() // rows + 1
+    return df.repartition(min(tasks, most or tasks), *keys)
+
+
 def running(df: DataFrame, value: Column, out: str, *order: str) -> DataFrame:
     """df with the sum of a whole number over the rows before it, in an order of unique keys.
 

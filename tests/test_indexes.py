@@ -267,6 +267,19 @@ def test_each_row_is_a_file_or_none_is(spark, tmp_path):
     assert _tree(tmp_path / "none") == []
 
 
+def test_many_files_are_written_and_read_by_few_rows_a_task(spark, tmp_path, monkeypatch):
+    rows = spark.range(200, numPartitions=1).select(F.concat(F.col("id") % 3, F.lit("/"), "id", F.lit(".log")).alias("name"), F.concat(F.lit("a\r\nb "), "id", F.lit("\n")).alias("value"))
+    (tmp_path / "staging").mkdir()
+    with monkeypatch.context() as m:
+        m.setattr(each, "TASK_FILES", 50)
+        assert each._staged(rows, str(tmp_path / "staging")).select("folder").distinct().count() > 2
+    each.write_each(rows, str(tmp_path / "logs"))
+    lines = files.log_lines(spark, str(tmp_path / "logs" / "1"))
+    assert lines.rdd.getNumPartitions() == 1 and lines.count() == 2 * 67 and {r.line for r in lines.where("file = '4.log'").collect()} == {"a", "b 4"}
+    assert files.binaries(spark, str(tmp_path / "logs")).rdd.getNumPartitions() == 1
+    assert each.listed(spark, str(tmp_path), levels=2).count() == 0 and each.listed(spark, str(tmp_path), "1*.log", levels=3).count() == 111
+
+
 def test_unreadable_files_are_rejected(spark, tmp_path):
     good = {"a.json": '{"id": "1", "n": [1, 2]}', "x/b.json": ' [{"id": "2"}, {"id": "3", "n": null}]\n', "x/y/c.json": '[]', "x/y/d.json": '{"other": 1}'}
     bad = {"e.json": '{"id": "1"', "f.json": "  ", "g.json": b"\xff\xfe{}", "x/h.json": '"text"', "i.json": '{"id": "1"} {"id": "2"}'}
