@@ -7,11 +7,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import schemas
+from .. import schemas, storage
 from ..functions import text
 from ..operators import dedup, enrich, grid, logs, matching, reshape, validate
 
 
+#: Form-1 records that one task turns into rows, about.
+TASK_RECORDS = 8192
+
+
 def records_by_field(fields: DataFrame, ids: dict[str, str], keys: tuple[str, ...] = ("doc",)) -> DataFrame:
     """One row for each document with the raw content of the named fields, looked up by id."""
     return fields.groupBy(*keys).agg(*[F.max(F.when(F.col("id") == i, F.col("content"))).alias(n) for n, i in ids.items()])
@@ -86,7 +90,9 @@ def wide_rows(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     shape = (F.size("table") == len(schemas.JOB_CATEGORIES)) & F.forall("table", lambda r: F.size(r) == len(schemas.FORM1_COLUMNS))
     good = F.coalesce(shape, F.lit(False))
     keys = {"State": "state", "City": "city", "Headquarter State": "headquarter_state", "Headquarter City": "headquarter_city", "NAICS": "NAICS", "Year": "reporting_year", "NAICS Name": "NAICS_name", "zip code": "zipcode", "HQ zip code": "headquarter_zipcode", "filename": "filename"}
-    rows = records.where(good).select(*[F.col(v).alias(k) for k, v in keys.items()], F.posexplode("table").alias("_r", "_row"))
+    # Dealt out by the keys before each record becomes 12 rows, so that no task sums up more than its share.
+    dealt = storage.dealt(records.where(good).select(*[F.col(v).alias(k) for k, v in keys.items()], "table"), TASK_RECORDS, *[f"`{k}`" for k in keys])
+    rows = dealt.select(*[f"`{k}`" for k in keys], F.posexplode("table").alias("_r", "_row"))
     rows = rows.withColumn("JobCategory", F.get(F.array(*[F.lit(j) for j in schemas.JOB_CATEGORIES]), F.col("_r")))
     sums = [F.sum(F.get("_row", i)).alias(c) for i, c in enumerate(schemas.FORM1_COLUMNS)]
     return rows.groupBy(*schemas.FORM1_KEYS).agg(*sums), records.where(~good)

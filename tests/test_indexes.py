@@ -361,6 +361,18 @@ def test_small_file_readers_agree(spark, tmp_path):
     assert sorted(r.id for r in plain.collect()) == sorted(r.id for r in each.forms(spark, str(tmp_path), "id string")[0].collect())
 
 
+def test_one_file_of_records_becomes_rows_in_many_tasks(spark, monkeypatch):
+    table = F.array(*[F.array(*[(F.col("id") + i + j).cast("int") for j in range(15)]) for i in range(12)])
+    names = ("city", "headquarter_state", "headquarter_city", "NAICS", "NAICS_name", "zipcode", "headquarter_zipcode")
+    one = spark.range(200, numPartitions=1).select(F.concat(F.lit("f"), F.col("id") % 100).alias("filename"), F.lit("MA").alias("state"), *[F.lit("").alias(n) for n in names], F.lit(2019).alias("reporting_year"), table.alias("table"))
+    whole = sorted(map(tuple, jobs.wide_rows(one)[0].collect()), key=repr)
+    monkeypatch.setattr(jobs, "TASK_RECORDS", 20)
+    wide = jobs.wide_rows(one)[0]
+    assert "REPARTITION_BY_NUM" in wide._jdf.queryExecution().toString()
+    assert storage.dealt(one, 20, "filename").rdd.getNumPartitions() == 11 and storage.dealt(one, 20, "filename", most=3).rdd.getNumPartitions() == 3
+    assert sorted(map(tuple, wide.collect()), key=repr) == whole and len(whole) == 100 * 12
+
+
 # --- stored tables --------------------------------------------------------------------------------
 
 
