@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import storage
@@ -81,19 +81,24 @@ def grid_cells(placed: DataFrame, keys: list[str], rows: int | Column, columns:
 
     The first word of digits wins; without one, the last word. Untouched positions have a null raw
     and the confidence -1.
+
+    A table's words are sorted once, by position and rank there. Each winner yields its position and the empty ones
+    before it, the last word those behind it. Words that are already dealt out by some of the keys stay where they are.
     """
-    at = F.struct(*order)
-    digits = F.col("value").rlike("^[0-9]+$")
-    word = F.struct("value", "conf")
-    inside = (F.col("r") >= 0) & F.col("c").between(0, columns - 1)
-    # One shuffle, by keys; a table's words then meet all its positions.
-    got = placed.repartition(*keys).groupBy(*keys, F.when(inside, F.struct("r", "c")).alias("at"))
-    got = got.agg(F.coalesce(F.min_by(word, F.when(digits, at)), F.max_by(word, at)).alias("w"))
-    found = F.map_from_entries(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "w"))))
-    upto = lambda n: F.sequence(F.lit(0), n - 1)
-    grid = got.groupBy(*keys).agg(found.alias("found")).withColumn("r", F.explode(upto(rows if isinstance(rows, Column) else F.lit(rows)))).withColumn("c", F.explode(upto(F.lit(columns))))
-    out = grid.select(*keys, "r", "c", F.try_element_at("found", F.struct("r", "c")).alias("w"))
-    return out.select(*keys, "r", "c", F.col("w.value").alias("raw"), F.coalesce(F.col("w.conf"), F.lit(-1.0)).alias("conf"))
+    rows = rows if isinstance(rows, Column) else F.lit(rows)
+    inside = F.col("r").between(F.lit(0), rows - 1) & F.col("c").between(0, columns - 1)
+    digits = F.coalesce(F.col("value").rlike("^[0-9]+$"), F.lit(False))
+    at = F.coalesce(F.when(inside, F.col("r") * columns + F.col("c")), F.lit(-1))  # words outside come first
+    words = placed.select(*keys, *order, "value", "conf", digits.alias("_digits"), at.alias("_at"))
+    ranks = [F.when(F.col("_digits"), F.col(o)).asc() for o in order] + [F.when(~F.col("_digits"), F.col(o)).desc() for o in order]
+    table = Window.partitionBy(*keys).orderBy("_at", F.desc("_digits"), *ranks)
+    got = words.withColumns({"_before": F.coalesce(F.lag("_at").over(table), F.lit(-1)), "_after": F.lead("_at").over(table)})
+    first = F.when(F.col("_before") < F.col("_at"), F.col("_before")).otherwise(F.col("_at")) + 1
+    last = F.when(F.col("_after").isNull(), rows * columns - 1).otherwise(F.col("_at"))
+    got = got.where(first <= last).select(*keys, "value", "conf", "_at", F.explode(F.sequence(first, last)).alias("_place"))
+    place, here = F.col("_place"), F.col("_place") == F.col("_at")
+    r, c = F.floor(place / columns).cast("int").alias("r"), (place % columns).cast("int").alias("c")
+    return got.select(*keys, r, c, F.when(here, F.col("value")).alias("raw"), F.coalesce(F.when(here, F.col("conf")), F.lit(-1.0)).alias("conf"))
 
 
 def lines(words: DataFrame, keys: list[str]) -> DataFrame:

@@ -294,3 +294,47 @@ def test_headed_compares_whole_lines(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     ratio = {t: difflib.SequenceMatcher(None, t, pattern).ratio() for t in texts if t is not None}
     assert {r.t: r.score for r in matching.headed(df, "t", pattern).collect()} == {t: s for t, s in ratio.items() if s >= matching.HEADER}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def best_words(words, keys, rows, columns):
+    """grid_cells by brute force: words of (doc, part, r, c, page, seq, value, conf)."""
+    out = {}
+    for key in {w[:keys] for w in words}:
+        for r in range(rows):
+            for c in range(columns):
+                here = sorted((w for w in words if w[:keys] == key and w[2:4] == (r, c)), key=lambda w: w[4:6])
+                digits = [w for w in here if w[6] is not None and w[6].isdigit()]
+                best = digits[0] if digits else here[-1] if here else None
+                out[(*key, r, c)] = (best[6], -1.0 if best[7] is None else best[7]) if best else (None, -1.0)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("keys", [["doc"], ["doc", "part"]])
+def test_grid_cells_by_brute_force(spark, seed, keys):
+    """Crowded, empty and outside places, null values, keys, places and confidences, and a table with words outside only."""
+    rng = random.Random(seed)
+    places = [(rng.choice(["a", "b", None]), rng.choice(["x", "y"]), rng.choice([-1, 0, 1, 2, 3, 5, None]), rng.choice([-2, 0, 1, 2, 3, None])) for _ in range(60)]
+    words = [(*p, i % 2, i, rng.choice(["7", "12", "a", "x1", "", None]), rng.choice([0.5, 0.9, None])) for i, p in enumerate(places)]
+    words += [("far", "x", 9, 9, 0, 1, "5", 0.9), ("far", "x", 0, -1, 0, 2, "6", 0.9), ("full", "x", 2, 2, 1, 1, "a", 0.8), ("full", "x", 2, 2, 1, 2, "b", 0.7)]
+    df = spark.createDataFrame(words, "doc string, part string, r int, c int, page int, seq int, value string, conf double")
+    if len(keys) == 1:
+        words = [(w[0], None, *w[2:]) for w in words]
+    got = grid.grid_cells(df, keys, 4, 3, ["page", "seq"])
+    assert [t for _, t in got.dtypes] == ["string"] * len(keys) + ["int", "int", "string", "double"]
+    found = got.collect()
+    assert {tuple(r[:-2]): tuple(r[-2:]) for r in found} == best_words(words, len(keys), 4, 3)
+    assert len(found) == 12 * len({w[: len(keys)] for w in words})
+
+
+def test_grid_cells_stay_where_they_are_dealt(spark):
+    """Rows of a column, of two tables; words dealt out by a key are not shuffled again; no rows, no grid."""
+    df = spark.createDataFrame([("a", "p", 0, 1, 1, "4", 0.9), ("a", "q", 1, 0, 1, "5", 0.9), ("a", "none", 0, 0, 1, "5", 0.9)], "doc string, part string, r int, c int, seq int, value string, conf double")
+    heights = F.create_map(F.lit("p"), F.lit(1), F.lit("q"), F.lit(2))
+    got = grid.grid_cells(df.repartition(3, "doc"), ["doc", "part"], heights[F.col("part")], 2, ["seq"])
+    assert plan_of(got).count("Exchange") == 1
+    assert {(r.part, r.r, r.c): r.raw for r in got.collect()} == {("p", 0, 0): None, ("p", 0, 1): "4", ("q", 0, 0): None, ("q", 0, 1): None, ("q", 1, 0): "5", ("q", 1, 1): None}
