@@ -35,17 +35,20 @@ def _rows(cells: DataFrame, repair: bool, allow_negative: bool) -> DataFrame:
     row = Window.partitionBy(*KEY, "r")
     total = F.col("c") == F.col("_w")
     low = F.coalesce(F.col("conf") < REPAIR_LOW, F.lit(False))
-    got = _sized(cells).withColumn("_came", F.col("value")).withColumn("_sum", F.coalesce(F.sum(F.when(~total, F.col("value"))).over(row), F.lit(0)))
-    got = got.withColumn("_total", F.max(F.when(total, F.col("value"))).over(row)).withColumn("_low", F.sum(low.cast("int")).over(row))
+    # All that is known of a row comes from one window; of a single cell of low confidence, its column and value too.
+    known = {"_sum": F.coalesce(F.sum(F.when(~total, F.col("value"))).over(row), F.lit(0)), "_total": F.max(F.when(total, F.col("value"))).over(row)}
+    if repair:
+        known |= {"_low": F.sum(low.cast("int")).over(row), "_at": F.max(F.when(low, F.col("c"))).over(row), "_value": F.max(F.when(low, F.col("value"))).over(row)}
+    got = _sized(cells).withColumn("_came", F.col("value")).withColumns(known)
     adds = F.coalesce(F.col("_sum") == F.col("_total"), F.lit(False))
     if not repair:
-        return got.withColumn("row_valid", adds).withColumn("repaired", F.lit(False)).drop("_sum", "_total", "_low")
-    new = F.when(total, F.col("_sum")).otherwise(F.col("_total") - F.col("_sum") + F.col("value"))
-    fixes = ~adds & low & (F.col("_low") == 1) & new.isNotNull()
+        return got.withColumn("row_valid", adds).withColumn("repaired", F.lit(False)).drop(*known)
+    new = F.when(F.col("_at") == F.col("_w"), F.col("_sum")).otherwise(F.col("_total") - F.col("_sum") + F.col("_value"))
+    fixes = ~adds & (F.col("_low") == 1) & new.isNotNull()
     if not allow_negative:
         fixes = fixes & (new >= 0)
-    got = got.withColumn("repaired", fixes).withColumn("value", F.when(fixes, new).otherwise(F.col("value")).cast("long"))
-    return got.withColumn("row_valid", adds | F.max("repaired").over(row)).drop("_sum", "_total", "_low")
+    got = got.withColumn("repaired", fixes & low).withColumn("row_valid", adds | fixes)
+    return got.withColumn("value", F.when(F.col("repaired"), new).otherwise(F.col("value")).cast("long")).drop(*known)
 
 
 def rows_checked(cells: DataFrame, repair: bool = True, allow_negative: bool = True) -> DataFrame:

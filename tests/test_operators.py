@@ -358,3 +358,11 @@ def test_order_lines_are_dealt_out_once(spark, monkeypatch, name):
     assert plan.count("Exchange") == 1 and "hashpartitioning(l_orderkey" in plan and f", {tasks})" in plan and plan.count("FileScan") == 1
     assert df.rdd.getNumPartitions() == tasks
     assert sorted(df.collect()) == sorted(plain.collect())
+
+
+@pytest.mark.parametrize("order", ["rows_first", "columns_first"])
+def test_rows_are_known_by_one_window(spark, order):
+    """One window of the tables and one of their rows."""
+    df = cells(spark, [[1, 2, 3], [4, 5, 9], [5, 7, 12]])
+    for got in (validate.rows_checked(df), validate.verdicts(df, 1, order)):
+        assert plan_of(got).count("Window [") == 2
