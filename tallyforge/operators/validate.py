@@ -26,7 +26,8 @@ def cleaned(cells: DataFrame) -> DataFrame:
 
 
 def _sized(cells: DataFrame) -> DataFrame:
-    w = Window.partitionBy(*KEY)
+    # In order of r, so that the windows of rows find the cells sorted as they need them.
+    w = Window.partitionBy(*KEY).orderBy("r").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return cells.withColumn("_h", F.max("r").over(w)).withColumn("_w", F.max("c").over(w))
 
 

@@ -366,3 +366,11 @@ def test_rows_are_known_by_one_window(spark, order):
     df = cells(spark, [[1, 2, 3], [4, 5, 9], [5, 7, 12]])
     for got in (validate.rows_checked(df), validate.verdicts(df, 1, order)):
         assert plan_of(got).count("Window [") == 2
+
+
+@pytest.mark.parametrize("repair", [False, True])
+def test_checks_sort_cells_once(spark, repair):
+    """The windows of tables and of rows share one sort."""
+    df = cells(spark, [[1, 2, 3], [4, 5, 9], [5, 7, 12]])
+    for got in (validate.rows_checked(df, repair), validate.verdicts(df, 1, repair=repair)):
+        assert plan_of(got).count("Sort [") == 1
