@@ -15,6 +15,9 @@ CONSOLIDATED = "CONSOLIDATED REPORT"
 FIRST = 92.0
 #: Runs that a pair must share among its rarest ones, where its length promises so many.
 SHARED = 2
+#: Letters left out or added, a replaced one counting as two, between names that are looked for first; letters
+#: of the runs by which they are found, which must be more; names of a task.
+NEAR, RUN, TASK_NAMES = 2, 4, 2048
 #: Stands for what lies before a name's first letter and after its last.
 PAD = "\x01"
 
@@ -93,10 +96,34 @@ def candidates(names: DataFrame, reference: DataFrame, q: int, accept: float) ->
     return met.groupBy("name", "ref").agg(F.expr("count(*) as met"), F.expr("any_value(least(k, l)) as must")).where("met >= must").select("name", "ref")
 
 
+def near_matches(names: DataFrame, reference: DataFrame, accept: float, near: int = NEAR, q: int = RUN) -> DataFrame:
+    """(name, match, score) of names that differ by ``near`` letters at most from one of reference (both: text).
+
+    Of near + 1 runs of a name that don't overlap one is whole in its partner, and what lies before and behind it
+    differs in length by so many letters in all. Of the runs that begin q letters apart those are
+    looked up that are rarest in the reference. Names with room for so many runs have no match
+    elsewhere that is as good: q is larger than near. Shorter ones are left out. Both joins are shuffled, as Spark
+    takes runs to be as few as the names they are cut from.
+    """
+    runs = F.expr(f"transform(sequence(1, length(text) - {q - 1}), i -> struct(substring(text, i, {q}) as gram, i as at))")
+    looked = names.where(F.length("text") >= (near + 1) * q).select("text", F.inline(runs))
+    refs = reference.where(F.length("text") >= q).select(F.col("text").alias("ref"), F.length("text").alias("m"), F.inline(runs)).withColumnRenamed("at", "j")
+    rows = looked.join(_frequency(refs).hint("merge"), "gram", "left").groupBy("text", (F.col("at") % q).alias("first"))
+    rarest = rows.agg(F.slice(F.array_sort(F.collect_list(F.struct(F.coalesce("frequency", F.lit(0)).alias("frequency"), "gram", "at"))), 1, near + 1).alias("runs")).where(F.size("runs") > near)
+    total = F.aggregate("runs", F.lit(0).cast("long"), lambda x, r: x + r.frequency)
+    chosen = rarest.groupBy("text").agg(F.min(F.struct(total.alias("total"), "runs")).alias("b")).select("text", F.inline("b.runs"))
+    n = F.length("text")
+    probes = chosen.select(F.col("text").alias("name"), n.alias("n"), "gram", F.col("at").alias("i"), F.explode(F.sequence(n - near, n + near)).alias("m"))
+    met = probes.join(refs.hint("merge"), ["gram", "m"]).where(f"abs(j - i) + abs(m - n - (j - i)) <= {near}").where(F.levenshtein("name", "ref", near) >= 0)
+    scored = met.withColumn("s", indel_ratio("name", "ref")).where(F.col("s") >= accept).where(f"(n + m) * (100.0D - s) <= {100 * near + 1e-6!r}D")
+    return scored.groupBy("name").agg(F.min(F.struct((-F.col("s")).alias("s"), "ref")).alias("b")).select("name", F.col("b.ref").alias("match"), (-F.col("b.s")).alias("score"))
+
+
 def best_matches(names: DataFrame, reference: DataFrame, accept: float = ACCEPT) -> DataFrame:
     """(name, match, score) of the distinct names (name): the most similar of reference (ref), if its score is enough.
 
-    Exact hits skip the comparison. The others look partners up in an inverted index of runs of letters:
+    Exact hits skip the comparison. Names that differ from one of reference by a letter or two are found by a few
+    rare runs of letters (``near_matches``) and look no further. The others look partners up in an inverted index of all runs:
     a name of such a score shares one of each side's rarest runs, at a close place, and a known number of
     all runs; only such pairs are compared. The index is tried with a high score first, which names few
     pairs, and names that found a match leave. Spark broadcasts an index that turns out small, else
@@ -115,6 +142,13 @@ def best_matches(names: DataFrame, reference: DataFrame, accept: float = ACCEPT)
 
     # The matches are stored, a row for a name at most; the indexes go.
     with storage.scratch(names.sparkSession) as kept:
+        deal = lambda df, label: storage.dealt(storage.materialised(df, label), TASK_NAMES, "text")
+        refs, left = deal(refs, "reference"), deal(left, "names")
+        first = storage.materialised(near_matches(left, refs, accept), "near")
+        left = storage.materialised(left.join(first.select(F.col("name").alias("text")), "text", "left_anti"), "names")
+        exact = exact.union(first)
+        if left.isEmpty():
+            return kept(exact, "matched")
         refs = storage.materialised(_indexed(refs, _frequency(refs.select(F.explode(_grams(q)).alias("gram"))), q), "reference")
         left = storage.materialised(_indexed(left, _frequency(refs.select(F.explode("grams.gram").alias("gram"))), q), "names")
         if accept >= FIRST:

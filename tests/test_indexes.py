@@ -103,6 +103,36 @@ def test_index_compares_few_pairs(spark):
     assert pairs.count() < 0.01 * len(names) * len(refs)
 
 
+@pytest.mark.parametrize("accept", [80.0, 95.0])
+def test_near_names_are_found_by_rare_runs(spark, accept):
+    rng = random.Random(7)
+    text = lambda: "".join(rng.choice("ABé ") for _ in range(rng.randint(3, 22)))
+    refs = {text() for _ in range(60)} | {"A" * 14, "A" * 15, "A" * 17, "BOSTON CITY HALL", "BOSTON CITY MALL"}
+    names = {"A" * 13, "A" * 16, "BOSTON CITY ALL", "BOSTON CITY XALL", "A" * 11}
+    for r in sorted(refs):
+        for _ in range(3):
+            n = list(r)
+            for _ in range(rng.randint(1, 3)):
+                at = rng.randrange(len(n) + 1)
+                n[at : at + rng.randint(0, 1)] = rng.choice(["", "A", "é"])
+            names.add("".join(n))
+    frame = lambda x: spark.createDataFrame([(t,) for t in sorted(x)], "text string")
+    got = matching.near_matches(frame(names), frame(refs), accept).collect()
+    want = {}
+    for n in names:
+        score, match = min((-_ratio(n, r), r) for r in refs)
+        if len(n) >= 12 and -score >= accept and len(n) + len(match) - 2 * lcs_length(n, match) <= 2:
+            want[n] = (match, -score)
+    assert len(got) == len(want) > 60 and {r.name: (r.match, pytest.approx(r.score)) for r in got} == want
+
+
+def test_names_near_the_reference_need_no_index_of_all_runs(spark, monkeypatch):
+    monkeypatch.setattr(matching, "candidates", lambda *a: pytest.fail("names are looked up by all runs"))
+    rows = spark.range(300).select(F.concat(F.lit("large ring ECONOMY "), F.substring(F.md5(F.col("id").cast("string")), 1, 12)).alias("ref"))
+    got = matching.best_matches(rows.select(F.expr("concat(left(ref, 4), substr(ref, 7))").alias("name")), rows).collect()
+    assert len(got) == 300 and all(r.name == r.match[:4] + r.match[6:] and r.score == pytest.approx(200 * 29 / 60) for r in got)
+
+
 def test_matching_blocks_are_those_of_the_standard_library():
     rng = random.Random(7)
     text = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
