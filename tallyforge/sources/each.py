@@ -228,8 +228,8 @@ def _files_of(folders: DataFrame, glob: str, seen: Callable[[str], bool]) -> Dat
     return storage.dealt(folders, 1, "path", most=1024).mapInArrow(run, "path string, length long")
 
 
-def listed(spark: SparkSession, path: str | list[str], glob: str = "*", recursive: bool = True, levels: int | None = None) -> DataFrame:
-    """(path, length) of files; none is opened. Empty files and names that begin with _ or . are left out, as Spark does.
+def listed(spark: SparkSession, path: str | list[str], glob: str = "*", recursive: bool = True, levels: int | None = None, empty: bool = False) -> DataFrame:
+    """(path, length) of files; none is opened. Names that begin with _ or . are left out, as Spark does, and empty files without ``empty``.
 
     The glob, as of ``fnmatch``, is of a file's name. Folders are listed by tasks each time that the rows are
     asked for. levels: only files of so many levels. A path that isn't there is an error.
@@ -249,7 +249,7 @@ def listed(spark: SparkSession, path: str | list[str], glob: str = "*", recursiv
     every = _files_of(_folders(spark, folders, levels if recursive else 1, _visible), glob, _visible)
     if files:
         every = every.union(spark.createDataFrame(files, "path string, length long"))
-    return every.where("length > 0")
+    return every if empty else every.where("length > 0")
 
 
 def packed(files: DataFrame, task_bytes: int = TASK_BYTES, open_bytes: int = OPEN_BYTES) -> DataFrame:

@@ -9,6 +9,7 @@ import random
 import threading
 from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from tallyforge.functions import noise, similarity
 from tallyforge.functions.similarity import lcs_length
 from tallyforge.operators import contingency, dedup, enrich, flatten, grid, matching, reports, reshape, validate
 from tallyforge.plans import jobs
+from tallyforge.queries import ORACLE_SQL, QUERIES
 from tallyforge.sources import each, files
 
 BOX = "section string, field string, x1 double, y1 double, x2 double, y2 double"
@@ -310,6 +312,17 @@ def test_many_files_are_written_and_read_by_few_rows_a_task(spark, tmp_path, mon
     assert each.listed(spark, str(tmp_path), levels=2).count() == 0 and each.listed(spark, str(tmp_path), "1*.log", levels=3).count() == 111
 
 
+ODD_DOCUMENTS = [(1, "a", "en"), (2, "", "en"), (3, "", "fr"), (4, None, "en"), (5, "é", "fr"), (6, "", "de"), (7, "a", None), (8, "b", "_x"), (9, "b", "."), (10, "", ""), (11, "a\r\n", "en"), (12, "b", "a/b")]
+
+
+@pytest.mark.parametrize("name", ["cls1_manifest_by_folder", "ded1_files_by_ranges", "ded1_bytes_read"])
+def test_files_of_odd_documents(spark, tmp_path, name):
+    spark.createDataFrame(ODD_DOCUMENTS, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES[name](spark, str(tmp_path))
+    want = duckdb.connect().sql(f"with documents as (from '{tmp_path}/documents.parquet/*.parquet') select {', '.join(got.columns)} from ({ORACLE_SQL[name]})").fetchall()
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_unreadable_files_are_rejected(spark, tmp_path):
     good = {"a.json": '{"id": "1", "n": [1, 2]}', "x/b.json": ' [{"id": "2"}, {"id": "3", "n": null}]\n', "x/y/c.json": '[]', "x/y/d.json": '{"other": 1}'}
     bad = {"e.json": '{"id": "1"', "f.json": "  ", "g.json": b"\xff\xfe{}", "x/h.json": '"text"', "i.json": '{"id": "1"} {"id": "2"}'}
