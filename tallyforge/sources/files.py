@@ -29,8 +29,8 @@ def by_suffix(spark: SparkSession, path: str, suffix: str) -> DataFrame:
 
 
 def binaries(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, content) of all files below a folder, packed into tasks by bytes."""
-    return each.contents(each.listed(spark, path))
+    """(path, length, content) of all files below a folder, empty ones too, packed into tasks by bytes."""
+    return each.contents(each.listed(spark, path, empty=True))
 
 
 def industries(spark: SparkSession, path: str) -> DataFrame:

@@ -315,7 +315,7 @@ def test_many_files_are_written_and_read_by_few_rows_a_task(spark, tmp_path, mon
 ODD_DOCUMENTS = [(1, "a", "en"), (2, "", "en"), (3, "", "fr"), (4, None, "en"), (5, "é", "fr"), (6, "", "de"), (7, "a", None), (8, "b", "_x"), (9, "b", "."), (10, "", ""), (11, "a\r\n", "en"), (12, "b", "a/b")]
 
 
-@pytest.mark.parametrize("name", ["cls1_manifest_by_folder", "ded1_files_by_ranges", "ded1_bytes_read"])
+@pytest.mark.parametrize("name", ["cls1_manifest_by_folder", "src8_binary_files", "ded1_files_by_ranges", "ded1_bytes_read"])
 def test_files_of_odd_documents(spark, tmp_path, name):
     spark.createDataFrame(ODD_DOCUMENTS, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
     got = QUERIES[name](spark, str(tmp_path))
